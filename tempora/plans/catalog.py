@@ -150,3 +150,133 @@ LEFT JOIN all_time w ON l.id = w.location_id""",
     [("all_time", f"""SELECT location_id, {round_half_up(exact_avg('avg_monthly_temp_c'), 2)} AS avg_temp_c,
   {round_half_up(exact_sum('total_monthly_precipitation_mm'), 0)} AS total_precipitation_mm
   FROM monthly_weather GROUP BY location_id""")]), _m("location_climate_summary"))
+
+# ------------------------------------------------------------------ Q-27 .. Q-35 table functions
+
+from tempora.plans import AS_OF  # noqa: E402
+from tempora.plans import tools as T  # noqa: E402
+from tempora.plans.oracle import AS_OF_TS  # noqa: E402
+from tempora.sources import fixtures as fx  # noqa: E402
+
+MART = ["monthly_macro_weather"]
+_MART_COLS = ", ".join(T.MART_COLS)
+
+
+def _mart(spark, sf):
+    return Models(spark, sf).monthly_macro_weather()
+
+
+register("macro_weather_range", with_ctes(MART, f"""SELECT {_MART_COLS} FROM monthly_macro_weather
+WHERE year_month BETWEEN '1996-01' AND '1997-06' ORDER BY year_month, location_name LIMIT 50"""),
+         lambda spark, sf: T.macro_weather_range(_mart(spark, sf), "1996-01", "1997-06"))
+register("macro_weather_range_city", with_ctes(MART, f"""SELECT {_MART_COLS} FROM monthly_macro_weather
+WHERE year_month BETWEEN '1996-01' AND '1999-12' AND location_name = 'NATION_3'
+ORDER BY year_month, location_name LIMIT 50"""),
+         lambda spark, sf: T.macro_weather_range(_mart(spark, sf), "1996-01", "1999-12", "NATION_3"))
+
+register("data_freshness", with_ctes(MART + W + ["economic_observations"], """
+SELECT 'latest_macro_weather_period' AS source, MAX(year_month) AS latest FROM monthly_macro_weather
+UNION ALL SELECT 'latest_weather', strftime(MAX(observed_at), '%Y-%m-%d %H:%M:%S') FROM weather_observations
+UNION ALL SELECT 'latest_economic', strftime(MAX(observed_at), '%Y-%m-%d %H:%M:%S') FROM economic_observations"""),
+         lambda spark, sf: T.data_freshness(_mart(spark, sf), fx.weather_observations(spark, sf),
+                                            fx.economic_observations(spark, sf)))
+
+for _key, _metric, _col in [("climate_extremes", "subzero_days", "subzero_days"),
+                            ("climate_extremes_rain", "total_rainfall", "total_monthly_precipitation_mm"),
+                            ("climate_extremes_temp", "max_temp", "avg_monthly_temp_c")]:
+    register(_key, with_ctes(MART, f"""SELECT location_name, year_month, avg_monthly_temp_c,
+  total_monthly_precipitation_mm, subzero_days FROM monthly_macro_weather WHERE starts_with(year_month, '1998')
+ORDER BY {_col} DESC NULLS LAST, year_month, location_name LIMIT 5"""),
+             (lambda m: lambda spark, sf: T.climate_extremes(_mart(spark, sf), 1998, m))(_metric))
+
+register("compare_city_climates", with_ctes(MART, """SELECT location_name, year_month, avg_monthly_temp_c,
+  total_monthly_precipitation_mm FROM monthly_macro_weather
+WHERE location_name IN ('NATION_1', 'NATION_7') AND starts_with(year_month, '1998')
+ORDER BY year_month, location_name"""),
+         lambda spark, sf: T.compare_city_climates(_mart(spark, sf), "NATION_1", "NATION_7", 1998))
+
+register("latest_weather", with_ctes(WL, """SELECT w.observed_at, w.temperature_c, w.precipitation, w.humidity,
+  l.name AS location_name FROM weather_observations w JOIN locations l ON w.location_id = l.id
+ORDER BY w.observed_at DESC, l.name, w.temperature_c NULLS FIRST, w.precipitation NULLS FIRST,
+  w.humidity NULLS FIRST LIMIT 30"""),
+         lambda spark, sf: T.latest_weather(fx.weather_observations(spark, sf), fx.locations(spark, sf)))
+
+register("freshness_status", with_ctes(W, f"""SELECT CASE WHEN last IS NULL THEN 'NO_DATA'
+  WHEN last < {AS_OF_TS} - INTERVAL 24 HOUR THEN 'STALE' ELSE 'HEALTHY' END AS status,
+  strftime(last, '%Y-%m-%d %H:%M:%S') AS last_observation
+FROM (SELECT MAX(observed_at) AS last FROM weather_observations) t"""),
+         lambda spark, sf: T.freshness_status(fx.weather_observations(spark, sf), AS_OF))
+
+register("precip_profile", with_ctes(W, f"""SELECT location_id, COUNT(*) AS total_rows,
+  COUNT(*) FILTER (WHERE precipitation > 0) AS rainy_hours_count,
+  {round_half_up('MAX(precipitation)')} AS max_hourly_rain_mm, {round_half_up('SUM(precipitation)')} AS total_rain_mm
+FROM weather_observations GROUP BY location_id"""),
+         lambda spark, sf: T.precip_profile(fx.weather_observations(spark, sf)))
+
+register("precip_nonnull", with_ctes(W, """SELECT COUNT(*) AS total_rows,
+  COUNT(precipitation) AS non_null_precipitation_rows FROM weather_observations
+WHERE precipitation IS NOT NULL AND precipitation > 0"""),
+         lambda spark, sf: T.precip_nonnull(fx.weather_observations(spark, sf)))
+
+register("duplicate_keys", with_ctes(W, """SELECT location_id, observed_at, COUNT(*) AS c
+FROM weather_observations GROUP BY 1, 2 HAVING COUNT(*) > 1"""),
+         lambda spark, sf: T.duplicate_keys(fx.weather_observations(spark, sf), ["location_id", "observed_at"]))
+
+register("duplicate_keys_staged", with_ctes(["stg_weather"], """SELECT location_id, observed_at, observation_date,
+  COUNT(*) AS c FROM stg_weather GROUP BY 1, 2, 3 HAVING COUNT(*) > 1"""),
+         lambda spark, sf: T.duplicate_keys(Models(spark, sf).stg_weather(),
+                                            ["location_id", "observed_at", "observation_date"]))
+
+# ------------------------------------------------------------------ DQ-1 .. DQ-11
+
+from tempora.functions.constants import NON_NEGATIVE_SERIES  # noqa: E402
+from tempora.operators import quality as Q  # noqa: E402
+
+
+def _staged(spark, sf):
+    m = Models(spark, sf)
+    return {"stg_weather_observations": m.stg_weather(), "stg_economic_observations": m.stg_economic(),
+            "stg_retail_observations": m.stg_retail(), "stg_locations": m.stg_locations()}
+
+
+def _check(name):
+    return lambda spark, sf: Q.all_checks(_staged(spark, sf), AS_OF)[name]
+
+
+_NN = ", ".join(f"'{s}'" for s in NON_NEGATIVE_SERIES)
+STG_ALL = ["stg_weather", "stg_economic", "stg_retail", "stg_locations"]
+DQ_SQL = {
+    "dq_economic_positive": f"SELECT series_id, observed_at, value FROM stg_economic "
+                            f"WHERE series_id IN ({_NN}) AND value < 0",
+    "dq_no_future_economic": f"SELECT series_id, observed_at FROM stg_economic WHERE observed_at > {AS_OF_TS}",
+    "dq_no_future_weather": f"SELECT observed_at FROM stg_weather WHERE observed_at > {AS_OF_TS} + INTERVAL 1 DAY",
+    "dq_out_of_bounds": """SELECT location_id, observed_at, temperature_c, precipitation_mm,
+  CASE WHEN temperature_c > 90 THEN 'temp_too_high' WHEN temperature_c < -100 THEN 'temp_too_low'
+       WHEN precipitation_mm > 2000 THEN 'precip_too_high' WHEN precipitation_mm < 0 THEN 'precip_negative' END
+  AS failure_reason FROM stg_weather
+WHERE temperature_c > 90 OR temperature_c < -100 OR precipitation_mm > 2000 OR precipitation_mm < 0""",
+    "dq_retail_positive": "SELECT sales_millions FROM stg_retail WHERE sales_millions < 0",
+    "dq_stale_economic": f"""SELECT series_id, most_recent_observation FROM (SELECT series_id,
+  MAX(observed_at) AS most_recent_observation FROM stg_economic GROUP BY series_id) t
+WHERE most_recent_observation < {AS_OF_TS} - INTERVAL 365 DAY""",
+    "dq_unique_coordinates": """SELECT latitude, longitude, COUNT(*) AS duplicate_count FROM stg_locations
+GROUP BY 1, 2 HAVING COUNT(*) > 1""",
+    "dq_unique_weather": """SELECT location_id, observed_at, observation_date, temperature_c, precipitation_mm
+FROM stg_weather GROUP BY 1, 2, 3, 4, 5 HAVING COUNT(*) > 1""",
+}
+_SQL_MODEL = {"stg_weather_observations": "stg_weather", "stg_economic_observations": "stg_economic",
+              "stg_retail_observations": "stg_retail", "stg_locations": "stg_locations"}
+DQ_SQL["dq_not_null"] = "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{m}' AS model, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS failures "
+    f"FROM {_SQL_MODEL[m]}" for m, c in Q.NOT_NULL_RULES) + ") t WHERE failures > 0"
+DQ_SQL["dq_unique"] = " UNION ALL ".join(
+    f"SELECT '{m}' AS model, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS n "
+    f"FROM {_SQL_MODEL[m]} GROUP BY 3 HAVING COUNT(*) > 1" for m, c in Q.UNIQUE_RULES)
+
+for _k, _sql in DQ_SQL.items():
+    register(_k, with_ctes(STG_ALL, _sql), _check(_k))
+
+register("dq_report", with_ctes(STG_ALL, " UNION ALL ".join(
+    f"SELECT '{k}' AS check_name, COUNT(*) AS failures, CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status "
+    f"FROM ({s}) t_{i}" for i, (k, s) in enumerate(DQ_SQL.items()))),
+    lambda spark, sf: Q.check_report(Q.all_checks(_staged(spark, sf), AS_OF)))
