@@ -280,3 +280,83 @@ register("dq_report", with_ctes(STG_ALL, " UNION ALL ".join(
     f"SELECT '{k}' AS check_name, COUNT(*) AS failures, CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status "
     f"FROM ({s}) t_{i}" for i, (k, s) in enumerate(DQ_SQL.items()))),
     lambda spark, sf: Q.check_report(Q.all_checks(_staged(spark, sf), AS_OF)))
+
+# ------------------------------------------------------------------ merges, incremental, backfill
+
+from tempora.plans import loads as L  # noqa: E402
+
+_T_BEFORE = f"TIMESTAMP '{L.TARGET_BEFORE}'"
+_B_FROM = f"TIMESTAMP '{L.BATCH_FROM}'"
+
+
+def _dedupe_sql(src: str, order: str) -> str:
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY location_id, observed_at "
+            f"ORDER BY {order}) AS rn FROM {src}) x WHERE rn = 1")
+
+
+_NEWEST = desc_order(["created_at"] + L.TIE)
+_OLDEST = ", ".join(f"{c} ASC NULLS LAST" for c in ["created_at"] + L.TIE)
+_WT = [("t", _dedupe_sql(f"(SELECT * FROM weather_observations WHERE observed_at < {_T_BEFORE})", _NEWEST)),
+       ("b0", f"SELECT id, location_id, temperature_c + 1.0 AS temperature_c, wind_speed, pressure, humidity, "
+              f"precipitation, observed_at, created_at FROM weather_observations WHERE observed_at >= {_B_FROM}")]
+
+_UPSERT_COLS = ", ".join(
+    ["CASE WHEN t.location_id IS NOT NULL THEN t.id ELSE b.id END AS id",
+     "COALESCE(t.location_id, b.location_id) AS location_id"]
+    + [f"CASE WHEN b.location_id IS NOT NULL THEN b.{c} ELSE t.{c} END AS {c}" for c in L.MEASURES]
+    + ["COALESCE(t.observed_at, b.observed_at) AS observed_at",
+       "CASE WHEN t.location_id IS NOT NULL THEN t.created_at ELSE b.created_at END AS created_at"])
+
+register("upsert_last_wins", with_ctes(W, f"""SELECT {_UPSERT_COLS} FROM t FULL OUTER JOIN b
+  ON t.location_id = b.location_id AND t.observed_at = b.observed_at""",
+    _WT + [("b", _dedupe_sql("b0", _NEWEST))]), L.upsert_last_wins)
+
+register("insert_ignore", with_ctes(W, """SELECT * FROM t UNION ALL
+SELECT b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.location_id = b.location_id AND t.observed_at = b.observed_at)""",
+    _WT + [("b", _dedupe_sql("b0", _OLDEST))]), L.insert_ignore)
+
+register("merge_insert_only", with_ctes(["economic_observations"], f"""SELECT * FROM t UNION ALL
+SELECT b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.series_id = b.series_id AND t.observed_at = b.observed_at)""",
+    [("t", f"SELECT * FROM economic_observations WHERE observed_at < {_T_BEFORE}"),
+     ("b", f"SELECT * FROM economic_observations WHERE observed_at >= TIMESTAMP '{L.ECON_BATCH_FROM}'")]),
+    L.merge_insert_only)
+
+_ISO = "CASE WHEN microsecond({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') " \
+       "ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') END"
+register("migrate_weather", with_ctes(W, f"""SELECT location_id, temperature_c, wind_speed, pressure, humidity,
+  precipitation, {_ISO.format(c='observed_at')} AS observed_at, {_ISO.format(c='created_at')} AS created_at
+FROM weather_observations"""), L.migrate_weather)
+register("migrate_economic", with_ctes(["economic_observations"], f"""SELECT series_id,
+  COALESCE(series_name, '') AS series_name, CAST(value AS DOUBLE) AS value, {_ISO.format(c='observed_at')} AS observed_at
+FROM economic_observations"""), L.migrate_economic)
+
+register("incremental_merge", with_ctes(["stg_weather"], "SELECT * FROM tgt UNION ALL SELECT * FROM new_rows",
+    [("tgt", f"SELECT * FROM stg_weather WHERE observed_at < {_T_BEFORE}"),
+     ("new_rows", "SELECT * FROM stg_weather WHERE observed_at > (SELECT MAX(observed_at) FROM tgt)")]),
+    L.incremental_merge)
+register("incremental_merge_per_key", with_ctes(["stg_weather"], "SELECT * FROM tgt UNION ALL SELECT s.* FROM stg_weather s "
+    "LEFT JOIN marks m ON s.location_id = m.location_id WHERE m.hwm IS NULL OR s.observed_at > m.hwm",
+    [("tgt", f"SELECT * FROM stg_weather WHERE observed_at < {_T_BEFORE}"),
+     ("marks", "SELECT location_id, MAX(observed_at) AS hwm FROM tgt GROUP BY 1")]),
+    lambda spark, sf: L.incremental_merge(spark, sf, "per_key_hwm"))
+
+register("last_observed", with_ctes(W, """SELECT location_id, MAX(observed_at) AS last_observed
+FROM weather_observations GROUP BY 1"""), L.last_observed)
+
+register("backfill_chunks", with_ctes(WL, f"""SELECT location_id, chunk_start,
+  LEAST(chunk_start + 19, e) AS chunk_end FROM (
+  SELECT location_id, e, CAST(UNNEST(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 20 DAY))
+         AS DATE) AS chunk_start
+  FROM (SELECT l.id AS location_id,
+               COALESCE(CAST(lo.last_observed AS DATE) + 1, DATE '1950-01-01') AS s,
+               CAST(TIMESTAMP '{L.BACKFILL_AS_OF}' AS DATE) - 1 AS e
+        FROM locations l LEFT JOIN (SELECT location_id, MAX(observed_at) AS last_observed
+                                    FROM weather_observations GROUP BY 1) lo ON l.id = lo.location_id) p
+  WHERE s <= e) c"""), L.backfill_chunks)
+
+register("new_locations", with_ctes(["locations"], """SELECT CAST((SELECT COALESCE(MAX(id), 0) FROM known)
+  + ROW_NUMBER() OVER (ORDER BY latitude, longitude) AS BIGINT) AS id, n.name, n.country, n.region, n.latitude,
+  n.longitude FROM (
+  SELECT c.* FROM locations c WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.latitude = c.latitude
+  AND k.longitude = c.longitude)) n""",
+    [("known", "SELECT * FROM locations WHERE country <> 'MIDDLE EAST'")]), L.new_locations)
