@@ -360,3 +360,17 @@ register("new_locations", with_ctes(["locations"], """SELECT CAST((SELECT COALES
   SELECT c.* FROM locations c WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.latitude = c.latitude
   AND k.longitude = c.longitude)) n""",
     [("known", "SELECT * FROM locations WHERE country <> 'MIDDLE EAST'")]), L.new_locations)
+
+# ------------------------------------------------------------------ streams (events)
+
+from tempora.plans import streams as ST  # noqa: E402
+
+register("events_daily_stream", f"""
+WITH e AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day_start, event_type, value FROM events),
+wm AS (SELECT MAX(ts) - INTERVAL 1 HOUR AS w FROM events)
+SELECT day_start, event_type, COUNT(*) AS n, {exact_avg('value')} AS avg_value, {exact_sum('value')} AS sum_value
+FROM e WHERE day_start + INTERVAL 1 DAY <= (SELECT w FROM wm) GROUP BY 1, 2""", ST.events_daily_stream)
+
+register("events_dedupe_stream", """SELECT event_id, ts, user_id, event_type, value FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) t WHERE rn = 1""",
+         ST.events_dedupe_stream)
