@@ -374,3 +374,57 @@ FROM e WHERE day_start + INTERVAL 1 DAY <= (SELECT w FROM wm) GROUP BY 1, 2""",
 register("events_dedupe_stream", """SELECT event_id, ts, user_id, event_type, value FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) t WHERE rn = 1""",
          ST.events_dedupe_stream)
+
+# ------------------------------------------------------------------ forecasting
+
+from tempora.functions.constants import DOMAIN_METRICS  # noqa: E402
+from tempora.plans import forecasts as FCQ  # noqa: E402
+
+
+def _unpivot(src: str, cols: str, metrics) -> str:
+    return " UNION ALL ".join(f"SELECT {cols}, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {src}"
+                              for m in metrics)
+
+
+_SERIES_CTES = [
+    ("fw", "SELECT 'weather' AS domain, location_name, year_month, metric, value FROM ("
+           + _unpivot("monthly_macro_weather", "location_name, year_month", DOMAIN_METRICS["weather"])
+           + ") u WHERE year_month IS NOT NULL AND value IS NOT NULL AND location_name IS NOT NULL"),
+    ("fe", "SELECT DISTINCT 'economic' AS domain, CAST(NULL AS VARCHAR) AS location_name, year_month, metric, value FROM ("
+           + _unpivot("monthly_retail_macro", "year_month", DOMAIN_METRICS["economic"])
+           + ") u WHERE year_month IS NOT NULL AND value IS NOT NULL"),
+    ("fr", "SELECT DISTINCT 'retail' AS domain, CAST(NULL AS VARCHAR) AS location_name, year_month, metric, value FROM ("
+           + _unpivot("monthly_retail_macro", "year_month", DOMAIN_METRICS["retail"])
+           + ") u WHERE year_month IS NOT NULL AND value IS NOT NULL"),
+    ("fseries", "SELECT domain || ':' || metric || ':' || COALESCE(location_name, 'national') AS series_key, domain, "
+                "metric, location_name, CAST(year_month || '-01' AS DATE) AS month, value "
+                "FROM (SELECT * FROM fw UNION ALL SELECT * FROM fe UNION ALL SELECT * FROM fr) a"),
+    ("fsplit", f"""SELECT series_key, domain, metric, location_name, month, value,
+        CASE WHEN rk <= {FCQ.TEST_MONTHS} THEN 'test' ELSE 'train' END AS split FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY month DESC) AS rk,
+               COUNT(*) OVER (PARTITION BY series_key) AS n FROM fseries) x WHERE n > {FCQ.TEST_MONTHS}"""),
+]
+_MARTS = ["monthly_macro_weather", "monthly_retail_macro"]
+
+register("forecast_series", with_ctes(_MARTS, "SELECT * FROM fseries", _SERIES_CTES[:4]), FCQ.series)
+register("train_test_split", with_ctes(_MARTS, "SELECT * FROM fsplit", _SERIES_CTES), FCQ.train_test)
+register("series_profile", with_ctes(_MARTS, """SELECT series_key, COUNT(*) AS n, COUNT(DISTINCT month) AS n_months,
+  MIN(month) AS first_month, MAX(month) AS last_month,
+  COUNT(*) = COUNT(DISTINCT month) AND COUNT(*) = CAST(datediff('month', MIN(month), MAX(month)) AS INTEGER) + 1
+  AS is_regular FROM fseries GROUP BY series_key""", _SERIES_CTES[:4]), FCQ.profile)
+
+_ERR = "actual - predicted"
+register("eval_metrics_naive", with_ctes(_MARTS, f"""SELECT series_key,
+  {round_half_up(f"sqrt({exact_avg(f'({_ERR}) * ({_ERR})')})", 4)} AS rmse,
+  {round_half_up(exact_avg(f'abs({_ERR})'), 4)} AS mae,
+  {round_half_up(exact_avg(f'CASE WHEN actual <> 0 THEN abs({_ERR}) / abs(actual) END') + ' * 100', 4)} AS mape,
+  COUNT(*) AS n
+FROM pairs GROUP BY series_key""", _SERIES_CTES + [
+    ("pairs", """SELECT series_key, value AS actual, predicted FROM (
+       SELECT *, LAG(value, 12) OVER (PARTITION BY series_key ORDER BY month) AS predicted FROM fsplit) x
+     WHERE split = 'test' AND predicted IS NOT NULL""")]), FCQ.naive_metrics)
+
+register("forecast_orders", None, FCQ.orders)
+register("forecast_evaluate", None, FCQ.evaluate)
+register("forecast_predict", None, FCQ.predict)
+register("forecast_trajectory", None, FCQ.trajectory)
