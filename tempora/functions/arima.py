@@ -2,7 +2,7 @@
 
 Model: phi(B) PHI(B^s) (1-B)^d (1-B^s)^D y_t = theta(B) THETA(B^s) e_t, no constant.
 Fit: conditional sum of squares (residuals before the AR order are taken as 0),
-Levenberg-Marquardt with a forward-difference Jacobian, at most ``max_iter`` steps; no
+Levenberg-Marquardt with the exact Jacobian of the residual recursion, at most ``max_iter`` steps; no
 stationarity or invertibility constraint. The MA recursion is solved as one banded
 lower-triangular system per parameter vector (batched ``numpy.linalg.solve``).
 AIC = n * ln(SSE / n) + 2 (k + 1) on a sample common to every candidate of a grid, so
@@ -71,6 +71,27 @@ class Candidate:
         a, m = self.polys_batch(np.asarray(theta, dtype=float)[None, :])
         return a[0], m[0]
 
+    def poly_derivs(self, theta):
+        """d(AR poly)/d(theta) (k, r+1) and d(MA poly)/d(theta) (k, m_len)."""
+        ar, sar, ma, sma = self.split(np.asarray(theta, dtype=float))
+        ar_p, sar_p = _lag_poly(ar, 1, -1.0), _lag_poly(sar, self.s, -1.0)
+        ma_p, sma_p = _lag_poly(ma, 1, 1.0), _lag_poly(sma, self.s, 1.0)
+        da, dm = np.zeros((self.k, self.r + 1)), np.zeros((self.k, self.m_len))
+        row = 0
+        for i in range(1, self.p + 1):                       # phi_i: -B^i * seasonal AR
+            da[row, i:i + len(sar_p)] -= sar_p
+            row += 1
+        for j in range(1, self.P + 1):                       # PHI_j: -B^(js) * AR
+            da[row, j * self.s:j * self.s + len(ar_p)] -= ar_p
+            row += 1
+        for i in range(1, self.q + 1):                       # theta_i: B^i * seasonal MA
+            dm[row, i:i + len(sma_p)] += sma_p
+            row += 1
+        for j in range(1, self.Q + 1):                       # THETA_j: B^(js) * MA
+            dm[row, j * self.s:j * self.s + len(ma_p)] += ma_p
+            row += 1
+        return da, dm
+
 
 class _System:
     """Per-(candidate, series) constants of the residual recursion."""
@@ -95,6 +116,23 @@ class _System:
             return np.linalg.solve(mats, rhs[..., None])[..., 0]
 
 
+    def jacobian(self, theta: np.ndarray):
+        """Residuals and their exact derivatives: with e = T^-1 (A w),
+        de/dtheta = T^-1 (dA w - dT e). Two solves with the same matrix."""
+        a, m = self.cand.polys(theta)
+        rhs = a @ self.lagged
+        mat = self.eye if self.shifts is None else self.eye + np.tensordot(m[self.lags], self.shifts, axes=1)
+        with np.errstate(all="ignore"):
+            e = np.linalg.solve(mat, rhs)
+            da, dm = self.cand.poly_derivs(theta)
+            drhs = da @ self.lagged                                                   # (k, size)
+            if self.lags:
+                shifted = np.stack([np.concatenate([np.zeros(j), e[:-j]]) for j in self.lags])
+                drhs = drhs - dm[:, self.lags] @ shifted
+            de = np.linalg.solve(mat, drhs.T).T
+        return e, de
+
+
 def _residuals(cand: Candidate, w: np.ndarray, thetas: np.ndarray) -> np.ndarray:
     return _System(cand, w).residuals(thetas)
 
@@ -106,7 +144,7 @@ def common_start(grid, n: int, min_obs: int = 12) -> int:
     return start if n - start >= min_obs else 0
 
 
-def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e-8):
+def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e-6):
     """Fit one candidate. Returns dict(params, sse, n, sigma2, aic, iterations) or None on
     failure (too short, non-finite)."""
     cand = Candidate(*order, *seasonal)
@@ -126,12 +164,11 @@ def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e
     theta = np.zeros(cand.k)
     e, s = sse_of(theta[None, :])
     e, sse = e[0], s[0]
-    it, lam, h = 0, 1e-3, 1e-6
+    it, lam = 0, 1e-3
     while cand.k and it < max_iter and np.isfinite(sse):
         it += 1
-        probes = theta[None, :] + h * np.eye(cand.k)
-        ep, _ = sse_of(probes)
-        jac = (ep - e[None, :]) / h                  # (k, n_obs)
+        _e, jac = system.jacobian(theta)
+        jac = jac[:, cut:]                           # (k, n_obs)
         grad, hess = jac @ e, jac @ jac.T
         improved = False
         while lam < 1e12:
