@@ -72,7 +72,12 @@ def empty_economic_payloads(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------- weather (SRC-2, SRC-3)
 
 def _hourly_rows(raw: DataFrame) -> DataFrame:
-    zipped = F.arrays_zip(*[F.col(f"hourly.{f}").alias(f) for f in HOURLY_FIELDS])
+    """Zip the parallel arrays; an absent array counts as empty (its values pad as NULL),
+    since arrays_zip of a NULL array would drop the whole payload."""
+    def arr(f):
+        typ = "array<string>" if f == "time" else "array<double>"
+        return F.coalesce(F.col(f"hourly.{f}"), F.array().cast(typ)).alias(f)
+    zipped = F.arrays_zip(*[arr(f) for f in HOURLY_FIELDS])
     return raw.select("location_id", F.inline(zipped))
 
 
