@@ -251,6 +251,8 @@ def evaluate(series: DataFrame, test_months: int = 12, cache: DataFrame | None =
 def predict(series: DataFrame, months: int = 12, cache: DataFrame | None = None):
     """FC-12: fit on all months (orders from the cache when present), forecast ``months``
     months ahead. Returns (forecast, orders)."""
+    if months < 1:
+        raise ValueError("forecast months must be >= 1")
     packed = pack(series)
     orders = select_orders(packed, cache)
     return forecast(packed, orders, months), orders
@@ -269,3 +271,24 @@ def trajectory(series: DataFrame, test_months: int = 12, future_months: int = 12
     pred = fc.select("series_key", F.when(F.col("step") <= test_months, "predicted").otherwise("future").alias("role"),
                      "month", F.col("mean").alias("value"), "lower", "upper")
     return hist.unionByName(pred)
+
+
+def date_value_map(df: DataFrame, value: str, by: str = "series_key", month: str = "month") -> DataFrame:
+    """FN-20: per series, {ISO date: round(value, 4)} as MAP<STRING, DOUBLE> in month order
+    (a series' months are bounded by the calendar)."""
+    entry = F.struct(F.date_format(month, "yyyy-MM-dd").alias("k"), round_half_up(F.col(value), 4).alias("v"))
+    return df.groupBy(by).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(value))
+
+
+def synthetic_series(spark, n_obs: int = 72, seed: int = 42, start: str = "2018-01-01",
+                     key: str = "retail:total_retail_sales_millions:national") -> DataFrame:
+    """SRC-15: 450 + 0.5 i + 10 sin(2 pi month / 12) + N(0, 3) monthly points, generated on
+    executors (Spark's normal stream differs from numpy's: property tests only)."""
+    i = F.col("id")
+    month_col = F.add_months(F.to_date(F.lit(start)), i.cast("int"))
+    noise = F.randn(seed) * 3.0
+    val = F.lit(450.0) + i * 0.5 + F.sin(F.lit(2 * 3.141592653589793) * F.month(month_col) / 12.0) * 10.0 + noise
+    return spark.range(n_obs).select(F.lit(key).alias("series_key"), F.lit("retail").alias("domain"),
+                                     F.lit("total_retail_sales_millions").alias("metric"),
+                                     F.lit(None).cast("string").alias("location_name"),
+                                     month_col.alias("month"), val.alias("value"))

@@ -166,3 +166,29 @@ def code_labels(spark: SparkSession, mapping: dict, key: str, label: str) -> Dat
 def locate(locs: DataFrame, points: DataFrame) -> DataFrame:
     """SRC-10 batch form: exact (latitude, longitude) lookup; unknown points find nothing."""
     return locs.join(points.select("latitude", "longitude"), ["latitude", "longitude"], "left_semi")
+
+
+# ---------------------------------------------------------------- scans and seeds (SRC-8, SRC-11, SRC-16, SRC-17)
+
+def keyset_page(df: DataFrame, key: str, after, n: int) -> DataFrame:
+    """SRC-8 resumable form: the next ``n`` rows with ``key`` > ``after`` (pushed down as a
+    range filter; a distributed top-n). A plain Parquet scan needs no paging at all."""
+    return df.filter(F.col(key) > F.lit(after)).orderBy(key).limit(n)
+
+
+def seed_locations(spark: SparkSession, rows) -> DataFrame:
+    """SRC-11: a static dimension seed from literal rows, typed like the location CSV."""
+    return spark.createDataFrame(rows, LOCATION_CSV)
+
+
+def peek_latest(df: DataFrame, ts: str = "observed_at", n: int = 5) -> DataFrame:
+    """SRC-16 / SRC-17: newest ``n`` rows (distributed top-n)."""
+    return df.orderBy(F.col(ts).desc()).limit(n)
+
+
+def validate_coordinates(lat: float, lon: float) -> None:
+    """FLT-14: latitude in [-90, 90], longitude in [-180, 180]."""
+    if not -90.0 <= lat <= 90.0:
+        raise ValueError("latitude must be within [-90, 90]")
+    if not -180.0 <= lon <= 180.0:
+        raise ValueError("longitude must be within [-180, 180]")

@@ -107,3 +107,12 @@ def test_disjoint_months_give_no_pairs(spark):
     p = spark.createDataFrame([("k", date(2025, 1, 1), 1.0)], "series_key string, month date, predicted double")
     pairs = a.join(p, ["series_key", "month"], "inner")
     assert FC.error_metrics(pairs).count() == 0
+
+
+def test_synthetic_series_and_date_map(spark):
+    s = FC.synthetic_series(spark, 24)
+    assert s.count() == 24 and s.agg(F.min("month")).first()[0] == date(2018, 1, 1)
+    m = FC.date_value_map(s, "value").first()["value"]
+    assert sorted(m)[:2] == ["2018-01-01", "2018-02-01"] and len(m) == 24
+    with pytest.raises(ValueError):
+        FC.predict(s, 0)

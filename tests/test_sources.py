@@ -66,3 +66,13 @@ def test_csv_readers_and_guard(spark, tmp_dir):
     assert S.load_if_empty(locs.limit(1), locs).count() == 1
     pts = spark.createDataFrame([(33.5, -117.5), (0.0, 0.0)], "latitude double, longitude double")
     assert [r.name for r in S.locate(locs, pts).collect()] == ["Alpha"]
+
+
+def test_paging_seed_and_validation(spark):
+    import pytest
+    df = spark.range(10).withColumnRenamed("id", "k")
+    assert [r.k for r in S.keyset_page(df, "k", 3, 2).collect()] == [4, 5]
+    assert S.seed_locations(spark, [(1, "A", "US", None, 1.0, 2.0)]).count() == 1
+    S.validate_coordinates(45.0, -120.0)
+    with pytest.raises(ValueError):
+        S.validate_coordinates(91.0, 0.0)
