@@ -116,21 +116,19 @@ class _System:
             return np.linalg.solve(mats, rhs[..., None])[..., 0]
 
 
-    def jacobian(self, theta: np.ndarray):
-        """Residuals and their exact derivatives: with e = T^-1 (A w),
-        de/dtheta = T^-1 (dA w - dT e). Two solves with the same matrix."""
-        a, m = self.cand.polys(theta)
-        rhs = a @ self.lagged
+    def jacobian(self, theta: np.ndarray, e: np.ndarray):
+        """Exact derivatives of the residuals ``e`` (already computed at ``theta``): with
+        e = T^-1 (A w), de/dtheta = T^-1 (dA w - dT e) -- one solve for all parameters."""
+        _a, m = self.cand.polys(theta)
         mat = self.eye if self.shifts is None else self.eye + np.tensordot(m[self.lags], self.shifts, axes=1)
         with np.errstate(all="ignore"):
-            e = np.linalg.solve(mat, rhs)
             da, dm = self.cand.poly_derivs(theta)
             drhs = da @ self.lagged                                                   # (k, size)
             if self.lags:
                 shifted = np.stack([np.concatenate([np.zeros(j), e[:-j]]) for j in self.lags])
                 drhs = drhs - dm[:, self.lags] @ shifted
             de = np.linalg.solve(mat, drhs.T).T
-        return e, de
+        return de
 
 
 def _residuals(cand: Candidate, w: np.ndarray, thetas: np.ndarray) -> np.ndarray:
@@ -158,17 +156,17 @@ def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e
     system = _System(cand, w)
 
     def sse_of(thetas):
-        e = system.residuals(thetas)[:, cut:]
-        return e, np.einsum("ij,ij->i", e, e)
+        full = system.residuals(thetas)
+        e = full[:, cut:]
+        return full, e, np.einsum("ij,ij->i", e, e)
 
     theta = np.zeros(cand.k)
-    e, s = sse_of(theta[None, :])
-    e, sse = e[0], s[0]
+    full, e, s = sse_of(theta[None, :])
+    full, e, sse = full[0], e[0], s[0]
     it, lam = 0, 1e-3
     while cand.k and it < max_iter and np.isfinite(sse):
         it += 1
-        _e, jac = system.jacobian(theta)
-        jac = jac[:, cut:]                           # (k, n_obs)
+        jac = system.jacobian(theta, full)[:, cut:]  # (k, n_obs)
         grad, hess = jac @ e, jac @ jac.T
         improved = False
         while lam < 1e12:
@@ -177,11 +175,11 @@ def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e
             except np.linalg.LinAlgError:
                 lam *= 10.0
                 continue
-            e_new, s_new = sse_of((theta + step)[None, :])
+            full_new, e_new, s_new = sse_of((theta + step)[None, :])
             if np.isfinite(s_new[0]) and s_new[0] < sse:
                 done = (sse - s_new[0] <= tol * max(sse, 1e-300)
                         or np.linalg.norm(step) <= 1e-8 * (np.linalg.norm(theta) + 1e-8))
-                theta, e, sse = theta + step, e_new[0], s_new[0]
+                theta, full, e, sse = theta + step, full_new[0], e_new[0], s_new[0]
                 lam = max(lam / 10.0, 1e-12)
                 improved = True
                 break
