@@ -30,6 +30,7 @@ from tempora.functions.constants import (
     SEASONAL_PERIOD, Z_95,
 )
 from tempora.functions.exprs import exact_avg, round_half_up
+from tempora.session import cut_lineage
 
 ORDER_COLS = ["p", "d", "q", "sp", "sd", "sq", "s"]
 
@@ -71,6 +72,38 @@ def series_table(macro_weather: DataFrame, retail_macro: DataFrame, domains=("we
                       F.to_date(F.concat("year_month", F.lit("-01"))).alias("month"), "value")
 
 
+def series_from_models(monthly_weather: DataFrame, econ_pivot: DataFrame, retail_pivot: DataFrame,
+                       locations: DataFrame) -> DataFrame:
+    """The same table as ``series_table`` over the marts, computed from the models the marts
+    are made of. National values are those of months present in the weather facts (the
+    mart's left joins keep exactly those months; its per-city repetition is what DISTINCT
+    undoes), so the pivots are semi-joined to the weather months instead of being fanned
+    out per city and de-duplicated again."""
+    names = locations.select(F.col("id").alias("location_id"), F.col("name").alias("location_name"))
+    weather_metrics = DOMAIN_METRICS["weather"]
+    weather = (monthly_weather.join(names, "location_id", "left")
+               .select("location_name", "year_month", *[F.col(m).cast("double").alias(m) for m in weather_metrics])
+               .unpivot(["location_name", "year_month"], weather_metrics, "metric", "value")
+               .filter(F.col("location_name").isNotNull() & F.col("year_month").isNotNull()
+                       & F.col("value").isNotNull())
+               .withColumn("domain", F.lit("weather")))
+    months = monthly_weather.select("year_month").distinct()
+    retail = retail_pivot.select(F.format_string("%d-%02d", "observed_year", "observed_month").alias("year_month"),
+                                 *DOMAIN_METRICS["retail"])
+    national = months.join(econ_pivot, "year_month", "left").join(retail, "year_month", "left")
+    nat_metrics = DOMAIN_METRICS["economic"] + DOMAIN_METRICS["retail"]
+    domain_of = F.when(F.col("metric").isin(DOMAIN_METRICS["economic"]), "economic").otherwise("retail")
+    nat = (national.select("year_month", *[F.col(m).cast("double").alias(m) for m in nat_metrics])
+           .unpivot(["year_month"], nat_metrics, "metric", "value")
+           .filter(F.col("year_month").isNotNull() & F.col("value").isNotNull())
+           .select(F.lit(None).cast("string").alias("location_name"), "year_month", "metric", "value",
+                   domain_of.alias("domain")))
+    out = weather.unionByName(nat)
+    key = F.concat_ws(":", "domain", "metric", F.coalesce(F.col("location_name"), F.lit("national")))
+    return out.select(key.alias("series_key"), "domain", "metric", "location_name",
+                      F.to_date(F.concat("year_month", F.lit("-01"))).alias("month"), "value")
+
+
 def load_series(series: DataFrame, domain: str, metric: str, location: str | None = None) -> DataFrame:
     """FC-1: one whitelisted series (ValueError on an unknown pair or missing city)."""
     if domain not in DOMAIN_METRICS:
@@ -171,7 +204,7 @@ def select_orders(packed: DataFrame, cache: DataFrame | None = None, grid=None)
         .withColumn("grid_idx", F.lit(-1))
     refit = cached.repartition(max(packed.sparkSession.sparkContext.defaultParallelism, 1), "series_key") \
         .mapInPandas(_fit_batches, FIT_SCHEMA).filter(F.col("aic").isNotNull())
-    hits = refit.select("series_key", *ORDER_COLS, "aic", F.lit(False).alias("fallback"))
+    hits = cut_lineage(refit.select("series_key", *ORDER_COLS, "aic", F.lit(False).alias("fallback")))
     misses = packed.join(hits.select("series_key"), "series_key", "left_anti")
     return hits.unionByName(choose_orders(fit_candidates(misses, grid)))
 
@@ -238,10 +271,14 @@ def error_metrics(pairs: DataFrame, actual: str = "actual", predicted: str = "pr
 
 def evaluate(series: DataFrame, test_months: int = 12, cache: DataFrame | None = None):
     """FC-13: fit on train, forecast the held-out months, align on month (inner join),
-    metrics per series. Returns (metrics, orders, trajectory)."""
+    metrics per series. Returns (metrics, orders, trajectory).
+
+    The packed series and the chosen orders (one row per series each) are checkpointed
+    into the shared checkpoint folder, so the order search runs once however often its
+    result is referenced downstream."""
     split = train_test_split(series, test_months)
-    train = pack(split.filter(F.col("split") == "train"))
-    orders = select_orders(train, cache)
+    train = cut_lineage(pack(split.filter(F.col("split") == "train")))
+    orders = cut_lineage(select_orders(train, cache))
     fc = forecast(train, orders, test_months)
     test = split.filter(F.col("split") == "test").select("series_key", "month", F.col("value").alias("actual"))
     pairs = test.join(fc.withColumnRenamed("mean", "predicted"), ["series_key", "month"], "inner")
@@ -253,8 +290,8 @@ def predict(series: DataFrame, months: int = 12, cache: DataFrame | None = None)
     months ahead. Returns (forecast, orders)."""
     if months < 1:
         raise ValueError("forecast months must be >= 1")
-    packed = pack(series)
-    orders = select_orders(packed, cache)
+    packed = cut_lineage(pack(series))
+    orders = cut_lineage(select_orders(packed, cache))
     return forecast(packed, orders, months), orders
 
 
@@ -262,8 +299,8 @@ def trajectory(series: DataFrame, test_months: int = 12, future_months: int = 12
     """FC-14: long table of train, actual, predicted and future points per series:
     (series_key, role, month, value, lower, upper)."""
     split = train_test_split(series, test_months)
-    train = pack(split.filter(F.col("split") == "train"))
-    orders = select_orders(train)
+    train = cut_lineage(pack(split.filter(F.col("split") == "train")))
+    orders = cut_lineage(select_orders(train))
     fc = forecast(train, orders, test_months + future_months)
     hist = split.select("series_key", F.when(F.col("split") == "train", "train").otherwise("actual").alias("role"),
                         "month", "value", F.lit(None).cast("double").alias("lower"),

@@ -279,7 +279,7 @@ for _k, _sql in DQ_SQL.items():
 register("dq_report", with_ctes(STG_ALL, " UNION ALL ".join(
     f"SELECT '{k}' AS check_name, COUNT(*) AS failures, CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status "
     f"FROM ({s}) t_{i}" for i, (k, s) in enumerate(DQ_SQL.items()))),
-    lambda spark, sf: Q.check_report(Q.all_checks(_staged(spark, sf), AS_OF)))
+    lambda spark, sf: Q.report_one_pass(_staged(spark, sf), AS_OF))
 
 # ------------------------------------------------------------------ merges, incremental, backfill
 

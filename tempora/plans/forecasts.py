@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from tempora.operators import forecast as FC
 from tempora.plans.models import Models
+from tempora.session import cut_lineage
 
 TEST_MONTHS = 12
 FUTURE_MONTHS = 12
 
 
 def series(spark: SparkSession, sf: str) -> DataFrame:
+    """FC-1..FC-3 for every whitelisted series (equal to reading the two marts)."""
     m = Models(spark, sf)
-    return FC.series_table(m.monthly_macro_weather(), m.monthly_retail_macro())
+    return FC.series_from_models(m.monthly_weather(), m.economic_pivot(), m.retail_pivot(), m.stg_locations())
 
 
 def train_test(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,7 +40,7 @@ def naive_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def orders(spark: SparkSession, sf: str) -> DataFrame:
     """FC-6..FC-8: chosen orders per series, fitted on the training months."""
     split = train_test(spark, sf)
-    return FC.select_orders(FC.pack(split.filter(F.col("split") == "train")))
+    return FC.select_orders(cut_lineage(FC.pack(split.filter(F.col("split") == "train"))))
 
 
 def evaluate(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,7 +52,7 @@ def predict(spark: SparkSession, sf: str) -> DataFrame:
     """FC-12 with FC-9: the order cache holds the orders chosen on the training months;
     prediction refits those orders on all months and forecasts 12 months ahead."""
     s = series(spark, sf)
-    cache = FC.updated_cache(None, orders(spark, sf))
+    cache = cut_lineage(FC.updated_cache(None, orders(spark, sf)))   # the persisted order cache
     fc, _ = FC.predict(s, FUTURE_MONTHS, cache)
     return fc
 

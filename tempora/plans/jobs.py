@@ -75,9 +75,8 @@ def run_models(spark: SparkSession, sources: dict, out_dir: str, as_of: str = AS
             df.write.mode("overwrite").parquet(path)
             df = spark.read.parquet(path)
         built[name] = df
-    report = Q.check_report(Q.all_checks({k: built[k] for k in
-                                          ["stg_weather_observations", "stg_economic_observations",
-                                           "stg_retail_observations", "stg_locations"]}, as_of))
+    report = Q.report_one_pass({k: built[k] for k in ["stg_weather_observations", "stg_economic_observations",
+                                                      "stg_retail_observations", "stg_locations"]}, as_of)
     report = report.cache()
     if gate and report.filter(F.col("status") == "FAIL").limit(1).count() > 0:
         raise RuntimeError("data-quality checks failed: " +

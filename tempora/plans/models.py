@@ -119,49 +119,63 @@ def monthly_retail_macro(macro_weather: DataFrame, retail_piv: DataFrame) -> Dat
 # ----------------------------------------------------------------- wiring over one input
 
 class Models:
-    """All models over one input directory, built lazily (nothing is collected)."""
+    """All models over one input directory, built lazily (nothing is collected). Each
+    view or model is built once per instance, so every plan made from one instance
+    refers to the same sub-plans (and Spark can reuse their exchanges)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
         self.spark, self.sf, self.as_of = spark, sf_dir, as_of
+        self._memo: dict = {}
+
+    def _once(self, name, build):
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
+
+    def raw(self, name: str) -> DataFrame:
+        return self._once(f"raw:{name}", lambda: fx.VIEWS[name](self.spark, self.sf))
 
     def stg_weather(self):
-        return staging.stg_weather(fx.weather_observations(self.spark, self.sf), self.as_of)
+        return self._once("stg_weather", lambda: staging.stg_weather(self.raw("weather_observations"), self.as_of))
 
     def stg_economic(self):
-        return staging.stg_economic(fx.economic_observations(self.spark, self.sf))
+        return self._once("stg_economic", lambda: staging.stg_economic(self.raw("economic_observations")))
 
     def stg_retail(self):
-        return staging.stg_retail(fx.retail_observations(self.spark, self.sf))
+        return self._once("stg_retail", lambda: staging.stg_retail(self.raw("retail_observations")))
 
     def stg_locations(self):
-        return staging.stg_locations(fx.locations(self.spark, self.sf))
+        return self._once("stg_locations", lambda: staging.stg_locations(self.raw("locations")))
 
     def economic_pivot(self):
-        return economic_pivot(self.stg_economic())
+        return self._once("economic_pivot", lambda: economic_pivot(self.stg_economic()))
 
     def monthly_weather(self):
-        return monthly_weather(self.stg_weather())
+        return self._once("monthly_weather", lambda: monthly_weather(self.stg_weather()))
 
     def retail_pivot(self):
-        return retail_pivot(self.stg_retail())
+        return self._once("retail_pivot", lambda: retail_pivot(self.stg_retail()))
 
     def weather_daily(self):
-        return weather_daily(self.stg_weather())
+        return self._once("weather_daily", lambda: weather_daily(self.stg_weather()))
 
     def weather_monthly(self):
-        return weather_monthly(self.stg_weather())
+        return self._once("weather_monthly", lambda: weather_monthly(self.stg_weather()))
 
     def subzero_streaks(self):
-        return subzero_streaks(self.stg_weather(), self.stg_locations())
+        return self._once("subzero_streaks", lambda: subzero_streaks(self.stg_weather(), self.stg_locations()))
 
     def dry_spell(self):
-        return dry_spell(self.stg_weather(), self.stg_locations())
+        return self._once("dry_spell", lambda: dry_spell(self.stg_weather(), self.stg_locations()))
 
     def location_climate_summary(self):
-        return location_climate_summary(self.stg_locations(), self.monthly_weather(), self.subzero_streaks())
+        return self._once("location_climate_summary", lambda: location_climate_summary(
+            self.stg_locations(), self.monthly_weather(), self.subzero_streaks()))
 
     def monthly_macro_weather(self):
-        return monthly_macro_weather(self.monthly_weather(), self.economic_pivot(), self.stg_locations())
+        return self._once("monthly_macro_weather", lambda: monthly_macro_weather(
+            self.monthly_weather(), self.economic_pivot(), self.stg_locations()))
 
     def monthly_retail_macro(self):
-        return monthly_retail_macro(self.monthly_macro_weather(), self.retail_pivot())
+        return self._once("monthly_retail_macro", lambda: monthly_retail_macro(
+            self.monthly_macro_weather(), self.retail_pivot()))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tempora.functions.constants import FRED_SERIES, TARGET_NAICS
 from tempora.functions.exprs import month_start
+from tempora.schemas import INPUT_TABLES
 
 # Fixed adapter mappings (our own choice, stated in FIXTURES.md).
 SEGMENT_TO_SERIES = {
@@ -39,7 +40,11 @@ PRIORITY_TO_NAICS = {
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table with its declared schema (no footer read to infer it)."""
+    reader = spark.read
+    if name in INPUT_TABLES:
+        reader = reader.schema(INPUT_TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case_map(col, mapping: dict) -> F.Column:

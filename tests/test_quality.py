@@ -51,3 +51,10 @@ def test_checks(spark):
     assert {(r.model, r.value) for r in c["dq_unique"].collect()} == {("stg_retail_observations", "a")}
     report = {r.check_name: r.status for r in Q.check_report(c).collect()}
     assert len(report) == 10 and set(report.values()) == {"FAIL"}
+
+
+def test_one_pass_report_equals_per_check_report(spark):
+    m = models(spark)
+    a = {(r.check_name, r.failures, r.status) for r in Q.check_report(Q.all_checks(m, AS_OF)).collect()}
+    b = {(r.check_name, r.failures, r.status) for r in Q.report_one_pass(m, AS_OF).collect()}
+    assert a == b
