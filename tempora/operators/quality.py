@@ -102,11 +102,15 @@ UNIQUE_RULES = [("stg_locations", "id"), ("stg_retail_observations", "observatio
 
 
 def check_not_null(models: dict) -> DataFrame:
-    """DQ-9: one row per (model, column) rule with its count of NULLs; failing rules only."""
+    """DQ-9: one row per (model, column) rule with its count of NULLs; failing rules only.
+    One aggregation per model covers all of that model's rules."""
     parts = []
-    for m, c in NOT_NULL_RULES:
-        parts.append(models[m].agg(F.count_if(F.col(c).isNull()).alias("failures"))
-                     .select(F.lit(m).alias("model"), F.lit(c).alias("column_name"), "failures"))
+    for model in dict.fromkeys(m for m, _ in NOT_NULL_RULES):
+        cols = [c for m, c in NOT_NULL_RULES if m == model]
+        counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.col(c).alias("failures"))
+            for c in cols]))))
     return reduce(DataFrame.unionByName, parts).filter(F.col("failures") > 0)
 
 
