@@ -116,9 +116,26 @@ class _System:
             return np.linalg.solve(mats, rhs[..., None])[..., 0]
 
 
+    def single(self, theta: np.ndarray) -> np.ndarray:
+        """Residuals at one parameter vector by forward substitution over the few non-zero
+        MA lags (e_t = (A w)_t - sum_j m_j e_(t-j))."""
+        a, m = self.cand.polys(theta)
+        rhs = (a @ self.lagged).tolist()
+        if not self.lags:
+            return np.asarray(rhs)
+        pairs = [(j, float(m[j])) for j in self.lags if m[j] != 0.0]
+        e = [0.0] * len(rhs)
+        with np.errstate(all="ignore"):
+            for t, v in enumerate(rhs):
+                for j, c in pairs:
+                    if j <= t:
+                        v -= c * e[t - j]
+                e[t] = v
+        return np.asarray(e)
+
     def jacobian(self, theta: np.ndarray, e: np.ndarray):
         """Exact derivatives of the residuals ``e`` (already computed at ``theta``): with
-        e = T^-1 (A w), de/dtheta = T^-1 (dA w - dT e) -- one solve for all parameters."""
+        e = T^-1 (A w), de/dtheta = T^-1 (dA w - dT e) -- one banded solve for all parameters."""
         _a, m = self.cand.polys(theta)
         mat = self.eye if self.shifts is None else self.eye + np.tensordot(m[self.lags], self.shifts, axes=1)
         with np.errstate(all="ignore"):
@@ -135,6 +152,31 @@ def _residuals(cand: Candidate, w: np.ndarray, thetas: np.ndarray) -> np.ndarray
     return _System(cand, w).residuals(thetas)
 
 
+def _solve_small(a: np.ndarray, b: np.ndarray):
+    """Gaussian elimination with partial pivoting for the k x k damped normal equations
+    (k <= 6 here, where numpy's call overhead dominates). None when singular."""
+    n = len(b)
+    m = [list(map(float, row)) + [float(v)] for row, v in zip(a, b)]
+    for col in range(n):
+        piv = max(range(col, n), key=lambda r: abs(m[r][col]))
+        if not math.isfinite(m[piv][col]) or abs(m[piv][col]) < 1e-300:
+            return None
+        m[col], m[piv] = m[piv], m[col]
+        pr = m[col]
+        for r in range(col + 1, n):
+            f = m[r][col] / pr[col]
+            if f:
+                row = m[r]
+                for c in range(col, n + 1):
+                    row[c] -= f * pr[c]
+    x = [0.0] * n
+    for r in range(n - 1, -1, -1):
+        acc = m[r][n] - sum(m[r][c] * x[c] for c in range(r + 1, n))
+        x[r] = acc / m[r][r]
+    out = np.asarray(x)
+    return out if np.all(np.isfinite(out)) else None
+
+
 def common_start(grid, n: int, min_obs: int = 12) -> int:
     """First original index used by every candidate of ``grid`` (tuples p,d,q,P,D,Q,s);
     0 when the series is too short for a shared sample (each candidate then uses its own)."""
@@ -155,14 +197,13 @@ def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e
     cut = first - cand.r
     system = _System(cand, w)
 
-    def sse_of(thetas):
-        full = system.residuals(thetas)
-        e = full[:, cut:]
-        return full, e, np.einsum("ij,ij->i", e, e)
+    def sse_of(theta):
+        full = system.single(theta)
+        e = full[cut:]
+        return full, e, float(e @ e)
 
     theta = np.zeros(cand.k)
-    full, e, s = sse_of(theta[None, :])
-    full, e, sse = full[0], e[0], s[0]
+    full, e, sse = sse_of(theta)
     it, lam = 0, 1e-3
     while cand.k and it < max_iter and np.isfinite(sse):
         it += 1
@@ -170,16 +211,15 @@ def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e
         grad, hess = jac @ e, jac @ jac.T
         improved = False
         while lam < 1e12:
-            try:
-                step = np.linalg.solve(hess + lam * np.diag(np.diag(hess) + 1e-12), -grad)
-            except np.linalg.LinAlgError:
+            step = _solve_small(hess + lam * np.diag(np.diag(hess) + 1e-12), -grad)
+            if step is None:
                 lam *= 10.0
                 continue
-            full_new, e_new, s_new = sse_of((theta + step)[None, :])
-            if np.isfinite(s_new[0]) and s_new[0] < sse:
-                done = (sse - s_new[0] <= tol * max(sse, 1e-300)
+            full_new, e_new, s_new = sse_of(theta + step)
+            if np.isfinite(s_new) and s_new < sse:
+                done = (sse - s_new <= tol * max(sse, 1e-300)
                         or np.linalg.norm(step) <= 1e-8 * (np.linalg.norm(theta) + 1e-8))
-                theta, full, e, sse = theta + step, full_new[0], e_new[0], s_new[0]
+                theta, full, e, sse = theta + step, full_new, e_new, s_new
                 lam = max(lam / 10.0, 1e-12)
                 improved = True
                 break

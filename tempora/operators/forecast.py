@@ -179,7 +179,11 @@ def fit_candidates(packed: DataFrame, grid=None, tasks: int | None = None) -> Da
     rows are not coalesced into a few tasks)."""
     grid = grid or order_grid()
     spark = packed.sparkSession
-    tasks = tasks or max(spark.sparkContext.defaultParallelism * 2, 1)
+    if tasks is None:
+        # about 16 fits per task (fits differ a lot in cost; small tasks balance the tail),
+        # at most 8 tasks per core; the packed input has one row per series
+        par = max(spark.sparkContext.defaultParallelism, 1)
+        tasks = max(par, min(packed.count() * len(grid) // 16, par * 8))
     rows = _with_grid(packed, grid).repartition(tasks, "series_key", "grid_idx")
     return rows.mapInPandas(_fit_batches, FIT_SCHEMA)
 
