@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tempora.plans import analytics as A
+from tempora.plans import models as MD
 from tempora.plans.models import Models
 from tempora.plans.oracle import (
     YEAR_START, desc_order, exact_avg, exact_sum, model, round_half_up, sdiv, streak_ctes, with_ctes,
@@ -428,3 +429,8 @@ register("forecast_orders", None, FCQ.orders)
 register("forecast_evaluate", None, FCQ.evaluate)
 register("forecast_predict", None, FCQ.predict)
 register("forecast_trajectory", None, FCQ.trajectory)
+
+register("subzero_calendar_days", with_ctes(["stg_weather"], """SELECT location_id,
+  strftime(observation_date, '%Y-%m') AS year_month, COUNT(CASE WHEN t < 0 THEN 1 END) AS subzero_calendar_days
+FROM (SELECT location_id, observation_date, AVG(temperature_c) AS t FROM stg_weather GROUP BY 1, 2) d
+GROUP BY 1, 2"""), lambda spark, sf: MD.subzero_calendar_days(Models(spark, sf).stg_weather()))

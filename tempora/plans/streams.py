@@ -29,5 +29,6 @@ def events_daily_stream(spark: SparkSession, sf: str) -> DataFrame:
 def events_dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:
     """ST-4: re-delivered events (same event_id) dropped within a 1-day watermark."""
     s = S.dedupe_stream(_events_stream(spark, sf), ["event_id"], "ts", "1 day")
+    tz = spark.conf.get("spark.sql.session.timeZone")
     out = S.run_to_parquet(spark, s.select("event_id", "ts", "user_id", "event_type", "value"), "events_dedupe")
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return out.withColumn("ts", S.wall_clock(F.col("ts"), tz))

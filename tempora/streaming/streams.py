@@ -35,9 +35,23 @@ def read_parquet_stream(spark: SparkSession, path: str, schema, max_files: int |
     return r.load(path)
 
 
+def _session_tz(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone")
+
+
 def event_time(stream: DataFrame, ts: str) -> DataFrame:
-    """Cast the event-time column to TIMESTAMP for watermarking."""
-    return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Event time as TIMESTAMP for watermarking: wall-clock (NTZ) values are read as UTC
+    instants, so 1-day windows (aligned to UTC epoch days) are calendar days of the wall
+    clock whatever the session time zone."""
+    if dict(stream.dtypes)[ts] != "timestamp_ntz":
+        return stream
+    tz = _session_tz(stream)
+    return stream.withColumn(ts, F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col(ts)).cast("timestamp"))
+
+
+def wall_clock(col, tz: str) -> F.Column:
+    """Inverse of ``event_time``: a TIMESTAMP instant back to its UTC wall clock (NTZ)."""
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), col.cast("timestamp_ntz"))
 
 
 def future_cutoff(stream: DataFrame, ts: str, days: int = 1, as_of: str | None = None) -> DataFrame:
@@ -59,7 +73,7 @@ def daily_rollup_stream(stream: DataFrame, entity: str, ts: str, value: str, del
          .groupBy(F.window(ts, "1 day").alias("w"), F.col(entity))
          .agg(F.count(F.lit(1)).alias("n"), exact_avg(value).alias(f"avg_{value}"),
               exact_sum(value).alias(f"sum_{value}")))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("day_start"), entity, "n",
+    return g.select(wall_clock(F.col("w.start"), _session_tz(stream)).alias("day_start"), entity, "n",
                     f"avg_{value}", f"sum_{value}")
 
 
