@@ -18,12 +18,20 @@ from tempora.functions.exprs import year_month
 from tempora.operators import merge as M
 
 PART_COL = "obs_month"
+GRAINS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
 
 
-def with_layout(df: DataFrame, ts_col: str = "observed_at", cluster_col: str | None = None) -> DataFrame:
-    """SNK-9: add the month partition column, group rows of one month together and sort
+def partition_value(ts_col: str, grain: str = "month") -> F.Column:
+    """Partition value of a reading: its month (small tables) or day (large hourly tables,
+    so a daily batch rewrites days, not months). The column keeps one name either way."""
+    return year_month(ts_col) if grain == "month" else F.date_format(F.col(ts_col), GRAINS[grain])
+
+
+def with_layout(df: DataFrame, ts_col: str = "observed_at", cluster_col: str | None = None,
+                grain: str = "month") -> DataFrame:
+    """SNK-9: add the partition column, group rows of one partition together and sort
     each file by the cluster key then time."""
-    out = df.withColumn(PART_COL, year_month(ts_col)).repartition(PART_COL)
+    out = df.withColumn(PART_COL, partition_value(ts_col, grain)).repartition(PART_COL)
     keys = ([cluster_col] if cluster_col else []) + [ts_col]
     return out.sortWithinPartitions(*keys)
 
@@ -47,25 +55,26 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None)
 
 
 def write_table(df: DataFrame, path: str, ts_col: str = "observed_at", cluster_col: str | None = None,
-                mode: str = "overwrite"):
-    """Write an observation table in the month-partitioned, clustered layout."""
-    with_layout(df, ts_col, cluster_col).write.mode(mode).partitionBy(PART_COL).parquet(path)
+                mode: str = "overwrite", grain: str = "month"):
+    """Write an observation table in the time-partitioned, clustered layout."""
+    with_layout(df, ts_col, cluster_col, grain).write.mode(mode).partitionBy(PART_COL).parquet(path)
 
 
-def touched_months(batch: DataFrame, ts_col: str = "observed_at") -> list[str]:
-    """Distinct months a batch touches (bounded by the calendar; collected as a short list)."""
-    return [r[0] for r in batch.select(year_month(ts_col).alias("m")).distinct().collect()]
+def touched_months(batch: DataFrame, ts_col: str = "observed_at", grain: str = "month") -> list[str]:
+    """Distinct partitions (months or days) a batch touches -- bounded by the calendar, so
+    collected as a short list and used as a static partition filter."""
+    return [r[0] for r in batch.select(partition_value(ts_col, grain).alias("m")).distinct().collect()]
 
 
 def rewrite_partitions(spark: SparkSession, path: str, batch: DataFrame, keys, mode: str = "upsert",
                        update_cols=(), ts_col: str = "observed_at", cluster_col: str | None = None,
-                       order_cols=("created_at",)) -> list[str]:
-    """Merge ``batch`` into the month-partitioned table at ``path`` rewriting only the
-    months the batch touches. The merged months are first written to a staging folder
+                       order_cols=("created_at",), grain: str = "month") -> list[str]:
+    """Merge ``batch`` into the time-partitioned table at ``path`` rewriting only the
+    partitions (months, or days with ``grain='day'``) the batch touches. The merged months are first written to a staging folder
     inside the table (ignored by readers: it starts with '_'), then copied over the table
     with dynamic partition overwrite, so the table is never read and overwritten by the
     same job. A failed copy can be re-run from the staging folder."""
-    months = touched_months(batch, ts_col)
+    months = touched_months(batch, ts_col, grain)
     if not months:
         return []
     target = spark.read.parquet(path).filter(F.col(PART_COL).isin(months)).drop(PART_COL)
@@ -78,7 +87,7 @@ def rewrite_partitions(spark: SparkSession, path: str, batch: DataFrame, keys, m
     else:
         raise ValueError(mode)
     stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    write_table(merged, stage, ts_col, cluster_col)
+    write_table(merged, stage, ts_col, cluster_col, grain=grain)
     (spark.read.parquet(stage).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(PART_COL).parquet(path))
     return months

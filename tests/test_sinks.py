@@ -63,3 +63,13 @@ def test_land_raw_partitions(spark, tmp_dir):
     W.land_raw(p, f"{tmp_dir}/raw")
     back = spark.read.json(f"{tmp_dir}/raw")
     assert back.filter(F.col("identifier") == "GDP").count() == 1
+
+
+def test_day_grain_rewrites_only_touched_days(spark, tmp_dir):
+    path = f"{tmp_dir}/daily"
+    rows = [(1, 1, datetime(2024, 1, 5), 1.0, None), (2, 1, datetime(2024, 1, 6), 2.0, None)]
+    W.write_table(spark.createDataFrame(rows, SCHEMA), path, grain="day")
+    batch = spark.createDataFrame([(3, 1, datetime(2024, 1, 6), 9.0, datetime(2024, 2, 1))], SCHEMA)
+    assert W.rewrite_partitions(spark, path, batch, ["location_id", "observed_at"], "upsert", ["temperature_c"],
+                                grain="day") == ["2024-01-06"]
+    assert sorted(r.temperature_c for r in spark.read.parquet(path).collect()) == [1.0, 9.0]
