@@ -16,7 +16,7 @@ def test_rewrite_only_touched_months(spark, tmp_dir):
     W.write_table(spark.createDataFrame(rows, SCHEMA), path, cluster_col="location_id")
     import glob
     import os
-    jan_files = sorted(glob.glob(f"{path}/obs_month=2024-01/*.parquet"))
+    jan_files = sorted(glob.glob(f"{path}/obs_period=2024-01/*.parquet"))
     jan_mtime = [os.path.getmtime(f) for f in jan_files]
     batch = spark.createDataFrame([(9, 1, datetime(2024, 2, 5), 20.0, datetime(2024, 3, 1)),
                                    (10, 1, datetime(2024, 2, 6), 3.0, datetime(2024, 3, 1))], SCHEMA)
@@ -24,7 +24,7 @@ def test_rewrite_only_touched_months(spark, tmp_dir):
     assert months == ["2024-02"]
     out = {r.observed_at: (r.temperature_c, r.id) for r in spark.read.parquet(path).collect()}
     assert out == {datetime(2024, 1, 5): (1.0, 1), datetime(2024, 2, 5): (20.0, 2), datetime(2024, 2, 6): (3.0, 10)}
-    assert [os.path.getmtime(f) for f in sorted(glob.glob(f"{path}/obs_month=2024-01/*.parquet"))] == jan_mtime
+    assert [os.path.getmtime(f) for f in sorted(glob.glob(f"{path}/obs_period=2024-01/*.parquet"))] == jan_mtime
 
 
 def test_stage_is_cleared_after_merge(spark, tmp_dir):
