@@ -104,3 +104,34 @@ def test_empty_inputs(spark):
     assert longest_streak(obs, locs, "temperature_c", "<", 0).count() == 0
     assert longest_streak(obs, locs, "temperature_c", "<", 0, keep_all=True).first().longest_streak == 0
     assert obs.agg(F.avg("temperature_c")).first()[0] is None
+
+
+def test_future_cutoff_boundary_and_null_rain(spark):
+    from tempora.operators.staging import stg_weather
+    rows = [(1, 1, ts(2024, 1, 2, 0, 0, 0), 1.0, None, ts(2024, 1, 2)),
+            (2, 1, ts(2024, 1, 2, 0, 0, 1), 2.0, 3.0, ts(2024, 1, 2))]
+    obs = spark.createDataFrame(rows, "id long, location_id long, observed_at timestamp_ntz, temperature_c double, "
+                                      "precipitation double, created_at timestamp_ntz")
+    out = stg_weather(obs, "2024-01-01 00:00:00").collect()
+    assert [(r.observed_at, r.precipitation_mm) for r in out] == [(ts(2024, 1, 2), 0.0)]
+
+
+def test_all_null_rain_year_total_vs_top(spark):
+    from tempora.operators.aggregates import period_agg, top_periods
+    rows = [(1, ts(2000, 1, 1), 1.0, None), (1, ts(2000, 6, 1), 1.0, None), (1, ts(2001, 1, 1), 1.0, 4.0),
+            (1, ts(2002, 1, 1), 1.0, 4.0)]
+    obs = spark.createDataFrame(rows, OBS)
+    locs = spark.createDataFrame([(1, "A")], LOCS)
+    totals = {r.year: r.total_rain for r in period_agg(obs, locs, "year", "precipitation", "sum", fill=0,
+                                                       out="total_rain").collect()}
+    assert totals == {2000: 0.0, 2001: 4.0, 2002: 4.0}
+    top = [(r.year, r.total_precip) for r in top_periods(obs, "year", "precipitation", "sum", n=2,
+                                                         out="total_precip").collect()]
+    assert top == [(2000, None), (2001, 4.0)]              # NULL first, then the tie broken by year
+
+
+def test_null_measure_is_ignored_by_means(spark):
+    from tempora.operators.aggregates import period_agg
+    rows = [(1, ts(2000, 1, 1), None, 0.0), (1, ts(2000, 1, 2), 4.0, 0.0)]
+    obs = spark.createDataFrame(rows, OBS)
+    assert period_agg(obs, None, "year", "temperature_c", "avg", out="t").first().t == 4.0
