@@ -11,12 +11,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tempora.functions.constants import DOMAIN_METRICS, NON_NEGATIVE_SERIES
+from tempora.operators import quality as Q
+from tempora.plans import AS_OF
 from tempora.plans import analytics as A
+from tempora.plans import forecasts as FCQ
+from tempora.plans import loads as L
 from tempora.plans import models as MD
+from tempora.plans import streams as ST
+from tempora.plans import tools as T
 from tempora.plans.models import Models
 from tempora.plans.oracle import (
-    YEAR_START, desc_order, exact_avg, exact_sum, model, round_half_up, sdiv, streak_ctes, with_ctes,
+    AS_OF_TS, YEAR_START, desc_order, exact_avg, exact_sum, model, round_half_up, sdiv, streak_ctes, with_ctes,
 )
+from tempora.sources import fixtures as fx
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -154,10 +162,6 @@ LEFT JOIN all_time w ON l.id = w.location_id""",
 
 # ------------------------------------------------------------------ Q-27 .. Q-35 table functions
 
-from tempora.plans import AS_OF  # noqa: E402
-from tempora.plans import tools as T  # noqa: E402
-from tempora.plans.oracle import AS_OF_TS  # noqa: E402
-from tempora.sources import fixtures as fx  # noqa: E402
 
 MART = ["monthly_macro_weather"]
 _MART_COLS = ", ".join(T.MART_COLS)
@@ -230,9 +234,6 @@ register("duplicate_keys_staged", with_ctes(["stg_weather"], """SELECT location_
 
 # ------------------------------------------------------------------ DQ-1 .. DQ-11
 
-from tempora.functions.constants import NON_NEGATIVE_SERIES  # noqa: E402
-from tempora.operators import quality as Q  # noqa: E402
-
 
 def _staged(spark, sf):
     m = Models(spark, sf)
@@ -284,7 +285,6 @@ register("dq_report", with_ctes(STG_ALL, " UNION ALL ".join(
 
 # ------------------------------------------------------------------ merges, incremental, backfill
 
-from tempora.plans import loads as L  # noqa: E402
 
 _T_BEFORE = f"TIMESTAMP '{L.TARGET_BEFORE}'"
 _B_FROM = f"TIMESTAMP '{L.BATCH_FROM}'"
@@ -364,7 +364,6 @@ register("new_locations", with_ctes(["locations"], """SELECT CAST((SELECT COALES
 
 # ------------------------------------------------------------------ streams (events)
 
-from tempora.plans import streams as ST  # noqa: E402
 
 register("events_daily_stream", f"""
 WITH e AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day_start, event_type, value FROM events),
@@ -378,9 +377,6 @@ register("events_dedupe_stream", """SELECT event_id, ts, user_id, event_type, va
 
 # ------------------------------------------------------------------ forecasting
 
-from tempora.functions.constants import DOMAIN_METRICS  # noqa: E402
-from tempora.plans import forecasts as FCQ  # noqa: E402
-
 
 def _unpivot(src: str, cols: str, metrics) -> str:
     return " UNION ALL ".join(f"SELECT {cols}, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {src}"
