@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import TimestampNTZType
 
 from tempora.operators.dedupe import _orderable
@@ -75,12 +76,18 @@ def merge_insert_only(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
 def get_or_create(dim: DataFrame, candidates: DataFrame, natural_key, id_col: str = "id") -> DataFrame:
     """SNK-3: members of ``candidates`` missing from ``dim`` (by natural key) get new
     surrogate ids max(id)+1, +2, .. in natural-key order; returns the new members.
-    The numbering window spans only the *new* members of one batch."""
+
+    Consecutive ids without a single-partition window: a distributed sort on the natural
+    key, then ``zipWithIndex`` (one job counts rows per sorted partition, the next numbers
+    each partition from its offset)."""
     natural_key = list(natural_key)
     new = candidates.dropDuplicates(natural_key).join(dim.select(*natural_key), natural_key, "left_anti")
     top = dim.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).first()["top"]  # one scalar
-    w = Window.orderBy(*natural_key)
-    return new.withColumn(id_col, (F.lit(top) + F.row_number().over(w)).cast("long")).select(*candidates.columns)
+    others = [c for c in candidates.columns if c != id_col]
+    ordered = new.select(*others).orderBy(*natural_key)
+    numbered = ordered.rdd.zipWithIndex().map(lambda ri: (int(top) + ri[1] + 1,) + tuple(ri[0]))
+    schema = T.StructType([T.StructField(id_col, T.LongType(), False)] + [ordered.schema[c] for c in others])
+    return new.sparkSession.createDataFrame(numbered, schema).select(*candidates.columns)
 
 
 def add_missing_columns(df: DataFrame, columns: dict) -> DataFrame:
