@@ -49,8 +49,8 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None, ma
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None):
-    """SNK-7: truncate and load."""
-    w = df.write.mode("overwrite").format(fmt)
+    """SNK-7: truncate and load (static overwrite: partitions absent from ``df`` go too)."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.save(path)

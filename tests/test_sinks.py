@@ -73,3 +73,13 @@ def test_day_grain_rewrites_only_touched_days(spark, tmp_dir):
     assert W.rewrite_partitions(spark, path, batch, ["location_id", "observed_at"], "upsert", ["temperature_c"],
                                 grain="day") == ["2024-01-06"]
     assert sorted(r.temperature_c for r in spark.read.parquet(path).collect()) == [1.0, 9.0]
+
+
+def test_truncate_load_removes_old_partitions(spark, tmp_dir):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")   # even if a session says so
+    try:
+        W.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "k long, p string"), f"{tmp_dir}/t", partition_by="p")
+        W.overwrite(spark.createDataFrame([(3, "b")], "k long, p string"), f"{tmp_dir}/t", partition_by="p")
+        assert [r.k for r in spark.read.parquet(f"{tmp_dir}/t").collect()] == [3]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
