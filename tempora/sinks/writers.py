@@ -75,7 +75,8 @@ def rewrite_partitions(spark: SparkSession, path: str, batch: DataFrame, keys, m
     partitions (months, or days with ``grain='day'``) the batch touches. The merged
     partitions are first written to a staging folder inside the table (ignored by readers: it starts with '_'), then copied over the table
     with dynamic partition overwrite, so the table is never read and overwritten by the
-    same job. A failed copy can be re-run from the staging folder."""
+    same job. A failed copy can be re-run from the staging folder; after a successful copy
+    the stage is emptied."""
     months = touched_months(batch, ts_col, grain)
     if not months:
         return []
@@ -90,8 +91,10 @@ def rewrite_partitions(spark: SparkSession, path: str, batch: DataFrame, keys, m
         raise ValueError(mode)
     stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
     write_table(merged, stage, ts_col, cluster_col, grain=grain)
-    (spark.read.parquet(stage).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(PART_COL).parquet(path))
+    staged = spark.read.parquet(stage)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART_COL).parquet(path)
+    # copied: empty the stage (kept on failure above, so the copy can be re-run from it)
+    spark.createDataFrame([], staged.schema).write.mode("overwrite").parquet(stage)
     return months
 
 
