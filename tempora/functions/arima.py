@@ -1,16 +1,20 @@
-"""Per-series seasonal ARIMA kernel (numpy only), called inside Spark tasks.
+"""Seasonal ARIMA kernel (numpy only), called inside Spark tasks.
 
 Model: phi(B) PHI(B^s) (1-B)^d (1-B^s)^D y_t = theta(B) THETA(B^s) e_t, no constant.
 Fit: conditional sum of squares (residuals before the AR order are taken as 0),
 Levenberg-Marquardt with the exact Jacobian of the residual recursion, at most ``max_iter`` steps; no
-stationarity or invertibility constraint. The MA recursion is solved as one banded
-lower-triangular system per parameter vector (batched ``numpy.linalg.solve``).
+stationarity or invertibility constraint.
 AIC = n * ln(SSE / n) + 2 (k + 1) on a sample common to every candidate of a grid, so
 candidates with different differencing compare on the same observations.
 Forecast: recursion on the original scale with future shocks 0; variance from the
 psi-weights of the full (differenced) model.
 
-Small by design: Spark fans the fits out (series x candidates), ranks them and joins.
+``fit_many`` fits one candidate order to a batch of series of equal length at once: every
+array carries the series as its first axis, and each series keeps its own damping factor,
+step acceptance and stopping point, so the result per series is the one a single-series
+fit gives. The residual recursion is one loop over time for the whole batch (blocks of the
+smallest MA lag), so its cost is shared by all series of the batch. Spark groups the rows
+(candidate, series) so that a task's batch holds many series of one candidate.
 """
 
 from __future__ import annotations
@@ -20,14 +24,6 @@ import math
 import numpy as np
 
 
-def _lag_poly(coefs, s: int, sign: float) -> np.ndarray:
-    out = np.zeros(len(coefs) * s + 1)
-    out[0] = 1.0
-    for i, c in enumerate(coefs, start=1):
-        out[i * s] = sign * c
-    return out
-
-
 def _diff_poly(d: int, D: int, s: int) -> np.ndarray:
     poly = np.array([1.0])
     for _ in range(d):
@@ -39,6 +35,15 @@ def _diff_poly(d: int, D: int, s: int) -> np.ndarray:
     return poly
 
 
+def _lag_poly(coefs: np.ndarray, s: int, sign: float) -> np.ndarray:
+    """(B, c) coefficients -> (B, c*s+1) polynomial 1 + sign * sum_i c_i B^(i s)."""
+    out = np.zeros((coefs.shape[0], coefs.shape[1] * s + 1))
+    out[:, 0] = 1.0
+    if coefs.shape[1]:
+        out[:, s::s] = sign * coefs
+    return out
+
+
 class Candidate:
     def __init__(self, p, d, q, P, D, Q, s):
         self.p, self.d, self.q, self.P, self.D, self.Q, self.s = p, d, q, P, D, Q, max(int(s), 1)
@@ -46,135 +51,130 @@ class Candidate:
         self.r = p + P * self.s                      # AR lags conditioned on
         self.lead = d + D * self.s                   # observations lost to differencing
         self.m_len = q + Q * self.s + 1
+        lags = set(range(1, q + 1)) | {j * self.s + i for j in range(1, Q + 1) for i in range(q + 1)}
+        self.ma_lags = sorted(lags)                  # non-zero MA lags
 
     def split(self, theta):
         p, q, P = self.p, self.q, self.P
         return theta[..., :p], theta[..., p:p + P], theta[..., p + P:p + P + q], theta[..., p + P + q:]
 
-    def _product(self, lo, hi, n, sign):
-        """Coefficients of (1 + sign*sum lo_i B^i)(1 + sign*sum hi_j B^(j s)) for a batch."""
-        out = np.zeros((lo.shape[0], n))
-        out[:, 0] = 1.0
-        for i in range(lo.shape[1]):
-            out[:, i + 1] += sign * lo[:, i]
-        for j in range(hi.shape[1]):
-            out[:, (j + 1) * self.s] += sign * hi[:, j]
-            for i in range(lo.shape[1]):
-                out[:, i + 1 + (j + 1) * self.s] += lo[:, i] * hi[:, j]
-        return out
-
-    def polys_batch(self, thetas):
+    def polys_batch(self, thetas: np.ndarray):
+        """(B, k) -> AR polynomial (B, r+1) and MA polynomial (B, m_len)."""
         ar, sar, ma, sma = self.split(thetas)
-        return self._product(ar, sar, self.r + 1, -1.0), self._product(ma, sma, self.m_len, 1.0)
+        a = _mul_polys(_lag_poly(ar, 1, -1.0), _lag_poly(sar, self.s, -1.0))
+        m = _mul_polys(_lag_poly(ma, 1, 1.0), _lag_poly(sma, self.s, 1.0))
+        return a, m
 
     def polys(self, theta):
         a, m = self.polys_batch(np.asarray(theta, dtype=float)[None, :])
         return a[0], m[0]
 
-    def poly_derivs(self, theta):
-        """d(AR poly)/d(theta) (k, r+1) and d(MA poly)/d(theta) (k, m_len)."""
-        ar, sar, ma, sma = self.split(np.asarray(theta, dtype=float))
+    def poly_derivs_batch(self, thetas: np.ndarray):
+        """d(AR poly)/d(theta) (B, k, r+1) and d(MA poly)/d(theta) (B, k, m_len)."""
+        ar, sar, ma, sma = self.split(thetas)
         ar_p, sar_p = _lag_poly(ar, 1, -1.0), _lag_poly(sar, self.s, -1.0)
         ma_p, sma_p = _lag_poly(ma, 1, 1.0), _lag_poly(sma, self.s, 1.0)
-        da, dm = np.zeros((self.k, self.r + 1)), np.zeros((self.k, self.m_len))
+        b = thetas.shape[0]
+        da, dm = np.zeros((b, self.k, self.r + 1)), np.zeros((b, self.k, self.m_len))
         row = 0
         for i in range(1, self.p + 1):                       # phi_i: -B^i * seasonal AR
-            da[row, i:i + len(sar_p)] -= sar_p
+            da[:, row, i:i + sar_p.shape[1]] -= sar_p
             row += 1
         for j in range(1, self.P + 1):                       # PHI_j: -B^(js) * AR
-            da[row, j * self.s:j * self.s + len(ar_p)] -= ar_p
+            da[:, row, j * self.s:j * self.s + ar_p.shape[1]] -= ar_p
             row += 1
         for i in range(1, self.q + 1):                       # theta_i: B^i * seasonal MA
-            dm[row, i:i + len(sma_p)] += sma_p
+            dm[:, row, i:i + sma_p.shape[1]] += sma_p
             row += 1
         for j in range(1, self.Q + 1):                       # THETA_j: B^(js) * MA
-            dm[row, j * self.s:j * self.s + len(ma_p)] += ma_p
+            dm[:, row, j * self.s:j * self.s + ma_p.shape[1]] += ma_p
             row += 1
         return da, dm
 
 
-class _System:
-    """Per-(candidate, series) constants of the residual recursion."""
+def _mul_polys(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Row-wise product of polynomials (B, a) x (B, b) -> (B, a+b-1); y is sparse."""
+    out = np.zeros((x.shape[0], x.shape[1] + y.shape[1] - 1))
+    for j in np.flatnonzero(np.any(y != 0.0, axis=0)):
+        out[:, j:j + x.shape[1]] += x * y[:, j:j + 1]
+    return out
+
+
+def _ma_filter(x: np.ndarray, coefs: np.ndarray, lags: list[int]) -> np.ndarray:
+    """Solve e_t = x_t - sum_l coefs_l e_(t - lag_l) along the last axis (e = 0 before the
+    sample) for a batch. x: (B, ..., size); coefs: (B, L). Time is moved to the first axis so
+    each step reads contiguous rows; with no lag-1 term the steps go in blocks of the
+    smallest lag, inside which no value depends on another."""
+    if not lags:
+        return x
+    size, pad = x.shape[-1], lags[-1]
+    xt = np.moveaxis(x, -1, 0)                                       # (size, B, ...)
+    out = np.zeros((pad + size,) + xt.shape[1:])
+    lag_arr = np.asarray(lags)
+    c = coefs.T.reshape((len(lags), coefs.shape[0]) + (1,) * (x.ndim - 2))   # (L, B, ...)
+    step = lags[0]
+    with np.errstate(all="ignore"):
+        if step == 1:
+            for t in range(size):
+                out[pad + t] = xt[t] - (c * out[pad + t - lag_arr]).sum(0)
+        else:
+            for t0 in range(0, size, step):
+                t1 = min(t0 + step, size)
+                acc = xt[t0:t1].copy()
+                for li, lag in enumerate(lags):
+                    acc -= c[li] * out[pad + t0 - lag:pad + t1 - lag]
+                out[pad + t0:pad + t1] = acc
+    return np.moveaxis(out[pad:], 0, -1)
+
+
+class _Batch:
+    """Per-(candidate, batch of equal-length series) constants of the residual recursion."""
 
     def __init__(self, cand: Candidate, w: np.ndarray):
-        n, r = len(w), cand.r
+        n, r = w.shape[1], cand.r
         self.cand, self.size = cand, n - r
-        self.lagged = np.stack([w[r - i:n - i] for i in range(r + 1)], axis=0)      # (r+1, size)
-        lags = set(range(1, cand.q + 1)) | {j * cand.s + i for j in range(1, cand.Q + 1) for i in range(cand.q + 1)}
-        self.lags = sorted(j for j in lags if j < self.size)
-        self.shifts = np.stack([np.eye(self.size, k=-j) for j in self.lags]) if self.lags else None
-        self.eye = np.eye(self.size)
-
-    def residuals(self, thetas: np.ndarray) -> np.ndarray:
-        """CSS residuals e_t, t = r..n-1, for a batch of parameter vectors -> (B, n - r)."""
+        self.lagged = np.stack([w[:, r - i:n - i] for i in range(r + 1)], axis=1)   # (B, r+1, size)
+        self.lags = [j for j in cand.ma_lags if j < self.size]
+
+    def residuals(self, thetas: np.ndarray, rows=None) -> np.ndarray:
+        """CSS residuals e_t, t = r..n-1 -> (B, size) for the series ``rows`` (all if None)."""
         a, m = self.cand.polys_batch(thetas)
-        rhs = a @ self.lagged                                                        # (B, size)
-        if self.shifts is None:
-            return rhs
-        mats = self.eye + np.einsum("bl,lij->bij", m[:, self.lags], self.shifts)
-        with np.errstate(all="ignore"):
-            return np.linalg.solve(mats, rhs[..., None])[..., 0]
-
-
-    def single(self, theta: np.ndarray) -> np.ndarray:
-        """Residuals at one parameter vector by forward substitution over the few non-zero
-        MA lags (e_t = (A w)_t - sum_j m_j e_(t-j))."""
-        a, m = self.cand.polys(theta)
-        rhs = (a @ self.lagged).tolist()
-        if not self.lags:
-            return np.asarray(rhs)
-        pairs = [(j, float(m[j])) for j in self.lags if m[j] != 0.0]
-        e = [0.0] * len(rhs)
+        lagged = self.lagged if rows is None else self.lagged[rows]
         with np.errstate(all="ignore"):
-            for t, v in enumerate(rhs):
-                for j, c in pairs:
-                    if j <= t:
-                        v -= c * e[t - j]
-                e[t] = v
-        return np.asarray(e)
-
-    def jacobian(self, theta: np.ndarray, e: np.ndarray):
-        """Exact derivatives of the residuals ``e`` (already computed at ``theta``): with
-        e = T^-1 (A w), de/dtheta = T^-1 (dA w - dT e) -- one banded solve for all parameters."""
-        _a, m = self.cand.polys(theta)
-        mat = self.eye if self.shifts is None else self.eye + np.tensordot(m[self.lags], self.shifts, axes=1)
+            rhs = np.einsum("bi,bit->bt", a, lagged)
+        return _ma_filter(rhs, m[:, self.lags], self.lags)
+
+    def jacobian(self, thetas: np.ndarray, e: np.ndarray, rows) -> np.ndarray:
+        """Exact derivatives of the residuals ``e`` (computed at ``thetas``): with
+        T e = A w, de/dtheta = T^-1 (dA w - dT e), solved by the same recursion -> (B, k, size)."""
+        _a, m = self.cand.polys_batch(thetas)
+        da, dm = self.cand.poly_derivs_batch(thetas)
         with np.errstate(all="ignore"):
-            da, dm = self.cand.poly_derivs(theta)
-            drhs = da @ self.lagged                                                   # (k, size)
+            drhs = np.einsum("bki,bit->bkt", da, self.lagged[rows])
             if self.lags:
-                shifted = np.stack([np.concatenate([np.zeros(j), e[:-j]]) for j in self.lags])
-                drhs = drhs - dm[:, self.lags] @ shifted
-            de = np.linalg.solve(mat, drhs.T).T
-        return de
-
-
-def _residuals(cand: Candidate, w: np.ndarray, thetas: np.ndarray) -> np.ndarray:
-    return _System(cand, w).residuals(thetas)
-
-
-def _solve_small(a: np.ndarray, b: np.ndarray):
-    """Gaussian elimination with partial pivoting for the k x k damped normal equations
-    (k <= 6 here, where numpy's call overhead dominates). None when singular."""
-    n = len(b)
-    m = [list(map(float, row)) + [float(v)] for row, v in zip(a, b)]
-    for col in range(n):
-        piv = max(range(col, n), key=lambda r: abs(m[r][col]))
-        if not math.isfinite(m[piv][col]) or abs(m[piv][col]) < 1e-300:
-            return None
-        m[col], m[piv] = m[piv], m[col]
-        pr = m[col]
-        for r in range(col + 1, n):
-            f = m[r][col] / pr[col]
-            if f:
-                row = m[r]
-                for c in range(col, n + 1):
-                    row[c] -= f * pr[c]
-    x = [0.0] * n
-    for r in range(n - 1, -1, -1):
-        acc = m[r][n] - sum(m[r][c] * x[c] for c in range(r + 1, n))
-        x[r] = acc / m[r][r]
-    out = np.asarray(x)
-    return out if np.all(np.isfinite(out)) else None
+                size = self.size
+                shifted = np.zeros((e.shape[0], len(self.lags), size))
+                for li, lag in enumerate(self.lags):
+                    shifted[:, li, lag:] = e[:, :size - lag]
+                drhs = drhs - np.einsum("bkl,blt->bkt", dm[:, :, self.lags], shifted)
+        return _ma_filter(drhs, m[:, self.lags], self.lags)
+
+
+def _solve_damped(hess: np.ndarray, grad: np.ndarray, lam: np.ndarray):
+    """Steps of the damped normal equations for a batch; ok=False where singular or not finite."""
+    diag = np.diagonal(hess, axis1=1, axis2=2)
+    mats = hess + (lam[:, None] * (diag + 1e-12))[:, :, None] * np.eye(hess.shape[1])[None]
+    with np.errstate(all="ignore"):
+        try:
+            steps = np.linalg.solve(mats, -grad[:, :, None])[:, :, 0]
+        except np.linalg.LinAlgError:              # one singular matrix fails the stack: go one by one
+            steps = np.full(grad.shape, np.nan)
+            for i in range(len(mats)):
+                try:
+                    steps[i] = np.linalg.solve(mats[i], -grad[i])
+                except np.linalg.LinAlgError:
+                    pass
+    return steps, np.all(np.isfinite(steps), axis=1)
 
 
 def common_start(grid, n: int, min_obs: int = 12) -> int:
@@ -184,54 +184,85 @@ def common_start(grid, n: int, min_obs: int = 12) -> int:
     return start if n - start >= min_obs else 0
 
 
-def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e-6):
-    """Fit one candidate. Returns dict(params, sse, n, sigma2, aic, iterations) or None on
-    failure (too short, non-finite)."""
+def fit_many(ys, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e-6) -> list:
+    """Fit one candidate to each row of ``ys`` (B, n), all of length n. Returns per series
+    dict(params, sse, n, sigma2, aic, iterations) or None on failure (too short, non-finite)."""
     cand = Candidate(*order, *seasonal)
-    y = np.asarray(y, dtype=float)
-    w = np.convolve(y, _diff_poly(cand.d, cand.D, cand.s))[len(_diff_poly(cand.d, cand.D, cand.s)) - 1:len(y)]
+    ys = np.atleast_2d(np.asarray(ys, dtype=float))
+    nb, n = ys.shape
+    dp = _diff_poly(cand.d, cand.D, cand.s)
+    width = len(dp)
+    if n < width:
+        return [None] * nb
+    w = sum(dp[i] * ys[:, width - 1 - i:n - i] for i in range(width))       # differenced, (B, n-width+1)
     first = max(start - cand.lead, cand.r)           # first residual index (in w) that counts
-    n_obs = len(w) - first
-    if n_obs <= cand.k + 1:
-        return None
+    n_obs = w.shape[1] - first
+    k = cand.k
+    if n_obs <= k + 1:
+        return [None] * nb
     cut = first - cand.r
-    system = _System(cand, w)
-
-    def sse_of(theta):
-        full = system.single(theta)
-        e = full[cut:]
-        return full, e, float(e @ e)
-
-    theta = np.zeros(cand.k)
-    full, e, sse = sse_of(theta)
-    it, lam = 0, 1e-3
-    while cand.k and it < max_iter and np.isfinite(sse):
-        it += 1
-        jac = system.jacobian(theta, full)[:, cut:]  # (k, n_obs)
-        grad, hess = jac @ e, jac @ jac.T
-        improved = False
-        while lam < 1e12:
-            step = _solve_small(hess + lam * np.diag(np.diag(hess) + 1e-12), -grad)
-            if step is None:
-                lam *= 10.0
-                continue
-            full_new, e_new, s_new = sse_of(theta + step)
-            if np.isfinite(s_new) and s_new < sse:
-                done = (sse - s_new <= tol * max(sse, 1e-300)
-                        or np.linalg.norm(step) <= 1e-8 * (np.linalg.norm(theta) + 1e-8))
-                theta, full, e, sse = theta + step, full_new, e_new, s_new
-                lam = max(lam / 10.0, 1e-12)
-                improved = True
-                break
-            lam *= 10.0
-        if not improved or done:
-            break
-    if not np.isfinite(sse) or sse < 0:
-        return None
-    sigma2 = max(sse / n_obs, 1e-300)
-    aic = n_obs * math.log(sigma2) + 2 * (cand.k + 1)
-    return {"params": theta, "sse": float(sse), "n": int(n_obs), "sigma2": float(sigma2), "aic": float(aic),
-            "iterations": it, "cand": cand, "first": first}
+    system = _Batch(cand, w)
+
+    theta = np.zeros((nb, k))
+    full = system.residuals(theta)
+    with np.errstate(all="ignore"):
+        sse = np.einsum("bt,bt->b", full[:, cut:], full[:, cut:])
+    iters = np.zeros(nb, dtype=int)
+    lam = np.full(nb, 1e-3)
+    active = np.isfinite(sse) if k else np.zeros(nb, dtype=bool)
+    while active.any():
+        rows = np.flatnonzero(active)
+        iters[rows] += 1
+        jac = system.jacobian(theta[rows], full[rows], rows)[:, :, cut:]    # (A, k, n_obs)
+        e = full[rows, cut:]
+        with np.errstate(all="ignore"):
+            grad = np.einsum("akt,at->ak", jac, e)
+            hess = np.einsum("akt,ajt->akj", jac, jac)
+        improved = np.zeros(len(rows), dtype=bool)
+        done = np.zeros(len(rows), dtype=bool)
+        pending = lam[rows] < 1e12
+        while pending.any():
+            pi = np.flatnonzero(pending)
+            steps, ok = _solve_damped(hess[pi], grad[pi], lam[rows[pi]])
+            lam[rows[pi[~ok]]] *= 10.0
+            tried = pi[ok]
+            if len(tried):
+                cand_theta = theta[rows[tried]] + steps[ok]
+                new_full = system.residuals(cand_theta, rows[tried])
+                with np.errstate(all="ignore"):
+                    s_new = np.einsum("bt,bt->b", new_full[:, cut:], new_full[:, cut:])
+                    s_old = sse[rows[tried]]
+                    better = np.isfinite(s_new) & (s_new < s_old)
+                    small_gain = s_old - s_new <= tol * np.maximum(s_old, 1e-300)
+                    small_step = (np.linalg.norm(steps[ok], axis=1)
+                                  <= 1e-8 * (np.linalg.norm(theta[rows[tried]], axis=1) + 1e-8))
+                acc = tried[better]
+                g = rows[acc]
+                theta[g], full[g], sse[g] = cand_theta[better], new_full[better], s_new[better]
+                lam[g] = np.maximum(lam[g] / 10.0, 1e-12)
+                improved[acc] = True
+                done[acc] = (small_gain | small_step)[better]
+                pending[acc] = False
+                lam[rows[tried[~better]]] *= 10.0
+            pending &= lam[rows] < 1e12
+        stop = ~improved | done | (iters[rows] >= max_iter) | ~np.isfinite(sse[rows])
+        active[rows[stop]] = False
+
+    out = []
+    for b in range(nb):
+        if not np.isfinite(sse[b]) or sse[b] < 0:
+            out.append(None)
+            continue
+        sigma2 = max(float(sse[b]) / n_obs, 1e-300)
+        aic = n_obs * math.log(sigma2) + 2 * (k + 1)
+        out.append({"params": theta[b].copy(), "sse": float(sse[b]), "n": int(n_obs), "sigma2": float(sigma2),
+                    "aic": float(aic), "iterations": int(iters[b]), "cand": cand, "first": first})
+    return out
+
+
+def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e-6):
+    """Fit one candidate to one series (``fit_many`` with a batch of one)."""
+    return fit_many(np.asarray(y, dtype=float)[None, :], order, seasonal, start, max_iter, tol)[0]
 
 
 def forecast(y, fitted: dict, steps: int, z: float = 1.959963984540054):
@@ -239,10 +270,11 @@ def forecast(y, fitted: dict, steps: int, z: float = 1.959963984540054):
     cand, theta = fitted["cand"], fitted["params"]
     y = np.asarray(y, dtype=float)
     a, m = cand.polys(theta)
-    full_a = np.convolve(a, _diff_poly(cand.d, cand.D, cand.s))
-    w = np.convolve(y, _diff_poly(cand.d, cand.D, cand.s))[len(_diff_poly(cand.d, cand.D, cand.s)) - 1:len(y)]
+    dp = _diff_poly(cand.d, cand.D, cand.s)
+    full_a = np.convolve(a, dp)
+    w = np.convolve(y, dp)[len(dp) - 1:len(y)]
     e_w = np.zeros(len(w))
-    e_w[cand.r:] = _residuals(cand, w, theta[None, :])[0]
+    e_w[cand.r:] = _Batch(cand, w[None, :]).residuals(theta[None, :])[0]
     e = np.concatenate([np.zeros(cand.lead), e_w])   # residuals on the original index
     hist_y, hist_e = list(y), list(e)
     means = []

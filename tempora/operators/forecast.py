@@ -148,22 +148,35 @@ def pack(series: DataFrame) -> DataFrame:
 
 FIT_SCHEMA = "series_key string, grid_idx int, p int, d int, q int, sp int, sd int, sq int, s int, aic double"
 
+# Series per kernel batch: large enough to share the per-step cost of the residual
+# recursion, small enough that a batch's arrays (series x parameters x months) stay small.
+BATCH_SERIES = 512
+
 
 def _fit_batches(batches):
+    """Rows (series, candidate) -> AIC per row. Rows of one candidate order and one series
+    length are fitted together as one ``arima.fit_many`` batch."""
     grid = order_grid()
     for pdf in batches:
-        aics = []
-        for vals, p, d, q, sp, sd, sq, s in zip(pdf["values"], pdf["p"], pdf["d"], pdf["q"], pdf["sp"], pdf["sd"],
-                                                pdf["sq"], pdf["s"]):
-            y = np.asarray(vals, dtype=float)
-            try:
-                res = arima.fit(y, (p, d, q), (sp, sd, sq, s), start=arima.common_start(grid, len(y)),
-                                max_iter=MAX_ITER)
-            except Exception:  # a failing candidate is skipped, as in the source
-                res = None
-            aics.append(None if res is None else res["aic"])
+        if pdf.empty:
+            continue
+        aics = np.full(len(pdf), np.nan)
+        lengths = pdf["values"].map(len)
+        keys = pdf[ORDER_COLS].astype(int).assign(_n=lengths)
+        for key, idx in keys.groupby(list(keys.columns), sort=False).groups.items():
+            p, d, q, sp, sd, sq, s, n = (int(v) for v in key)
+            pos = pdf.index.get_indexer(idx)
+            for lo in range(0, len(pos), BATCH_SERIES):
+                chunk = pos[lo:lo + BATCH_SERIES]
+                ys = np.stack([np.asarray(pdf["values"].iat[i], dtype=float) for i in chunk])
+                try:
+                    res = arima.fit_many(ys, (p, d, q), (sp, sd, sq, s), start=arima.common_start(grid, n),
+                                         max_iter=MAX_ITER)
+                except Exception:  # a failing candidate is skipped, as in the source
+                    res = [None] * len(chunk)
+                aics[chunk] = [np.nan if r is None else r["aic"] for r in res]
         out = pdf[["series_key", "grid_idx", *ORDER_COLS]].copy()
-        out["aic"] = pd.Series(aics, dtype="float64")
+        out["aic"] = pd.Series(aics, index=pdf.index, dtype="float64").where(np.isfinite(aics))
         yield out
 
 
@@ -173,18 +186,34 @@ def _with_grid(packed: DataFrame, grid) -> DataFrame:
     return packed.select("series_key", "values", F.inline(cands))
 
 
+def _heavy_first(grid) -> list[int]:
+    """Grid positions ordered by expected fit cost, highest first: candidates with an MA
+    part run a recursion over time at every step; more parameters mean more steps."""
+    return sorted(range(len(grid)), key=lambda i: (-(grid[i][2] + grid[i][5] > 0), -sum(grid[i][j] for j in
+                                                                                     (0, 2, 3, 5)), i))
+
+
 def fit_candidates(packed: DataFrame, grid=None, tasks: int | None = None) -> DataFrame:
-    """FC-6/FC-7: AIC of every (series, candidate); NULL where the fit failed. Rows are
-    hash-spread over ``tasks`` partitions (explicit count, so the CPU-heavy but byte-light
-    rows are not coalesced into a few tasks)."""
+    """FC-6/FC-7: AIC of every (series, candidate); NULL where the fit failed.
+
+    The (series, candidate) rows are range-partitioned on a dense group id (candidate,
+    series bucket), where a bucket holds about ``BATCH_SERIES`` series, so a task receives
+    whole batches of one candidate and fits them together. Group ids put the costly
+    candidates first, so they are scheduled first and the job's tail is short. The partition
+    count is explicit (CPU-heavy but byte-light rows must not be coalesced into a few tasks):
+    one per group, at most 32 per core (then a task takes neighbouring buckets)."""
     grid = grid or order_grid()
     spark = packed.sparkSession
+    n_series = packed.count()
+    buckets = max(1, -(-n_series // BATCH_SERIES))
     if tasks is None:
-        # about 16 fits per task (fits differ a lot in cost; small tasks balance the tail),
-        # at most 8 tasks per core; the packed input has one row per series
         par = max(spark.sparkContext.defaultParallelism, 1)
-        tasks = max(par, min(packed.count() * len(grid) // 16, par * 8))
-    rows = _with_grid(packed, grid).repartition(tasks, "series_key", "grid_idx")
+        tasks = max(1, min(len(grid) * buckets, par * 32))
+    rank = F.element_at(F.array(*[F.lit(_heavy_first(grid).index(i)) for i in range(len(grid))]),
+                        F.col("grid_idx") + 1)
+    gid = rank.cast("long") * buckets + F.pmod(F.xxhash64("series_key"), F.lit(buckets))
+    rows = _with_grid(packed, grid).withColumn("_gid", gid) \
+        .repartitionByRange(tasks, "_gid").drop("_gid")
     return rows.mapInPandas(_fit_batches, FIT_SCHEMA)
 
 
@@ -228,20 +257,31 @@ FORECAST_SCHEMA = "series_key string, step int, mean double, lower double, upper
 
 
 def _forecast_batches(batches):
+    """Refit each series' chosen order (series of one order and length as one batch) and
+    forecast ``steps`` months."""
     grid = order_grid()
     for pdf in batches:
         out = []
-        for r in pdf.itertuples(index=False):
-            y = np.asarray(r.values, dtype=float)
-            start = arima.common_start(grid, len(y))
-            res = arima.fit(y, (r.p, r.d, r.q), (r.sp, r.sd, r.sq, r.s), start=start, max_iter=MAX_ITER)
-            if res is None:
-                res = arima.fit(y, (r.p, r.d, r.q), (r.sp, r.sd, r.sq, r.s), start=0, max_iter=MAX_ITER)
-            if res is None:
-                continue
-            mean, lo, hi = arima.forecast(y, res, int(r.steps), Z_95)
-            for i in range(int(r.steps)):
-                out.append((r.series_key, i + 1, float(mean[i]), float(lo[i]), float(hi[i])))
+        lengths = pdf["values"].map(len)
+        keys = pdf[ORDER_COLS].astype(int).assign(_n=lengths)
+        for key, idx in keys.groupby(list(keys.columns), sort=False).groups.items():
+            p, d, q, sp, sd, sq, s, n = (int(v) for v in key)
+            order, seasonal = (p, d, q), (sp, sd, sq, s)
+            pos = pdf.index.get_indexer(idx)
+            for lo in range(0, len(pos), BATCH_SERIES):
+                chunk = pos[lo:lo + BATCH_SERIES]
+                ys = [np.asarray(pdf["values"].iat[i], dtype=float) for i in chunk]
+                fits = arima.fit_many(np.stack(ys), order, seasonal, start=arima.common_start(grid, n),
+                                      max_iter=MAX_ITER)
+                for i, y, res in zip(chunk, ys, fits):
+                    if res is None:
+                        res = arima.fit(y, order, seasonal, start=0, max_iter=MAX_ITER)
+                    if res is None:
+                        continue
+                    steps = int(pdf["steps"].iat[i])
+                    mean, lo_, hi = arima.forecast(y, res, steps, Z_95)
+                    key_ = pdf["series_key"].iat[i]
+                    out.extend((key_, j + 1, float(mean[j]), float(lo_[j]), float(hi[j])) for j in range(steps))
         yield pd.DataFrame(out, columns=["series_key", "step", "mean", "lower", "upper"])
 
 
@@ -250,8 +290,13 @@ def forecast(packed: DataFrame, orders: DataFrame, steps: int) -> DataFrame:
     intervals -> (series_key, step, month, mean, lower, upper)."""
     rows = packed.join(orders.select("series_key", *ORDER_COLS), "series_key", "inner") \
         .withColumn("steps", F.lit(int(steps)))
-    tasks = max(packed.sparkSession.sparkContext.defaultParallelism, 1)
-    fc = rows.repartition(tasks, "series_key").mapInPandas(_forecast_batches, FORECAST_SCHEMA)
+    # series of one order travel together (in buckets of about BATCH_SERIES, so an order
+    # chosen by most series is still split over many tasks) and are refitted as one batch
+    n_series = orders.count()
+    buckets = max(1, -(-n_series // BATCH_SERIES))
+    tasks = max(packed.sparkSession.sparkContext.defaultParallelism, 1) * 2
+    bucket = F.pmod(F.xxhash64("series_key"), F.lit(buckets))
+    fc = rows.repartition(tasks, *ORDER_COLS, bucket).mapInPandas(_forecast_batches, FORECAST_SCHEMA)
     last = packed.select("series_key", F.element_at("months", -1).alias("_last"))
     return fc.join(last, "series_key").select(
         "series_key", "step", F.add_months("_last", F.col("step")).alias("month"), "mean", "lower", "upper")
