@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

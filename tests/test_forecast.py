@@ -66,6 +66,30 @@ def test_kernel_properties():
     assert np.sqrt(np.mean((mean[:12] - y[60:]) ** 2)) < 30
 
 
+def test_batched_fit_equals_single_fits():
+    """A batch of series fitted together gives each series the fit it gets alone (own damping,
+    acceptance and stopping point), also when one series fails or stops early."""
+    ys = np.stack([synthetic(60, seed) for seed in range(5)])
+    ys[3] = 5.0                                          # constant: zero residuals after differencing
+    ys[4, 30] = 1e6                                      # one wild point
+    start = arima.common_start(FC.order_grid(), 60)
+    for order, seasonal in [((1, 1, 1), (0, 1, 1, 12)), ((2, 0, 0), (1, 0, 0, 12)), ((0, 1, 2), (1, 1, 1, 12)),
+                            ((0, 0, 0), (0, 1, 0, 12))]:
+        batch = arima.fit_many(ys, order, seasonal, start=start)
+        for y, b in zip(ys, batch):
+            one = arima.fit(y, order, seasonal, start=start)
+            assert (one is None) == (b is None)
+            if one is not None:
+                assert b["iterations"] == one["iterations"]
+                assert abs(b["aic"] - one["aic"]) <= 1e-9 * max(1.0, abs(one["aic"]))
+                assert np.allclose(b["params"], one["params"], rtol=1e-9, atol=1e-12)
+
+
+def test_too_short_series_fail():
+    assert arima.fit(np.arange(10.0), (2, 1, 2), (1, 1, 1, 12)) is None
+    assert arima.fit_many(np.ones((3, 14)), (1, 1, 1), (1, 1, 1, 12)) == [None, None, None]
+
+
 def test_evaluate_and_predict_jobs(spark):
     s = series_df(spark, keys=("a:x:national", "b:y:national"))
     split = FC.train_test_split(s, 12)
