@@ -201,16 +201,18 @@ def fit_candidates(packed: DataFrame, grid=None, tasks: int | None = None) -> Da
     whole batches of one candidate and fits them together. Group ids put the costly
     candidates first, so they are scheduled first and the job's tail is short. The partition
     count is explicit (CPU-heavy but byte-light rows must not be coalesced into a few tasks):
-    one per group, at most 32 per core (then a task takes neighbouring buckets)."""
+    one per group up to max(4 per core, 256) (then a task takes neighbouring groups of the
+    same cost rank), so a small job gets a task per candidate and a large one does not flood
+    the scheduler."""
     grid = grid or order_grid()
     spark = packed.sparkSession
     n_series = packed.count()
     buckets = max(1, -(-n_series // BATCH_SERIES))
     if tasks is None:
         par = max(spark.sparkContext.defaultParallelism, 1)
-        tasks = max(1, min(len(grid) * buckets, par * 32))
-    rank = F.element_at(F.array(*[F.lit(_heavy_first(grid).index(i)) for i in range(len(grid))]),
-                        F.col("grid_idx") + 1)
+        tasks = max(1, min(len(grid) * buckets, max(par * 4, 256)))
+    rank_of = {g: r for r, g in enumerate(_heavy_first(grid))}
+    rank = F.element_at(F.array(*[F.lit(rank_of[i]) for i in range(len(grid))]), F.col("grid_idx") + 1)
     gid = rank.cast("long") * buckets + F.pmod(F.xxhash64("series_key"), F.lit(buckets))
     rows = _with_grid(packed, grid).withColumn("_gid", gid) \
         .repartitionByRange(tasks, "_gid").drop("_gid")
