@@ -12,8 +12,8 @@ psi-weights of the full (differenced) model.
 ``fit_many`` fits one candidate order to a batch of series of equal length at once: every
 array carries the series as its first axis, and each series keeps its own damping factor,
 step acceptance and stopping point, so the result per series is the one a single-series
-fit gives. The residual recursion is one loop over time for the whole batch (blocks of the
-smallest MA lag), so its cost is shared by all series of the batch. Spark groups the rows
+fit gives. The residual recursion is one loop over time for the whole batch (the seasonal
+MA part in blocks of s steps), so its cost is shared by all series of the batch. Spark groups the rows
 (candidate, series) so that a task's batch holds many series of one candidate.
 """
 
@@ -103,20 +103,26 @@ def _mul_polys(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _ma_filter(x: np.ndarray, coefs: np.ndarray, lags: list[int]) -> np.ndarray:
     """Solve e_t = x_t - sum_l coefs_l e_(t - lag_l) along the last axis (e = 0 before the
     sample) for a batch. x: (B, ..., size); coefs: (B, L). Time is moved to the first axis so
-    each step reads contiguous rows; with no lag-1 term the steps go in blocks of the
-    smallest lag, inside which no value depends on another."""
+    each step reads contiguous rows. With no lag-1 term the steps go in blocks of the
+    smallest lag, inside which no value depends on another; with one, step by step with
+    in-place products (few lags here: the seasonal part is filtered separately)."""
     if not lags:
         return x
     size, pad = x.shape[-1], lags[-1]
     xt = np.moveaxis(x, -1, 0)                                       # (size, B, ...)
     out = np.zeros((pad + size,) + xt.shape[1:])
-    lag_arr = np.asarray(lags)
     c = coefs.T.reshape((len(lags), coefs.shape[0]) + (1,) * (x.ndim - 2))   # (L, B, ...)
     step = lags[0]
     with np.errstate(all="ignore"):
         if step == 1:
+            tmp = np.empty(xt.shape[1:])
             for t in range(size):
-                out[pad + t] = xt[t] - (c * out[pad + t - lag_arr]).sum(0)
+                dst = out[pad + t]
+                np.multiply(c[0], out[pad + t - 1], out=tmp)
+                np.subtract(xt[t], tmp, out=dst)
+                for li in range(1, len(lags)):
+                    np.multiply(c[li], out[pad + t - lags[li]], out=tmp)
+                    np.subtract(dst, tmp, out=dst)
         else:
             for t0 in range(0, size, step):
                 t1 = min(t0 + step, size)
@@ -128,26 +134,36 @@ def _ma_filter(x: np.ndarray, coefs: np.ndarray, lags: list[int]) -> np.ndarray:
 
 
 class _Batch:
-    """Per-(candidate, batch of equal-length series) constants of the residual recursion."""
+    """Per-(candidate, batch of equal-length series) constants of the residual recursion.
+
+    The MA operator is theta(B) THETA(B^s); its (lower-triangular Toeplitz) inverse is applied
+    as two filters, the seasonal one in blocks of s steps, then the non-seasonal one (q lags)."""
 
     def __init__(self, cand: Candidate, w: np.ndarray):
         n, r = w.shape[1], cand.r
         self.cand, self.size = cand, n - r
         self.lagged = np.stack([w[:, r - i:n - i] for i in range(r + 1)], axis=1)   # (B, r+1, size)
-        self.lags = [j for j in cand.ma_lags if j < self.size]
+        self.lags = [j for j in cand.ma_lags if j < self.size]                       # of the full MA poly
+        self.n_lags = [i for i in range(1, cand.q + 1) if i < self.size]
+        self.s_lags = [j * cand.s for j in range(1, cand.Q + 1) if j * cand.s < self.size]
+
+    def _inverse_ma(self, x: np.ndarray, thetas: np.ndarray) -> np.ndarray:
+        _ar, _sar, ma, sma = self.cand.split(thetas)
+        x = _ma_filter(x, sma[:, :len(self.s_lags)], self.s_lags)
+        return _ma_filter(x, ma[:, :len(self.n_lags)], self.n_lags)
 
     def residuals(self, thetas: np.ndarray, rows=None) -> np.ndarray:
         """CSS residuals e_t, t = r..n-1 -> (B, size) for the series ``rows`` (all if None)."""
-        a, m = self.cand.polys_batch(thetas)
+        ar, sar, _ma, _sma = self.cand.split(thetas)
+        a = _mul_polys(_lag_poly(ar, 1, -1.0), _lag_poly(sar, self.cand.s, -1.0))
         lagged = self.lagged if rows is None else self.lagged[rows]
         with np.errstate(all="ignore"):
             rhs = np.einsum("bi,bit->bt", a, lagged)
-        return _ma_filter(rhs, m[:, self.lags], self.lags)
+        return self._inverse_ma(rhs, thetas)
 
     def jacobian(self, thetas: np.ndarray, e: np.ndarray, rows) -> np.ndarray:
         """Exact derivatives of the residuals ``e`` (computed at ``thetas``): with
-        T e = A w, de/dtheta = T^-1 (dA w - dT e), solved by the same recursion -> (B, k, size)."""
-        _a, m = self.cand.polys_batch(thetas)
+        T e = A w, de/dtheta = T^-1 (dA w - dT e), solved by the same filters -> (B, k, size)."""
         da, dm = self.cand.poly_derivs_batch(thetas)
         with np.errstate(all="ignore"):
             drhs = np.einsum("bki,bit->bkt", da, self.lagged[rows])
@@ -157,7 +173,7 @@ class _Batch:
                 for li, lag in enumerate(self.lags):
                     shifted[:, li, lag:] = e[:, :size - lag]
                 drhs = drhs - np.einsum("bkl,blt->bkt", dm[:, :, self.lags], shifted)
-        return _ma_filter(drhs, m[:, self.lags], self.lags)
+        return self._inverse_ma(drhs, thetas)
 
 
 def _solve_damped(hess: np.ndarray, grad: np.ndarray, lam: np.ndarray):
