@@ -207,6 +207,8 @@ def fit_candidates(packed: DataFrame, grid=None, tasks: int | None = None) -> Da
     grid = grid or order_grid()
     spark = packed.sparkSession
     n_series = packed.count()
+    if n_series == 0:                                 # e.g. every series found in the order cache
+        return spark.createDataFrame([], FIT_SCHEMA)
     buckets = max(1, -(-n_series // BATCH_SERIES))
     if tasks is None:
         par = max(spark.sparkContext.defaultParallelism, 1)
@@ -230,6 +232,16 @@ def choose_orders(fits: DataFrame) -> DataFrame:
     return best.select("series_key", *cols, "aic", failed.alias("fallback"))
 
 
+def _spread_by_order(rows: DataFrame, n_series: int) -> DataFrame:
+    """Rows with a chosen order per series: series of one order travel together (in buckets
+    of about BATCH_SERIES, so an order chosen by most series is still split over many
+    tasks) and are fitted as one batch."""
+    buckets = max(1, -(-n_series // BATCH_SERIES))
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, 1) * 2
+    bucket = F.pmod(F.xxhash64("series_key"), F.lit(buckets))
+    return rows.repartition(tasks, *ORDER_COLS, bucket)
+
+
 def select_orders(packed: DataFrame, cache: DataFrame | None = None, grid=None) -> DataFrame:
     """FC-9: series found in the order cache refit only their cached order; the grid runs
     for the misses and for cached orders that no longer fit."""
@@ -237,7 +249,7 @@ def select_orders(packed: DataFrame, cache: DataFrame | None = None, grid=None)
         return choose_orders(fit_candidates(packed, grid))
     cached = packed.join(cache.select("series_key", *ORDER_COLS), "series_key", "inner") \
         .withColumn("grid_idx", F.lit(-1))
-    refit = cached.repartition(max(packed.sparkSession.sparkContext.defaultParallelism, 1), "series_key") \
+    refit = _spread_by_order(cached, packed.count()) \
         .mapInPandas(_fit_batches, FIT_SCHEMA).filter(F.col("aic").isNotNull())
     hits = cut_lineage(refit.select("series_key", *ORDER_COLS, "aic", F.lit(False).alias("fallback")))
     misses = packed.join(hits.select("series_key"), "series_key", "left_anti")
@@ -292,13 +304,7 @@ def forecast(packed: DataFrame, orders: DataFrame, steps: int) -> DataFrame:
     intervals -> (series_key, step, month, mean, lower, upper)."""
     rows = packed.join(orders.select("series_key", *ORDER_COLS), "series_key", "inner") \
         .withColumn("steps", F.lit(int(steps)))
-    # series of one order travel together (in buckets of about BATCH_SERIES, so an order
-    # chosen by most series is still split over many tasks) and are refitted as one batch
-    n_series = orders.count()
-    buckets = max(1, -(-n_series // BATCH_SERIES))
-    tasks = max(packed.sparkSession.sparkContext.defaultParallelism, 1) * 2
-    bucket = F.pmod(F.xxhash64("series_key"), F.lit(buckets))
-    fc = rows.repartition(tasks, *ORDER_COLS, bucket).mapInPandas(_forecast_batches, FORECAST_SCHEMA)
+    fc = _spread_by_order(rows, orders.count()).mapInPandas(_forecast_batches, FORECAST_SCHEMA)
     last = packed.select("series_key", F.element_at("months", -1).alias("_last"))
     return fc.join(last, "series_key").select(
         "series_key", "step", F.add_months("_last", F.col("step")).alias("month"), "mean", "lower", "upper")
