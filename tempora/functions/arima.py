@@ -109,7 +109,8 @@ def _ma_filter(x: np.ndarray, coefs: np.ndarray, lags: list[int]) -> np.ndarray:
     if not lags:
         return x
     size, pad = x.shape[-1], lags[-1]
-    xt = np.moveaxis(x, -1, 0)                                       # (size, B, ...)
+    to_front = (x.ndim - 1,) + tuple(range(x.ndim - 1))
+    xt = x.transpose(to_front)                                       # (size, B, ...)
     out = np.zeros((pad + size,) + xt.shape[1:])
     c = coefs.T.reshape((len(lags), coefs.shape[0]) + (1,) * (x.ndim - 2))   # (L, B, ...)
     step = lags[0]
@@ -130,7 +131,7 @@ def _ma_filter(x: np.ndarray, coefs: np.ndarray, lags: list[int]) -> np.ndarray:
                 for li, lag in enumerate(lags):
                     acc -= c[li] * out[pad + t0 - lag:pad + t1 - lag]
                 out[pad + t0:pad + t1] = acc
-    return np.moveaxis(out[pad:], 0, -1)
+    return out[pad:].transpose(tuple(range(1, x.ndim)) + (0,))
 
 
 class _Batch:
