@@ -117,13 +117,15 @@ def _ma_filter(x: np.ndarray, coefs: np.ndarray, lags: list[int]) -> np.ndarray:
     with np.errstate(all="ignore"):
         if step == 1:
             tmp = np.empty(xt.shape[1:])
+            c0, rest = c[0], [(c[li], pad - lags[li]) for li in range(1, len(lags))]
+            mul, sub = np.multiply, np.subtract
             for t in range(size):
                 dst = out[pad + t]
-                np.multiply(c[0], out[pad + t - 1], out=tmp)
-                np.subtract(xt[t], tmp, out=dst)
-                for li in range(1, len(lags)):
-                    np.multiply(c[li], out[pad + t - lags[li]], out=tmp)
-                    np.subtract(dst, tmp, out=dst)
+                mul(c0, out[pad + t - 1], out=tmp)
+                sub(xt[t], tmp, out=dst)
+                for cl, off in rest:
+                    mul(cl, out[off + t], out=tmp)
+                    sub(dst, tmp, out=dst)
         else:
             for t0 in range(0, size, step):
                 t1 = min(t0 + step, size)
