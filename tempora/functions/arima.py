@@ -203,6 +203,10 @@ def common_start(grid, n: int, min_obs: int = 12) -> int:
     return start if n - start >= min_obs else 0
 
 
+# damping values tried per pass of the Levenberg-Marquardt step search
+TRIES = 3
+
+
 def fit_many(ys, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e-6) -> list:
     """Fit one candidate to each row of ``ys`` (B, n), all of length n. Returns per series
     dict(params, sse, n, sigma2, aic, iterations) or None on failure (too short, non-finite)."""
@@ -241,28 +245,49 @@ def fit_many(ys, order, seasonal, start: int = 0, max_iter: int = 200, tol: floa
         done = np.zeros(len(rows), dtype=bool)
         pending = lam[rows] < 1e12
         while pending.any():
+            # The next TRIES damping values of every pending series are tried at once (a
+            # series stops at the first that lowers its SSE, as when trying them in turn),
+            # so a pass over time is not spent on each rejection of one series.
             pi = np.flatnonzero(pending)
-            steps, ok = _solve_damped(hess[pi], grad[pi], lam[rows[pi]])
-            lam[rows[pi[~ok]]] *= 10.0
-            tried = pi[ok]
+            lam_try = np.empty((len(pi), TRIES))
+            lam_try[:, 0] = lam[rows[pi]]
+            for j in range(1, TRIES):
+                lam_try[:, j] = lam_try[:, j - 1] * 10.0
+            valid = lam_try < 1e12
+            steps, ok = _solve_damped(np.repeat(hess[pi], TRIES, axis=0), np.repeat(grad[pi], TRIES, axis=0),
+                                      lam_try.ravel())
+            ok &= valid.ravel()
+            tried = np.flatnonzero(ok)                                       # flat (series, try) index
+            s_new = np.full(len(pi) * TRIES, np.inf)
             if len(tried):
-                cand_theta = theta[rows[tried]] + steps[ok]
-                new_full = system.residuals(cand_theta, rows[tried])
+                src = rows[pi[tried // TRIES]]
+                cand_theta = theta[src] + steps[tried]
+                new_full = system.residuals(cand_theta, src)
+                with np.errstate(all="ignore"):
+                    s_new[tried] = np.einsum("bt,bt->b", new_full[:, cut:], new_full[:, cut:])
+            s_old = sse[rows[pi]]
+            with np.errstate(all="ignore"):
+                better = (np.isfinite(s_new) & (s_new < np.repeat(s_old, TRIES))).reshape(len(pi), TRIES)
+            has = better.any(axis=1)
+            acc = np.flatnonzero(has)                                        # into pi
+            if len(acc):
+                first = better[acc].argmax(axis=1)
+                pos = np.searchsorted(tried, acc * TRIES + first)            # into the tried rows
+                g = rows[pi[acc]]
+                s_acc, s_prev = s_new[tried[pos]], s_old[acc]
                 with np.errstate(all="ignore"):
-                    s_new = np.einsum("bt,bt->b", new_full[:, cut:], new_full[:, cut:])
-                    s_old = sse[rows[tried]]
-                    better = np.isfinite(s_new) & (s_new < s_old)
-                    small_gain = s_old - s_new <= tol * np.maximum(s_old, 1e-300)
-                    small_step = (np.linalg.norm(steps[ok], axis=1)
-                                  <= 1e-8 * (np.linalg.norm(theta[rows[tried]], axis=1) + 1e-8))
-                acc = tried[better]
-                g = rows[acc]
-                theta[g], full[g], sse[g] = cand_theta[better], new_full[better], s_new[better]
-                lam[g] = np.maximum(lam[g] / 10.0, 1e-12)
-                improved[acc] = True
-                done[acc] = (small_gain | small_step)[better]
-                pending[acc] = False
-                lam[rows[tried[~better]]] *= 10.0
+                    small_gain = s_prev - s_acc <= tol * np.maximum(s_prev, 1e-300)
+                    small_step = (np.linalg.norm(steps[tried[pos]], axis=1)
+                                  <= 1e-8 * (np.linalg.norm(theta[g], axis=1) + 1e-8))
+                theta[g], full[g], sse[g] = cand_theta[pos], new_full[pos], s_acc
+                lam[g] = np.maximum(lam_try[acc, first] / 10.0, 1e-12)
+                improved[pi[acc]] = True
+                done[pi[acc]] = small_gain | small_step
+                pending[pi[acc]] = False
+            rej = np.flatnonzero(~has)                                       # every valid try failed
+            if len(rej):
+                last = valid[rej].sum(axis=1) - 1
+                lam[rows[pi[rej]]] = lam_try[rej, last] * 10.0
             pending &= lam[rows] < 1e12
         stop = ~improved | done | (iters[rows] >= max_iter) | ~np.isfinite(sse[rows])
         active[rows[stop]] = False
