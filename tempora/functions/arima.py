@@ -161,7 +161,7 @@ class _Batch:
         a = _mul_polys(_lag_poly(ar, 1, -1.0), _lag_poly(sar, self.cand.s, -1.0))
         lagged = self.lagged if rows is None else self.lagged[rows]
         with np.errstate(all="ignore"):
-            rhs = np.einsum("bi,bit->bt", a, lagged)
+            rhs = np.matmul(a[:, None, :], lagged)[:, 0, :]
         return self._inverse_ma(rhs, thetas)
 
     def jacobian(self, thetas: np.ndarray, e: np.ndarray, rows) -> np.ndarray:
@@ -169,13 +169,13 @@ class _Batch:
         T e = A w, de/dtheta = T^-1 (dA w - dT e), solved by the same filters -> (B, k, size)."""
         da, dm = self.cand.poly_derivs_batch(thetas)
         with np.errstate(all="ignore"):
-            drhs = np.einsum("bki,bit->bkt", da, self.lagged[rows])
+            drhs = np.matmul(da, self.lagged[rows])
             if self.lags:
                 size = self.size
                 shifted = np.zeros((e.shape[0], len(self.lags), size))
                 for li, lag in enumerate(self.lags):
                     shifted[:, li, lag:] = e[:, :size - lag]
-                drhs = drhs - np.einsum("bkl,blt->bkt", dm[:, :, self.lags], shifted)
+                drhs = drhs - np.matmul(dm[:, :, self.lags], shifted)
         return self._inverse_ma(drhs, thetas)
 
 
@@ -239,8 +239,8 @@ def fit_many(ys, order, seasonal, start: int = 0, max_iter: int = 200, tol: floa
         jac = system.jacobian(theta[rows], full[rows], rows)[:, :, cut:]    # (A, k, n_obs)
         e = full[rows, cut:]
         with np.errstate(all="ignore"):
-            grad = np.einsum("akt,at->ak", jac, e)
-            hess = np.einsum("akt,ajt->akj", jac, jac)
+            grad = np.matmul(jac, e[:, :, None])[:, :, 0]
+            hess = np.matmul(jac, jac.transpose(0, 2, 1))
         improved = np.zeros(len(rows), dtype=bool)
         done = np.zeros(len(rows), dtype=bool)
         pending = lam[rows] < 1e12
