@@ -85,6 +85,30 @@ def test_batched_fit_equals_single_fits():
                 assert np.allclose(b["params"], one["params"], rtol=1e-9, atol=1e-12)
 
 
+def test_fit_rows_grouped_by_order_and_length():
+    """The task-side function groups rows by (order, series length) into batches; every row
+    gets the AIC of its own single fit, in its own position, whatever the row order."""
+    import pandas as pd
+    grid = SMALL_GRID
+    rows = []
+    for sid, n in enumerate([60, 48, 60, 14, 48]):
+        y = synthetic(n, 100 + sid)
+        for gi, g in enumerate(grid):
+            rows.append({"series_key": f"s{sid}", "values": y, "grid_idx": gi,
+                         **dict(zip(FC.ORDER_COLS, g))})
+    pdf = pd.DataFrame(rows).sample(frac=1.0, random_state=7).reset_index(drop=True)
+    out = pd.concat(list(FC._fit_batches(iter([pdf]))))
+    assert list(out["series_key"]) == list(pdf["series_key"]) and list(out["grid_idx"]) == list(pdf["grid_idx"])
+    full = FC.order_grid()
+    for r, aic in zip(pdf.itertuples(index=False), out["aic"]):
+        one = arima.fit(r.values, (r.p, r.d, r.q), (r.sp, r.sd, r.sq, r.s),
+                        start=arima.common_start(full, len(r.values)))
+        if one is None:
+            assert pd.isna(aic)
+        else:
+            assert abs(aic - one["aic"]) <= 1e-9 * max(1.0, abs(one["aic"]))
+
+
 def test_too_short_series_fail():
     assert arima.fit(np.arange(10.0), (2, 1, 2), (1, 1, 1, 12)) is None
     assert arima.fit_many(np.ones((3, 14)), (1, 1, 1), (1, 1, 1, 12)) == [None, None, None]
