@@ -3,9 +3,11 @@
 series table (one row per series and month, from the marts)
   -> train/test split (row_number per series, newest months = test)
   -> one packed row per series: months and values as arrays, sorted by month
-  -> one row per (series, grid candidate) via an inline of the literal grid,
-     repartitioned so the fits spread over all tasks
-  -> mapInPandas: the numpy kernel fits each candidate (AIC, NULL on failure)
+  -> one row per (series, grid slice); a slice is a share of the 144 candidates, and the
+     slice count falls as the series count grows, so each series is shipped a few times
+     at most, not once per candidate
+  -> mapInPandas: per (bucket of series, slice) the numpy kernel fits each candidate of
+     the slice to the whole bucket as one batch (AIC, NULL on failure)
   -> best candidate per series by (aic, grid position): row_number window
   -> fallback order where every candidate failed; order cache joined in first
   -> mapInPandas: forecast means and 95 % intervals
@@ -180,12 +182,6 @@ def _fit_batches(batches):
         yield out
 
 
-def _with_grid(packed: DataFrame, grid) -> DataFrame:
-    cands = F.array(*[F.struct(F.lit(i).alias("grid_idx"), *[F.lit(v).alias(c) for c, v in zip(ORDER_COLS, g)])
-                      for i, g in enumerate(grid)])
-    return packed.select("series_key", "values", F.inline(cands))
-
-
 def _heavy_first(grid) -> list[int]:
     """Grid positions ordered by expected fit cost, highest first: candidates with an MA
     part run a recursion over time at every step; more parameters mean more steps."""
@@ -193,32 +189,74 @@ def _heavy_first(grid) -> list[int]:
                                                                                      (0, 2, 3, 5)), i))
 
 
+def grid_slices(grid, n_slices: int) -> list[list[int]]:
+    """The grid dealt round-robin from the costliest candidate down, so every slice holds
+    about the same amount of fitting work."""
+    order = _heavy_first(grid)
+    return [order[j::n_slices] for j in range(n_slices)]
+
+
+def _fit_slices(grid, slices):
+    """Task function: rows (series, values, slice) -> one AIC row per series and candidate
+    of the slice. Series of one slice and one length are fitted as one batch per candidate."""
+    full = order_grid()
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            out = []
+            keys = pdf[["_slice"]].assign(_n=pdf["values"].map(len))
+            for (sl, n), idx in keys.groupby(["_slice", "_n"], sort=False).groups.items():
+                pos = pdf.index.get_indexer(idx)
+                start = arima.common_start(full, int(n))
+                for lo in range(0, len(pos), BATCH_SERIES):
+                    chunk = pos[lo:lo + BATCH_SERIES]
+                    ys = np.stack([np.asarray(pdf["values"].iat[i], dtype=float) for i in chunk])
+                    names = pdf["series_key"].to_numpy()[chunk]
+                    for gi in slices[int(sl)]:
+                        g = grid[gi]
+                        try:
+                            res = arima.fit_many(ys, g[:3], g[3:], start=start, max_iter=MAX_ITER)
+                        except Exception:  # a failing candidate is skipped, as in the source
+                            res = [None] * len(chunk)
+                        cols = {"series_key": names, "grid_idx": np.full(len(chunk), gi, dtype=np.int32)}
+                        cols.update({c: np.full(len(chunk), v, dtype=np.int32) for c, v in zip(ORDER_COLS, g)})
+                        cols["aic"] = pd.array([None if r is None else r["aic"] for r in res], dtype="Float64")
+                        out.append(pd.DataFrame(cols))
+            if out:
+                yield pd.concat(out, ignore_index=True)
+
+    return run
+
+
 def fit_candidates(packed: DataFrame, grid=None, tasks: int | None = None) -> DataFrame:
     """FC-6/FC-7: AIC of every (series, candidate); NULL where the fit failed.
 
-    The (series, candidate) rows are range-partitioned on a dense group id (candidate,
-    series bucket), where a bucket holds about ``BATCH_SERIES`` series, so a task receives
-    whole batches of one candidate and fits them together. Group ids put the costly
-    candidates first, so they are scheduled first and the job's tail is short. The partition
-    count is explicit (CPU-heavy but byte-light rows must not be coalesced into a few tasks):
-    one per group up to max(4 per core, 256) (then a task takes neighbouring groups of the
-    same cost rank), so a small job gets a task per candidate and a large one does not flood
-    the scheduler."""
+    Work unit = (bucket of about ``BATCH_SERIES`` series, slice of the grid): a task fits
+    every candidate of its slice to its bucket, one ``fit_many`` batch per candidate. A
+    series is shipped once per slice, not once per candidate, and the slice count falls as
+    the series count grows: slices = ceil(target tasks / buckets), at most the grid size,
+    with target tasks = ``tasks`` or 4 per core. So few series still spread over all cores,
+    and many series shuffle each series about once. Groups are range-partitioned on a
+    dense id so that each gets its own task while groups <= tasks (the partition count is
+    explicit: CPU-heavy but byte-light rows must not be coalesced), capped at
+    max(4 per core, 256) tasks."""
     grid = grid or order_grid()
     spark = packed.sparkSession
     n_series = packed.count()
     if n_series == 0:                                 # e.g. every series found in the order cache
         return spark.createDataFrame([], FIT_SCHEMA)
     buckets = max(1, -(-n_series // BATCH_SERIES))
-    if tasks is None:
-        par = max(spark.sparkContext.defaultParallelism, 1)
-        tasks = max(1, min(len(grid) * buckets, max(par * 4, 256)))
-    rank_of = {g: r for r, g in enumerate(_heavy_first(grid))}
-    rank = F.element_at(F.array(*[F.lit(rank_of[i]) for i in range(len(grid))]), F.col("grid_idx") + 1)
-    gid = rank.cast("long") * buckets + F.pmod(F.xxhash64("series_key"), F.lit(buckets))
-    rows = _with_grid(packed, grid).withColumn("_gid", gid) \
-        .repartitionByRange(tasks, "_gid").drop("_gid")
-    return rows.mapInPandas(_fit_batches, FIT_SCHEMA)
+    par = max(spark.sparkContext.defaultParallelism, 1)
+    target = tasks or par * 4
+    n_slices = max(1, min(len(grid), -(-target // buckets)))
+    slices = grid_slices(grid, n_slices)
+    n_tasks = tasks or max(1, min(n_slices * buckets, max(par * 4, 256)))
+    gid = F.col("_slice").cast("long") * buckets + F.pmod(F.xxhash64("series_key"), F.lit(buckets))
+    rows = (packed.select("series_key", "values", F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))).alias("_slice"))
+            .withColumn("_gid", gid).repartitionByRange(n_tasks, "_gid").drop("_gid"))
+    return rows.mapInPandas(_fit_slices(grid, slices), FIT_SCHEMA)
 
 
 def choose_orders(fits: DataFrame) -> DataFrame:
