@@ -109,6 +109,18 @@ def test_fit_rows_grouped_by_order_and_length():
             assert abs(aic - one["aic"]) <= 1e-9 * max(1.0, abs(one["aic"]))
 
 
+def test_grid_slices_cover_grid_once_and_balance_cost():
+    grid = FC.order_grid()
+    for n in (1, 7, 32, 144, 200):
+        slices = FC.grid_slices(grid, n)
+        flat = sorted(i for sl in slices for i in sl)
+        assert flat == list(range(len(grid)))
+        sizes = [len(sl) for sl in slices if sl]
+        assert max(sizes) - min(sizes) <= 1
+    with_ma = [sum(1 for i in sl if grid[i][2] + grid[i][5] > 0) for sl in FC.grid_slices(grid, 32)]
+    assert max(with_ma) - min(with_ma) <= 1
+
+
 def test_too_short_series_fail():
     assert arima.fit(np.arange(10.0), (2, 1, 2), (1, 1, 1, 12)) is None
     assert arima.fit_many(np.ones((3, 14)), (1, 1, 1), (1, 1, 1, 12)) == [None, None, None]
