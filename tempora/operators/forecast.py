@@ -243,20 +243,29 @@ def fit_candidates(packed: DataFrame, grid=None, tasks: int | None = None) -> Da
     explicit: CPU-heavy but byte-light rows must not be coalesced), capped at
     max(4 per core, 256) tasks."""
     grid = grid or order_grid()
+    units = fit_units(packed, grid, tasks)
+    if units is None:                                 # e.g. every series found in the order cache
+        return packed.sparkSession.createDataFrame([], FIT_SCHEMA)
+    rows, slices = units
+    return rows.mapInPandas(_fit_slices(grid, slices), FIT_SCHEMA)
+
+
+def fit_units(packed: DataFrame, grid, tasks: int | None = None):
+    """(rows, slices) for ``fit_candidates``: one row per (series, grid slice), partitioned
+    so that each (slice, series bucket) group is one task; None when there is no series."""
     spark = packed.sparkSession
     n_series = packed.count()
-    if n_series == 0:                                 # e.g. every series found in the order cache
-        return spark.createDataFrame([], FIT_SCHEMA)
+    if n_series == 0:
+        return None
     buckets = max(1, -(-n_series // BATCH_SERIES))
     par = max(spark.sparkContext.defaultParallelism, 1)
     target = tasks or par * 4
     n_slices = max(1, min(len(grid), -(-target // buckets)))
-    slices = grid_slices(grid, n_slices)
     n_tasks = tasks or max(1, min(n_slices * buckets, max(par * 4, 256)))
     gid = F.col("_slice").cast("long") * buckets + F.pmod(F.xxhash64("series_key"), F.lit(buckets))
     rows = (packed.select("series_key", "values", F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))).alias("_slice"))
             .withColumn("_gid", gid).repartitionByRange(n_tasks, "_gid").drop("_gid"))
-    return rows.mapInPandas(_fit_slices(grid, slices), FIT_SCHEMA)
+    return rows, grid_slices(grid, n_slices)
 
 
 def choose_orders(fits: DataFrame) -> DataFrame:

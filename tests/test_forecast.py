@@ -121,6 +121,20 @@ def test_grid_slices_cover_grid_once_and_balance_cost():
     assert max(with_ma) - min(with_ma) <= 1
 
 
+def test_fit_units_ship_each_series_once_per_slice(spark):
+    """The fan-out is series x slices, not series x 144 candidates, and every candidate of
+    the grid is in exactly one slice."""
+    s = series_df(spark, keys=("a:x:national", "b:y:national", "c:z:national"))
+    packed = FC.pack(s)
+    rows, slices = FC.fit_units(packed, FC.order_grid())
+    par = spark.sparkContext.defaultParallelism
+    assert len(slices) == min(144, 4 * par)
+    assert rows.count() == 3 * len(slices)
+    assert rows.rdd.getNumPartitions() == len(slices)
+    assert rows.groupBy("_slice").count().filter("count != 3").count() == 0
+    assert FC.fit_units(packed.limit(0), FC.order_grid()) is None
+
+
 def test_too_short_series_fail():
     assert arima.fit(np.arange(10.0), (2, 1, 2), (1, 1, 1, 12)) is None
     assert arima.fit_many(np.ones((3, 14)), (1, 1, 1), (1, 1, 1, 12)) == [None, None, None]
