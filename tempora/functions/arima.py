@@ -9,12 +9,13 @@ candidates with different differencing compare on the same observations.
 Forecast: recursion on the original scale with future shocks 0; variance from the
 psi-weights of the full (differenced) model.
 
-``fit_many`` fits one candidate order to a batch of series of equal length at once: every
-array carries the series as its first axis, and each series keeps its own damping factor,
-step acceptance and stopping point, so the result per series is the one a single-series
-fit gives. The residual recursion is one loop over time for the whole batch (the seasonal
-MA part in blocks of s steps), so its cost is shared by all series of the batch. Spark groups the rows
-(candidate, series) so that a task's batch holds many series of one candidate.
+``fit_many`` fits one candidate order to a batch of series at once (shorter series are
+front-padded and masked): every array carries the series as its first axis, and each
+series keeps its own sample, damping factor, step acceptance and stopping point, so the
+result per series is the one a single-series fit gives. The residual recursion is one loop
+over time for the whole batch (the seasonal MA part in blocks of s steps), so its cost is
+shared by all series of the batch. Spark groups the rows so that a task's batch holds many
+series for each candidate.
 """
 
 from __future__ import annotations
@@ -137,18 +138,26 @@ def _ma_filter(x: np.ndarray, coefs: np.ndarray, lags: list[int]) -> np.ndarray:
 
 
 class _Batch:
-    """Per-(candidate, batch of equal-length series) constants of the residual recursion.
+    """Per-(candidate, batch of series) constants of the residual recursion.
+
+    Series of different lengths are front-padded to one length: ``pad[b]`` leading values of
+    series b are padding, and its recursion input is held at zero before its own first
+    residual, so its residuals are those of the unpadded series (zero history before the
+    sample) preceded by zeros.
 
     The MA operator is theta(B) THETA(B^s); its (lower-triangular Toeplitz) inverse is applied
     as two filters, the seasonal one in blocks of s steps, then the non-seasonal one (q lags)."""
 
-    def __init__(self, cand: Candidate, w: np.ndarray):
+    def __init__(self, cand: Candidate, w: np.ndarray, pad=None):
         n, r = w.shape[1], cand.r
         self.cand, self.size = cand, n - r
         self.lagged = np.stack([w[:, r - i:n - i] for i in range(r + 1)], axis=1)   # (B, r+1, size)
         self.lags = [j for j in cand.ma_lags if j < self.size]                       # of the full MA poly
         self.n_lags = [i for i in range(1, cand.q + 1) if i < self.size]
         self.s_lags = [j * cand.s for j in range(1, cand.Q + 1) if j * cand.s < self.size]
+        self.live = None
+        if pad is not None and np.any(pad):
+            self.live = np.arange(self.size)[None, :] >= np.asarray(pad)[:, None]   # (B, size)
 
     def _inverse_ma(self, x: np.ndarray, thetas: np.ndarray) -> np.ndarray:
         _ar, _sar, ma, sma = self.cand.split(thetas)
@@ -162,6 +171,8 @@ class _Batch:
         lagged = self.lagged if rows is None else self.lagged[rows]
         with np.errstate(all="ignore"):
             rhs = np.matmul(a[:, None, :], lagged)[:, 0, :]
+        if self.live is not None:
+            rhs = np.where(self.live if rows is None else self.live[rows], rhs, 0.0)
         return self._inverse_ma(rhs, thetas)
 
     def jacobian(self, thetas: np.ndarray, e: np.ndarray, rows) -> np.ndarray:
@@ -170,6 +181,8 @@ class _Batch:
         da, dm = self.cand.poly_derivs_batch(thetas)
         with np.errstate(all="ignore"):
             drhs = np.matmul(da, self.lagged[rows])
+            if self.live is not None:
+                drhs = np.where(self.live[rows][:, None, :], drhs, 0.0)
             if self.lags:
                 size = self.size
                 shifted = np.zeros((e.shape[0], len(self.lags), size))
@@ -207,37 +220,58 @@ def common_start(grid, n: int, min_obs: int = 12) -> int:
 TRIES = 3
 
 
-def fit_many(ys, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e-6) -> list:
-    """Fit one candidate to each row of ``ys`` (B, n), all of length n. Returns per series
+def fit_many(ys, order, seasonal, start=0, max_iter: int = 200, tol: float = 1e-6) -> list:
+    """Fit one candidate to each series of ``ys`` (a 2-D array, or a list of 1-D series of
+    any lengths; ``start`` is one index or one per series). Returns per series
     dict(params, sse, n, sigma2, aic, iterations) or None on failure (too short, non-finite)."""
     cand = Candidate(*order, *seasonal)
-    ys = np.atleast_2d(np.asarray(ys, dtype=float))
-    nb, n = ys.shape
+    series = [np.asarray(y, dtype=float) for y in ys]
+    total = len(series)
+    lens = np.array([len(y) for y in series], dtype=int)
+    starts = np.broadcast_to(np.asarray(start, dtype=int), (total,))
     dp = _diff_poly(cand.d, cand.D, cand.s)
-    width = len(dp)
-    if n < width:
-        return [None] * nb
+    width, k = len(dp), cand.k
+    firsts = np.maximum(starts - cand.lead, cand.r)  # first residual index (in each w) that counts
+    n_obs_all = lens - width + 1 - firsts
+    usable = np.flatnonzero((lens >= width) & (n_obs_all > k + 1))
+    results = [None] * total
+    if not len(usable):
+        return results
+    n = int(lens[usable].max())
+    pad = n - lens[usable]
+    ys = np.zeros((len(usable), n))
+    for j, b in enumerate(usable):
+        ys[j, pad[j]:] = series[b]
+    nb = len(usable)
     w = sum(dp[i] * ys[:, width - 1 - i:n - i] for i in range(width))       # differenced, (B, n-width+1)
-    first = max(start - cand.lead, cand.r)           # first residual index (in w) that counts
-    n_obs = w.shape[1] - first
-    k = cand.k
-    if n_obs <= k + 1:
-        return [None] * nb
-    cut = first - cand.r
-    system = _Batch(cand, w)
+    system = _Batch(cand, w, pad)
+    n_obs = n_obs_all[usable]
+    cuts = firsts[usable] - cand.r + pad           # first counted residual (padded coordinates)
+    cut = int(cuts.min())
+    counted = None if np.all(cuts == cut) else (np.arange(system.size - cut)[None, :] >= (cuts - cut)[:, None])
+
+    def obs(x, rows):
+        """The counted residuals (or Jacobian rows) of series ``rows``; zero where not counted."""
+        x = x[..., cut:]
+        if counted is None:
+            return x
+        m = counted[rows]
+        return np.where(m if x.ndim == 2 else m[:, None, :], x, 0.0)
 
     theta = np.zeros((nb, k))
     full = system.residuals(theta)
+    every = np.arange(nb)
     with np.errstate(all="ignore"):
-        sse = np.einsum("bt,bt->b", full[:, cut:], full[:, cut:])
+        e0 = obs(full, every)
+        sse = np.einsum("bt,bt->b", e0, e0)
     iters = np.zeros(nb, dtype=int)
     lam = np.full(nb, 1e-3)
     active = np.isfinite(sse) if k else np.zeros(nb, dtype=bool)
     while active.any():
         rows = np.flatnonzero(active)
         iters[rows] += 1
-        jac = system.jacobian(theta[rows], full[rows], rows)[:, :, cut:]    # (A, k, n_obs)
-        e = full[rows, cut:]
+        jac = obs(system.jacobian(theta[rows], full[rows], rows), rows)    # (A, k, counted)
+        e = obs(full[rows], rows)
         with np.errstate(all="ignore"):
             grad = np.matmul(jac, e[:, :, None])[:, :, 0]
             hess = np.matmul(jac, jac.transpose(0, 2, 1))
@@ -264,7 +298,8 @@ def fit_many(ys, order, seasonal, start: int = 0, max_iter: int = 200, tol: floa
                 cand_theta = theta[src] + steps[tried]
                 new_full = system.residuals(cand_theta, src)
                 with np.errstate(all="ignore"):
-                    s_new[tried] = np.einsum("bt,bt->b", new_full[:, cut:], new_full[:, cut:])
+                    e_new = obs(new_full, src)
+                    s_new[tried] = np.einsum("bt,bt->b", e_new, e_new)
             s_old = sse[rows[pi]]
             with np.errstate(all="ignore"):
                 better = (np.isfinite(s_new) & (s_new < np.repeat(s_old, TRIES))).reshape(len(pi), TRIES)
@@ -292,21 +327,19 @@ def fit_many(ys, order, seasonal, start: int = 0, max_iter: int = 200, tol: floa
         stop = ~improved | done | (iters[rows] >= max_iter) | ~np.isfinite(sse[rows])
         active[rows[stop]] = False
 
-    out = []
-    for b in range(nb):
-        if not np.isfinite(sse[b]) or sse[b] < 0:
-            out.append(None)
+    for j, b in enumerate(usable):
+        if not np.isfinite(sse[j]) or sse[j] < 0:
             continue
-        sigma2 = max(float(sse[b]) / n_obs, 1e-300)
-        aic = n_obs * math.log(sigma2) + 2 * (k + 1)
-        out.append({"params": theta[b].copy(), "sse": float(sse[b]), "n": int(n_obs), "sigma2": float(sigma2),
-                    "aic": float(aic), "iterations": int(iters[b]), "cand": cand, "first": first})
-    return out
+        sigma2 = max(float(sse[j]) / n_obs[j], 1e-300)
+        aic = n_obs[j] * math.log(sigma2) + 2 * (k + 1)
+        results[b] = {"params": theta[j].copy(), "sse": float(sse[j]), "n": int(n_obs[j]), "sigma2": float(sigma2),
+                      "aic": float(aic), "iterations": int(iters[j]), "cand": cand, "first": int(firsts[b])}
+    return results
 
 
 def fit(y, order, seasonal, start: int = 0, max_iter: int = 200, tol: float = 1e-6):
     """Fit one candidate to one series (``fit_many`` with a batch of one)."""
-    return fit_many(np.asarray(y, dtype=float)[None, :], order, seasonal, start, max_iter, tol)[0]
+    return fit_many([y], order, seasonal, start, max_iter, tol)[0]
 
 
 def forecast(y, fitted: dict, steps: int, z: float = 1.959963984540054):

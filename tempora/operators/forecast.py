@@ -155,25 +155,30 @@ FIT_SCHEMA = "series_key string, grid_idx int, p int, d int, q int, sp int, sd i
 BATCH_SERIES = 512
 
 
+def _by_length(pdf, pos):
+    """Row positions ``pos`` ordered by series length, so a chunk of them pads little."""
+    lengths = pdf["values"].map(len).to_numpy()[pos]
+    return pos[np.argsort(lengths, kind="stable")]
+
+
 def _fit_batches(batches):
-    """Rows (series, candidate) -> AIC per row. Rows of one candidate order and one series
-    length are fitted together as one ``arima.fit_many`` batch."""
+    """Rows (series, candidate) -> AIC per row. Rows of one candidate order are fitted
+    together as ``arima.fit_many`` batches (series of any lengths, shortest first)."""
     grid = order_grid()
     for pdf in batches:
         if pdf.empty:
             continue
         aics = np.full(len(pdf), np.nan)
-        lengths = pdf["values"].map(len)
-        keys = pdf[ORDER_COLS].astype(int).assign(_n=lengths)
-        for key, idx in keys.groupby(list(keys.columns), sort=False).groups.items():
-            p, d, q, sp, sd, sq, s, n = (int(v) for v in key)
-            pos = pdf.index.get_indexer(idx)
+        keys = pdf[ORDER_COLS].astype(int)
+        for key, idx in keys.groupby(ORDER_COLS, sort=False).groups.items():
+            p, d, q, sp, sd, sq, s = (int(v) for v in key)
+            pos = _by_length(pdf, pdf.index.get_indexer(idx))
             for lo in range(0, len(pos), BATCH_SERIES):
                 chunk = pos[lo:lo + BATCH_SERIES]
-                ys = np.stack([np.asarray(pdf["values"].iat[i], dtype=float) for i in chunk])
+                ys = [np.asarray(pdf["values"].iat[i], dtype=float) for i in chunk]
                 try:
-                    res = arima.fit_many(ys, (p, d, q), (sp, sd, sq, s), start=arima.common_start(grid, n),
-                                         max_iter=MAX_ITER)
+                    res = arima.fit_many(ys, (p, d, q), (sp, sd, sq, s), max_iter=MAX_ITER,
+                                         start=[arima.common_start(grid, len(y)) for y in ys])
                 except Exception:  # a failing candidate is skipped, as in the source
                     res = [None] * len(chunk)
                 aics[chunk] = [np.nan if r is None else r["aic"] for r in res]
@@ -198,7 +203,8 @@ def grid_slices(grid, n_slices: int) -> list[list[int]]:
 
 def _fit_slices(grid, slices):
     """Task function: rows (series, values, slice) -> one AIC row per series and candidate
-    of the slice. Series of one slice and one length are fitted as one batch per candidate."""
+    of the slice. Series of one slice (any lengths, shortest first) are fitted as one batch
+    per candidate."""
     full = order_grid()
 
     def run(batches):
@@ -206,13 +212,12 @@ def _fit_slices(grid, slices):
             if pdf.empty:
                 continue
             out = []
-            keys = pdf[["_slice"]].assign(_n=pdf["values"].map(len))
-            for (sl, n), idx in keys.groupby(["_slice", "_n"], sort=False).groups.items():
-                pos = pdf.index.get_indexer(idx)
-                start = arima.common_start(full, int(n))
+            for sl, idx in pdf.groupby("_slice", sort=False).groups.items():
+                pos = _by_length(pdf, pdf.index.get_indexer(idx))
                 for lo in range(0, len(pos), BATCH_SERIES):
                     chunk = pos[lo:lo + BATCH_SERIES]
-                    ys = np.stack([np.asarray(pdf["values"].iat[i], dtype=float) for i in chunk])
+                    ys = [np.asarray(pdf["values"].iat[i], dtype=float) for i in chunk]
+                    start = [arima.common_start(full, len(y)) for y in ys]
                     names = pdf["series_key"].to_numpy()[chunk]
                     for gi in slices[int(sl)]:
                         g = grid[gi]
@@ -318,22 +323,21 @@ FORECAST_SCHEMA = "series_key string, step int, mean double, lower double, upper
 
 
 def _forecast_batches(batches):
-    """Refit each series' chosen order (series of one order and length as one batch) and
-    forecast ``steps`` months."""
+    """Refit each series' chosen order (series of one order as one batch) and forecast
+    ``steps`` months."""
     grid = order_grid()
     for pdf in batches:
         out = []
-        lengths = pdf["values"].map(len)
-        keys = pdf[ORDER_COLS].astype(int).assign(_n=lengths)
-        for key, idx in keys.groupby(list(keys.columns), sort=False).groups.items():
-            p, d, q, sp, sd, sq, s, n = (int(v) for v in key)
+        keys = pdf[ORDER_COLS].astype(int)
+        for key, idx in keys.groupby(ORDER_COLS, sort=False).groups.items():
+            p, d, q, sp, sd, sq, s = (int(v) for v in key)
             order, seasonal = (p, d, q), (sp, sd, sq, s)
-            pos = pdf.index.get_indexer(idx)
+            pos = _by_length(pdf, pdf.index.get_indexer(idx))
             for lo in range(0, len(pos), BATCH_SERIES):
                 chunk = pos[lo:lo + BATCH_SERIES]
                 ys = [np.asarray(pdf["values"].iat[i], dtype=float) for i in chunk]
-                fits = arima.fit_many(np.stack(ys), order, seasonal, start=arima.common_start(grid, n),
-                                      max_iter=MAX_ITER)
+                fits = arima.fit_many(ys, order, seasonal, max_iter=MAX_ITER,
+                                      start=[arima.common_start(grid, len(y)) for y in ys])
                 for i, y, res in zip(chunk, ys, fits):
                     if res is None:
                         res = arima.fit(y, order, seasonal, start=0, max_iter=MAX_ITER)

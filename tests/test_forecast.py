@@ -91,7 +91,7 @@ def test_fit_rows_grouped_by_order_and_length():
     import pandas as pd
     grid = SMALL_GRID
     rows = []
-    for sid, n in enumerate([60, 48, 60, 14, 48]):
+    for sid, n in enumerate([60, 48, 60, 14, 48, 37]):
         y = synthetic(n, 100 + sid)
         for gi, g in enumerate(grid):
             rows.append({"series_key": f"s{sid}", "values": y, "grid_idx": gi,
@@ -135,6 +135,21 @@ def test_fit_units_ship_each_series_once_per_slice(spark):
     assert FC.fit_units(packed.limit(0), FC.order_grid()) is None
 
 
+def test_batched_fit_mixed_lengths_equals_single_fits():
+    """Series of different lengths share a batch (front-padded and masked); each gets the fit
+    and the sample (its own common start) it gets alone; too-short ones give None."""
+    ys = [synthetic(n, 200 + n) for n in (67, 40, 25, 90, 14, 55)]
+    starts = [arima.common_start(FC.order_grid(), len(y)) for y in ys]
+    for order, seasonal in [((1, 1, 1), (0, 1, 1, 12)), ((2, 1, 2), (1, 1, 1, 12)), ((1, 0, 0), (1, 0, 0, 12))]:
+        batch = arima.fit_many(ys, order, seasonal, start=starts)
+        for y, st, b in zip(ys, starts, batch):
+            one = arima.fit(y, order, seasonal, start=st)
+            assert (one is None) == (b is None)
+            if one is not None:
+                assert b["iterations"] == one["iterations"] and b["n"] == one["n"]
+                assert abs(b["aic"] - one["aic"]) <= 1e-8 * max(1.0, abs(one["aic"]))
+
+
 def test_too_short_series_fail():
     assert arima.fit(np.arange(10.0), (2, 1, 2), (1, 1, 1, 12)) is None
     assert arima.fit_many(np.ones((3, 14)), (1, 1, 1), (1, 1, 1, 12)) == [None, None, None]
