@@ -133,6 +133,9 @@ def test_fit_units_ship_each_series_once_per_slice(spark):
     assert rows.rdd.getNumPartitions() == len(slices)
     assert rows.groupBy("_slice").count().filter("count != 3").count() == 0
     assert FC.fit_units(packed.limit(0), FC.order_grid()) is None
+    plan = FC.fit_candidates(packed)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "MapInPandas" in plan and "Generate" in plan
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 def test_batched_fit_mixed_lengths_equals_single_fits():
