@@ -1,8 +1,8 @@
 """Spark session defaults for tempora jobs.
 
 On a cluster the session is created by the platform and already names a shared
-``spark.checkpoint.dir``; we only read it. Local runs and tests get a fresh folder
-under /tmp because nothing else names one.
+``spark.checkpoint.dir``; we only read it (and refuse to run without it). Local runs and
+tests get a fresh folder under /tmp because nothing else names one.
 """
 
 from __future__ import annotations
@@ -45,8 +45,10 @@ def get_spark(master: str | None = None, app: str = "tempora", shuffle_partition
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's ``spark.checkpoint.dir``; only when it is unset (local runs,
-    tests) create a private folder under /tmp."""
+    """Use the session's ``spark.checkpoint.dir``; only when it is unset on a local master
+    (local runs, tests) create a private folder under /tmp. A cluster session without a
+    shared checkpoint folder is an error: a machine-local folder would not survive the
+    loss of an executor."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
@@ -54,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="tempora-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
