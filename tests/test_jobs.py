@@ -83,3 +83,38 @@ def test_migrate_dry_run(spark, tmp_dir):
     n = J.migrate(spark, src, f"{tmp_dir}/m", "economic", dry_run=True)
     assert n == src.count() == J.migrate(spark, src, f"{tmp_dir}/m", "economic")
     assert spark.read.parquet(f"{tmp_dir}/m").filter(F.col("observed_at").contains("T")).count() == n
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _Context:
+    def __init__(self, master):
+        self.master, self.dir = master, None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, path):
+        self.dir = path
+
+
+class _Session:
+    def __init__(self, master, conf=None):
+        self.conf, self.sparkContext = _Conf(conf or {}), _Context(master)
+
+
+def test_checkpoint_dir_is_read_from_session_and_never_local_on_a_cluster():
+    import pytest
+    from tempora.session import ensure_checkpoint_dir
+    shared = _Session("spark://cluster:7077", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+    assert ensure_checkpoint_dir(shared) == "hdfs:///shared/ckpt" and shared.sparkContext.dir == "hdfs:///shared/ckpt"
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session("spark://cluster:7077"))
+    local = _Session("local[2]")
+    assert ensure_checkpoint_dir(local).startswith(("/tmp", __import__("os").environ.get("TMPDIR", "/tmp")))
