@@ -10,16 +10,19 @@ encoded whole.
 
 from __future__ import annotations
 
+import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 #: Entries a worker's memo may hold; about 200 bytes each.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
 
 #: Marks that may follow a word and always form a token group of their own there.
 MARKS = ".,;:!?"
 
+#: Words of these letters only are one group for the pre-tokenizer.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -30,12 +33,24 @@ class Whole(Exception):
     """The text must be encoded in one piece."""
 
 
+class Symbols(dict):
+    """Code point -> its symbols in the byte-level alphabet, for str.translate."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.split = tokenizer.pre_tokenizer.pre_tokenize_str
+
+    def __missing__(self, point: int) -> str:
+        self[point] = found = "".join(part for part, _ in self.split(chr(point)))
+        return found
+
+
 class Words(dict):
     """word -> its ids as little-endian 32-bit bytes; ``lead`` is the space before it or ''."""
 
-    def __init__(self, encode, lead: str, starts: Words | None = None):
+    def __init__(self, encoder: Encoder, lead: str, starts: Words | None = None):
         super().__init__()
-        self.encode, self.lead, self.starts = encode, lead, self if starts is None else starts
+        self.encoder, self.lead, self.starts = encoder, lead, self if starts is None else starts
 
     def __missing__(self, word: str) -> bytes:
         if "\n" in word:
@@ -43,14 +58,17 @@ class Words(dict):
             if not first or not all(rest):
                 raise Whole
             # each line break stands alone between two visible characters
-            return self[first] + b"".join(self.encode("\n") + self.starts[w] for w in rest)
-        if not word or "<|" in word or word.split() != [word]:
-            raise Whole
+            mark = self.encoder.short("\n")
+            return self[first] + b"".join(mark + self.starts[w] for w in rest)
         base = word.rstrip(MARKS)
         if base != word and base and base[-1].isalpha():
-            ids = self[base] + self.encode(word[len(base):])
+            return self[base] + self.encoder.short(word[len(base):])
+        if LATIN.fullmatch(word):
+            ids = self.encoder.letters(self.lead + word)
+        elif not word or "<|" in word or word.split() != [word]:
+            raise Whole
         else:
-            ids = self.encode(self.lead + word)
+            ids = self.encoder.whole(self.lead + word)
         if len(self) >= MEMO_WORDS:
             self.clear()
         self[word] = ids
@@ -63,12 +81,17 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        piece = lru_cache(maxsize=4096)(self.whole)  # marks and line breaks
-        self.first = Words(lambda s: piece(s) if len(s) < 4 else self.whole(s), "")
-        self.rest = Words(lambda s: piece(s) if len(s) < 4 else self.whole(s), " ", self.first)
+        self.symbols, self.merge = Symbols(self.tokenizer), self.tokenizer.model.tokenize
+        self.short = lru_cache(maxsize=4096)(self.whole)  # marks and line breaks
+        self.first = Words(self, "")
+        self.rest = Words(self, " ", self.first)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def letters(self, group: str) -> bytes:
+        """Ids of one pre-tokenizer group, by the tokenizer's merge model alone."""
+        return array("I", [t.id for t in self.merge(group.translate(self.symbols))]).tobytes()
 
     def ids(self, text: str | None) -> bytes:
         """Ids of the whole text; null counts as empty."""
