@@ -12,7 +12,8 @@ No bucket is expanded into all its pairs:
 * in every bucket each member is compared with the bucket's smallest member (its pivot);
 * confirmed links give components; only buckets that still hold several components are
   looked at again, and there only pairs of different components are compared, so no link
-  between components is lost.
+  between components is lost. What a document shares with any other of them bounds its similarity
+  exactly, which rules out heavily changed copies without comparing them.
 
 Defined cases: null and empty texts, and texts of white space, have the empty set and link
 with nothing; fewer words than a shingle make one shingle of the whole sequence; repeated rows
@@ -122,6 +123,13 @@ def _possible(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def _shared(sets: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, shared): how many of a document's shingles any other of ``reps`` has too."""
+    each = sets.join(reps, "rep", "left_semi").select("rep", F.explode("shingles").alias("x"))
+    common = each.groupBy("x").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("x")
+    return each.join(common, "x").groupBy("rep").agg(F.count(F.lit(1)).alias("shared"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (rep, other) whose full sets are similar, as edges (u, v). The set of ``rep``
     travels to ``other``; both joins are plain sort-merge joins that AQE can split when one
@@ -168,10 +176,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "key", "rep", "n", "pivot", F.coalesce("component", "rep").alias("c"))
     open_keys = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter(
         "low <> high").select("key")
-    rest = stored(labelled.join(open_keys, "key").filter("rep <> pivot"), "open")
+    rest = stored(labelled.join(open_keys, "key").filter("rep <> pivot").select("key", "rep", "n", "c"), "open")
+    rest = rest.join(_shared(sets, rest.select("rep").distinct()), "rep")
     a, b = rest.alias("a"), rest.alias("b")
-    second = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep")) & (F.col("a.c") != F.col("b.c"))
-                    & _possible("a.n", "b.n", percent))
+    # |intersection| <= the smaller count of shared shingles, |union| >= what is left of both
+    reach = 100 * F.least("a.shared", "b.shared") >= percent * (
+        F.col("a.n") + F.col("b.n") - F.least("a.shared", "b.shared"))
+    second = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep"))
+                    & (F.col("a.c") != F.col("b.c")) & reach)
     second = second.select(F.col("b.rep").alias("rep"), F.col("a.rep").alias("other")).distinct()
     more = stored(_confirmed(second, sets, percent), "more-links")
     if not more.isEmpty():
