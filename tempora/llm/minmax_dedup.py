@@ -123,11 +123,25 @@ def _possible(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _shared(sets: DataFrame, reps: DataFrame) -> DataFrame:
-    """(rep, shared): how many of a document's shingles any other of ``reps`` has too."""
-    each = sets.join(reps, "rep", "left_semi").select("rep", F.explode("shingles").alias("x"))
+def _open(members: DataFrame, found: DataFrame, shared: DataFrame | None) -> DataFrame:
+    """(key, rep, n, c) of the members, pivots aside, of buckets whose members are of several
+    components c (pivots were compared with every member); with ``shared``, of its rows only."""
+    labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", "n", "pivot", F.coalesce("component", "rep").alias("c"))
+    if shared is not None:
+        labelled = labelled.join(shared, "rep")
+    several = labelled.filter("rep <> pivot").groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter(
+        "low <> high").select("key")
+    return labelled.join(several, "key").filter("rep <> pivot").drop("pivot")
+
+
+def _shared(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(rep, shared): how many of a document's shingles any other of ``reps`` has too; documents that
+    have too few for any link are left out."""
+    each = sets.join(reps, "rep", "left_semi").select("rep", "n", F.explode("shingles").alias("x"))
     common = each.groupBy("x").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("x")
-    return each.join(common, "x").groupBy("rep").agg(F.count(F.lit(1)).alias("shared"))
+    return each.join(common, "x").groupBy("rep", "n").agg(F.count(F.lit(1)).alias("shared")).filter(
+        100 * F.col("shared") >= percent * F.col("n")).select("rep", "shared")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -171,13 +185,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = stored(_confirmed(first, sets, percent), "links")
     found = components(links, "components")
 
-    # buckets that hold several components: compare across them
-    labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "n", "pivot", F.coalesce("component", "rep").alias("c"))
-    open_keys = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter(
-        "low <> high").select("key")
-    rest = stored(labelled.join(open_keys, "key").filter("rep <> pivot").select("key", "rep", "n", "c"), "open")
-    rest = rest.join(_shared(sets, rest.select("rep").distinct()), "rep")
+    # buckets that hold several components: first against their least changed member ...
+    rest = stored(_open(members, found, None), "open")
+    shared = stored(_shared(sets, rest.select("rep").distinct(), percent), "shared")
+    rest = rest.join(shared, "rep")
+    cleanest = rest.groupBy("key").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("s"), "rep")).alias("best")).select(
+        "key", F.col("best.rep").alias("other"))
+    middle = rest.join(cleanest, "key").filter("rep <> other").select("rep", "other").distinct()
+    middle = middle.join(sizes, "other").join(sizes.select(F.col("other").alias("rep"), F.col("m").alias("n")), "rep").filter(
+        _possible("n", "m", percent)).select("rep", "other")
+    links = stored(links.union(_confirmed(middle, sets, percent)), "links")
+    found = components(links, "components")
+
+    # ... then, where components are still several, across all of them
+    rest = stored(_open(members, found, shared), "open")
     a, b = rest.alias("a"), rest.alias("b")
     # |intersection| <= the smaller count of shared shingles, |union| >= what is left of both
     reach = 100 * F.least("a.shared", "b.shared") >= percent * (
