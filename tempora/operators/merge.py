@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.types import TimestampNTZType
 
 from tempora.operators.dedupe import _orderable
+from tempora.session import cut_lineage
 
 
 def keep_one(df: DataFrame, keys, order: list[Column]) -> DataFrame:
@@ -23,6 +23,11 @@ def keep_one(df: DataFrame, keys, order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def one_per_key(df: DataFrame, keys, order_cols, newest_first: bool) -> DataFrame:
+    """One row per key under ``order_cols``, the remaining columns breaking ties."""
+    return keep_one(df, keys, _batch_order(df, keys, order_cols, newest_first))
+
+
 def _batch_order(df: DataFrame, keys, order_cols, newest_first: bool) -> list[Column]:
     order_cols = list(order_cols) + _orderable(df, set(keys) | set(order_cols))
     return [F.col(c).desc_nulls_last() if newest_first else F.col(c).asc_nulls_last() for c in order_cols]
@@ -35,23 +40,20 @@ def upsert_last_wins(target: DataFrame, batch: DataFrame, keys, update_cols, ord
     from the target when the key existed. Inside the batch the newest row per key wins
     (``order_cols`` descending, remaining columns as tie-break). The target's key is unique."""
     keys = list(keys)
-    b = keep_one(batch, keys, _batch_order(batch, keys, order_cols, newest_first=True))
-    t = target.withColumn("_in_t", F.lit(True))
-    b = b.withColumn("_in_b", F.lit(True))
-    j = t.alias("t").join(b.alias("b"), keys, "full_outer")
-    in_b, in_t = F.col("_in_b").isNotNull(), F.col("_in_t").isNotNull()
+    b = one_per_key(batch, keys, order_cols, newest_first=True)
+    kept = [c for c in target.columns if c not in keys and c not in update_cols
+            and (c in keep_cols or c not in batch.columns)]
+    old = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in kept], F.lit(True).alias("_in_t"))
+    arrived = b.join(old, keys, "left")
     out = []
     for c in target.columns:
-        if c in keys:
-            out.append(F.col(c))
-        elif c in update_cols:
-            out.append(F.when(in_b, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-        elif c in keep_cols or c not in batch.columns:
-            fallback = F.col(f"b.{c}") if c in batch.columns else F.lit(None)
-            out.append(F.when(in_t, F.col(f"t.{c}")).otherwise(fallback).alias(c))
+        if c in kept:
+            fallback = F.col(c) if c in batch.columns else F.lit(None)
+            out.append(F.when(F.col("_in_t"), F.col(f"_t_{c}")).otherwise(fallback).alias(c))
         else:
-            out.append(F.when(in_b, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    return j.select(*out)
+            out.append(F.col(c))
+    untouched = target.join(b.select(*keys), keys, "left_anti").select(*target.columns)
+    return untouched.unionByName(arrived.select(*out))
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys, order_cols=("created_at",)) -> DataFrame:
@@ -77,17 +79,21 @@ def get_or_create(dim: DataFrame, candidates: DataFrame, natural_key, id_col: st
     """SNK-3: members of ``candidates`` missing from ``dim`` (by natural key) get new
     surrogate ids max(id)+1, +2, .. in natural-key order; returns the new members.
 
-    Consecutive ids without a single-partition window: a distributed sort on the natural
-    key, then ``zipWithIndex`` (one job counts rows per sorted partition, the next numbers
-    each partition from its offset)."""
+    Consecutive ids without a single-partition window over the members: they are range
+    partitioned on the natural key and checkpointed (so partition numbers are fixed), numbered
+    within their partition, and offset by the counts of the partitions before (one row each)."""
     natural_key = list(natural_key)
-    new = candidates.dropDuplicates(natural_key).join(dim.select(*natural_key), natural_key, "left_anti")
-    top = dim.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).first()["top"]  # one scalar
     others = [c for c in candidates.columns if c != id_col]
-    ordered = new.select(*others).orderBy(*natural_key)
-    numbered = ordered.rdd.zipWithIndex().map(lambda ri: (int(top) + ri[1] + 1,) + tuple(ri[0]))
-    schema = T.StructType([T.StructField(id_col, T.LongType(), False)] + [ordered.schema[c] for c in others])
-    return new.sparkSession.createDataFrame(numbered, schema).select(*candidates.columns)
+    first = one_per_key(candidates.select(*others), natural_key, (), newest_first=False)
+    new = first.join(dim.select(*natural_key), natural_key, "left_anti").select(*others)
+    parts = cut_lineage(new.repartitionByRange(*natural_key).withColumn("_part", F.spark_partition_id()))
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    top = dim.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_top"))
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*natural_key))
+    numbered = parts.withColumn("_rank", rank).join(before, "_part").withColumn("_one", F.lit(1)).join(
+        top.withColumn("_one", F.lit(1)), "_one")
+    return numbered.withColumn(id_col, F.col("_top") + F.col("_before") + F.col("_rank")).select(*candidates.columns)
 
 
 def add_missing_columns(df: DataFrame, columns: dict) -> DataFrame:

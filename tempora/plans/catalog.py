@@ -368,8 +368,8 @@ register("new_locations", with_ctes(["locations"], """SELECT CAST((SELECT COALES
 register("events_daily_stream", f"""
 WITH e AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day_start, event_type, value FROM events),
 wm AS (SELECT MAX(ts) - INTERVAL 1 HOUR AS w FROM events)
-SELECT day_start, event_type, COUNT(*) AS n, {exact_avg('value')} AS avg_value, {exact_sum('value')} AS sum_value
-FROM e WHERE day_start + INTERVAL 1 DAY <= (SELECT w FROM wm) GROUP BY 1, 2""", ST.events_daily_stream)
+SELECT day_start, event_type, COUNT(*) AS n, {exact_avg('value')} AS avg_value, {exact_sum('value')} AS sum_value,
+  day_start + INTERVAL 1 DAY <= (SELECT w FROM wm) AS closed FROM e GROUP BY 1, 2""", ST.events_daily_stream)
 
 register("events_dedupe_stream", """SELECT event_id, ts, user_id, event_type, value FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) t WHERE rn = 1""",
@@ -397,9 +397,10 @@ _SERIES_CTES = [
                 "metric, location_name, CAST(year_month || '-01' AS DATE) AS month, value "
                 "FROM (SELECT * FROM fw UNION ALL SELECT * FROM fe UNION ALL SELECT * FROM fr) a"),
     ("fsplit", f"""SELECT series_key, domain, metric, location_name, month, value,
-        CASE WHEN rk <= {FCQ.TEST_MONTHS} THEN 'test' ELSE 'train' END AS split FROM (
+        CASE WHEN n <= {FCQ.TEST_MONTHS} THEN 'too_short' WHEN rk <= {FCQ.TEST_MONTHS} THEN 'test' ELSE 'train' END
+        AS split FROM (
         SELECT *, ROW_NUMBER() OVER (PARTITION BY series_key ORDER BY month DESC) AS rk,
-               COUNT(*) OVER (PARTITION BY series_key) AS n FROM fseries) x WHERE n > {FCQ.TEST_MONTHS}"""),
+               COUNT(*) OVER (PARTITION BY series_key) AS n FROM fseries) x"""),
 ]
 _MARTS = ["monthly_macro_weather", "monthly_retail_macro"]
 
@@ -415,17 +416,12 @@ register("eval_metrics_naive", with_ctes(_MARTS, f"""SELECT series_key,
   {round_half_up(f"sqrt({exact_avg(f'({_ERR}) * ({_ERR})')})", 4)} AS rmse,
   {round_half_up(exact_avg(f'abs({_ERR})'), 4)} AS mae,
   {round_half_up(exact_avg(f'CASE WHEN actual <> 0 THEN abs({_ERR}) / abs(actual) END') + ' * 100', 4)} AS mape,
-  COUNT(*) AS n
+  COUNT(*) AS n, COUNT(*) AS n_scored, 'ok' AS status
 FROM pairs GROUP BY series_key""", _SERIES_CTES + [
     ("pairs", """SELECT series_key, value AS actual, predicted FROM (
        SELECT *, LAG(value, 12) OVER (PARTITION BY series_key ORDER BY month) AS predicted FROM fsplit) x
      WHERE split = 'test' AND predicted IS NOT NULL""")]), FCQ.naive_metrics)
 
-register("forecast_orders", None, FCQ.orders)
-register("forecast_evaluate", None, FCQ.evaluate)
-register("forecast_predict", None, FCQ.predict)
-register("forecast_trajectory", None, FCQ.trajectory)
-
 register("subzero_calendar_days", with_ctes(["stg_weather"], """SELECT location_id,
   strftime(observation_date, '%Y-%m') AS year_month, COUNT(CASE WHEN t < 0 THEN 1 END) AS subzero_calendar_days
 FROM (SELECT location_id, observation_date, AVG(temperature_c) AS t FROM stg_weather GROUP BY 1, 2) d

@@ -22,6 +22,7 @@ from tempora.sinks import writers as W
 from tempora.sources import backfill
 from tempora.sources import fixtures as fx
 from tempora.sources import landed as L
+from tempora.sources import paths
 
 # name -> (upstream names, builder(as_of, *upstream DataFrames), materialisation)
 MODEL_GRAPH = {
@@ -104,7 +105,8 @@ def ingest_weather(spark: SparkSession, landing: str, table: str, fetched_at: st
     (location_id, observed_at) into the month-partitioned table."""
     rows = L.read_weather_forecast_json(spark, landing)
     rows = _stamp(rows, fetched_at).withColumn("id", F.lit(None).cast("long"))
-    months = _upsert_or_create(spark, table, rows, ["location_id", "observed_at"], WEATHER_UPDATE, "location_id")
+    months = _merge_or_create(spark, table, rows, ["location_id", "observed_at"], "upsert", WEATHER_UPDATE,
+                              "location_id")
     return {"months": months, "quarantined": L.short_hourly_payloads(spark, landing)}
 
 
@@ -114,38 +116,34 @@ def ingest_economic(spark: SparkSession, landing: str, table: str, fetched_at: s
     rows = L.read_economic_json(spark, landing)
     labels = L.code_labels(spark, FRED_SERIES, "series_id", "series_name")
     rows = _stamp(rows.join(F.broadcast(labels), "series_id", "left"), fetched_at)
-    months = _upsert_or_create(spark, table, rows, ["series_id", "observed_at"], ["series_name", "value"], "series_id")
-    return {"months": months, "quarantined": L.empty_economic_payloads(spark, landing)}
+    months = _merge_or_create(spark, table, rows, ["series_id", "observed_at"], "upsert", ["series_name", "value"],
+                              "series_id")
+    return {"months": months, "quarantined": L.empty_economic_payloads(spark, landing),
+            "rejected": L.rejected_economic_rows(spark, landing)}
 
 
 def ingest_retail(spark: SparkSession, landing: str, table: str, fetched_at: str) -> dict:
     """JOB-4: landed Census payloads; nothing parsed -> nothing written."""
     rows = _stamp(L.read_retail_json(spark, landing), fetched_at)
-    return {"months": _upsert_or_create(spark, table, rows, ["naics_code", "observed_at"],
-                                        ["category_name", "value"], "naics_code")}
+    return {"months": _merge_or_create(spark, table, rows, ["naics_code", "observed_at"], "upsert",
+                                       ["category_name", "value"], "naics_code")}
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
-
-
-def _upsert_or_create(spark, table, rows, keys, update_cols, cluster_col):
-    if not _table_exists(spark, table):
-        first = M.keep_one(rows, keys, [F.col("created_at").desc_nulls_last()])
-        W.write_table(first, table, cluster_col=cluster_col)
+def _merge_or_create(spark, table, rows, keys, mode, update_cols, cluster_col):
+    """Merge into the table, or write it where nothing is yet. A table that is there but cannot
+    be read raises; an ingest never overwrites one."""
+    if not paths.exists(spark, table):
+        first = M.one_per_key(rows, keys, ("created_at",), newest_first=mode == "upsert")
+        W.write_table(first, table, cluster_col=cluster_col, mode="errorifexists")
         return W.touched_months(first)
-    return W.rewrite_partitions(spark, table, rows, keys, "upsert", update_cols, cluster_col=cluster_col)
+    return W.rewrite_partitions(spark, table, rows, keys, mode, update_cols, cluster_col=cluster_col)
 
 
 # ------------------------------------------------------------------ backfill and migration (JOB-5, JOB-6)
 
 def backfill_plan(spark: SparkSession, locs: DataFrame, table: str, as_of: str) -> DataFrame:
     """JOB-5 step 1: the 20-day chunks each location still needs (fetching is outside Spark)."""
-    obs = spark.read.parquet(table) if _table_exists(spark, table) else \
+    obs = spark.read.parquet(table) if paths.exists(spark, table) else \
         spark.createDataFrame([], "location_id long, observed_at timestamp_ntz")
     return backfill.backfill_chunks(locs, obs, as_of)
 
@@ -154,10 +152,7 @@ def backfill_load(spark: SparkSession, landing: str, table: str, fetched_at: str
     """JOB-5 step 2: landed archive chunks inserted first-write-wins (existing readings are
     never overwritten); unreadable chunks yield no rows and do not stop the others."""
     rows = _stamp(L.read_weather_archive_json(spark, landing), fetched_at).withColumn("id", F.lit(None).cast("long"))
-    if not _table_exists(spark, table):
-        return _upsert_or_create(spark, table, rows, ["location_id", "observed_at"], WEATHER_UPDATE, "location_id")
-    return W.rewrite_partitions(spark, table, rows, ["location_id", "observed_at"], "ignore",
-                                cluster_col="location_id")
+    return _merge_or_create(spark, table, rows, ["location_id", "observed_at"], "ignore", WEATHER_UPDATE, "location_id")
 
 
 def migrate(spark: SparkSession, src: DataFrame, out: str, kind: str = "weather", dry_run: bool = False) -> int:
@@ -170,9 +165,10 @@ def migrate(spark: SparkSession, src: DataFrame, out: str, kind: str = "weather"
 
 
 def run_daily(spark: SparkSession, landing_root: str, tables_root: str, out_dir: str, fetched_at: str,
-              locations: DataFrame, as_of: str | None = None) -> DataFrame:
+              locations: DataFrame, as_of: str | None = None, gate: bool = True) -> DataFrame:
     """JOB-1: ingest the three domains (each isolated from the others' failure), build the
-    models, gate on the checks. Returns the check report."""
+    models, gate on the checks. Returns the check report with one row per ingest; a domain
+    that failed is FAIL there, and a run with ``gate`` raises after the rest is done."""
     as_of = as_of or fetched_at
     status = {}
     for name, fn in [("weather", ingest_weather), ("economic", ingest_economic), ("retail", ingest_retail)]:
@@ -180,11 +176,17 @@ def run_daily(spark: SparkSession, landing_root: str, tables_root: str, out_dir:
             fn(spark, f"{landing_root}/{name}/*.json", f"{tables_root}/{name}", fetched_at)
             status[name] = "ok"
         except Exception as e:  # one domain's failure does not stop the others
-            status[name] = f"failed: {e}"[:300]
+            status[name] = f"{type(e).__name__}: {e}"[:300]
     sources = {
         "weather_observations": spark.read.parquet(f"{tables_root}/weather").drop(W.PART_COL),
         "economic_observations": spark.read.parquet(f"{tables_root}/economic").drop(W.PART_COL),
         "retail_observations": spark.read.parquet(f"{tables_root}/retail").drop(W.PART_COL),
         "locations": locations,
     }
-    return run_models(spark, sources, out_dir, as_of)
+    report = run_models(spark, sources, out_dir, as_of, gate)
+    failed = {k: v for k, v in status.items() if v != "ok"}
+    if gate and failed:
+        raise RuntimeError(f"ingest failed: {failed}")
+    rows = [(f"ingest_{k}", int(v != "ok"), "PASS" if v == "ok" else "FAIL", v) for k, v in status.items()]
+    ingests = spark.createDataFrame(rows, "check_name string, failures long, status string, detail string")
+    return report.unionByName(ingests, allowMissingColumns=True)

@@ -9,21 +9,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempora.functions.exprs import exact_avg, exact_sum
+from tempora.sources import paths
 from tempora.streaming import streams as S
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 ROLLUP_DELAY = "1 hour"
+#: Files of the table that one micro-batch takes at most; the rest wait for the next.
+FILES_A_BATCH = 1000
 
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return S.event_time(S.read_parquet_stream(spark, sf, EVENTS_SCHEMA, glob="events.parquet"), "ts")
+    """The events table as a stream: a folder of files (read in bounded micro-batches), or one file."""
+    path = f"{sf}/events.parquet"
+    if paths.is_folder(spark, path):
+        stream = S.read_parquet_stream(spark, path, EVENTS_SCHEMA, max_files=FILES_A_BATCH)
+    else:
+        stream = S.read_parquet_stream(spark, sf, EVENTS_SCHEMA, glob="events.parquet")
+    return S.event_time(stream, "ts")
 
 
 def events_daily_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """ST-7: closed daily windows per event type (a day closes when the watermark,
-    max(ts) - 1 hour, passes its end)."""
-    return S.run_to_parquet(spark, S.daily_rollup_stream(_events_stream(spark, sf), "event_type", "ts", "value",
-                                                         ROLLUP_DELAY), "events_daily")
+    """ST-7: daily windows per event type. The stream writes a day once the watermark, max(ts) -
+    1 hour, passes its end; days that are still open are added from the table, marked as such."""
+    closed = S.run_to_parquet(spark, S.daily_rollup_stream(_events_stream(spark, sf), "event_type", "ts", "value",
+                                                           ROLLUP_DELAY), "events_daily")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    mark = events.agg((F.max("ts") - F.expr(f"INTERVAL {ROLLUP_DELAY}")).alias("w"))
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    is_open = events.withColumn("day_start", day).withColumn("_one", F.lit(1)).join(
+        mark.withColumn("_one", F.lit(1)), "_one").filter(F.col("day_start") + F.expr("INTERVAL 1 DAY") > F.col("w"))
+    rest = is_open.groupBy("day_start", "event_type").agg(
+        F.count(F.lit(1)).alias("n"), exact_avg("value").alias("avg_value"), exact_sum("value").alias("sum_value"))
+    return closed.withColumn("closed", F.lit(True)).unionByName(rest.withColumn("closed", F.lit(False)))
 
 
 def events_dedupe_stream(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tempora.functions.exprs import year_month
 from tempora.operators import merge as M
+from tempora.sources import paths
 
 PART_COL = "obs_period"
 GRAINS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
@@ -112,18 +113,19 @@ def stage_merge_clear(spark: SparkSession, path: str, batch: DataFrame, keys, st
 
 class VersionedTable:
     """SNK-8: CREATE OR REPLACE of a table that reads itself. Each replace writes a new
-    version folder; a one-line pointer file names the current one. Readers never see a
-    half-written table and a table can be rebuilt from itself."""
+    version folder, then a pointer folder under a new, later name; the newest complete pointer
+    names the current version. Nothing is replaced in place, so a crash between the two steps
+    leaves the old version current, and a table can be rebuilt from itself."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def current(self) -> str | None:
-        try:
-            row = self.spark.read.text(f"{self.root}/_current").first()
-        except Exception:
-            return None
-        return row[0] if row else None
+        pointers = f"{self.root}/_pointers"
+        for name in reversed(paths.folder_names(self.spark, pointers)):
+            if paths.exists(self.spark, f"{pointers}/{name}/_SUCCESS"):
+                return self.spark.read.text(f"{pointers}/{name}").first()[0]
+        return None
 
     def read(self) -> DataFrame:
         cur = self.current()
@@ -134,8 +136,10 @@ class VersionedTable:
     def replace(self, df: DataFrame) -> str:
         version = f"{self.root}/v_{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(version)
+        newest = paths.folder_names(self.spark, f"{self.root}/_pointers")[-1:] or ["0"]
+        name = f"{int(newest[0].split('-')[0]) + 1:012d}-{uuid.uuid4().hex}"
         self.spark.createDataFrame([(version,)], "path string").coalesce(1) \
-            .write.mode("overwrite").text(f"{self.root}/_current")
+            .write.mode("errorifexists").text(f"{self.root}/_pointers/{name}")
         return version
 
 

@@ -54,8 +54,9 @@ def read_economic_json(spark: SparkSession, path: str, series_id: str | None = N
     sid = F.coalesce(F.col("series_id"), F.lit(series_id))
     rows = raw.select(sid.alias("series_id"), F.inline("observations"))
     rows = rows.filter(F.col("value") != ".")
-    out = rows.select("series_id", F.col("value").cast("double").alias("value"),
-                      F.to_timestamp_ntz(F.col("date")).alias("observed_at"))
+    out = rows.select("series_id", F.col("value").try_cast("double").alias("value"),
+                      F.col("date").try_cast("timestamp_ntz").alias("observed_at"))
+    out = out.filter(F.col("value").isNotNull() & F.col("observed_at").isNotNull())  # see rejected_economic_rows
     if start:
         out = out.filter(F.col("observed_at") >= F.to_timestamp_ntz(F.lit(start)))
     if end:
@@ -63,6 +64,16 @@ def read_economic_json(spark: SparkSession, path: str, series_id: str | None = N
     return out
 
 
+def rejected_economic_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that ``read_economic_json`` cannot take, as landed, with their file and the reason."""
+    raw = _json(spark, path, ECONOMIC_PAYLOAD).withColumn("file", F.input_file_name())
+    rows = raw.select("file", "series_id", F.inline("observations"))
+    bad_time = F.col("date").try_cast("timestamp_ntz").isNull()
+    bad_value = F.col("value").try_cast("double").isNull()
+    return rows.filter(F.coalesce(F.col("value") != ".", F.lit(True)) & (bad_time | bad_value)).select(
+        "file", "series_id", "date", "value", F.when(bad_time, "time").otherwise("value").alias("reason"))
+
+
 def empty_economic_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Payloads with no observations (the source raises for them): a quarantine list."""
     raw = _json(spark, path, ECONOMIC_PAYLOAD)
@@ -81,16 +92,22 @@ def _hourly_rows(raw: DataFrame) -> DataFrame:
     return raw.select("location_id", F.inline(zipped))
 
 
+def _complete() -> F.Column:
+    """A forecast payload with a readable time array that no required array falls short of; never NULL,
+    so every payload is either read or quarantined."""
+    ok = F.size("hourly.time") >= 0
+    for f in HOURLY_FIELDS[1:5]:
+        ok = ok & (F.coalesce(F.size(f"hourly.{f}"), F.lit(-1)) >= F.size("hourly.time"))
+    times = F.forall("hourly.time", lambda t: t.try_cast("timestamp_ntz").isNotNull())
+    return F.coalesce(ok & times, F.lit(False))
+
+
 def read_weather_forecast_json(spark: SparkSession, path: str) -> DataFrame:
     """Forecast payloads -> one row per hour. Missing or NULL precipitation -> 0.0.
     The four other arrays are index-strict: payloads where one is shorter than ``time``
     are returned by ``short_hourly_payloads`` and left out here."""
     raw = _json(spark, path, HOURLY_PAYLOAD)
-    n = F.size("hourly.time")
-    strict_ok = F.lit(True)
-    for f in HOURLY_FIELDS[1:5]:
-        strict_ok = strict_ok & (F.coalesce(F.size(f"hourly.{f}"), F.lit(-1)) >= n)
-    rows = _hourly_rows(raw.filter(strict_ok))
+    rows = _hourly_rows(raw.filter(_complete()))
     return rows.select(
         "location_id",
         *[F.col(src).alias(dst) for src, dst in RENAMES.items() if src != "precipitation"],
@@ -99,12 +116,10 @@ def read_weather_forecast_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def short_hourly_payloads(spark: SparkSession, path: str) -> DataFrame:
-    raw = _json(spark, path, HOURLY_PAYLOAD)
-    n = F.size("hourly.time")
-    bad = F.lit(False)
-    for f in HOURLY_FIELDS[1:5]:
-        bad = bad | (F.coalesce(F.size(f"hourly.{f}"), F.lit(-1)) < n)
-    return raw.filter(bad).select("location_id", n.alias("hours"))
+    """The payloads that ``read_weather_forecast_json`` leaves out: short, truncated or without hours,
+    or with a time that does not parse."""
+    raw = _json(spark, path, HOURLY_PAYLOAD).withColumn("file", F.input_file_name())
+    return raw.filter(~_complete()).select("location_id", F.coalesce(F.size("hourly.time"), F.lit(-1)).alias("hours"), "file")
 
 
 def read_weather_archive_json(spark: SparkSession, path: str) -> DataFrame:
@@ -112,7 +127,7 @@ def read_weather_archive_json(spark: SparkSession, path: str) -> DataFrame:
     short, NULL precipitation stays NULL, payloads without ``hourly`` give no rows.
     Local wall-clock times are kept as TIMESTAMP_NTZ."""
     raw = _json(spark, path, HOURLY_PAYLOAD).filter(F.col("hourly").isNotNull())
-    rows = _hourly_rows(raw).filter(F.col("time").isNotNull())
+    rows = _hourly_rows(raw).filter(F.col("time").try_cast("timestamp_ntz").isNotNull())
     return rows.select(
         "location_id",
         *[F.col(src).alias(dst) for src, dst in RENAMES.items()],

@@ -43,7 +43,7 @@ def test_split_lengths_and_order(spark):
     test = [r.month for r in split.filter("split = 'test'").orderBy("month").collect()]
     assert len(train) == 60 and len(test) == 12 and max(train) < min(test)
     short = series_df(spark, n=3)
-    assert FC.train_test_split(short, 5).count() == 0
+    assert [r.split for r in FC.train_test_split(short, 5).collect()] == ["too_short"] * 3
 
 
 def test_domain_validation(spark):
@@ -194,6 +194,15 @@ def test_metrics(spark):
     assert FC.error_metrics(zeros).first().mape is None
 
 
+def test_metrics_of_a_diverging_series_do_not_end_the_job(spark):
+    rows = [("big", 1.0, 1e15), ("big", 1.0, 2.0), ("nan", 1.0, float("nan")), ("fine", 1.0, 2.0)]
+    got = {r.series_key: r for r in FC.error_metrics(spark.createDataFrame(
+        rows, "series_key string, actual double, predicted double")).collect()}
+    assert (got["big"].status, got["big"].n, got["big"].n_scored, got["big"].mae) == ("unscored points", 2, 1, 1.0)
+    assert got["nan"].n_scored == 0 and got["nan"].rmse is None
+    assert got["fine"].status == "ok" and got["fine"].rmse == 1.0
+
+
 def test_disjoint_months_give_no_pairs(spark):
     a = spark.createDataFrame([("k", date(2024, 1, 1), 1.0)], "series_key string, month date, actual double")
     p = spark.createDataFrame([("k", date(2025, 1, 1), 1.0)], "series_key string, month date, predicted double")

@@ -52,7 +52,8 @@ def test_daily_run_from_landed_payloads(spark, tmp_dir):
                                  "longitude double")
     report = J.run_daily(spark, f"{tmp_dir}/land", f"{tmp_dir}/tables", f"{tmp_dir}/marts",
                          "2024-01-03 00:00:00", locs)
-    assert {r.check_name for r in report.collect()} >= {"dq_out_of_bounds"}
+    status = {r.check_name: r.status for r in report.collect()}
+    assert "dq_out_of_bounds" in status and status["ingest_weather"] == status["ingest_retail"] == "PASS"
     weather = spark.read.parquet(f"{tmp_dir}/tables/weather")
     assert weather.count() == 4                      # the short-array payload was quarantined
     mart = spark.read.parquet(f"{tmp_dir}/marts/fct_monthly_macro_weather").collect()
@@ -62,6 +63,30 @@ def test_daily_run_from_landed_payloads(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/tables/weather").count() == 4
 
 
+def test_an_unreadable_table_is_never_overwritten(spark, tmp_dir):
+    import pytest
+    table = f"{tmp_dir}/t"
+    os.makedirs(f"{table}/obs_period=2024-01")
+    with open(f"{table}/obs_period=2024-01/part-0.parquet", "w") as f:
+        f.write("damaged")
+    rows = spark.createDataFrame([("A", 1.0)], "series_id string, value double").selectExpr(
+        "series_id", "value", "timestamp_ntz'2024-01-01 00:00:00' AS observed_at", "timestamp_ntz'2024-01-02 00:00:00' AS created_at")
+    with pytest.raises(Exception):
+        J._merge_or_create(spark, table, rows, ["series_id", "observed_at"], "upsert", ["value"], "series_id")
+    assert open(f"{table}/obs_period=2024-01/part-0.parquet").read() == "damaged"
+
+
+def test_a_failed_domain_is_reported_and_gates_the_run(spark, tmp_dir):
+    import pytest
+    _dump(f"{tmp_dir}/land/economic/cpi.json", {"series_id": "CPIAUCSL", "observations": [
+        {"date": "2024-01-01", "value": "310.2"}, {"date": "2024-02-01", "value": "N/A"}, {"date": "soon", "value": "1"}]})
+    out = J.ingest_economic(spark, f"{tmp_dir}/land/economic/*.json", f"{tmp_dir}/tables/economic", "2024-01-03 00:00:00")
+    assert spark.read.parquet(f"{tmp_dir}/tables/economic").count() == 1
+    assert sorted(r.reason for r in out["rejected"].collect()) == ["time", "value"]
+    with pytest.raises(Exception):  # no weather and no retail landed, so there is nothing to build from
+        J.run_daily(spark, f"{tmp_dir}/land", f"{tmp_dir}/tables", f"{tmp_dir}/marts", "2024-01-03 00:00:00", None)
+
+
 def test_backfill_plan_and_first_write_wins(spark, tmp_dir):
     locs = spark.createDataFrame([(1, "A")], "id long, name string")
     plan = J.backfill_plan(spark, locs, f"{tmp_dir}/w", "1950-02-15 00:00:00").orderBy("chunk_start").collect()

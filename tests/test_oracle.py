@@ -1,17 +1,16 @@
 """Every registered query against its DuckDB oracle SQL on the driver tables (exact
-values, same column names, same row multiset). Heavy forecasting jobs are checked for
-shape in test_forecast.py instead."""
+values, same column names, same row multiset)."""
 
 import os
 
 import pytest
 
 import __spark_entry__ as E
+from tempora.plans.catalog import REGISTRY
 from scripts.check_oracle import compare, duck
 
 SF = os.environ.get("TEMPORA_TEST_SF", "/root/testdata/sf0.001")
-HEAVY = {"forecast_orders", "forecast_evaluate", "forecast_predict", "forecast_trajectory"}
-ORACLE = E.oracle_sql()
+ORACLE = {k: sql for k, (_fn, sql) in REGISTRY.items()}
 
 
 @pytest.fixture(scope="module")
@@ -19,14 +18,14 @@ def con():
     return duck(SF)
 
 
-def test_every_query_has_oracle_or_is_declared_rows_only():
-    rows_only = set(E.queries()) - set(ORACLE)
-    assert rows_only == HEAVY
+def test_every_query_has_an_oracle():
+    assert all(ORACLE.values())
+    assert set(REGISTRY) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, con, name, E.queries()[name], ORACLE[name], SF)
+    res = compare(spark, con, name, REGISTRY[name][0], ORACLE[name], SF)
     assert res["status"] == "MATCH", res
 
 

@@ -4,16 +4,15 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from tempora.plans.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-HEAVY = {"forecast_orders", "forecast_evaluate", "forecast_predict", "forecast_trajectory",
-         "events_daily_stream", "events_dedupe_stream"}       # these execute while being built
-NAMES = sorted(set(E.queries()) - HEAVY)
+RUNS = {"events_daily_stream", "events_dedupe_stream"}       # these execute while being built
+NAMES = sorted(set(REGISTRY) - RUNS)
 
 
 def plan_of(spark, name):
-    return E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return REGISTRY[name][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -32,7 +31,7 @@ def test_time_ranges_reach_the_scan(spark):
 
 
 def test_dedupe_limits_before_the_shuffle(spark):
-    plan = E.queries()["dedupe_latest"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = REGISTRY["dedupe_latest"][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
     shuffle = plan.index("Exchange hashpartitioning")
     # a row_number() = 1 limit runs on each map task, below (after, in the text) the shuffle
     assert re.search(r"WindowGroupLimit \[[^\n]*Partial", plan[shuffle:])
@@ -41,3 +40,9 @@ def test_dedupe_limits_before_the_shuffle(spark):
 def test_topn_is_distributed(spark):
     for name in ["hottest_years", "rainiest_years", "latest_weather", "climate_extremes"]:
         assert "TakeOrderedAndProject" in plan_of(spark, name), name
+
+
+def test_merges_join_without_a_full_outer_join_and_without_rows_in_python(spark):
+    for name in ["upsert_last_wins", "incremental_merge", "new_locations"]:
+        plan = plan_of(spark, name)
+        assert "FullOuter" not in plan and "BatchEvalPython" not in plan, name

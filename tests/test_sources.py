@@ -76,3 +76,19 @@ def test_paging_seed_and_validation(spark):
     S.validate_coordinates(45.0, -120.0)
     with pytest.raises(ValueError):
         S.validate_coordinates(91.0, 0.0)
+
+
+def test_every_forecast_payload_is_read_or_quarantined(spark, tmp_dir):
+    import json
+    from tempora.sources import landed as L
+    good = {"time": ["2024-01-01T00:00"], "temperature_2m": [1.0], "windspeed_10m": [1.0], "pressure_msl": [1.0],
+            "relative_humidity_2m": [1.0]}
+    payloads = {"good": {"location_id": 1, "hourly": good}, "none": {"location_id": 2},
+                "time": {"location_id": 3, "hourly": {**good, "time": ["soon"]}}}
+    for name, payload in payloads.items():
+        with open(f"{tmp_dir}/{name}.json", "w") as f:
+            json.dump(payload, f)
+    with open(f"{tmp_dir}/cut.json", "w") as f:
+        f.write('{"location_id": 4, "hourly": {"time": ["2024')
+    assert [r.location_id for r in L.read_weather_forecast_json(spark, f"{tmp_dir}/*.json").collect()] == [1]
+    assert L.short_hourly_payloads(spark, f"{tmp_dir}/*.json").count() == 3

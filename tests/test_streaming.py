@@ -20,6 +20,16 @@ def test_dedupe_and_cutoff_stream(spark, tmp_dir):
     assert sorted(r.id for r in out.collect()) == [1, 2]
 
 
+def test_event_queries_read_a_table_of_several_files(spark, tmp_dir):
+    from tempora.plans import streams as Q
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_dir}/sf/events.parquet")
+    assert Q.events_dedupe_stream(spark, f"{tmp_dir}/sf").count() == events.select("event_id").distinct().count()
+    daily = Q.events_daily_stream(spark, f"{tmp_dir}/sf")
+    assert daily.agg(F.sum("n")).first()[0] == events.count()
+    assert {r.closed for r in daily.select("closed").distinct().collect()} == {True, False}
+
+
 def test_upsert_stream_matches_batch(spark, tmp_dir):
     table = f"{tmp_dir}/table"
     W.write_table(spark.createDataFrame([(1, 1, datetime(2024, 1, 1), 1.0, datetime(2024, 1, 1))], SCHEMA), table)
