@@ -69,10 +69,14 @@ def spans_of(text: str, rule: Rule, lowered: str | None = None) -> list[tuple[in
 
 def _scan(batches, rules: dict[str, Rule]):
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    seen = set()  # rows that repeat a key and a blob meet in one partition
     for batch in batches:
         rows = []
         for blob, missing, text in zip(batch.column("blob"), batch.column("missing"), batch.column("text")):
             content, blob = text.as_py() or "", blob.as_py()
+            if blob in seen:
+                continue
+            seen.add(blob)
             lowered = content.lower()
             for name in missing.as_py():
                 rule = rules[name]
