@@ -39,6 +39,8 @@ from tempora.llm.common import components, stored
 BLOCK_DIMS = 8
 CHUNK = 16384
 TILE = 1024
+#: A first single-precision test of block distances (squares below 4) passes what lies this close.
+SLACK = 1e-5
 #: Fixed-point unit of rotated components: block distances are exact integers below 2^53.
 FIXED = float(1 << 15)
 #: Cosines this close to the bound are recomputed in one fixed order of operations.
@@ -170,16 +172,23 @@ def group_links(home: pd.DataFrame, there: pd.DataFrame, split: Split) -> pd.Dat
         u, v = split.block(za[a], k), split.block(zb[b], k)
         return (u * u).sum(axis=1)[:, None] + (v * v).sum(axis=1)[None, :] - 2 * (u @ v.T) <= split.limit[k]
 
+    # |u - v|^2 as one product of (-2u, |u|^2, 1) and (v, 1, |v|^2)
+    u, v = split.block(za, j) / FIXED, split.block(zb, j) / FIXED
+    u = np.column_stack([-2 * u, (u * u).sum(axis=1), np.ones(len(u))]).astype(np.float32)
+    v = np.column_stack([v, np.ones(len(v)), (v * v).sum(axis=1)]).astype(np.float32)
+    most = np.float32(split.limit[j] / FIXED ** 2 + SLACK)
+
     for ai in range(0, len(home), TILE):
         a = slice(ai, ai + TILE)
         for bi in range(0, len(there), TILE):
             b = slice(bi, bi + TILE)
-            ok = near(j, a, b)
-            ok &= a_at[a][:, None] != b_at[b][None, :]
+            ok = u[a] @ v[b].T <= most
             n = np.count_nonzero(ok)
             if not n:
                 continue
             if n > ok.size // 50:  # a crowded tile: whole products
+                ok &= near(j, a, b)
+                ok &= a_at[a][:, None] != b_at[b][None, :]
                 cosine = xa[a] @ xb[b].T
                 unsure = np.argwhere(ok & (np.abs(cosine - split.cosine) < CLOSE))
                 ok &= cosine >= split.cosine
@@ -190,7 +199,10 @@ def group_links(home: pd.DataFrame, there: pd.DataFrame, split: Split) -> pd.Dat
                         ok &= ~near(k, a, b)
                 rows, cols = np.nonzero(ok) if np.count_nonzero(ok) < ok.size // 50 else (None, None)
             else:
-                rows, cols = np.nonzero(ok)
+                rows, cols = np.divmod(np.flatnonzero(ok), ok.shape[1])
+                d = split.block(za[ai + rows], j) - split.block(zb[bi + cols], j)
+                keep = ((d * d).sum(axis=1) <= split.limit[j]) & (a_at[ai + rows] != b_at[bi + cols])
+                rows, cols = rows[keep], cols[keep]
                 keep = (xa[ai + rows] * xb[bi + cols]).sum(axis=1) >= split.cosine
                 rows, cols = rows[keep], cols[keep]
                 for k in range(j):
