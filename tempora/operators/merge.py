@@ -89,11 +89,10 @@ def get_or_create(dim: DataFrame, candidates: DataFrame, natural_key, id_col: st
     parts = cut_lineage(new.repartitionByRange(*natural_key).withColumn("_part", F.spark_partition_id()))
     sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    top = dim.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_top"))
+    top = dim.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("top")).first()["top"]  # one scalar
     rank = F.row_number().over(Window.partitionBy("_part").orderBy(*natural_key))
-    numbered = parts.withColumn("_rank", rank).join(before, "_part").withColumn("_one", F.lit(1)).join(
-        top.withColumn("_one", F.lit(1)), "_one")
-    return numbered.withColumn(id_col, F.col("_top") + F.col("_before") + F.col("_rank")).select(*candidates.columns)
+    numbered = parts.withColumn("_rank", rank).join(before, "_part")
+    return numbered.withColumn(id_col, F.lit(top) + F.col("_before") + F.col("_rank")).select(*candidates.columns)
 
 
 def add_missing_columns(df: DataFrame, columns: dict) -> DataFrame:

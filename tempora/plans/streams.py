@@ -35,10 +35,10 @@ def events_daily_stream(spark: SparkSession, sf: str) -> DataFrame:
     closed = S.run_to_parquet(spark, S.daily_rollup_stream(_events_stream(spark, sf), "event_type", "ts", "value",
                                                            ROLLUP_DELAY), "events_daily")
     events = spark.read.parquet(f"{sf}/events.parquet")
-    mark = events.agg((F.max("ts") - F.expr(f"INTERVAL {ROLLUP_DELAY}")).alias("w"))
+    last = events.agg(F.max("ts").cast("string").alias("last")).first()["last"]  # one scalar; null without events
+    mark = F.lit(last).cast("timestamp_ntz") - F.expr(f"INTERVAL {ROLLUP_DELAY}")
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
-    is_open = events.withColumn("day_start", day).withColumn("_one", F.lit(1)).join(
-        mark.withColumn("_one", F.lit(1)), "_one").filter(F.col("day_start") + F.expr("INTERVAL 1 DAY") > F.col("w"))
+    is_open = events.withColumn("day_start", day).filter(F.col("day_start") + F.expr("INTERVAL 1 DAY") > mark)
     rest = is_open.groupBy("day_start", "event_type").agg(
         F.count(F.lit(1)).alias("n"), exact_avg("value").alias("avg_value"), exact_sum("value").alias("sum_value"))
     return closed.withColumn("closed", F.lit(True)).unionByName(rest.withColumn("closed", F.lit(False)))
