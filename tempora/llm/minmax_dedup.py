@@ -12,8 +12,9 @@ No bucket is expanded into all its pairs:
 * in every bucket each member is compared with the bucket's smallest member (its pivot);
 * confirmed links give components; only buckets that still hold several components are
   looked at again, and there only pairs of different components are compared, so no link
-  between components is lost. What a document shares with any other of them bounds its similarity
-  exactly, which rules out heavily changed copies without comparing them.
+  between components is lost. What a document shares with any other of them, and with the member
+  that all of its bucket were compared with, bounds its similarity exactly, which rules out heavily
+  changed copies without comparing them.
 
 Defined cases: null and empty texts, and texts of white space, have the empty set and link
 with nothing; fewer words than a shingle make one shingle of the whole sequence; repeated rows
@@ -144,14 +145,19 @@ def _shared(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         100 * F.col("shared") >= percent * F.col("n")).select("rep", "shared")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (rep, other) whose full sets are similar, as edges (u, v). The set of ``rep``
-    travels to ``other``; both joins are plain sort-merge joins that AQE can split when one
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(rep, other, n, m, both): sizes of the full sets of the pairs and of their intersection. The set
+    of ``rep`` travels to ``other``; both joins are plain sort-merge joins that AQE can split when one
     document is in very many pairs."""
     left = pairs.join(sets, "rep").select("rep", "other", "n", "shingles")
     right = sets.select(F.col("rep").alias("other"), F.col("n").alias("m"), F.col("shingles").alias("theirs"))
-    both = F.size(F.array_intersect("shingles", "theirs")).cast("long")
-    return left.join(right, "other").filter(100 * both >= percent * (F.col("n") + F.col("m") - both)).select(
+    return left.join(right, "other").select(
+        "rep", "other", "n", "m", F.size(F.array_intersect("shingles", "theirs")).cast("long").alias("both"))
+
+
+def _links(overlaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar, as edges (u, v)."""
+    return overlaps.filter(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select(
         F.col("rep").alias("u"), F.col("other").alias("v"))
 
 
@@ -182,7 +188,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = stored(texts.join(wanted.hint("shuffle_hash"), "doc_id").mapInArrow(
         partial(_sets, words=words), "rep long, n long, shingles array<long>"), "sets")
-    links = stored(_confirmed(first, sets, percent), "links")
+    links = stored(_links(_overlaps(first, sets), percent), "links")
     found = components(links, "components")
 
     # buckets that hold several components: first against their least changed member ...
@@ -192,21 +198,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     cleanest = rest.groupBy("key").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("s"), "rep")).alias("best")).select(
         "key", F.col("best.rep").alias("other"))
     middle = rest.join(cleanest, "key").filter("rep <> other").select("rep", "other").distinct()
-    middle = middle.join(sizes, "other").join(sizes.select(F.col("other").alias("rep"), F.col("m").alias("n")), "rep").filter(
-        _possible("n", "m", percent)).select("rep", "other")
-    links = stored(links.union(_confirmed(middle, sets, percent)), "links")
+    compared = stored(_overlaps(middle, sets), "compared")
+    links = stored(links.union(_links(compared, percent)), "links")
     found = components(links, "components")
 
     # ... then, where components are still several, across all of them
-    rest = stored(_open(members, found, shared), "open")
+    rest = _open(members, found, shared).join(cleanest, "key").join(
+        compared.select("rep", "other", "both"), ["rep", "other"])
+    rest = stored(rest.withColumn("own", F.col("shared") - F.col("both")), "open")
     a, b = rest.alias("a"), rest.alias("b")
-    # |intersection| <= the smaller count of shared shingles, |union| >= what is left of both
-    reach = 100 * F.least("a.shared", "b.shared") >= percent * (
-        F.col("a.n") + F.col("b.n") - F.least("a.shared", "b.shared"))
+    # what two documents have in common lies inside their bucket's least changed member, where neither has
+    # more than it shares with that, or outside it, where neither has more than it shares with any other
+    most = F.least("a.both", "b.both") + F.least("a.own", "b.own")
+    reach = 100 * most >= percent * (F.col("a.n") + F.col("b.n") - most)
     second = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep"))
                     & (F.col("a.c") != F.col("b.c")) & reach)
     second = second.select(F.col("b.rep").alias("rep"), F.col("a.rep").alias("other")).distinct()
-    more = stored(_confirmed(second, sets, percent), "more-links")
+    more = stored(_links(_overlaps(second, sets), percent), "more-links")
     if not more.isEmpty():
         found = components(links.union(more), "components")
 

@@ -56,3 +56,24 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, k) for k in range(101, 140)] + [(5, 5), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long"), "t").collect()}
     assert got == {**{i: 0 for i in range(31)}, **{k: 100 for k in range(100, 140)}, 200: 200, 201: 200}
+
+
+def test_heavily_changed_copies_of_one_text_match_brute_force(spark, docs):
+    """Copies around the bound: edits drawn from few passages, so that copies share what the text lacks."""
+    rng = random.Random(11)
+    text = [f"b{k}" for k in range(150)]
+    passages = [[f"p{j}x{k}" for k in range(12)] for j in range(4)]
+    rows = []
+    for _ in range(160):
+        own = list(text)
+        for _ in range(rng.randrange(0, 3)):
+            at = rng.randrange(0, 130, 10)
+            own[at:at + 12] = rng.choice(passages)
+        for _ in range(rng.randrange(0, 5)):
+            own[rng.randrange(len(own))] = f"r{rng.randrange(40)}"
+        rows.append((len(rows), " ".join(own[:rng.choice([150, 150, 135, 120])])))
+    rows += [(k, rows[0][1] + f" {k}") for k in (500, 500)] + [(501, rows[5][1])]
+    rng.shuffle(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in M.near_duplicates(docs(rows), 4, 80).collect()}
+    assert got == brute(rows, 4, 80)
+    assert len({c for _, c, _ in got.values()}) > 3
