@@ -206,13 +206,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rest = _open(members, found, shared).join(cleanest, "key").join(
         compared.select("rep", "other", "both"), ["rep", "other"])
     rest = stored(rest.withColumn("own", F.col("shared") - F.col("both")), "open")
+    # the buckets of a set, at most one for each band: a pair that meets in several is taken in the smallest
+    keys = rest.groupBy("rep", "n").agg(F.collect_set("key").alias("keys"))
+    rest = rest.join(keys, ["rep", "n"])
     a, b = rest.alias("a"), rest.alias("b")
     # what two documents have in common lies inside their bucket's least changed member, where neither has
     # more than it shares with that, or outside it, where neither has more than it shares with any other
     most = F.least("a.both", "b.both") + F.least("a.own", "b.own")
     reach = 100 * most >= percent * (F.col("a.n") + F.col("b.n") - most)
     second = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep"))
-                    & (F.col("a.c") != F.col("b.c")) & reach)
+                    & (F.col("a.c") != F.col("b.c")) & reach
+                    & (F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key")))
     second = second.select(F.col("b.rep").alias("rep"), F.col("a.rep").alias("other")).distinct()
     more = stored(_links(_overlaps(second, sets), percent), "more-links")
     if not more.isEmpty():
