@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempora.functions.exprs import exact_avg, exact_sum
+
 PERIODS = {
     "year": lambda ts: [F.year(ts).alias("year")],
     "month": lambda ts: [F.year(ts).alias("year"), F.month(ts).alias("month")],
@@ -27,7 +29,7 @@ def period_agg(obs: DataFrame, locs: DataFrame | None, period: str, value: str,
                fill=None, out: str | None = None, entity="location_id", ts="observed_at") -> DataFrame:
     """Mean or total of ``value`` per location and period (year | month | day).
     ``fill`` replaces an all-NULL group's result (COALESCE over the aggregate)."""
-    fn = {"avg": F.avg, "sum": F.sum}[agg]
+    fn = {"avg": exact_avg, "sum": exact_sum}[agg]
     res = fn(value)
     if fill is not None:
         res = F.coalesce(res, F.lit(fill).cast("double"))
@@ -43,7 +45,7 @@ def top_periods(obs: DataFrame, period: str, value: str, agg: str, n: int = 10,
     Ties are broken by the period so the cut is deterministic. Planned as a distributed
     TakeOrderedAndProject (partial top-n per partition)."""
     out = out or f"{agg}_{value}"
-    fn = {"avg": F.avg, "sum": F.sum}[agg]
+    fn = {"avg": exact_avg, "sum": exact_sum}[agg]
     keys = PERIODS[period](F.col(ts))
     g = obs.groupBy(*keys).agg(fn(value).alias(out))
     order = F.col(out).desc_nulls_first() if nulls_first else F.col(out).desc_nulls_last()
@@ -55,12 +57,13 @@ def split_mean(obs: DataFrame, value: str, cut: str, after: bool, ts="observed_a
     """Global mean on one side of a cut timestamp (>= cut if after, else < cut); the range
     predicate is pushed to the Parquet scan."""
     cond = F.col(ts) >= F.to_timestamp_ntz(F.lit(cut)) if after else F.col(ts) < F.to_timestamp_ntz(F.lit(cut))
-    return obs.filter(cond).agg(F.avg(value).alias(out))
+    return obs.filter(cond).agg(exact_avg(value).alias(out))
 
 
 def before_after(obs: DataFrame, value: str = "temperature_c", cut: str = "2000-01-01 00:00:00",
                  labels=("2000_and_after", "before_2000"), ts="observed_at", out="avg_temp") -> DataFrame:
-    """Both sides as two labelled rows (UNION ALL: an empty side still gives a NULL row)."""
-    a = split_mean(obs, value, cut, True, ts, out).select(F.lit(labels[0]).alias("period"), out)
-    b = split_mean(obs, value, cut, False, ts, out).select(F.lit(labels[1]).alias("period"), out)
-    return a.unionByName(b)
+    """Both sides as two labelled rows from one pass (an empty side still gives a NULL row)."""
+    after = F.col(ts) >= F.to_timestamp_ntz(F.lit(cut))
+    sides = obs.agg(exact_avg(F.when(after, F.col(value))).alias("a"), exact_avg(F.when(~after, F.col(value))).alias("b"))
+    return sides.select(F.inline(F.array(*[
+        F.struct(F.lit(label).alias("period"), F.col(side).alias(out)) for label, side in zip(labels, "ab")])))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempora.functions.exprs import exact_avg
+
 COMPARISONS = {
     "=": lambda c, v: c == v,
     "!=": lambda c, v: c != v,
@@ -40,7 +42,7 @@ def longest_streak(obs: DataFrame, locs: DataFrame, value: str, op: str, target,
     if op not in COMPARISONS:
         raise ValueError(f"operator must be one of {sorted(COMPARISONS)}")
     day = F.col(date_col) if date_col in obs.columns else F.to_date(ts)
-    daily = (obs.groupBy(entity, day.alias(date_col)).agg(F.avg(value).alias(value))
+    daily = (obs.groupBy(entity, day.alias(date_col)).agg(exact_avg(value).alias(value))
              .filter(COMPARISONS[op](F.col(value), F.lit(target))))
     best = streak_lengths(daily, entity, date_col).groupBy(entity).agg(F.max("streak_length").alias("_best"))
     dim = locs.select(F.col("id"), F.col("name"))

@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempora.functions.exprs import DEC, safe_pct_change
+from tempora.functions.exprs import DEC, exact_avg, safe_pct_change
 
 
 def daily_mean(obs: DataFrame, entity="location_id", ts="observed_at", value="temperature_c",
                out="avg_temp", date_col="observation_date") -> DataFrame:
-    return obs.groupBy(entity, F.to_date(ts).alias(date_col)).agg(F.avg(value).alias(out))
+    return obs.groupBy(entity, F.to_date(ts).alias(date_col)).agg(exact_avg(value).alias(out))
 
 
 def rolling_avg(obs: DataFrame, entity="location_id", ts="observed_at", value="temperature_c",

@@ -26,7 +26,7 @@ def complete_years(obs: DataFrame, as_of: str = AS_OF, ts="observed_at") -> Data
 
 def yearly_mean(obs: DataFrame, by_location: bool = True) -> DataFrame:
     keys = (["location_id"] if by_location else []) + [F.year("observed_at").alias("year")]
-    return obs.groupBy(*keys).agg(F.avg("temperature_c").alias("avg_temp"))
+    return obs.groupBy(*keys).agg(exact_avg("temperature_c").alias("avg_temp"))
 
 
 def q01_rolling_30d_avg(spark: SparkSession, sf: str, location_id: int = 1) -> DataFrame:
@@ -74,7 +74,7 @@ def q06_dedupe_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 def q07_avg_rain_annualised(spark: SparkSession, sf: str) -> DataFrame:
     g = _w(spark, sf).groupBy("location_id").agg(
-        (F.avg(F.coalesce(F.col("precipitation"), F.lit(0.0))) * 24 * 365).alias("avg_rain"))
+        (exact_avg(F.coalesce(F.col("precipitation"), F.lit(0.0))) * 24 * 365).alias("avg_rain"))
     return with_city(g, fx.locations(spark, sf)).select("location_id", "city", "avg_rain").orderBy("city")
 
 

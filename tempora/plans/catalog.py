@@ -125,12 +125,12 @@ register("count_rows", with_ctes(W, "SELECT COUNT(*) AS total_rows FROM weather_
 register("hottest_years", with_ctes(W, f"""SELECT {YEAR} AS year, AVG(temperature_c) AS avg_temp
 FROM weather_observations GROUP BY 1 ORDER BY avg_temp DESC NULLS FIRST, year LIMIT 10"""), A.q14_hottest_years)
 
-register("rain_by_year", with_ctes(WL, """SELECT w.location_id, l.name AS city,
-  CAST(EXTRACT(year FROM w.observed_at) AS INTEGER) AS year, COALESCE(SUM(w.precipitation), 0) AS total_rain
+register("rain_by_year", with_ctes(WL, f"""SELECT w.location_id, l.name AS city,
+  CAST(EXTRACT(year FROM w.observed_at) AS INTEGER) AS year, COALESCE({exact_sum('w.precipitation')}, 0) AS total_rain
 FROM weather_observations w JOIN locations l ON w.location_id = l.id
 GROUP BY 1, 2, 3 ORDER BY 2, 3"""), A.q15_rain_by_year)
 
-register("rainiest_years", with_ctes(W, f"""SELECT {YEAR} AS year, SUM(precipitation) AS total_precip
+register("rainiest_years", with_ctes(W, f"""SELECT {YEAR} AS year, {exact_sum('precipitation')} AS total_precip
 FROM weather_observations GROUP BY 1 ORDER BY total_precip DESC NULLS FIRST, year LIMIT 10"""), A.q16_rainiest_years)
 
 # ------------------------------------------------------------------ staging, intermediate, marts
@@ -139,13 +139,13 @@ for _name in ["stg_weather", "stg_economic", "stg_retail", "stg_locations", "eco
               "retail_pivot", "subzero_streaks", "monthly_macro_weather", "monthly_retail_macro"]:
     register(_name, model(_name), _m(_name))
 
-register("weather_daily", with_ctes(["stg_weather"], """SELECT location_id,
-  CAST(observed_at AS DATE) AS observed_at_date, AVG(temperature_c) AS avg_daily_temp_c,
-  SUM(precipitation_mm) AS total_daily_precipitation_mm FROM stg_weather GROUP BY 1, 2"""), _m("weather_daily"))
+register("weather_daily", with_ctes(["stg_weather"], f"""SELECT location_id,
+  CAST(observed_at AS DATE) AS observed_at_date, {exact_avg('temperature_c')} AS avg_daily_temp_c,
+  {exact_sum('precipitation_mm')} AS total_daily_precipitation_mm FROM stg_weather GROUP BY 1, 2"""), _m("weather_daily"))
 
-register("weather_monthly", with_ctes(["stg_weather"], """SELECT location_id,
-  strftime(observed_at, '%Y-%m') AS year_month, AVG(temperature_c) AS avg_monthly_temp_c,
-  SUM(precipitation_mm) AS total_monthly_precipitation_mm FROM stg_weather GROUP BY 1, 2"""), _m("weather_monthly"))
+register("weather_monthly", with_ctes(["stg_weather"], f"""SELECT location_id,
+  strftime(observed_at, '%Y-%m') AS year_month, {exact_avg('temperature_c')} AS avg_monthly_temp_c,
+  {exact_sum('precipitation_mm')} AS total_monthly_precipitation_mm FROM stg_weather GROUP BY 1, 2"""), _m("weather_monthly"))
 
 register("dry_spell", with_ctes(["stg_weather", "stg_locations"], """SELECT b.location_id, l.name,
   CAST(COALESCE(b.best, 0) AS BIGINT) AS longest_streak FROM best b LEFT JOIN stg_locations l ON l.id = b.location_id""",
@@ -167,24 +167,24 @@ MART = ["monthly_macro_weather"]
 _MART_COLS = ", ".join(T.MART_COLS)
 
 
-def _mart(spark, sf):
-    return Models(spark, sf).monthly_macro_weather()
+def _mart(spark, sf, first, last):
+    return Models(spark, sf).macro_weather_between(first, last)
 
 
 register("macro_weather_range", with_ctes(MART, f"""SELECT {_MART_COLS} FROM monthly_macro_weather
 WHERE year_month BETWEEN '1996-01' AND '1997-06' ORDER BY year_month, location_name LIMIT 50"""),
-         lambda spark, sf: T.macro_weather_range(_mart(spark, sf), "1996-01", "1997-06"))
+         lambda spark, sf: T.macro_weather_range(_mart(spark, sf, "1996-01", "1997-06"), "1996-01", "1997-06"))
 register("macro_weather_range_city", with_ctes(MART, f"""SELECT {_MART_COLS} FROM monthly_macro_weather
 WHERE year_month BETWEEN '1996-01' AND '1999-12' AND location_name = 'NATION_3'
 ORDER BY year_month, location_name LIMIT 50"""),
-         lambda spark, sf: T.macro_weather_range(_mart(spark, sf), "1996-01", "1999-12", "NATION_3"))
+         lambda spark, sf: T.macro_weather_range(_mart(spark, sf, "1996-01", "1999-12"), "1996-01", "1999-12", "NATION_3"))
 
 register("data_freshness", with_ctes(MART + W + ["economic_observations"], """
 SELECT 'latest_macro_weather_period' AS source, MAX(year_month) AS latest FROM monthly_macro_weather
 UNION ALL SELECT 'latest_weather', strftime(MAX(observed_at), '%Y-%m-%d %H:%M:%S') FROM weather_observations
 UNION ALL SELECT 'latest_economic', strftime(MAX(observed_at), '%Y-%m-%d %H:%M:%S') FROM economic_observations"""),
-         lambda spark, sf: T.data_freshness(_mart(spark, sf), fx.weather_observations(spark, sf),
-                                            fx.economic_observations(spark, sf)))
+         lambda spark, sf: T.data_freshness(fx.weather_observations(spark, sf),
+                                            fx.economic_observations(spark, sf), AS_OF))
 
 for _key, _metric, _col in [("climate_extremes", "subzero_days", "subzero_days"),
                             ("climate_extremes_rain", "total_rainfall", "total_monthly_precipitation_mm"),
@@ -192,13 +192,13 @@ for _key, _metric, _col in [("climate_extremes", "subzero_days", "subzero_days")
     register(_key, with_ctes(MART, f"""SELECT location_name, year_month, avg_monthly_temp_c,
   total_monthly_precipitation_mm, subzero_days FROM monthly_macro_weather WHERE starts_with(year_month, '1998')
 ORDER BY {_col} DESC NULLS LAST, year_month, location_name LIMIT 5"""),
-             (lambda m: lambda spark, sf: T.climate_extremes(_mart(spark, sf), 1998, m))(_metric))
+             (lambda m: lambda spark, sf: T.climate_extremes(_mart(spark, sf, "1998-01", "1998-12"), 1998, m))(_metric))
 
 register("compare_city_climates", with_ctes(MART, """SELECT location_name, year_month, avg_monthly_temp_c,
   total_monthly_precipitation_mm FROM monthly_macro_weather
 WHERE location_name IN ('NATION_1', 'NATION_7') AND starts_with(year_month, '1998')
 ORDER BY year_month, location_name"""),
-         lambda spark, sf: T.compare_city_climates(_mart(spark, sf), "NATION_1", "NATION_7", 1998))
+         lambda spark, sf: T.compare_city_climates(_mart(spark, sf, "1998-01", "1998-12"), "NATION_1", "NATION_7", 1998))
 
 register("latest_weather", with_ctes(WL, """SELECT w.observed_at, w.temperature_c, w.precipitation, w.humidity,
   l.name AS location_name FROM weather_observations w JOIN locations l ON w.location_id = l.id
@@ -214,7 +214,7 @@ FROM (SELECT MAX(observed_at) AS last FROM weather_observations) t"""),
 
 register("precip_profile", with_ctes(W, f"""SELECT location_id, COUNT(*) AS total_rows,
   COUNT(*) FILTER (WHERE precipitation > 0) AS rainy_hours_count,
-  {round_half_up('MAX(precipitation)')} AS max_hourly_rain_mm, {round_half_up('SUM(precipitation)')} AS total_rain_mm
+  {round_half_up('MAX(precipitation)')} AS max_hourly_rain_mm, {round_half_up(exact_sum('precipitation'))} AS total_rain_mm
 FROM weather_observations GROUP BY location_id"""),
          lambda spark, sf: T.precip_profile(fx.weather_observations(spark, sf)))
 

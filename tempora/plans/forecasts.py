@@ -14,9 +14,10 @@ FUTURE_MONTHS = 12
 
 
 def series(spark: SparkSession, sf: str) -> DataFrame:
-    """FC-1..FC-3 for every whitelisted series (equal to reading the two marts)."""
+    """FC-1..FC-3 for every whitelisted series (equal to reading the two marts). The monthly table gives
+    the values and the months, so it is made once (checkpointed: a row for each location and month)."""
     m = Models(spark, sf)
-    return FC.series_from_models(m.monthly_weather(), m.economic_pivot(), m.retail_pivot(), m.stg_locations())
+    return FC.series_from_models(cut_lineage(m.monthly_weather()), m.economic_pivot(), m.retail_pivot(), m.stg_locations())
 
 
 def train_test(spark: SparkSession, sf: str) -> DataFrame:

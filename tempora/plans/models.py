@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempora.functions.constants import ECONOMIC_PIVOT, RETAIL_PIVOT
-from tempora.functions.exprs import exact_avg, exact_sum, round_half_up, safe_pct_change, year_month
+from tempora.functions.exprs import exact_avg, exact_sum, ntz, round_half_up, safe_pct_change, year_month
 from tempora.operators import staging
 from tempora.operators.pivots import pivot_values
 from tempora.operators.streaks import longest_streak
@@ -30,15 +30,15 @@ def monthly_weather(stg_w: DataFrame) -> DataFrame:
     """Q-18: per location-month rounded mean temperature, rounded rain total and
     ``subzero_days`` -- which counts sub-zero *readings*, as the source model does."""
     return stg_w.groupBy("location_id", year_month("observed_at").alias("year_month")).agg(
-        round_half_up(F.avg("temperature_c"), 2).alias("avg_monthly_temp_c"),
-        round_half_up(F.sum("precipitation_mm"), 2).alias("total_monthly_precipitation_mm"),
+        round_half_up(exact_avg("temperature_c"), 2).alias("avg_monthly_temp_c"),
+        round_half_up(exact_sum("precipitation_mm"), 2).alias("total_monthly_precipitation_mm"),
         F.sum(F.when(F.col("temperature_c") < 0, 1).otherwise(0)).cast("long").alias("subzero_days"),
     )
 
 
 def subzero_calendar_days(stg_w: DataFrame) -> DataFrame:
     """Extra: per location-month, the number of *days* whose mean is below zero."""
-    daily = stg_w.groupBy("location_id", "observation_date").agg(F.avg("temperature_c").alias("t"))
+    daily = stg_w.groupBy("location_id", "observation_date").agg(exact_avg("temperature_c").alias("t"))
     return daily.groupBy("location_id", year_month("observation_date").alias("year_month")).agg(
         F.count(F.when(F.col("t") < 0, 1)).alias("subzero_calendar_days"))
 
@@ -60,15 +60,15 @@ def retail_pivot(stg_r: DataFrame) -> DataFrame:
 def weather_daily(stg_w: DataFrame) -> DataFrame:
     """Q-20."""
     return stg_w.groupBy("location_id", F.to_date("observed_at").alias("observed_at_date")).agg(
-        F.avg("temperature_c").alias("avg_daily_temp_c"),
-        F.sum("precipitation_mm").alias("total_daily_precipitation_mm"))
+        exact_avg("temperature_c").alias("avg_daily_temp_c"),
+        exact_sum("precipitation_mm").alias("total_daily_precipitation_mm"))
 
 
 def weather_monthly(stg_w: DataFrame) -> DataFrame:
     """Q-21."""
     return stg_w.groupBy("location_id", year_month("observed_at").alias("year_month")).agg(
-        F.avg("temperature_c").alias("avg_monthly_temp_c"),
-        F.sum("precipitation_mm").alias("total_monthly_precipitation_mm"))
+        exact_avg("temperature_c").alias("avg_monthly_temp_c"),
+        exact_sum("precipitation_mm").alias("total_monthly_precipitation_mm"))
 
 
 def subzero_streaks(stg_w: DataFrame, stg_l: DataFrame) -> DataFrame:
@@ -176,6 +176,15 @@ class Models:
         return self._once("monthly_macro_weather", lambda: monthly_macro_weather(
             self.monthly_weather(), self.economic_pivot(), self.stg_locations()))
 
+    def macro_weather_between(self, first: str, last: str) -> DataFrame:
+        """The mart's rows of the months ``first`` .. ``last`` ('YYYY-MM'). A month needs its own
+        readings only, so the months become a range of ``observed_at`` below the dedupe (whose key
+        holds it), which reaches the scan of the readings."""
+        stg = self.stg_weather().filter(
+            (F.col("observed_at") >= ntz(f"{first}-01 00:00:00"))
+            & (F.col("observed_at") < F.add_months(F.to_date(F.lit(f"{last}-01")), 1).cast("timestamp_ntz")))
+        return monthly_macro_weather(monthly_weather(stg), self.economic_pivot(), self.stg_locations())
+
     def monthly_retail_macro(self):
         return self._once("monthly_retail_macro", lambda: monthly_retail_macro(
             self.monthly_macro_weather(), self.retail_pivot()))

@@ -80,8 +80,8 @@ WHERE rn = 1""",
     "stg_locations": "SELECT id, name, country, region, latitude, longitude FROM locations",
     "monthly_weather": f"""
 SELECT location_id, strftime(observed_at, '%Y-%m') AS year_month,
-       {round_half_up('AVG(temperature_c)')} AS avg_monthly_temp_c,
-       {round_half_up('SUM(precipitation_mm)')} AS total_monthly_precipitation_mm,
+       {round_half_up(exact_avg('temperature_c'))} AS avg_monthly_temp_c,
+       {round_half_up(exact_sum('precipitation_mm'))} AS total_monthly_precipitation_mm,
        CAST(SUM(CASE WHEN temperature_c < 0 THEN 1 ELSE 0 END) AS BIGINT) AS subzero_days
 FROM stg_weather GROUP BY 1, 2""",
     "economic_pivot": "SELECT year_month, " + ", ".join(

@@ -7,13 +7,12 @@ tie-break so the cut is deterministic.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempora.functions.constants import EXTREME_DEFAULT_METRIC, EXTREME_METRICS, FRESHNESS_MAX_AGE_HOURS
-from tempora.functions.exprs import ntz, round_half_up
+from tempora.functions.constants import (EXTREME_DEFAULT_METRIC, EXTREME_METRICS, FRESHNESS_MAX_AGE_HOURS,
+                                         FUTURE_TOLERANCE_DAYS)
+from tempora.functions.exprs import exact_sum, ntz, round_half_up, year_month
 
 MART_COLS = ["location_name", "year_month", "avg_monthly_temp_c", "total_monthly_precipitation_mm",
              "subzero_days", "cpi", "unemployment_rate", "gdp"]
@@ -31,18 +30,19 @@ def macro_weather_range(mart: DataFrame, start: str, end: str, location: str | N
     return df.select(*MART_COLS).orderBy("year_month", "location_name").limit(limit)
 
 
-def data_freshness(mart: DataFrame, weather: DataFrame, economic: DataFrame) -> DataFrame:
-    """Q-28: latest period of the mart and latest observation of each raw table."""
+def data_freshness(weather: DataFrame, economic: DataFrame, as_of: str) -> DataFrame:
+    """Q-28: latest period of the mart and latest observation of each raw table. The mart keeps a row
+    for every month that staging takes a reading of, so its latest period is the month of the latest
+    such reading, and one pass over the readings gives both."""
     fmt = "yyyy-MM-dd HH:mm:ss"
-    parts = [
-        mart.agg(F.max("year_month").alias("latest")).select(F.lit("latest_macro_weather_period").alias("source"),
-                                                             "latest"),
-        weather.agg(F.date_format(F.max("observed_at"), fmt).alias("latest"))
-        .select(F.lit("latest_weather").alias("source"), "latest"),
-        economic.agg(F.date_format(F.max("observed_at"), fmt).alias("latest"))
-        .select(F.lit("latest_economic").alias("source"), "latest"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    ts = F.col("observed_at")
+    staged = F.when(ts <= F.timestamp_add("DAY", F.lit(FUTURE_TOLERANCE_DAYS), ntz(as_of)), ts)
+    last = weather.agg(F.max(staged).alias("staged"), F.max(ts).alias("raw"))
+    rows = last.select(F.inline(F.array(
+        F.struct(F.lit("latest_macro_weather_period").alias("source"), year_month("staged").alias("latest")),
+        F.struct(F.lit("latest_weather").alias("source"), F.date_format("raw", fmt).alias("latest")))))
+    return rows.unionByName(economic.agg(F.date_format(F.max("observed_at"), fmt).alias("latest"))
+                            .select(F.lit("latest_economic").alias("source"), "latest"))
 
 
 def climate_extremes(mart: DataFrame, year: int, metric: str = EXTREME_DEFAULT_METRIC, n: int = 5) -> DataFrame:
@@ -90,7 +90,7 @@ def precip_profile(weather: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(p > 0).alias("rainy_hours_count"),
         round_half_up(F.max(p), 2).alias("max_hourly_rain_mm"),
-        round_half_up(F.sum(p), 2).alias("total_rain_mm"))
+        round_half_up(exact_sum(p), 2).alias("total_rain_mm"))
 
 
 def precip_nonnull(weather: DataFrame) -> DataFrame:

@@ -30,6 +30,19 @@ def test_time_ranges_reach_the_scan(spark):
         assert re.search(r"PushedFilters: \[[^\]]*l_shipdate", plan), name
 
 
+def test_questions_about_some_months_read_those_months(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    for name in ["macro_weather_range", "macro_weather_range_city", "climate_extremes", "compare_city_climates"]:
+        pushed = re.search(r"PushedFilters: \[([^\]]*l_shipdate[^\]]*)", plan_of(spark, name)).group(1)
+        assert "GreaterThanOrEqual(l_shipdate,199" in pushed and "LessThan(l_shipdate," in pushed, name
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_one_pass_over_the_readings(spark):
+    for name in ["avg_temp_before_after_2000", "data_freshness", "new_locations"]:
+        assert plan_of(spark, name).count("lineitem.parquet") <= 1, name
+
+
 def test_dedupe_limits_before_the_shuffle(spark):
     plan = REGISTRY["dedupe_latest"][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
     shuffle = plan.index("Exchange hashpartitioning")
