@@ -201,6 +201,11 @@ def peek_latest(df: DataFrame, ts: str = "observed_at", n: int = 5) -> DataFrame
     return df.orderBy(F.col(ts).desc()).limit(n)
 
 
+def peek(df: DataFrame, n: int = 5) -> DataFrame:
+    """SRT-6: any ``n`` rows, in no order (a look at a table or at its duplicate groups)."""
+    return df.limit(n)
+
+
 def validate_coordinates(lat: float, lon: float) -> None:
     """FLT-14: latitude in [-90, 90], longitude in [-180, 180]."""
     if not -90.0 <= lat <= 90.0:

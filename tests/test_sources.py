@@ -92,3 +92,9 @@ def test_every_forecast_payload_is_read_or_quarantined(spark, tmp_dir):
         f.write('{"location_id": 4, "hourly": {"time": ["2024')
     assert [r.location_id for r in L.read_weather_forecast_json(spark, f"{tmp_dir}/*.json").collect()] == [1]
     assert L.short_hourly_payloads(spark, f"{tmp_dir}/*.json").count() == 3
+
+
+def test_peeks(spark):
+    df = spark.range(20).selectExpr("id", "timestamp_ntz '2000-01-01 00:00:00' + make_interval(0, 0, 0, 0, int(id)) AS observed_at")
+    assert S.peek(df).count() == 5 and S.peek(df.limit(0)).count() == 0
+    assert [r.id for r in S.peek_latest(df, n=2).collect()] == [19, 18]
