@@ -1,12 +1,12 @@
 """License scans (operator 4). DataFrame functions only.
 
 Notices of known licenses are templates: sets of hashed word shingles. A text is cut into
-overlapping windows of shingles; a window's MinHash signature is one permutation's minima in many
-bins (the leading bits of a shingle's hash name its bin), every bin being a band of one row. A window and a
-template meet when a bin of both has the same minimum. With 32 shingles a window and
-``BINS`` = 4096 bins a template's shingle is the minimum of its bin with probability of at least
-1 - 31/8192 > 0.996, so a template that has even one shingle in a window is retrieved with that
-probability, and one with more almost surely. Retrieved templates are verified exactly: the share
+overlapping windows of shingles; a window's MinHash signature is the minima of ``PERMUTATIONS``
+independent permutations in many bins (the leading bits of a shingle's permuted hash name its bin), every bin
+being a band of one row. A window and a template meet when a bin of both has the same minimum. With 32
+shingles a window and 4096 bins a template's shingle is not the minimum of its bin in one permutation with
+probability of at most 31/8192, so a template that has but one shingle in but one window is missed with probability of at
+most (31/8192)^4 < 2.1e-10. Retrieved templates are verified exactly: the share
 of a template's distinct shingles that the document's whole shingle set contains.
 
 All of this happens within a row; only documents that met a template are exploded, and only
@@ -21,10 +21,13 @@ no rows; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORDS, WINDOW, STRIDE, BIN_BITS = 5, 32, 16, 12
+WORDS, WINDOW, STRIDE, BIN_BITS, PERMUTATIONS = 5, 32, 16, 12, 4
 MOST = 10_000
 
 # Notices of public licenses, as they are commonly written.
@@ -63,6 +66,17 @@ def _bin(x: Column) -> Column:
     return F.shiftrightunsigned(x, 64 - BIN_BITS)
 
 
+def _permuted(x: Column, k: int) -> Column:
+    """A shingle's hash under permutation k; under the first it is the hash itself."""
+    return x if k == 0 else F.xxhash64(x, F.lit(k))
+
+
+def _lowest(window: Column, x: Column, k: int) -> Column:
+    """No shingle of the window is below x in its bin of permutation k."""
+    own = _permuted(x, k)
+    return ~F.exists(window, lambda y: (_bin(_permuted(y, k)) == _bin(own)) & (_permuted(y, k) < own))
+
+
 def template_table(spark, templates: dict[str, str], size: int = WORDS) -> list[tuple[str, list[int]]]:
     """(name, distinct shingles) of every template."""
     rows = once(spark.createDataFrame(list(templates.items()), "name string, text string"), "w", words(F.col("text")), "name")
@@ -83,7 +97,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int =
 
     def met(window: Column) -> Column:
         """Bin minima of a window that belong to a template (the cheap test first)."""
-        return F.filter(window, lambda x: x.isin(known) & ~F.exists(window, lambda y: (_bin(y) == _bin(x)) & (y < x)))
+        return F.filter(window, lambda x: x.isin(known) & reduce(or_, [_lowest(window, x, k) for k in range(PERMUTATIONS)]))
 
     starts = F.sequence(F.lit(1), F.greatest(F.size("sh"), F.lit(1)), F.lit(STRIDE))
     windows = F.transform(starts, lambda at: F.slice(F.col("sh"), at, WINDOW))

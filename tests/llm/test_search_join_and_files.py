@@ -88,6 +88,17 @@ def test_licenses(spark, docs):
         L.scan(docs(rows), {"short": "too short"})
 
 
+def test_a_notice_of_one_shingle_is_found_behind_a_smaller_hash_of_its_bin(spark, docs):
+    """Neighbours are chosen so that the notice's only shingle is not the minimum of its bin."""
+    notice = L.TEMPLATES["MIT"]
+    tried = spark.range(60_000).select("id", F.concat(F.lit(notice + " v"), F.col("id")).alias("text"))
+    sh = tried.select("id", "text", L.shingles(L.words(F.col("text"))).alias("sh"))
+    lost = sh.filter((L._bin(F.get("sh", 1)) == L._bin(F.get("sh", 0))) & (F.get("sh", 1) < F.get("sh", 0)))
+    rows = [(r.id, r.text) for r in lost.collect()]
+    assert rows
+    assert sorted(r.doc_id for r in L.scan(docs(rows)).collect()) == sorted(i for i, _ in rows)
+
+
 PAGES = [(1, "http://a", "<p>é</p>"), (2, "http://b", "<p>é</p>"), (3, None, None), (4, "x y\nz", ""), (5, "http://c", "z" * 700_000),
          (None, "http://d", "<p>é</p>"), (6, "http://e", "own")]
 
