@@ -9,7 +9,8 @@ return the columns of documents.
   shingles, similarity 0.8 or more); repeated rows count as copies;
 * secrets masks every secret in the text and keeps all documents;
 * mix draws copies so that the sources meet their target weights (sizes to the power 0.5);
-* packing cuts and packs what is left into sequences of 2048 tokens: the rows of ``run``.
+* packing cuts and packs what is left into sequences of 2048 tokens, which are written to the shared
+  folder; the rows of ``run`` are their pieces, with the CRC-32 of the ids read back.
 
 SQL cannot express the profiles, hashing and packing, so ``ORACLE_SQL`` is None; the stages are
 tested against brute-force versions.
@@ -58,7 +59,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return nnls_packing.pack(nnls_packing.cut(docs, with_ids=False))
+    path = scratch(spark, "sequences")
+    nnls_packing.write_sequences(nnls_packing.pack(nnls_packing.cut(docs)), path)
+    return nnls_packing.sequence_digest(spark, path)
 
 
 STAGES = [

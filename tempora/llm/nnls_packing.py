@@ -10,6 +10,8 @@ least squares over length combinations.
    histogram, so its size depends on the window alone, never on the corpus.
 4. ``assign``: the piece of rank r among those of its length takes the r-th place that the
    plan has for that length.
+5. ``write_sequences``: the pieces, ids and all, meet in their sequence: one row for each, its tokens
+   padded, written to the shared folder. ``sequence_digest`` reads them back.
 
 Sequences are padded to the window, except when their tokens are a power of two.
 
@@ -27,7 +29,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempora.llm.common import stored
@@ -37,14 +39,33 @@ WINDOW = 2048
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
 #: Rounds of the least-squares fit.
 FIT_ROUNDS = 300
+#: Ids of a batch that goes back to Spark.
+BATCH_IDS = 2_000_000
+#: Pieces that are put into sequences at a time.
+FILL_ROWS = 1024
+#: Rows (length, partition) of the counts that are broadcast at most; beyond, the pieces are shuffled to meet them.
+BASES = 500_000
+SEQUENCES = ("sequence_id long, doc_ids array<long>, starts array<long>, lengths array<long>, doc_tokens array<long>, "
+             "ids array<int>")
+DIGEST = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
+          "sequence_tokens long")
 
 
 def _cut(batches, tokenizer: str, window: int, end_id: int, with_ids: bool):
     """Pieces of a partition; ``nth`` counts those of one length within the partition."""
     enc, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), {}
     end = np.array([end_id], dtype="<u4").tobytes()
+    types = [pa.int64()] * 5 + [pa.int32(), pa.int64()]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
+
+    def packed(cols, ids):
+        arrays = [pa.array(c, t) for c, t in zip(cols, types)]
+        if not with_ids:
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+        return pa.RecordBatch.from_arrays(arrays + [_lists(np.frombuffer(b"".join(ids), dtype="<i4"), cols[2])], names=[*names, "ids"])
+
     for batch in batches:
-        cols = [[] for _ in range(8)]
+        cols, held, size = [[] for _ in types], [], 0
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
             ids = enc.ids(text.as_py()) + end
             total = len(ids) // 4
@@ -53,13 +74,20 @@ def _cut(batches, tokenizer: str, window: int, end_id: int, with_ids: bool):
                 n = len(piece) // 4
                 nth = seen.get(n, 0)
                 seen[n] = nth + 1
-                row = (doc_id, start, n, zlib.crc32(piece), total, part, nth,
-                       np.frombuffer(piece, dtype="<i4") if with_ids else None)
-                for col, value in zip(cols, row):
+                for col, value in zip(cols, (doc_id, start, n, zlib.crc32(piece), total, part, nth)):
                     col.append(value)
-        types = [pa.int64()] * 5 + [pa.int32(), pa.int64()] + ([pa.list_(pa.int32())] if with_ids else [])
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth", "ids"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names[:len(types)])
+                if with_ids:
+                    held.append(piece)
+                    size += n
+                    if size >= BATCH_IDS:
+                        yield packed(cols, held)
+                        cols, held, size = [[] for _ in types], [], 0
+        yield packed(cols, held)
+
+
+def _lists(values: np.ndarray, lengths) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(np.asarray(lengths, dtype=np.int64))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
 def cut(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end_id: int = 1,
@@ -197,17 +225,79 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     its partition plus the counts of the partitions before, from a table of one row per length
     and partition, so no group of equal lengths is ever sorted or gathered.
     """
-    pieces = stored(pieces, "pieces")
-    by_part = pieces.groupBy("length", "part").count()
+    pieces = stored(pieces, "pieces", compression="zstd")
+    by_part = stored(pieces.groupBy("length", "part").count(), "lengths")
     counts = np.zeros(window + 1, dtype=np.int64)
     for length, n in by_part.groupBy("length").agg(F.sum("count")).collect():  # at most `window` rows
         counts[length] = n
     table = places(plan(counts, window), window)
     base = by_part.select("length", "part", (F.sum("count").over(
         Window.partitionBy("length").orderBy("part")) - F.col("count")).alias("base"))
+    if by_part.count() <= BASES:  # the pieces carry their ids, so they had better not be shuffled for this
+        base = F.broadcast(base)
     ranked = pieces.join(base, ["length", "part"]).select(
         *[pieces[c] for c in pieces.columns if c not in ("part", "nth")],
         (F.col("base") + F.col("nth")).alias("rank"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank"]
     return ranked.mapInArrow(partial(_assign, table=table), ", ".join(
         fields + ["sequence_id long", "offset long", "sequence_tokens long"]))
+
+
+def _fill(batches, pad_id: int):
+    """Sequences of a partition sorted by (sequence_id, offset); only the one that a batch ends in is carried on."""
+    held = None
+    for batch in (b.slice(at, FILL_ROWS) for b in batches for at in range(0, b.num_rows, FILL_ROWS)):
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
+        last = int(np.searchsorted(rows.column("sequence_id").to_numpy(), rows.column("sequence_id")[-1].as_py()))
+        held = rows.slice(last)
+        if last:
+            yield _filled(rows.slice(0, last), pad_id)
+    if held is not None:
+        yield _filled(held, pad_id)
+
+
+def _filled(rows: pa.RecordBatch, pad_id: int) -> pa.RecordBatch:
+    number, offset, length, tokens = (rows.column(c).to_numpy() for c in ("sequence_id", "offset", "length", "sequence_tokens"))
+    first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+    sizes, begin = np.diff(np.append(first, len(number))), np.concatenate([[0], np.cumsum(tokens[first])])
+    at = np.repeat(begin[:-1], sizes) + offset  # where a piece begins among the tokens of all sequences
+    ids = np.full(begin[-1], pad_id, dtype="<i4")
+    flat = rows.column("ids").flatten().to_numpy(zero_copy_only=False)
+    ids[np.repeat(at - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(len(flat))] = flat
+    offsets = pa.array(np.append(first, len(number)).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(number[first])]
+        + [pa.ListArray.from_arrays(offsets, rows.column(c)) for c in ("doc_id", "start", "length", "doc_tokens")]
+        + [_lists(ids, tokens[first])], names=["sequence_id", "doc_ids", "starts", "lengths", "doc_tokens", "ids"])
+
+
+def write_sequences(packed: DataFrame, path: str, pad_id: int = 0) -> None:
+    """Write the packed pieces (of ``pack``, with ids) as Parquet: a row for every sequence with its pieces in
+    order and its tokens, padded with ``pad_id``. The tokens that are no padding are the first sum(lengths)."""
+    placed = packed.select("sequence_id", "offset", "doc_id", "start", "length", "doc_tokens", "sequence_tokens", "ids")
+    ordered = placed.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
+    ordered.mapInArrow(partial(_fill, pad_id=pad_id), SEQUENCES).write.option("compression", "zstd").parquet(path)
+
+
+def _digest(batches):
+    for batch in batches:
+        lists = {c: batch.column(c) for c in ("doc_ids", "starts", "lengths", "doc_tokens", "ids")}
+        sizes = np.diff(lists["lengths"].offsets.to_numpy())
+        tokens = np.diff(lists["ids"].offsets.to_numpy())
+        length = lists["lengths"].flatten().to_numpy(zero_copy_only=False)
+        before = np.cumsum(length) - length
+        begins = np.cumsum(sizes) - sizes
+        offset = before - np.repeat(before[begins], sizes) if len(length) else before
+        ids = lists["ids"].flatten().to_numpy(zero_copy_only=False).view("<u4")
+        at = np.repeat(np.cumsum(tokens) - tokens, sizes) + offset
+        crc = [zlib.crc32(ids[a:a + n].tobytes()) for a, n in zip(at.tolist(), length.tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [lists["doc_ids"].flatten(), lists["starts"].flatten(), lists["lengths"].flatten(), pa.array(crc, pa.int64()),
+             lists["doc_tokens"].flatten(), pa.array(np.repeat(batch.column("sequence_id").to_numpy(), sizes), pa.int64()),
+             pa.array(offset, pa.int64()), pa.array(np.repeat(tokens, sizes), pa.int64())],
+            names=[f.split()[0] for f in DIGEST.split(", ")])
+
+
+def sequence_digest(spark: SparkSession, path: str) -> DataFrame:
+    """Read the written sequences back: a row for every piece with the CRC-32 of its ids where they stand now."""
+    return spark.read.schema(SEQUENCES).parquet(path).mapInArrow(_digest, DIGEST)

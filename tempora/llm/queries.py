@@ -47,9 +47,9 @@ def op5_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = nnls_packing.cut(table(spark, sf_dir, "documents"), with_ids=False)
-    return nnls_packing.pack(pieces).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens")
+    path = scratch(spark, "sequences")
+    nnls_packing.write_sequences(nnls_packing.pack(nnls_packing.cut(table(spark, sf_dir, "documents"))), path)
+    return nnls_packing.sequence_digest(spark, path)
 
 
 def op7_rank_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,46 @@ def test_packing_places_every_token_once(spark, docs):
     assert P.pack(P.cut(docs(ROWS).limit(0))).count() == 0
 
 
+def test_sequences_hold_the_tokens_of_their_pieces(spark, docs, monkeypatch):
+    """The registered query and the pipeline's stage write sequences whose tokens are those of the plain encoding."""
+    import corpus_pipeline as C
+    from tempora.llm import queries as Q
+    rows = ROWS + [(100 + i, f"text number {i} " * (i % 37 + 1)) for i in range(200)]
+    made, write = [], P.write_sequences
+    monkeypatch.setattr(P, "write_sequences", lambda packed, path: (made.append(path), write(packed, path)))
+    monkeypatch.setattr(Q, "table", lambda *_: docs(rows))
+    for out in (Q.op6_packing(spark, ""), C.packing(spark, docs(rows), "")):
+        pieces = out.collect()
+        check(pieces, 2048)
+        stream = {}  # (sequence, offset) -> tokens of the piece there
+        for s in spark.read.parquet(made[-1]).collect():
+            at = 0
+            for doc_id, start, n in zip(s.doc_ids, s.starts, s.lengths):
+                stream[s.sequence_id, at] = (doc_id, start, list(s.ids[at:at + n]), len(s.ids))
+                at += n
+            assert not any(s.ids[at:])
+        want = sorted((str(i), at, (ids(t) + [1])[at:at + 2048]) for i, t in rows for at in range(0, len(ids(t)) + 1, 2048))
+        assert sorted((str(d), at, k) for d, at, k, _ in stream.values()) == want
+        for r in pieces:
+            doc_id, start, tokens, padded = stream.pop((r.sequence_id, r.offset))
+            assert (doc_id, start, len(tokens), padded) == (r.doc_id, r.start, r.length, r.sequence_tokens)
+            assert zlib.crc32(np.array(tokens, dtype="<u4").tobytes()) == r.ids_crc32
+        assert not stream
+    empty = scratch(spark, "sequences")
+    write(P.pack(P.cut(docs(rows).limit(0))), empty)
+    assert P.sequence_digest(spark, empty).count() == 0
+
+
+def test_batches_do_not_split_sequences(spark, docs, monkeypatch):
+    import pyarrow as pa
+    rows = pa.RecordBatch.from_pydict({"sequence_id": [3, 3, 4, 9], "offset": [0, 2, 0, 0], "doc_id": [1, 2, 1, None], "start": [0, 0, 2, 0],
+                                       "length": [2, 1, 2, 1], "doc_tokens": [4, 1, 4, 1], "sequence_tokens": [4, 4, 2, 1],
+                                       "ids": pa.array([[5, 6], [7], [8, 9], [1]], pa.list_(pa.int32()))})
+    for step in (1, 2, 3, 4):
+        out = pa.Table.from_batches(P._fill([rows.slice(k, step) for k in range(0, 4, step)], 0)).to_pydict()
+        assert out["sequence_id"] == [3, 4, 9] and out["ids"] == [[5, 6, 7, 0], [8, 9], [1]] and out["doc_ids"] == [[1, 2], [1], [None]]
+
+
 def test_plan_uses_every_piece_and_wastes_little():
     rng = np.random.default_rng(3)
     counts = np.bincount(np.minimum(2048, rng.lognormal(6, 1, 20_000).astype(int) + 1), minlength=2049)
