@@ -6,7 +6,8 @@ return the columns of documents.
 
 * language_id drops documents without a language (null, empty or letterless texts);
 * near_duplicates keeps one document, that of the smallest doc_id, of every group (five-word
-  shingles, similarity 0.8 or more); repeated rows count as copies;
+  shingles, similarity 0.8 or more); repeated rows of one doc_id and text count as copies, documents without a doc_id
+  are kept all;
 * secrets masks every secret in the text and keeps all documents;
 * mix draws copies so that the sources meet their target weights (sizes to the power 0.5);
 * packing cuts and packs what is left into sequences of 2048 tokens, which are written to the shared
@@ -41,7 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = stored(minmax_dedup.near_duplicates(docs, words=5, percent=80).filter("doc_id IS NOT NULL"), "near")
     left = docs.join(found.filter("NOT kept").select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_anti")
     if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():  # rows that repeat
-        left = left.dropDuplicates(["doc_id", "text"])
+        nameless = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())  # rows without a doc_id are copies of nothing
+        left = left.withColumn("_own", nameless).dropDuplicates(["doc_id", "text", "_own"])
     return left.select(*COLUMNS)
 
 

@@ -19,7 +19,7 @@ No bucket is expanded into all its pairs:
 Defined cases: null and empty texts, and texts of white space, have the empty set and link
 with nothing; fewer words than a shingle make one shingle of the whole sequence; repeated rows
 are rows of one class; rows that share a doc_id but not the text are one document with several
-sets, linked by any of them; a null doc_id links with nothing, has no component and is not kept; an
+sets, linked by any of them and of one component (also a row of its without a set); a null doc_id links with nothing, has no component and is not kept; an
 empty table gives no rows; only ``doc_id`` and ``text`` are read.
 """
 
@@ -188,7 +188,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = stored(texts.join(wanted.hint("shuffle_hash"), "doc_id").mapInArrow(
         partial(_sets, words=words), "rep long, n long, shingles array<long>"), "sets")
-    links = stored(_links(_overlaps(first, sets), percent), "links")
+    # rows of one doc_id with several sets are one document: it links the classes of its sets
+    several = signed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(F.coalesce("set_id", F.lit(b""))).alias("low"), F.max(F.coalesce("set_id", F.lit(b""))).alias("high")).filter(
+        "low <> high").select("doc_id")
+    own = stored(linkable.join(several, "doc_id", "left_semi").select("doc_id", "set_id").distinct().join(
+        classes.select("set_id", "rep"), "set_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")), "own")
+    links = stored(_links(_overlaps(first, sets), percent).union(own.filter("u <> v")), "links")
     found = components(links, "components")
 
     # buckets that hold several components: first against their least changed member ...
@@ -225,6 +231,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     named = classes.select("set_id", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_id", F.coalesce("component", "rep").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    # a row without a set is of its document's component, if other rows of the document have sets
+    whole = own.join(found.withColumnRenamed("node", "v"), "v", "left").groupBy(F.col("u").alias("doc_id")).agg(
+        F.min(F.coalesce("component", "v")).alias("whole"))
+    out = out.join(whole, "doc_id", "left") if not own.isEmpty() else out.withColumn("whole", F.lit(None).cast("long"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "whole", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))

@@ -77,3 +77,12 @@ def test_heavily_changed_copies_of_one_text_match_brute_force(spark, docs):
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in M.near_duplicates(docs(rows), 4, 80).collect()}
     assert got == brute(rows, 4, 80)
     assert len({c for _, c, _ in got.values()}) > 3
+
+
+def test_rows_that_share_a_doc_id_link_the_classes_of_their_texts(spark, docs):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(1, a), (7, a), (7, b), (9, b + " tail"), (20, ""), (20, a), (30, "alone in the world"), (30, None), (31, None),
+            (40, "one set of its"), (40, "another of its own")]
+    got = [(r.doc_id, r.component_id, r.kept) for r in M.near_duplicates(docs(rows), 4, 80).collect()]
+    assert sorted(got) == sorted([(1, 1, True), (7, 1, False), (7, 1, False), (9, 1, False), (20, 1, False), (20, 1, False),
+                                  (30, 30, True), (30, 30, True), (31, 31, True), (40, 40, True), (40, 40, True)])

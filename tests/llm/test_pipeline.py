@@ -33,6 +33,18 @@ def test_rows_that_repeat_are_copies(spark, docs):
     assert out.filter("doc_id IS NULL").count() == 1
 
 
+def test_a_group_keeps_a_document_where_rows_share_a_doc_id(spark, docs):
+    other = " ".join(f"b{k}" for k in range(60))
+    out = C.near_duplicates(spark, docs([(1, COPY), (7, COPY), (7, other), (9, other + " tail")]), "")
+    assert [r.doc_id for r in out.collect()] == [1]
+
+
+def test_rows_without_a_doc_id_stay_whether_or_not_others_repeat(spark, docs):
+    for more in ([], [(1, COPY)]):
+        out = C.near_duplicates(spark, docs([(None, "free"), (None, "free"), (1, COPY), (2, "else"), *more]), "")
+        assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "2", "None", "None"]
+
+
 def test_an_empty_table_goes_through(spark, docs):
     d = docs([(1, "x")]).drop("component_id").limit(0)
     for name, stage in C.STAGES:
