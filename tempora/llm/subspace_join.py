@@ -18,15 +18,15 @@ links are counted where they are found, and per group only a spanning set of edg
 Equal vectors are one class with a multiplicity, so copies add to counts without any pair.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components, and
-rows without a vec_id, link with nothing (component is their own vec_id, if any); vectors of other
-than the commonest length link with nothing either if lengths differ; repeated rows are other vectors
+rows without a vec_id, link with nothing (component is their own vec_id, if any); vectors of different
+lengths do not link, and each length that occurs is joined on its own; repeated rows are other vectors
 of the same class, so each counts the others; an empty table gives no rows; only
 ``vec_id`` and ``embedding`` are read.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -45,6 +45,7 @@ SLACK = 1e-5
 FIXED = float(1 << 15)
 #: Cosines this close to the bound are recomputed in one fixed order of operations.
 CLOSE = 1e-9
+LINKS = "rep long, links long, root long"
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -226,28 +227,15 @@ def group_links(home: pd.DataFrame, there: pd.DataFrame, split: Split) -> pd.Dat
     return pd.DataFrame({"rep": names[seen], "links": links[seen], "root": names[root[seen]]})
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.9, block_dims: int = BLOCK_DIMS, chunk: int = CHUNK) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding): how many other
-    vectors have a cosine of at least ``cosine`` with it, and the smallest vec_id reachable."""
-    vectors = vectors.select("vec_id", "embedding")
-    finite = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(float("inf")), F.lit(False)))
-    usable = F.coalesce(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite
-                        & F.exists("embedding", lambda x: x != 0), F.lit(False))
-    # grouping and joins take negative zero for zero
-    classes = stored(vectors.filter(usable).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vectors")
-    common = classes.groupBy(F.size("embedding").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
-    result = vectors.withColumn("usable", usable)
-    if common is None:
-        return _named(result, None)
-    dims = common.dims
-    rows = classes.filter(F.size("embedding") == dims)
+def _found(rows: DataFrame, dims: int, cosine: float, block_dims: int, chunk: int) -> DataFrame:
+    """(rep, links, root) of the classes of one length."""
     moments = np.zeros(dims * dims + dims + 1)
     for i, v in rows.select("embedding").mapInArrow(partial(_moments, dims=dims), "i long, v double").groupBy("i").agg(
             F.sum("v")).collect():  # dims x dims sums
         moments[i] = v
     split = Split(moments, dims, cosine, block_dims)
 
-    kind = dict(vectors.dtypes)["embedding"]
+    kind = dict(rows.dtypes)["embedding"]
     cells = rows.select("rep", "copies", "embedding").mapInArrow(
         partial(_cells, split=split, dims=dims), f"block int, cx long, cy long, home boolean, rep long, copies long, embedding {kind}")
     key = ["block", "cx", "cy"]
@@ -262,9 +250,28 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, block_dims: int = BLOC
         "hc", F.explode(F.sequence(F.lit(0), F.col("hn") - 1)))
     group = [*key, "hc", "tc"]
     columns = [*group, "rep", "copies", "embedding"]
-    found = at_home.select(*columns).groupBy(*group).cogroup(present.select(*[F.col(c).alias(c) for c in columns]).groupBy(*group)).applyInPandas(
-        lambda a, b: group_links(a, b, split), "rep long, links long, root long")
-    return _named(result, stored(found, "links"), classes)
+    return at_home.select(*columns).groupBy(*group).cogroup(present.select(*[F.col(c).alias(c) for c in columns]).groupBy(*group)).applyInPandas(
+        lambda a, b: group_links(a, b, split), LINKS)
+
+
+def near_vectors(vectors: DataFrame, cosine: float = 0.9, block_dims: int = BLOCK_DIMS, chunk: int = CHUNK) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding): how many other
+    vectors have a cosine of at least ``cosine`` with it, and the smallest vec_id reachable."""
+    vectors = vectors.select("vec_id", "embedding")
+    finite = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(float("inf")), F.lit(False)))
+    usable = F.coalesce(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite
+                        & F.exists("embedding", lambda x: x != 0), F.lit(False))
+    # grouping and joins take negative zero for zero
+    classes = stored(vectors.filter(usable).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vectors")
+    lengths = classes.groupBy(F.size("embedding").alias("dims")).count().collect()  # a row for each length
+    result = vectors.withColumn("usable", usable)
+    if not lengths:
+        return _named(result, None)
+    # a length of one vector (a class) has no links but between its copies
+    found = [_found(classes.filter(F.size("embedding") == r["dims"]), r["dims"], cosine, block_dims, chunk)
+             for r in sorted(lengths) if r["count"] > 1]
+    none = vectors.sparkSession.createDataFrame([], LINKS)
+    return _named(result, stored(reduce(DataFrame.union, found, none), "links"), classes)
 
 
 def _named(vectors: DataFrame, found: DataFrame | None, classes: DataFrame | None = None) -> DataFrame:

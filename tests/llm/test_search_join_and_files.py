@@ -71,6 +71,16 @@ def test_near_vectors_match_brute_force(spark, chunk):
     assert J.near_vectors(frame(spark, ODD), 0.9).count() == len(ODD)
 
 
+def test_every_length_is_joined(spark):
+    """Links within a less common length count as those within the commonest."""
+    base = [1.0, 2.0, 3.0, 4.0]
+    rows = [(i, [float(i == j) for j in range(8)]) for i in range(8)] + [(20, base), (21, [1.0, 2.0, 3.0, 4.1]), (22, base), (23, [-1.0, 0.0, 0.0, 0.0])]
+    rows += [(30, [2.0]), (31, [3.0]), (40, [1.0, 1.0]), (41, [1.0, 1.0]), (50, [1.0] * 3)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in J.near_vectors(frame(spark, rows + ODD), 0.9).collect()}
+    want = {i: (0, i) for i, _ in rows + ODD} | {20: (2, 20), 21: (2, 20), 22: (2, 20), 30: (1, 30), 31: (1, 30), 40: (1, 40), 41: (1, 40)}
+    assert got == want
+
+
 def test_crowded_groups_are_counted_like_sparse_ones(spark, monkeypatch):
     monkeypatch.setattr(J, "TILE", 16)
     test_near_vectors_match_brute_force(spark, 16384)
