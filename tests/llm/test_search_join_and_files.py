@@ -51,6 +51,36 @@ def test_top_k_matches_brute_force(spark):
     assert T.top_k(frame(spark, ODD[:1]), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_large_weights_take_part_exactly(spark):
+    """Components beyond 2^27 / 256 are kept; what leaves 64 bits raises; sums that only pass through there do not."""
+    rows = [(50, [1e6] * 16), (100, [1.0, -2.0] * 8), (1, [1e6, -1e6] * 8), (2, [999_999.0] + [1e6] * 15), (3, [3e7, 3e7, -3e7] + [0.5] * 13), (4, [0.25] * 16),
+            (150, [3e8, 3e8, 3e8]), (5, [0.0, 0.0, 0.0, 1e30])]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+
+    def best(q, own):
+        return sorted((-sum(a * b for a, b in zip(own[q], w)), i) for i, w in own.items() if i != q)[:5]
+
+    for left in ({5, 150}, {3, 5, 50, 1, 2}):  # 3e8 x 3e7 and 1e6 x 1e30 leave 64 bits
+        own = {i: w for i, w in whole.items() if i not in left}
+        got = {}
+        for r in T.top_k(frame(spark, [r for r in rows if r[0] not in left]), F.col("vec_id") % 50 == 0).collect():
+            got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+        assert {q: sorted(v) for q, v in got.items()} == {q: best(q, own) for q in own if q % 50 == 0}
+    with pytest.raises(Exception, match="does not fit in 64 bits"):
+        T.top_k(frame(spark, [r for r in rows if r[0] in (50, 5)]), F.col("vec_id") % 50 == 0).collect()
+
+
+def test_sums_that_pass_64_bits_on_the_way_are_exact():
+    import pandas as pd
+    big = np.array([float(1 << 40), float(1 << 40), 7.0])
+    block = pd.DataFrame({"vec_id": [1, 2], "weights": [np.array([float(1 << 40), -float(1 << 40), 3.0]), np.array([0.0, 0.0, 1.0])]})
+    out = T.block_topk(block, pd.DataFrame({"vec_id": [0], "weights": [big]}), 5)
+    assert sorted(zip(out["vec_id"], out["score"])) == [(1, 21), (2, 7)]
+    with pytest.raises(OverflowError):
+        T.block_topk(block, pd.DataFrame({"vec_id": [0], "weights": [np.array([float(1 << 23), 0.0, 0.0])]}), 5)
+
+
 @pytest.mark.parametrize("chunk", [16384, 40])
 def test_near_vectors_match_brute_force(spark, chunk):
     rows = vectors()
