@@ -123,8 +123,9 @@ def _predict(batches, profiles: dict[str, list[int]], own: int, keep_text: bool)
     for batch in batches:
         names, scores = [], []
         for text in batch.column("text"):
-            keys, place = ranked(*grams(text.as_py()), own)
-            letters = keys & ((1 << 42) - 1) == 0  # single letters
+            found = grams(text.as_py())
+            letters = found[0] & ((1 << 42) - 1) == 0  # single letters, whether or not among the first ``own``
+            keys, place = ranked(*found, own)
             if not langs or not letters.any():
                 names.append(UNKNOWN)
                 scores.append(0.0)

@@ -194,6 +194,16 @@ def test_language_profiles(spark, docs):
     assert {r.lang_pred for r in R.identify(docs([(1, "text", None)])).collect()} == {"und"}
 
 
+def test_a_table_of_many_letters_has_letters(spark, docs):
+    """160 ideographs with gaps between them: all n-grams tie, and those at word edges come first."""
+    table = " ".join(chr(0x4E00 + k) for k in range(160))
+    keys = R.ranked(*R.grams(table), R.OWN)[0]
+    assert not (keys & ((1 << 42) - 1) == 0).any()
+    rows = [(i, "一 丁 七 万", "zh") for i in range(9)] + [(100, table, None), (101, "12 !", None)]
+    got = {r.doc_id: r.lang_pred for r in R.identify(docs(rows)).collect()}
+    assert got[100] == "zh" and got[101] == "und"
+
+
 def test_grams_of_a_long_text_do_not_depend_on_chunks(monkeypatch):
     text = "Hällo wörld, ünd so weiter. " * 50
     whole = R.grams(text)
