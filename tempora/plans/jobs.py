@@ -99,34 +99,59 @@ def _stamp(df: DataFrame, fetched_at: str) -> DataFrame:
     return df.withColumn("created_at", F.to_timestamp_ntz(F.lit(fetched_at)))
 
 
+def _record(spark: SparkSession, table: str, domain: str, fetched_at: str, quarantined: DataFrame,
+            rejected: DataFrame | None = None) -> dict:
+    """Write what an ingest leaves out to the table ``rejects`` beside its own, as landed, before anything is
+    merged; a run replaces its own rows only. Returns the frames and their counts."""
+    def as_landed(df, kind, reason):
+        return df.select(F.lit(kind).alias("kind"), "file", reason.alias("reason"), F.to_json(F.struct("*")).alias("record"))
+
+    found = as_landed(quarantined, "payload", F.lit("quarantined"))
+    if rejected is not None:
+        found = found.union(as_landed(rejected, "row", F.col("reason")))
+    counts = {"payload": 0, "row": 0} | {r["kind"]: r["count"] for r in found.groupBy("kind").count().collect()}
+    if any(counts.values()):
+        found.withColumn("domain", F.lit(domain)).withColumn("fetched_at", F.lit(fetched_at)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("domain", "fetched_at").parquet(rejects_path(table))
+    return {"quarantined": quarantined, "counts": counts} | ({} if rejected is None else {"rejected": rejected})
+
+
+def rejects_path(table: str) -> str:
+    return f"{table.rstrip('/').rpartition('/')[0]}/rejects"
+
+
 def ingest_weather(spark: SparkSession, landing: str, table: str, fetched_at: str) -> dict:
     """JOB-2: all landed forecast payloads in one job; short-array payloads are
     quarantined (not loaded) instead of failing the others; rows upserted on
     (location_id, observed_at) into the month-partitioned table."""
+    left_out = _record(spark, table, "weather", fetched_at, L.short_hourly_payloads(spark, landing))
     rows = L.read_weather_forecast_json(spark, landing)
     rows = _stamp(rows, fetched_at).withColumn("id", F.lit(None).cast("long"))
     months = _merge_or_create(spark, table, rows, ["location_id", "observed_at"], "upsert", WEATHER_UPDATE,
                               "location_id")
-    return {"months": months, "quarantined": L.short_hourly_payloads(spark, landing)}
+    return {"months": months, **left_out}
 
 
 def ingest_economic(spark: SparkSession, landing: str, table: str, fetched_at: str) -> dict:
     """JOB-3: all landed series payloads; label from the series map; empty payloads
     quarantined; upsert on (series_id, observed_at) updating name and value."""
+    left_out = _record(spark, table, "economic", fetched_at, L.empty_economic_payloads(spark, landing),
+                       L.rejected_economic_rows(spark, landing))
     rows = L.read_economic_json(spark, landing)
     labels = L.code_labels(spark, FRED_SERIES, "series_id", "series_name")
     rows = _stamp(rows.join(F.broadcast(labels), "series_id", "left"), fetched_at)
     months = _merge_or_create(spark, table, rows, ["series_id", "observed_at"], "upsert", ["series_name", "value"],
                               "series_id")
-    return {"months": months, "quarantined": L.empty_economic_payloads(spark, landing),
-            "rejected": L.rejected_economic_rows(spark, landing)}
+    return {"months": months, **left_out}
 
 
 def ingest_retail(spark: SparkSession, landing: str, table: str, fetched_at: str) -> dict:
     """JOB-4: landed Census payloads; nothing parsed -> nothing written."""
+    left_out = _record(spark, table, "retail", fetched_at, L.unparsed_retail_payloads(spark, landing),
+                       L.rejected_retail_rows(spark, landing))
     rows = _stamp(L.read_retail_json(spark, landing), fetched_at)
     return {"months": _merge_or_create(spark, table, rows, ["naics_code", "observed_at"], "upsert",
-                                       ["category_name", "value"], "naics_code")}
+                                       ["category_name", "value"], "naics_code"), **left_out}
 
 
 def _merge_or_create(spark, table, rows, keys, mode, update_cols, cluster_col):
@@ -148,11 +173,14 @@ def backfill_plan(spark: SparkSession, locs: DataFrame, table: str, as_of: str)
     return backfill.backfill_chunks(locs, obs, as_of)
 
 
-def backfill_load(spark: SparkSession, landing: str, table: str, fetched_at: str) -> list[str]:
+def backfill_load(spark: SparkSession, landing: str, table: str, fetched_at: str) -> dict:
     """JOB-5 step 2: landed archive chunks inserted first-write-wins (existing readings are
-    never overwritten); unreadable chunks yield no rows and do not stop the others."""
+    never overwritten); unreadable chunks and hours do not stop the others and are recorded."""
+    left_out = _record(spark, table, "archive", fetched_at, L.empty_archive_payloads(spark, landing),
+                       L.rejected_archive_rows(spark, landing))
     rows = _stamp(L.read_weather_archive_json(spark, landing), fetched_at).withColumn("id", F.lit(None).cast("long"))
-    return _merge_or_create(spark, table, rows, ["location_id", "observed_at"], "ignore", WEATHER_UPDATE, "location_id")
+    return {"months": _merge_or_create(spark, table, rows, ["location_id", "observed_at"], "ignore", WEATHER_UPDATE,
+                                       "location_id"), **left_out}
 
 
 def migrate(spark: SparkSession, src: DataFrame, out: str, kind: str = "weather", dry_run: bool = False) -> int:
@@ -167,14 +195,15 @@ def migrate(spark: SparkSession, src: DataFrame, out: str, kind: str = "weather"
 def run_daily(spark: SparkSession, landing_root: str, tables_root: str, out_dir: str, fetched_at: str,
               locations: DataFrame, as_of: str | None = None, gate: bool = True) -> DataFrame:
     """JOB-1: ingest the three domains (each isolated from the others' failure), build the
-    models, gate on the checks. Returns the check report with one row per ingest; a domain
-    that failed is FAIL there, and a run with ``gate`` raises after the rest is done."""
+    models, gate on the checks. Returns the check report with one row per ingest, whose failures count the
+    payloads quarantined and rows rejected (all in the table ``rejects``); a domain that failed or has
+    rejected rows is FAIL there, and a run with ``gate`` raises after the rest is done."""
     as_of = as_of or fetched_at
-    status = {}
+    status, counts = {}, {}
     for name, fn in [("weather", ingest_weather), ("economic", ingest_economic), ("retail", ingest_retail)]:
         try:
-            fn(spark, f"{landing_root}/{name}/*.json", f"{tables_root}/{name}", fetched_at)
-            status[name] = "ok"
+            n = counts[name] = fn(spark, f"{landing_root}/{name}/*.json", f"{tables_root}/{name}", fetched_at)["counts"]
+            status[name] = "ok" if not any(n.values()) else f"{n['payload']} payloads quarantined, {n['row']} rows rejected"
         except Exception as e:  # one domain's failure does not stop the others
             status[name] = f"{type(e).__name__}: {e}"[:300]
     sources = {
@@ -184,9 +213,10 @@ def run_daily(spark: SparkSession, landing_root: str, tables_root: str, out_dir:
         "locations": locations,
     }
     report = run_models(spark, sources, out_dir, as_of, gate)
-    failed = {k: v for k, v in status.items() if v != "ok"}
+    failed = {k: v for k, v in status.items() if k not in counts or counts[k]["row"]}
     if gate and failed:
         raise RuntimeError(f"ingest failed: {failed}")
-    rows = [(f"ingest_{k}", int(v != "ok"), "PASS" if v == "ok" else "FAIL", v) for k, v in status.items()]
+    rows = [(f"ingest_{k}", sum(counts[k].values()) if k in counts else 1, "FAIL" if k in failed else "PASS", v)
+            for k, v in status.items()]
     ingests = spark.createDataFrame(rows, "check_name string, failures long, status string, detail string")
     return report.unionByName(ingests, allowMissingColumns=True)

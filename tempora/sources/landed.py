@@ -76,8 +76,8 @@ def rejected_economic_rows(spark: SparkSession, path: str) -> DataFrame:
 
 def empty_economic_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Payloads with no observations (the source raises for them): a quarantine list."""
-    raw = _json(spark, path, ECONOMIC_PAYLOAD)
-    return raw.filter(F.coalesce(F.size("observations"), F.lit(-1)) <= 0).select("series_id")
+    raw = _json(spark, path, ECONOMIC_PAYLOAD).withColumn("file", F.input_file_name())
+    return raw.filter(F.coalesce(F.size("observations"), F.lit(-1)) <= 0).select("series_id", "file")
 
 
 # ---------------------------------------------------------------- weather (SRC-2, SRC-3)
@@ -125,7 +125,8 @@ def short_hourly_payloads(spark: SparkSession, path: str) -> DataFrame:
 def read_weather_archive_json(spark: SparkSession, path: str) -> DataFrame:
     """Archive payloads -> one row per hour; every measure NULL-padded when its array is
     short, NULL precipitation stays NULL, payloads without ``hourly`` give no rows.
-    Local wall-clock times are kept as TIMESTAMP_NTZ."""
+    Local wall-clock times are kept as TIMESTAMP_NTZ. What is left out is in ``empty_archive_payloads`` or
+    ``rejected_archive_rows``."""
     raw = _json(spark, path, HOURLY_PAYLOAD).filter(F.col("hourly").isNotNull())
     rows = _hourly_rows(raw).filter(F.col("time").try_cast("timestamp_ntz").isNotNull())
     return rows.select(
@@ -134,24 +135,61 @@ def read_weather_archive_json(spark: SparkSession, path: str) -> DataFrame:
         F.to_timestamp_ntz(F.col("time")).alias("observed_at"))
 
 
+def _has_hours() -> F.Column:
+    return F.coalesce(F.size("hourly.time"), F.lit(-1)) > 0
+
+
+def empty_archive_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """Archive payloads without hours: no ``hourly``, no or empty ``time``, or no JSON at all."""
+    raw = _json(spark, path, HOURLY_PAYLOAD).withColumn("file", F.input_file_name())
+    return raw.filter(~_has_hours()).select("location_id", "file")
+
+
+def rejected_archive_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Hours of the other archive payloads that ``read_weather_archive_json`` cannot take: their time does not parse."""
+    raw = _json(spark, path, HOURLY_PAYLOAD).withColumn("file", F.input_file_name()).filter(_has_hours())
+    rows = raw.select("file", "location_id", F.inline(F.arrays_zip(*[
+        F.coalesce(F.col(f"hourly.{f}"), F.array().cast("array<string>" if f == "time" else "array<double>")).alias(f)
+        for f in HOURLY_FIELDS])))
+    return rows.filter(F.col("time").try_cast("timestamp_ntz").isNull()).withColumn("reason", F.lit("time"))
+
+
 # ---------------------------------------------------------------- retail (SRC-4)
 
-def read_retail_json(spark: SparkSession, path: str) -> DataFrame:
-    """Census-style payloads: an array of string arrays whose first row is the header
-    (cell_value, data_type_code, category_code, time, ...). Keeps monthly sales ('SM') of
-    the target NAICS codes; NULL value -> 0.0; rows whose month or value does not parse
-    are skipped."""
-    text = spark.read.text(path, wholetext=True)
-    rows = text.select(F.posexplode(F.from_json("value", "array<array<string>>")).alias("pos", "r"))
+def _retail_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The monthly sales rows of the target codes as landed, with their file and what parses of value and month."""
+    text = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
+    rows = text.select("file", F.posexplode(F.from_json("value", "array<array<string>>")).alias("pos", "r"))
     body = rows.filter(F.col("pos") > 0).select(
-        F.col("r")[0].alias("cell_value"), F.col("r")[1].alias("data_type_code"),
+        "file", F.col("r")[0].alias("cell_value"), F.col("r")[1].alias("data_type_code"),
         F.col("r")[2].alias("category_code"), F.col("r")[3].alias("time"))
     kept = body.filter((F.col("data_type_code") == RETAIL_DATA_TYPE) &
                        F.col("category_code").isin(list(TARGET_NAICS)))
     ts = F.try_to_timestamp(F.col("time"), F.lit("yyyy-MM")).cast("timestamp_ntz")
     val = F.when(F.col("cell_value").isNull(), F.lit(0.0)).otherwise(F.col("cell_value").try_cast("double"))
+    return kept.withColumn("value", val).withColumn("observed_at", ts)
+
+
+def rejected_retail_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that ``read_retail_json`` skips because month or value does not parse, as landed, with file and reason."""
+    rows = _retail_rows(spark, path).filter(F.col("observed_at").isNull() | F.col("value").isNull())
+    return rows.select("file", "category_code", "time", "cell_value",
+                       F.when(F.col("observed_at").isNull(), "time").otherwise("value").alias("reason"))
+
+
+def unparsed_retail_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """Files that are no array of arrays, or hold nothing."""
+    text = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
+    return text.filter(F.coalesce(F.size(F.from_json("value", "array<array<string>>")), F.lit(-1)) <= 0).select("file")
+
+
+def read_retail_json(spark: SparkSession, path: str) -> DataFrame:
+    """Census-style payloads: an array of string arrays whose first row is the header
+    (cell_value, data_type_code, category_code, time, ...). Keeps monthly sales ('SM') of
+    the target NAICS codes; NULL value -> 0.0; rows whose month or value does not parse
+    are skipped (see ``rejected_retail_rows``)."""
     labels = spark.createDataFrame(list(TARGET_NAICS.items()), "naics_code string, category_name string")
-    parsed = kept.select(F.col("category_code").alias("naics_code"), val.alias("value"), ts.alias("observed_at"))
+    parsed = _retail_rows(spark, path).select(F.col("category_code").alias("naics_code"), "value", "observed_at")
     parsed = parsed.filter(F.col("observed_at").isNotNull() & F.col("value").isNotNull())
     return parsed.join(F.broadcast(labels), "naics_code", "inner") \
         .select("naics_code", "category_name", "value", "observed_at")

@@ -102,6 +102,40 @@ def test_backfill_plan_and_first_write_wins(spark, tmp_dir):
     assert J.backfill_plan(spark, locs, f"{tmp_dir}/w", "1950-01-03 00:00:00").first().chunk_start == date(1950, 1, 2)
 
 
+def test_what_an_ingest_leaves_out_is_in_a_table_and_in_the_report(spark, tmp_dir):
+    import pytest
+    hourly = {"time": ["2024-01-01T00:00"], "temperature_2m": [1.0], "windspeed_10m": [1.0], "pressure_msl": [1000.0],
+              "relative_humidity_2m": [50.0]}
+    header = ["cell_value", "data_type_code", "category_code", "time", "geo", "x"]
+    land = f"{tmp_dir}/land"
+    _dump(f"{land}/weather/a.json", {"location_id": 1, "hourly": hourly})
+    _dump(f"{land}/weather/bad.json", {"location_id": 2, "hourly": {**hourly, "temperature_2m": []}})
+    _dump(f"{land}/economic/cpi.json", {"series_id": "CPIAUCSL", "observations": [
+        {"date": "2024-01-01", "value": "310.2"}, {"date": "2024-02-01", "value": "N/A"}, {"date": "2024-03-01", "value": "."}]})
+    _dump(f"{land}/economic/none.json", {"series_id": "GDP", "observations": []})
+    _dump(f"{land}/retail/r.json", [header, ["100", "SM", "44W72", "2024-01", "us", ""], ["(S)", "SM", "44W72", "2024-02", "us", ""],
+                                    ["7", "SM", "44W72", "soon", "us", ""], ["x", "MM", "44W72", "soon", "us", ""]])
+    _dump(f"{land}/retail/error.json", {"error": "no data"})
+    locs = spark.createDataFrame([(1, "A", "X", None, 1.0, 2.0)], "id long, name string, country string, region string, "
+                                                                  "latitude double, longitude double")
+    args = (spark, land, f"{tmp_dir}/tables", f"{tmp_dir}/marts", "2024-03-03 00:00:00", locs)
+    report = {r.check_name: (r.status, r.failures) for r in J.run_daily(*args, gate=False).collect()}
+    assert [report[f"ingest_{k}"] for k in ("weather", "economic", "retail")] == [("PASS", 1), ("FAIL", 2), ("FAIL", 3)]
+    with pytest.raises(RuntimeError, match="rows rejected"):
+        J.run_daily(*args)
+    _dump(f"{tmp_dir}/arch/a.json", {"location_id": 1, "hourly": {**hourly, "time": ["1950-01-01T00:00", "soon", None]}})
+    _dump(f"{tmp_dir}/arch/b.json", {"location_id": 3, "reason": "rate limit"})
+    out = J.backfill_load(spark, f"{tmp_dir}/arch/*.json", f"{tmp_dir}/tables/weather_archive", "2024-03-03 00:00:00")
+    assert out["counts"] == {"payload": 1, "row": 2}
+    rejects = spark.read.parquet(f"{tmp_dir}/tables/rejects").collect()  # the second run has replaced its own rows
+    assert sorted((r.domain, r.kind, r.reason, r.file.rpartition("/")[2]) for r in rejects) == [
+        ("archive", "payload", "quarantined", "b.json"), ("archive", "row", "time", "a.json"), ("archive", "row", "time", "a.json"),
+        ("economic", "payload", "quarantined", "none.json"), ("economic", "row", "value", "cpi.json"),
+        ("retail", "payload", "quarantined", "error.json"), ("retail", "row", "time", "r.json"), ("retail", "row", "value", "r.json"),
+        ("weather", "payload", "quarantined", "bad.json")]
+    assert any('"N/A"' in r.record for r in rejects)
+
+
 def test_migrate_dry_run(spark, tmp_dir):
     from tempora.sources import fixtures as fx
     src = fx.economic_observations(spark, SF)
