@@ -1,6 +1,6 @@
 """License scans (operator 4). DataFrame functions only.
 
-Notices of known licenses are templates: sets of hashed word shingles. A text is cut into
+Notices and whole texts of known licenses are templates: sets of hashed word shingles. A text is cut into
 overlapping windows of shingles; a window's MinHash signature is the minima of ``PERMUTATIONS``
 independent permutations in many bins (the leading bits of a shingle's permuted hash name its bin), every bin
 being a band of one row. A window and a template meet when a bin of both has the same minimum. With 32
@@ -21,16 +21,29 @@ no rows; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from importlib.resources import files
+from itertools import accumulate
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORDS, WINDOW, STRIDE, BIN_BITS, PERMUTATIONS = 5, 32, 16, 12, 4
-MOST = 10_000
+#: Shingles of all templates: 8 bytes each in one literal of the plan.
+MOST = 50_000
 
-# Notices of public licenses, as they are commonly written.
+_GNU = "under the terms of the GNU %s Public License as published by the Free Software Foundation, either version %s of the License"
+
+
+def _body(name: str) -> str:
+    """The terms of a license, without the appendix on how to apply them."""
+    return files("tempora.llm").joinpath("licenses", f"{name}.txt").read_text(encoding="utf-8").split("END OF TERMS AND CONDITIONS")[0]
+
+
+# Notices of public licenses, as they are commonly written. Where two differ in a word, that word is in more
+# than a fifth of the shingles of each, so one is not taken for the other.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "MIT": "Released under the MIT License",
@@ -41,7 +54,33 @@ TEMPLATES = {
                 "associated documentation files (the \"Software\"), to deal in the Software without restriction",
     "BSD-text": "Redistribution and use in source and binary forms, with or without modification, are permitted "
                 "provided that the following conditions are met",
-}
+    "MIT-full": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+                "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+                "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+                "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+                "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+                "SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+                "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+                "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+                "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+           "provided that the above copyright notice and this permission notice appear in all copies",
+    "BSD-3-clause": "may be used to endorse or promote products derived from this software without specific prior written permission",
+    "Apache-2.0-notice": "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+                         "http://www.apache.org/licenses/LICENSE-2.0",
+    "GPL-2.0-notice": _GNU % ("General", "2"),
+    "GPL-3.0-notice": _GNU % ("General", "3"),
+    "LGPL-2.1-notice": _GNU % ("Lesser General", "2.1"),
+    "LGPL-3.0-notice": _GNU % ("Lesser General", "3"),
+    "AGPL-3.0-notice": _GNU % ("Affero General", "3"),
+    "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "CC-BY-short": "Licensed under CC BY 4.0",
+    "CC-BY-SA-short": "Licensed under CC BY-SA 4.0",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC-BY-NC-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC0-notice": "has waived all copyright and related or neighboring rights to this work",
+    "Unlicense": "This is free and unencumbered software released into the public domain",
+} | {f"{name}-body": _body(name) for name in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0", "CC0-1.0")}
 
 
 def words(text: Column) -> Column:
@@ -77,6 +116,27 @@ def _lowest(window: Column, x: Column, k: int) -> Column:
     return ~F.exists(window, lambda y: (_bin(_permuted(y, k)) == _bin(own)) & (_permuted(y, k) < own))
 
 
+def _numbers(values) -> Column:
+    """An array literal, folded from a string when planned: one node, not one for each number."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _member(known: set[int]):
+    """Exact test for membership: the leading bits of a hash name a bucket, a short stretch of one literal."""
+    bits = max(1, len(known).bit_length())
+    at = sorted(known, key=lambda x: x % (1 << 64))
+    sizes = Counter(x % (1 << 64) >> 64 - bits for x in at)
+    ends = list(accumulate(sizes[b] for b in range(1 << bits)))
+    values, starts = _numbers(at), _numbers([0, *ends])
+
+    def test(x: Column) -> Column:
+        bucket = F.shiftrightunsigned(x, 64 - bits).cast("int")
+        first, end = F.get(starts, bucket).cast("int"), F.get(starts, bucket + 1).cast("int")
+        return (end > first) & F.array_contains(F.slice(values, first + 1, end - first), x)
+
+    return test
+
+
 def template_table(spark, templates: dict[str, str], size: int = WORDS) -> list[tuple[str, list[int]]]:
     """(name, distinct shingles) of every template."""
     rows = once(spark.createDataFrame(list(templates.items()), "name string, text string"), "w", words(F.col("text")), "name")
@@ -92,25 +152,27 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int =
     is the place (from 0) of the first of them."""
     spark = docs.sparkSession
     table = template_table(spark, templates, size)
-    known = sorted({x for _, s in table for x in s})
+    is_known = _member({x for _, s in table for x in s})
     hashed = once(once(docs, "w", words(F.col("text")), "doc_id"), "sh", shingles(F.col("w"), size), "doc_id")
 
     def met(window: Column) -> Column:
         """Bin minima of a window that belong to a template (the cheap test first)."""
-        return F.filter(window, lambda x: x.isin(known) & reduce(or_, [_lowest(window, x, k) for k in range(PERMUTATIONS)]))
+        return F.filter(window, lambda x: is_known(x) & reduce(or_, [_lowest(window, x, k) for k in range(PERMUTATIONS)]))
 
     starts = F.sequence(F.lit(1), F.greatest(F.size("sh"), F.lit(1)), F.lit(STRIDE))
     windows = F.transform(starts, lambda at: F.slice(F.col("sh"), at, WINDOW))
     hits = F.array_distinct(F.flatten(F.transform(windows, met)))
     found = once(hashed, "hits", hits, "doc_id", "sh").filter(F.size("hits") > 0)
 
-    entry = "array<struct<license:string,s:array<bigint>>>"
-    literal = F.array(*[F.struct(F.lit(n).alias("license"), F.array(*[F.lit(x) for x in s]).alias("s")) for n, s in table]).cast(entry)
+    flat = _numbers(x for _, own in table for x in own)
+    ends = list(accumulate(len(own) for _, own in table))
+    rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(end - len(own) + 1).alias("at"), F.lit(len(own)).alias("n"))
+                     for (name, own), end in zip(table, ends)])
+    literal = F.transform(rows, lambda t: F.struct(t["license"].alias("license"), F.slice(flat, t["at"], t["n"]).alias("s")))
     retrieved = found.select("doc_id", "sh", F.explode(
         F.filter(literal, lambda t: F.arrays_overlap(t["s"], F.col("hits")))).alias("t"))
-    shared = F.array_intersect("t.s", "sh")
+    shared = F.array_intersect("sh", "t.s")  # in order of the text
     checked = retrieved.select(
         "doc_id", F.col("t.license").alias("license"), F.size(shared).cast("long").alias("n_shared"),
-        F.size("t.s").cast("long").alias("n_shingles"),
-        F.array_min(F.transform(shared, lambda x: F.array_position(F.col("sh"), x) - 1)).alias("first_word"))
+        F.size("t.s").cast("long").alias("n_shingles"), (F.array_position("sh", F.get(shared, 0)) - 1).alias("first_word"))
     return checked.filter(100 * F.col("n_shared") >= percent * F.col("n_shingles"))

@@ -128,6 +128,20 @@ def test_licenses(spark, docs):
         L.scan(docs(rows), {"short": "too short"})
 
 
+def test_common_notices_and_whole_texts(spark, docs):
+    """Every template finds its own text, in other layout and case, and of the notices no other."""
+    names = sorted(L.TEMPLATES)
+    assert {"LGPL-2.1-notice", "MPL-2.0-notice", "CC-BY-SA-4.0", "CC0-notice", "ISC", "GPL-3-body", "Apache-2.0-body"} <= set(names)
+    rows = [(k, "intro: " + "\n".join(L.TEMPLATES[n].upper().split()) + " end") for k, n in enumerate(names)]
+    got = {}
+    for r in L.scan(docs(rows)).collect():
+        got.setdefault(names[r.doc_id], set()).add(r.license)
+    whole = {"MIT-full": {"MIT-text"}}
+    assert all(n in got[n] for n in names)
+    assert {n: got[n] - {n} for n in names if not n.endswith("-body")} == {n: whole.get(n, set()) for n in names if not n.endswith("-body")}
+    assert not any(m.endswith("-body") for n in names for m in got[n] - {n})
+
+
 def test_a_notice_of_one_shingle_is_found_behind_a_smaller_hash_of_its_bin(spark, docs):
     """Neighbours are chosen so that the notice's only shingle is not the minimum of its bin."""
     notice = L.TEMPLATES["MIT"]
