@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm import (html_marginals, license_scan, lyndon_runs, minmax_dedup, nnls_packing, orc_tokens, poisson_mix, rank_langid,
-                         secret_ledger, subspace_join, taat_topk, warc_bundles)
+from tempora.llm import (html_marginals, license_scan, lyndon_runs, minmax_dedup, nnls_packing, orc_tokens, poisson_mix, prefix_trie,
+                         rank_langid, secret_ledger, subspace_join, taat_topk, warc_bundles)
 from tempora.llm.common import scratch
 
 
@@ -73,6 +73,10 @@ def op10_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.token_digest(spark, path)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_html_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_marginals.main_text(table(spark, sf_dir, "pages"))
 
@@ -92,6 +96,7 @@ QUERIES = {
     "op8_warc_bundles": op8_warc_bundles,
     "op9_poisson_mix": op9_poisson_mix,
     "op10_orc_tokens": op10_orc_tokens,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_html_marginals": op12_html_marginals,
     "op13_lyndon_runs": op13_lyndon_runs,
 }
