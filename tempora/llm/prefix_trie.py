@@ -160,8 +160,8 @@ def nodes(members: DataFrame, lengths: DataFrame) -> DataFrame:
     above = above.join(made.select("conv_id", "depth"), ID)  # unique on both sides
     parents = made.select((F.col("depth") + 1).alias("depth"), F.col("name").alias("above"), F.col("conv_id").alias("parent_conv_id"))
     found = above.join(parents, ["depth", "above"]).select(*ID, "parent_conv_id")
-    top = made.filter("depth = 0").select(F.col("conv_id").alias("parent_conv_id"))
-    first = made.filter("depth = 1").select(*ID).join(F.broadcast(top))  # the root is one row
+    top = made.filter("depth = 0").first()  # one row: the root, the parent of all nodes of depth 1
+    first = made.filter("depth = 1").select(*ID, F.lit(top and top.conv_id).cast("long").alias("parent_conv_id"))
     return stored(made.join(found.filter("depth > 1").union(first), ID, "left").select(
         *ID, "name", "parent_conv_id", "n_convs", "n_bytes"), "trie")
 
