@@ -375,6 +375,18 @@ register("events_dedupe_stream", """SELECT event_id, ts, user_id, event_type, va
   SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) t WHERE rn = 1""",
          ST.events_dedupe_stream)
 
+register("events_redelivered_stream", f"""SELECT event_id, ts, user_id, event_type, value FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM (
+    SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % {ST.REDELIVERED} = 0) d) t WHERE rn = 1""",
+         ST.events_redelivered_stream)
+
+register("events_late_rows", f"""
+WITH wm AS (SELECT date_trunc('milliseconds', MAX(ts)) - INTERVAL 1 HOUR AS w FROM events WHERE event_id % {ST.SECOND} <> 0),
+e AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day_start, event_type, event_id % {ST.SECOND} = 0 AS second FROM events),
+l AS (SELECT *, second AND day_start + INTERVAL 1 DAY <= (SELECT w FROM wm) AS late FROM e)
+SELECT day_start, event_type, COUNT(CASE WHEN NOT late THEN 1 END) AS n_taken, COUNT(CASE WHEN late THEN 1 END) AS n_late
+FROM l GROUP BY 1, 2""", ST.events_late_rows)
+
 # ------------------------------------------------------------------ forecasting
 
 

@@ -24,3 +24,12 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, sorted; none when it does not exist."""
     p, fs = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a file or folder within its file system, making the folder above it."""
+    p, fs = _fs(spark, old)
+    target, _ = _fs(spark, new)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"cannot move {old} to {new}")

@@ -30,6 +30,57 @@ def test_event_queries_read_a_table_of_several_files(spark, tmp_dir):
     assert {r.closed for r in daily.select("closed").distinct().collect()} == {True, False}
 
 
+def test_backlog_in_many_micro_batches_loses_nothing(spark, tmp_dir):
+    """Files in no order of time, several micro-batches: every event is counted, and kept once."""
+    from tempora.plans import streams as Q
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_dir}/sf/events.parquet")
+    n, rows = events.count(), events.count() // 5
+    assert Q.events_dedupe_stream(spark, f"{tmp_dir}/sf", rows).count() == n
+    assert Q.events_redelivered_stream(spark, f"{tmp_dir}/sf", rows).count() == n
+    daily = Q.events_daily_stream(spark, f"{tmp_dir}/sf", rows)
+    whole = events.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("d"), "event_type").count()
+    assert {(r.day_start, r.event_type, r.n) for r in daily.collect()} == {tuple(r) for r in whole.collect()}
+
+
+def test_late_rows_are_kept_aside_and_an_ended_delivery_goes_on(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from tempora.streaming.replay import Replay, day_chunks
+    assert day_chunks([("b", 5), ("a", 3), ("c", 9), ("d", 1)], 8) == [("a", "b"), ("c", "c"), ("d", "d")]
+    schema = "id long, observed_at timestamp_ntz, temperature_c double"
+
+    def rows(*made):
+        return spark.createDataFrame([(i, t, 1.0) for i, t in made], schema)
+
+    def make():
+        return Replay(spark, f"{tmp_dir}/r", schema, "observed_at", "1 hour",
+                      lambda s: S.daily_rollup_stream(s.withColumn("k", F.lit(1)), "k", "observed_at", "temperature_c", "1 hour"),
+                      windowed=True, chunk_rows=2)
+
+    days = [datetime(2024, 1, d, h) for d in (3, 1, 2, 4) for h in (1, 2)]
+    runs, plain = [], Replay._run
+
+    def fails_third(self):
+        runs.append(1)
+        if len(runs) == 3:
+            raise RuntimeError("executor lost")
+        plain(self)
+
+    monkeypatch.setattr(Replay, "_run", fails_third)
+    with pytest.raises(RuntimeError):
+        make().deliver(rows(*enumerate(days)), "one")
+    monkeypatch.setattr(Replay, "_run", plain)
+    replay = make()
+    replay.deliver(rows(*enumerate(days)), "one")
+    assert {r.day_start.day: r.n for r in replay.written().collect()} == {1: 2, 2: 2, 3: 2}
+    replay.deliver(rows((20, datetime(2024, 1, 2, 5)), (21, datetime(2024, 1, 4, 0)), (22, None), (23, datetime(2024, 1, 6))), "two")
+    assert {(r.id, r.delivery, r.reason) for r in replay.late().collect()} == {
+        (20, "two", "behind the watermark"), (22, "two", "no time")}
+    assert replay.taken().count() + replay.late().count() == len(days) + 4
+    assert {r.day_start.day: r.n for r in replay.written().collect()} == {1: 2, 2: 2, 3: 2, 4: 3}
+
+
 def test_upsert_stream_matches_batch(spark, tmp_dir):
     table = f"{tmp_dir}/table"
     W.write_table(spark.createDataFrame([(1, 1, datetime(2024, 1, 1), 1.0, datetime(2024, 1, 1))], SCHEMA), table)
