@@ -341,6 +341,10 @@ register("incremental_merge_per_key", with_ctes(["stg_weather"], "SELECT * FROM
      ("marks", "SELECT location_id, MAX(observed_at) AS hwm FROM tgt GROUP BY 1")]),
     lambda spark, sf: L.incremental_merge(spark, sf, "per_key_hwm"))
 
+for _dom, _fn in (("economic", L.incremental_merge_economic), ("retail", L.incremental_merge_retail)):
+    register(f"incremental_merge_{_dom}", with_ctes([f"stg_{_dom}"], f"SELECT * FROM stg_{_dom}"), _fn)
+register("incremental_marts", with_ctes(["monthly_retail_macro"], "SELECT * FROM monthly_retail_macro"), L.incremental_marts)
+
 register("last_observed", with_ctes(W, """SELECT location_id, MAX(observed_at) AS last_observed
 FROM weather_observations GROUP BY 1"""), L.last_observed)
 

@@ -12,14 +12,18 @@ from pyspark.sql import functions as F
 
 from tempora.operators import merge as M
 from tempora.operators.dedupe import dedupe_latest
-from tempora.operators.staging import stg_weather
+from tempora.operators.staging import stg_economic, stg_retail, stg_weather
 from tempora.plans import AS_OF
+from tempora.plans import incremental as I
 from tempora.plans.models import Models
+from tempora.sinks import writers as W
 from tempora.sources import backfill, fixtures as fx
+from tempora.streaming.streams import scratch_path
 
 KEY = ["location_id", "observed_at"]
 TARGET_BEFORE = "2000-01-01 00:00:00"     # existing table: readings before this
 BATCH_FROM = "1999-07-01 00:00:00"        # delivery: readings from this on (6 months overlap)
+SPLIT = "1999-12-20 00:00:00"             # between the two incremental runs, within a month
 ECON_BATCH_FROM = "1999-01-01 00:00:00"
 BACKFILL_AS_OF = "2002-03-01 00:00:00"   # a later "today" so locations have ranges to fetch
 MEASURES = ["temperature_c", "wind_speed", "pressure", "humidity", "precipitation"]
@@ -91,3 +95,37 @@ def new_locations(spark: SparkSession, sf: str) -> DataFrame:
     locs = fx.locations(spark, sf)
     known = locs.filter(F.col("country") != "MIDDLE EAST")
     return M.get_or_create(known, locs, ["latitude", "longitude"])
+
+
+def incremental_marts(spark: SparkSession, sf: str) -> DataFrame:
+    """UDF-2: the retail mart after two incremental runs. The first sees the readings, indicators and sales before
+    ``SPLIT``, the second the rest, appended to the raw tables; it takes the months touched only."""
+    root = scratch_path(spark, "incremental")
+    ledger, raw = I.Ledger(spark, f"{root}/ledger"), {n: f"{root}/raw/{n}" for n in fx.VIEWS if n != "locations"}
+    for cut, as_of in ((_before, SPLIT), (_from, AS_OF)):
+        for name, path in raw.items():
+            rows = cut(fx.VIEWS[name](spark, sf), SPLIT)
+            ledger.changed(name, W.touched_months(rows))
+            W.write_table(rows, path, mode="append")
+        I.run(spark, {**raw, "locations": fx.locations(spark, sf)}, f"{root}/models", ledger, as_of)
+    return spark.read.parquet(f"{root}/models/fct_monthly_retail_macro").drop(W.PART_COL)
+
+
+def _incremental_by_mark(spark: SparkSession, sf: str, name: str, keys: list[str], update: list[str], stage) -> DataFrame:
+    """STG-2 / STG-3: the staged table holds what was observed before 2000; only source rows past its newest
+    observation are staged and merged on the key."""
+    source = fx.VIEWS[name](spark, sf)
+    target = stage(_before(source, TARGET_BEFORE))
+    mark = _before(source, TARGET_BEFORE).agg(F.max("observed_at").alias("m")).first()["m"]  # one scalar
+    new = stage(source if mark is None else source.filter(F.col("observed_at") > M.ts_literal(mark, source.schema["observed_at"].dataType)))
+    return M.upsert_last_wins(target, new, keys, update, order_cols=(), keep_cols=())
+
+
+def incremental_merge_economic(spark: SparkSession, sf: str) -> DataFrame:
+    return _incremental_by_mark(spark, sf, "economic_observations", ["series_id", "observed_at"],
+                                ["series_name", "value", "observation_date", "year_month"], stg_economic)
+
+
+def incremental_merge_retail(spark: SparkSession, sf: str) -> DataFrame:
+    return _incremental_by_mark(spark, sf, "retail_observations", ["observation_id"],
+                                ["naics_code", "category_name", "sales_millions", "observed_date", "observed_year", "observed_month"], stg_retail)

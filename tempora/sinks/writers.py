@@ -71,14 +71,14 @@ def touched_months(batch: DataFrame, ts_col: str = "observed_at", grain: str = "
 
 def rewrite_partitions(spark: SparkSession, path: str, batch: DataFrame, keys, mode: str = "upsert",
                        update_cols=(), ts_col: str = "observed_at", cluster_col: str | None = None,
-                       order_cols=("created_at",), grain: str = "month") -> list[str]:
+                       order_cols=("created_at",), grain: str = "month", months: list[str] | None = None) -> list[str]:
     """Merge ``batch`` into the time-partitioned table at ``path`` rewriting only the
     partitions (months, or days with ``grain='day'``) the batch touches. The merged
     partitions are first written to a staging folder inside the table (ignored by readers: it starts with '_'), then copied over the table
     with dynamic partition overwrite, so the table is never read and overwritten by the
     same job. A failed copy can be re-run from the staging folder; after a successful copy
     the stage is emptied."""
-    months = touched_months(batch, ts_col, grain)
+    months = touched_months(batch, ts_col, grain) if months is None else months
     if not months:
         return []
     target = spark.read.parquet(path).filter(F.col(PART_COL).isin(months)).drop(PART_COL)
