@@ -30,8 +30,7 @@ from tempora.sinks.writers import PART_COL
 from tempora.sources import paths
 
 ALL = "*"
-LEDGER = "commit long, table string, month string"
-MARKS = "commit long, model string, as_of string"
+LEDGER = "commit long, table string, month string, as_of string"
 #: Rows that the year-over-year comparison looks back.
 LAG = 12
 
@@ -74,47 +73,47 @@ def graph() -> dict[str, Model]:
 
 
 class Change(NamedTuple):
-    """A row of the change ledger."""
+    """A month of a table that a commit changed."""
     commit: int
     table: str
     month: str
 
 
-class Ledger:
-    """The change ledger and the marks, two small append-only tables under ``root``."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+class Mark(NamedTuple):
+    """The commit up to which a model has taken its upstream changes, and the time it was built for."""
+    commit: int
+    as_of: str
 
-    def _rows(self, name: str, schema: str) -> list:
-        path = f"{self.root}/{name}"
-        return self.spark.read.schema(schema).parquet(path).collect() if paths.exists(self.spark, path) else []
 
-    def _append(self, name: str, schema: str, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{name}")
+class Ledger:
+    """The change ledger and the marks: one small append-only table under ``root``. What belongs to one
+    event is one append, so it is there as a whole or not at all."""
 
-    def changes(self) -> list:
-        """(commit, table, month) of all commits: bounded by runs and calendar months."""
-        return self._rows("changes", LEDGER)
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.path = spark, f"{root.rstrip('/')}/ledger"
 
-    def marks(self) -> dict:
-        """Model -> its newest mark."""
-        newest = {}
-        for row in self._rows("marks", MARKS):
-            if row.model not in newest or row.commit > newest[row.model].commit:
-                newest[row.model] = row
-        return newest
+    def read(self) -> tuple[list[Change], dict[str, Mark]]:
+        """All changes (bounded by runs and calendar months), and the newest mark of every model."""
+        rows = self.spark.read.schema(LEDGER).json(self.path).collect() if paths.exists(self.spark, self.path) else []
+        marks = {r.table: Mark(r.commit, r.as_of) for r in sorted(rows, key=lambda r: r.commit) if r.as_of}
+        return [Change(r.commit, r.table, r.month) for r in rows if r.month], marks
 
     def next_commit(self) -> int:
-        return 1 + max([r.commit for r in self.changes()] + [r.commit for r in self.marks().values()], default=0)
+        changes, marks = self.read()
+        return 1 + max([c.commit for c in changes] + [m.commit for m in marks.values()], default=0)
+
+    def _append(self, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").json(self.path)
 
-    def changed(self, table: str, months, commit: int | None = None) -> None:
-        """Say that months of a table change; called before they are written, and again when a write is repeated."""
-        if months:
-            self._append("changes", LEDGER, [(commit or self.next_commit(), table, m) for m in sorted(months)])
+    def changed(self, tables: dict[str, list[str]]) -> None:
+        """Say that months of tables change; called before they are written, and again when a write is repeated."""
+        if any(tables.values()):
+            commit = self.next_commit()
+            self._append([(commit, t, m, None) for t, months in tables.items() for m in sorted(months)])
 
-    def marked(self, model: str, commit: int, as_of: str) -> None:
-        self._append("marks", MARKS, [(commit, model, as_of)])
+    def built(self, model: str, months, commit: int, as_of: str) -> None:
+        """Say that a model has replaced some months, and has taken all changes up to ``commit``."""
+        self._append([(commit, model, m, None) for m in sorted(months)] + [(commit, model, None, as_of)])
 
 
 def stored_months(spark: SparkSession, path: str) -> list[str]:
@@ -133,10 +132,16 @@ def _read(spark: SparkSession, table, months: set[str] | None) -> DataFrame:
     return kept.drop(PART_COL)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A model's table as a whole, without its partition column."""
+    return _read(spark, path, None)
+
+
 def _write_months(df: DataFrame, month: Column, months: set[str], path: str) -> None:
     out = df.withColumn(PART_COL, month).filter(F.col(PART_COL).isin(sorted(months)))
     first = next(c for c in df.columns if c != PART_COL)
-    out.repartitionByRange(PART_COL, first).sortWithinPartitions(PART_COL, first).write.mode("overwrite").option(
+    # rebalanced: a large month is split over tasks, small ones share one
+    out.hint("rebalance", PART_COL).sortWithinPartitions(PART_COL, first).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(PART_COL).parquet(path)
 
 
@@ -152,8 +157,9 @@ def run(spark: SparkSession, sources: dict, out: str, ledger: Ledger, as_of: str
     """Bring every model under ``out`` up to date. ``sources`` names the raw tables: a path of a
     month-partitioned table, or a DataFrame (a dimension). Returns the months each model replaced
     (``*``: the whole table). The run's time may not go back, as rows would have to leave models."""
-    models, tables, commit, done = graph(), dict(sources), ledger.next_commit(), {}
-    changes, marks = ledger.changes(), ledger.marks()
+    models, tables, done = graph(), dict(sources), {}
+    changes, marks = ledger.read()
+    commit = 1 + max([c.commit for c in changes] + [m.commit for m in marks.values()], default=0)
     tables |= {name: f"{out.rstrip('/')}/{name}" for name in models}
     for name, model in models.items():
         mark, path = marks.get(name), tables[name]
@@ -169,10 +175,9 @@ def run(spark: SparkSession, sources: dict, out: str, ledger: Ledger, as_of: str
             dirty |= _months_between(*until) & set(stored_months(spark, tables[model.deps[0]])) if until[0] != until[1] else set()
         if dirty:
             done[name] = _build(spark, model, tables, partitioned, dirty, path, as_of)
-            ledger.changed(name, done[name], commit)
-            changes = [*changes, *[Change(commit, name, m) for m in done[name]]]
-        if dirty or mark is None or mark.as_of != as_of:
-            ledger.marked(name, commit, as_of)
+            changes += [Change(commit, name, m) for m in done[name]]
+        if dirty or mark.as_of != as_of:
+            ledger.built(name, done.get(name, ()), commit, as_of)
     return done
 
 

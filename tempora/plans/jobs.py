@@ -9,6 +9,8 @@ runner; the data-quality report gates the run.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +19,14 @@ from tempora.operators import merge as M
 from tempora.operators import quality as Q
 from tempora.operators import staging
 from tempora.plans import AS_OF
+from tempora.plans import incremental as I
 from tempora.plans import models as MD
 from tempora.sinks import writers as W
 from tempora.sources import backfill
 from tempora.sources import fixtures as fx
-from tempora.sources import landed as L
 from tempora.sources import paths
+from tempora.sources import payloads as PL
+from tempora.streaming.streams import scratch_path
 
 # name -> (upstream names, builder(as_of, *upstream DataFrames), materialisation)
 MODEL_GRAPH = {
@@ -76,9 +80,15 @@ def run_models(spark: SparkSession, sources: dict, out_dir: str, as_of: str = AS
             df.write.mode("overwrite").parquet(path)
             df = spark.read.parquet(path)
         built[name] = df
-    report = Q.report_one_pass({k: built[k] for k in ["stg_weather_observations", "stg_economic_observations",
-                                                      "stg_retail_observations", "stg_locations"]}, as_of)
-    report = report.cache()
+    return _checked({k: built[k] for k in CHECKED}, as_of, gate)
+
+
+CHECKED = ["stg_weather_observations", "stg_economic_observations", "stg_retail_observations", "stg_locations"]
+
+
+def _checked(models: dict, as_of: str, gate: bool) -> DataFrame:
+    """The check report on the staging tables; raises when ``gate`` and a check fails."""
+    report = Q.report_one_pass(models, as_of).cache()
     if gate and report.filter(F.col("status") == "FAIL").limit(1).count() > 0:
         raise RuntimeError("data-quality checks failed: " +
                            ", ".join(r.check_name for r in report.filter(F.col("status") == "FAIL").collect()))
@@ -99,69 +109,65 @@ def _stamp(df: DataFrame, fetched_at: str) -> DataFrame:
     return df.withColumn("created_at", F.to_timestamp_ntz(F.lit(fetched_at)))
 
 
-def _record(spark: SparkSession, table: str, domain: str, fetched_at: str, quarantined: DataFrame,
-            rejected: DataFrame | None = None) -> dict:
-    """Write what an ingest leaves out to the table ``rejects`` beside its own, as landed, before anything is
-    merged; a run replaces its own rows only. Returns the frames and their counts."""
-    def as_landed(df, kind, reason):
-        return df.select(F.lit(kind).alias("kind"), "file", reason.alias("reason"), F.to_json(F.struct("*")).alias("record"))
-
-    found = as_landed(quarantined, "payload", F.lit("quarantined"))
-    if rejected is not None:
-        found = found.union(as_landed(rejected, "row", F.col("reason")))
-    counts = {"payload": 0, "row": 0} | {r["kind"]: r["count"] for r in found.groupBy("kind").count().collect()}
+def _parsed(spark: SparkSession, table: str, domain: str, fetched_at: str, parsed: DataFrame) -> tuple[DataFrame, dict]:
+    """Good rows of what an ingest parsed, and how many payloads and rows it lost. The landed files are scanned once, into a
+    stage in the shared folder; lost payloads and rows go to the table ``rejects`` beside the
+    ingest's own, as landed, before anything is merged; a run replaces its own rows only."""
+    good, lost = PL.split(parsed, scratch_path(spark, f"parsed-{domain}"))
+    counts = {"payload": 0, "row": 0} | {r["kind"]: r["count"] for r in lost.groupBy("kind").count().collect()}
     if any(counts.values()):
-        found.withColumn("domain", F.lit(domain)).withColumn("fetched_at", F.lit(fetched_at)).write.mode("overwrite").option(
+        lost.withColumn("domain", F.lit(domain)).withColumn("fetched_at", F.lit(fetched_at)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("domain", "fetched_at").parquet(rejects_path(table))
-    return {"quarantined": quarantined, "counts": counts} | ({} if rejected is None else {"rejected": rejected})
+    return good, {"rejected": lost, "counts": counts}
 
 
 def rejects_path(table: str) -> str:
     return f"{table.rstrip('/').rpartition('/')[0]}/rejects"
 
 
-def ingest_weather(spark: SparkSession, landing: str, table: str, fetched_at: str) -> dict:
-    """JOB-2: all landed forecast payloads in one job; short-array payloads are
-    quarantined (not loaded) instead of failing the others; rows upserted on
-    (location_id, observed_at) into the month-partitioned table."""
-    left_out = _record(spark, table, "weather", fetched_at, L.short_hourly_payloads(spark, landing))
-    rows = L.read_weather_forecast_json(spark, landing)
+def _payloads(spark: SparkSession, landing) -> DataFrame:
+    """Landed payloads: a path of files, or a frame (file, identifier, payload), such as ``writers.read_landed`` gives."""
+    return landing if isinstance(landing, DataFrame) else PL.files(spark, landing)
+
+
+def ingest_weather(spark: SparkSession, landing, table: str, fetched_at: str, locations: DataFrame | None = None, changed=None) -> dict:
+    """JOB-2: all landed forecast payloads in one job, a lost one does not stop the others; rows upserted on
+    (location_id, observed_at) into the month-partitioned table. A payload without a location is of the one at the
+    coordinates that its landing folder names."""
+    rows, left_out = _parsed(spark, table, "weather", fetched_at, PL.forecast(_payloads(spark, landing), locations))
     rows = _stamp(rows, fetched_at).withColumn("id", F.lit(None).cast("long"))
-    months = _merge_or_create(spark, table, rows, ["location_id", "observed_at"], "upsert", WEATHER_UPDATE,
-                              "location_id")
+    months = _merge_or_create(spark, table, rows, ["location_id", "observed_at"], "upsert", WEATHER_UPDATE, "location_id", changed)
     return {"months": months, **left_out}
 
 
-def ingest_economic(spark: SparkSession, landing: str, table: str, fetched_at: str) -> dict:
-    """JOB-3: all landed series payloads; label from the series map; empty payloads
-    quarantined; upsert on (series_id, observed_at) updating name and value."""
-    left_out = _record(spark, table, "economic", fetched_at, L.empty_economic_payloads(spark, landing),
-                       L.rejected_economic_rows(spark, landing))
-    rows = L.read_economic_json(spark, landing)
-    labels = L.code_labels(spark, FRED_SERIES, "series_id", "series_name")
-    rows = _stamp(rows.join(F.broadcast(labels), "series_id", "left"), fetched_at)
-    months = _merge_or_create(spark, table, rows, ["series_id", "observed_at"], "upsert", ["series_name", "value"],
-                              "series_id")
+def ingest_economic(spark: SparkSession, landing, table: str, fetched_at: str, changed=None) -> dict:
+    """JOB-3: all landed series payloads; label from the series map; upsert on (series_id, observed_at) updating name and
+    value. The series is the payload's own or its landing folder's; rows without one are rejected."""
+    rows, left_out = _parsed(spark, table, "economic", fetched_at, PL.economic(_payloads(spark, landing)))
+    label = F.element_at(F.create_map(*[F.lit(x) for pair in FRED_SERIES.items() for x in pair]), F.col("series_id"))
+    rows = _stamp(rows.withColumn("series_name", label), fetched_at)
+    months = _merge_or_create(spark, table, rows, ["series_id", "observed_at"], "upsert", ["series_name", "value"], "series_id", changed)
     return {"months": months, **left_out}
 
 
-def ingest_retail(spark: SparkSession, landing: str, table: str, fetched_at: str) -> dict:
+def ingest_retail(spark: SparkSession, landing, table: str, fetched_at: str, start_year: int | None = None, changed=None) -> dict:
     """JOB-4: landed Census payloads; nothing parsed -> nothing written."""
-    left_out = _record(spark, table, "retail", fetched_at, L.unparsed_retail_payloads(spark, landing),
-                       L.rejected_retail_rows(spark, landing))
-    rows = _stamp(L.read_retail_json(spark, landing), fetched_at)
-    return {"months": _merge_or_create(spark, table, rows, ["naics_code", "observed_at"], "upsert",
-                                       ["category_name", "value"], "naics_code"), **left_out}
+    rows, left_out = _parsed(spark, table, "retail", fetched_at, PL.retail(_payloads(spark, landing), start_year))
+    return {"months": _merge_or_create(spark, table, _stamp(rows, fetched_at), ["naics_code", "observed_at"], "upsert",
+                                       ["category_name", "value"], "naics_code", changed), **left_out}
 
 
-def _merge_or_create(spark, table, rows, keys, mode, update_cols, cluster_col):
+def _merge_or_create(spark, table, rows, keys, mode, update_cols, cluster_col, changed=None):
     """Merge into the table, or write it where nothing is yet. A table that is there but cannot
-    be read raises; an ingest never overwrites one."""
+    be read raises; an ingest never overwrites one. ``changed`` is told the months before they are written."""
+    months = W.touched_months(rows)
+    if changed:
+        changed(months)
     if not paths.exists(spark, table):
         first = M.one_per_key(rows, keys, ("created_at",), newest_first=mode == "upsert")
         W.write_table(first, table, cluster_col=cluster_col, mode="errorifexists")
-        return W.touched_months(first)
-    return W.rewrite_partitions(spark, table, rows, keys, mode, update_cols, cluster_col=cluster_col)
+        return months
+    return W.rewrite_partitions(spark, table, rows, keys, mode, update_cols, cluster_col=cluster_col, months=months)
 
 
 # ------------------------------------------------------------------ backfill and migration (JOB-5, JOB-6)
@@ -173,14 +179,13 @@ def backfill_plan(spark: SparkSession, locs: DataFrame, table: str, as_of: str)
     return backfill.backfill_chunks(locs, obs, as_of)
 
 
-def backfill_load(spark: SparkSession, landing: str, table: str, fetched_at: str) -> dict:
+def backfill_load(spark: SparkSession, landing, table: str, fetched_at: str, locations: DataFrame | None = None, changed=None) -> dict:
     """JOB-5 step 2: landed archive chunks inserted first-write-wins (existing readings are
     never overwritten); unreadable chunks and hours do not stop the others and are recorded."""
-    left_out = _record(spark, table, "archive", fetched_at, L.empty_archive_payloads(spark, landing),
-                       L.rejected_archive_rows(spark, landing))
-    rows = _stamp(L.read_weather_archive_json(spark, landing), fetched_at).withColumn("id", F.lit(None).cast("long"))
+    rows, left_out = _parsed(spark, table, "archive", fetched_at, PL.archive(_payloads(spark, landing), locations))
+    rows = _stamp(rows, fetched_at).withColumn("id", F.lit(None).cast("long"))
     return {"months": _merge_or_create(spark, table, rows, ["location_id", "observed_at"], "ignore", WEATHER_UPDATE,
-                                       "location_id"), **left_out}
+                                       "location_id", changed), **left_out}
 
 
 def migrate(spark: SparkSession, src: DataFrame, out: str, kind: str = "weather", dry_run: bool = False) -> int:
@@ -193,27 +198,27 @@ def migrate(spark: SparkSession, src: DataFrame, out: str, kind: str = "weather"
 
 
 def run_daily(spark: SparkSession, landing_root: str, tables_root: str, out_dir: str, fetched_at: str,
-              locations: DataFrame, as_of: str | None = None, gate: bool = True) -> DataFrame:
-    """JOB-1: ingest the three domains (each isolated from the others' failure), build the
-    models, gate on the checks. Returns the check report with one row per ingest, whose failures count the
-    payloads quarantined and rows rejected (all in the table ``rejects``); a domain that failed or has
-    rejected rows is FAIL there, and a run with ``gate`` raises after the rest is done."""
+              locations: DataFrame, as_of: str | None = None, gate: bool = True, locations_changed: bool = False) -> DataFrame:
+    """JOB-1: ingest the three domains (each isolated from the others' failure), bring the models up to date
+    (the months touched only, see ``incremental``; say so when the locations have changed), gate on the checks.
+    Returns the check report with one row per ingest, whose failures count the payloads and rows lost (all in the table
+    ``rejects``); a domain that failed or lost anything is FAIL there, and a run with ``gate`` raises after the rest is done."""
     as_of = as_of or fetched_at
-    status, counts = {}, {}
-    for name, fn in [("weather", ingest_weather), ("economic", ingest_economic), ("retail", ingest_retail)]:
+    status, counts, ledger = {}, {}, I.Ledger(spark, f"{tables_root}/ledger")
+    ingests = {"weather": partial(ingest_weather, locations=locations), "economic": ingest_economic, "retail": ingest_retail}
+    for name, fn in ingests.items():
         try:
-            n = counts[name] = fn(spark, f"{landing_root}/{name}/*.json", f"{tables_root}/{name}", fetched_at)["counts"]
-            status[name] = "ok" if not any(n.values()) else f"{n['payload']} payloads quarantined, {n['row']} rows rejected"
+            n = counts[name] = fn(spark, f"{landing_root}/{name}", f"{tables_root}/{name}", fetched_at,
+                                  changed=lambda months, t=f"{name}_observations": ledger.changed({t: months}))["counts"]
+            status[name] = "ok" if not any(n.values()) else f"{n['payload']} payloads and {n['row']} rows rejected"
         except Exception as e:  # one domain's failure does not stop the others
             status[name] = f"{type(e).__name__}: {e}"[:300]
-    sources = {
-        "weather_observations": spark.read.parquet(f"{tables_root}/weather").drop(W.PART_COL),
-        "economic_observations": spark.read.parquet(f"{tables_root}/economic").drop(W.PART_COL),
-        "retail_observations": spark.read.parquet(f"{tables_root}/retail").drop(W.PART_COL),
-        "locations": locations,
-    }
-    report = run_models(spark, sources, out_dir, as_of, gate)
-    failed = {k: v for k, v in status.items() if k not in counts or counts[k]["row"]}
+    if locations_changed:
+        ledger.changed({"locations": [I.ALL]})
+    sources = {f"{name}_observations": f"{tables_root}/{name}" for name in ingests} | {"locations": locations}
+    I.run(spark, sources, out_dir, ledger, as_of)
+    report = _checked({n: I.read_table(spark, f"{out_dir.rstrip('/')}/{n}") for n in CHECKED}, as_of, gate)
+    failed = {k: v for k, v in status.items() if k not in counts or any(counts[k].values())}
     if gate and failed:
         raise RuntimeError(f"ingest failed: {failed}")
     rows = [(f"ingest_{k}", sum(counts[k].values()) if k in counts else 1, "FAIL" if k in failed else "PASS", v)

@@ -103,10 +103,10 @@ def incremental_marts(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "incremental")
     ledger, raw = I.Ledger(spark, f"{root}/ledger"), {n: f"{root}/raw/{n}" for n in fx.VIEWS if n != "locations"}
     for cut, as_of in ((_before, SPLIT), (_from, AS_OF)):
+        rows = {name: cut(fx.VIEWS[name](spark, sf), SPLIT) for name in raw}
+        ledger.changed({name: W.touched_months(df) for name, df in rows.items()})
         for name, path in raw.items():
-            rows = cut(fx.VIEWS[name](spark, sf), SPLIT)
-            ledger.changed(name, W.touched_months(rows))
-            W.write_table(rows, path, mode="append")
+            W.write_table(rows[name], path, mode="append")
         I.run(spark, {**raw, "locations": fx.locations(spark, sf)}, f"{root}/models", ledger, as_of)
     return spark.read.parquet(f"{root}/models/fct_monthly_retail_macro").drop(W.PART_COL)
 

@@ -143,10 +143,28 @@ class VersionedTable:
         return version
 
 
+LANDED = "payload string, fetched_at string, source string, identifier string, window_start string, window_end string"
+
+
 def land_raw(payloads: DataFrame, root: str):
-    """SNK-10: raw landing partitioned by source / identifier (one JSON line per payload,
-    columns source, identifier, fetched_at, raw_response)."""
-    payloads.write.mode("append").partitionBy("source", "identifier").json(root)
+    """SNK-10: raw landing, one JSON line per payload (columns source, identifier, window_start, window_end,
+    fetched_at, payload), partitioned by source, identifier and window, so that a reader finds a
+    series, a place or a range by its folders. A window that is not known is 'unknown'."""
+    named = payloads.select("payload", F.col("fetched_at").cast("string").alias("fetched_at"), "source",
+                            *[F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias(c) for c in ("identifier", "window_start", "window_end")])
+    keys = ["source", "identifier", "window_start", "window_end"]
+    named.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).json(root)
+
+
+def read_landed(spark: SparkSession, root: str, source: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Payloads of a source that ``land_raw`` wrote: file, identifier, payload. With ``start`` / ``end`` only
+    windows that overlap it (and those not known); the choice is made by folders, other files are not opened."""
+    df = spark.read.schema(LANDED).option("basePath", root).json(root).filter(F.col("source") == source)
+    if start:
+        df = df.filter((F.col("window_end") >= start) | (F.col("window_end") == "unknown"))
+    if end:
+        df = df.filter((F.col("window_start") <= end) | (F.col("window_start") == "unknown"))
+    return df.select(F.input_file_name().alias("file"), "identifier", "payload")
 
 
 def write_all(df: DataFrame, sinks: dict) -> DataFrame:

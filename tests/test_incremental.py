@@ -25,7 +25,7 @@ class World:
 
     def add(self, name, schema, rows):
         df = self.spark.createDataFrame(rows, schema)
-        self.ledger.changed(name, W.touched_months(df))
+        self.ledger.changed({name: W.touched_months(df)})
         W.write_table(df, self.raw[name], mode="append")
 
     def run(self, as_of):

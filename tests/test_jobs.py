@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tempora.plans import jobs as J
+from tempora.sinks import writers as W
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,16 +51,15 @@ def test_daily_run_from_landed_payloads(spark, tmp_dir):
     locs = spark.createDataFrame([(1, "A", "X", None, 1.0, 2.0), (2, "B", "X", None, 3.0, 4.0)],
                                  "id long, name string, country string, region string, latitude double, "
                                  "longitude double")
-    report = J.run_daily(spark, f"{tmp_dir}/land", f"{tmp_dir}/tables", f"{tmp_dir}/marts",
-                         "2024-01-03 00:00:00", locs)
-    status = {r.check_name: r.status for r in report.collect()}
-    assert "dq_out_of_bounds" in status and status["ingest_weather"] == status["ingest_retail"] == "PASS"
+    args = (spark, f"{tmp_dir}/land", f"{tmp_dir}/tables", f"{tmp_dir}/marts", "2024-01-03 00:00:00", locs)
+    status = {r.check_name: r.status for r in J.run_daily(*args, gate=False).collect()}
+    assert "dq_out_of_bounds" in status and (status["ingest_weather"], status["ingest_retail"]) == ("FAIL", "PASS")  # a payload is lost
     weather = spark.read.parquet(f"{tmp_dir}/tables/weather")
     assert weather.count() == 4                      # the short-array payload was quarantined
     mart = spark.read.parquet(f"{tmp_dir}/marts/fct_monthly_macro_weather").collect()
     assert [(r.location_id, r.year_month, r.cpi, r.subzero_days) for r in mart] == [(1, "2024-01", 310.2, 2)]
     # re-delivery of the same payloads is idempotent
-    J.run_daily(spark, f"{tmp_dir}/land", f"{tmp_dir}/tables", f"{tmp_dir}/marts", "2024-01-03 00:00:00", locs)
+    J.run_daily(*args, gate=False)
     assert spark.read.parquet(f"{tmp_dir}/tables/weather").count() == 4
 
 
@@ -120,7 +120,7 @@ def test_what_an_ingest_leaves_out_is_in_a_table_and_in_the_report(spark, tmp_di
                                                                   "latitude double, longitude double")
     args = (spark, land, f"{tmp_dir}/tables", f"{tmp_dir}/marts", "2024-03-03 00:00:00", locs)
     report = {r.check_name: (r.status, r.failures) for r in J.run_daily(*args, gate=False).collect()}
-    assert [report[f"ingest_{k}"] for k in ("weather", "economic", "retail")] == [("PASS", 1), ("FAIL", 2), ("FAIL", 3)]
+    assert [report[f"ingest_{k}"] for k in ("weather", "economic", "retail")] == [("FAIL", 1), ("FAIL", 2), ("FAIL", 3)]
     with pytest.raises(RuntimeError, match="rows rejected"):
         J.run_daily(*args)
     _dump(f"{tmp_dir}/arch/a.json", {"location_id": 1, "hourly": {**hourly, "time": ["1950-01-01T00:00", "soon", None]}})
@@ -129,13 +129,45 @@ def test_what_an_ingest_leaves_out_is_in_a_table_and_in_the_report(spark, tmp_di
     assert out["counts"] == {"payload": 1, "row": 2}
     rejects = spark.read.parquet(f"{tmp_dir}/tables/rejects").collect()  # the second run has replaced its own rows
     assert sorted((r.domain, r.kind, r.reason, r.file.rpartition("/")[2]) for r in rejects) == [
-        ("archive", "payload", "quarantined", "b.json"), ("archive", "row", "time", "a.json"), ("archive", "row", "time", "a.json"),
-        ("economic", "payload", "quarantined", "none.json"), ("economic", "row", "value", "cpi.json"),
-        ("retail", "payload", "quarantined", "error.json"), ("retail", "row", "time", "r.json"), ("retail", "row", "value", "r.json"),
-        ("weather", "payload", "quarantined", "bad.json")]
+        ("archive", "payload", "empty", "b.json"), ("archive", "row", "time", "a.json"), ("archive", "row", "time", "a.json"),
+        ("economic", "payload", "empty", "none.json"), ("economic", "row", "value", "cpi.json"),
+        ("retail", "payload", "empty", "error.json"), ("retail", "row", "time", "r.json"), ("retail", "row", "value", "r.json"),
+        ("weather", "payload", "empty", "bad.json")]
     assert any('"N/A"' in r.record for r in rejects)
 
 
+def test_payloads_get_their_key_from_where_they_were_landed(spark, tmp_dir):
+    """A real payload names neither its series nor its place; rows without a key are rejected, never merged."""
+    obs = {"observations": [{"date": "2024-01-01", "value": "310.2"}, {"date": "2024-02-01", "value": "311"}]}
+    _dump(f"{tmp_dir}/economic/CPIAUCSL/start=2024-01-01_end=unknown/1.json", obs)
+    _dump(f"{tmp_dir}/economic/loose.json", obs)
+    table = f"{tmp_dir}/tables/economic"
+    for day in (3, 4):
+        out = J.ingest_economic(spark, f"{tmp_dir}/economic", table, f"2024-01-0{day} 00:00:00")
+        assert out["counts"] == {"payload": 0, "row": 2} and {r.reason for r in out["rejected"].collect()} == {"key"}
+        assert [r.series_id for r in spark.read.parquet(table).collect()] == ["CPIAUCSL"] * 2
+    hours = {"hourly": {"time": ["2024-01-01T00:00"], "temperature_2m": [1.0], "windspeed_10m": [1.0], "pressure_msl": [1000.0],
+                        "relative_humidity_2m": [50.0]}}
+    locs = spark.createDataFrame([(7, 33.5, -117.25)], "id long, latitude double, longitude double")
+    made = [("weather", "33.5,-117.25", "2024-01-01", "2024-01-31", "t", json.dumps(hours)),
+            ("weather", "0.0,0.0", "2024-02-01", "2024-02-28", "t", json.dumps(hours)), ("other", "x", None, None, "t", "{")]
+    W.land_raw(spark.createDataFrame(made, "source string, identifier string, window_start string, window_end string, "
+                                           "fetched_at string, payload string"), f"{tmp_dir}/raw")
+    january = W.read_landed(spark, f"{tmp_dir}/raw", "weather", end="2024-01-15")
+    assert "PartitionFilters: [" in january._jdf.queryExecution().executedPlan().toString() and january.count() == 1
+    out = J.ingest_weather(spark, W.read_landed(spark, f"{tmp_dir}/raw", "weather"), f"{tmp_dir}/tables/weather", "2024-02-03 00:00:00", locs)
+    assert out["counts"] == {"payload": 0, "row": 1}
+    assert [r.location_id for r in spark.read.parquet(f"{tmp_dir}/tables/weather").collect()] == [7]
+
+
+def test_a_truncated_payload_fails_the_ingest(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/weather")
+    with open(f"{tmp_dir}/weather/cut.json", "w") as f:
+        f.write('{"location_id": 1, "hourly": {"time": ["2024-01-01T00:00", "2024-01-')
+    out = J.ingest_weather(spark, f"{tmp_dir}/weather/*.json", f"{tmp_dir}/t/weather", "2024-01-03 00:00:00")
+    assert out["counts"] == {"payload": 1, "row": 0} and out["months"] == []
+
+
 def test_migrate_dry_run(spark, tmp_dir):
     from tempora.sources import fixtures as fx
     src = fx.economic_observations(spark, SF)
