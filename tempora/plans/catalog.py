@@ -18,6 +18,7 @@ from tempora.plans import analytics as A
 from tempora.plans import forecasts as FCQ
 from tempora.plans import loads as L
 from tempora.plans import models as MD
+from tempora.plans import parsing as PR
 from tempora.plans import streams as ST
 from tempora.plans import tools as T
 from tempora.plans.models import Models
@@ -366,6 +367,13 @@ register("new_locations", with_ctes(["locations"], """SELECT CAST((SELECT COALES
   AND k.longitude = c.longitude)) n""",
     [("known", "SELECT * FROM locations WHERE country <> 'MIDDLE EAST'")]), L.new_locations)
 
+# ------------------------------------------------------------------ landed payloads
+
+register("parse_economic", with_ctes(["economic_observations"], PR.economic_sql()), PR.parse_economic)
+register("parse_retail", with_ctes(["retail_observations"], PR.retail_sql()), PR.parse_retail)
+register("parse_forecast", with_ctes(W, PR.weather_sql(archive=False), [("x", PR.X_SQL)]), PR.parse_forecast)
+register("parse_archive", with_ctes(W, PR.weather_sql(archive=True), [("x", PR.X_SQL)]), PR.parse_archive)
+
 # ------------------------------------------------------------------ streams (events)
 
 
