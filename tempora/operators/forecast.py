@@ -363,26 +363,36 @@ def forecast(packed: DataFrame, orders: DataFrame, steps: int) -> DataFrame:
 
 # ------------------------------------------------------------------ AGG-14, FC-13, FC-14
 
-#: Errors below this have squares whose sums fit decimal(38,10).
-MOST_ERROR = 1e9
+#: Errors up to this have squares whose sums fit decimal(38,10); larger ones are scaled by a power of two.
+PLAIN_ERROR = 1e9
 
 
 def error_metrics(pairs: DataFrame, actual: str = "actual", predicted: str = "predicted",
                   by: str = "series_key") -> DataFrame:
     """AGG-14: RMSE, MAE and MAPE (over non-zero actuals; NULL when all are zero), rounded
-    to 4 places. Sums are decimal, so the result does not depend on row order. A pair is scored
-    when its errors are finite and fit the decimals; ``status`` says when some are not, so one
-    diverging series neither ends the job nor passes for a scored one."""
-    err = F.col(actual) - F.col(predicted)
-    ape = F.when(F.col(actual) != 0, F.abs(err) / F.abs(F.col(actual)))
-    ok = F.coalesce((F.abs(err) < MOST_ERROR) & (F.coalesce(ape, F.lit(0.0)) < MOST_ERROR), F.lit(False))
-    g = pairs.withColumn("_sq", F.when(ok, err * err)).withColumn("_ae", F.when(ok, F.abs(err))).withColumn(
-        "_ape", F.when(ok, ape))
+    to 4 places. Sums are decimal, so the result does not depend on row order; a series with larger errors is
+    summed in units of a power of two, which loses nothing a double could show. Every pair whose errors are finite
+    is scored; ``status`` says when some are not."""
+    err = F.abs(F.col(actual) - F.col(predicted))
+    ape = F.when(F.col(actual) != 0, err / F.abs(F.col(actual)))
+    ok = F.coalesce((err < float("inf")) & (F.coalesce(ape, F.lit(0.0)) < float("inf")), F.lit(False))
+    series = Window.partitionBy(by)  # the grouping below has the same key: one shuffle
+    found = pairs.withColumn("_ae", F.when(ok, err)).withColumn("_ape", F.when(ok, ape))
+    for c in ("_ae", "_ape"):
+        most = F.max(c).over(series)
+        found = found.withColumn(f"{c}_unit", F.when(most < PLAIN_ERROR, 1.0).otherwise(F.pow(F.lit(2.0), F.ceil(F.log2(most / PLAIN_ERROR)))))
+    scaled = F.col("_ae") / F.col("_ae_unit")
+    g = found.withColumn("_sq", scaled * scaled).withColumn("_ae", scaled).withColumn("_ape", F.col("_ape") / F.col("_ape_unit"))
+
+    def rounded(x, unit):
+        value = x * F.max(unit)  # beyond 2^52 a double is whole
+        return F.when(value < float(1 << 52), round_half_up(F.when(value < float(1 << 52), value), 4)).otherwise(value)
+
     scored = F.count("_sq")
     return g.groupBy(by).agg(
-        round_half_up(F.sqrt(exact_avg("_sq")), 4).alias("rmse"),
-        round_half_up(exact_avg("_ae"), 4).alias("mae"),
-        round_half_up(exact_avg("_ape") * 100, 4).alias("mape"),
+        rounded(F.sqrt(exact_avg("_sq")), "_ae_unit").alias("rmse"),
+        rounded(exact_avg("_ae"), "_ae_unit").alias("mae"),
+        rounded(exact_avg("_ape") * 100, "_ape_unit").alias("mape"),
         F.count(F.lit(1)).alias("n"), scored.alias("n_scored"),
         F.when(scored == F.count(F.lit(1)), "ok").otherwise("unscored points").alias("status"))
 

@@ -113,5 +113,6 @@ FROM x WHERE {lost} GROUP BY location_id, o"""
     return f"SELECT * FROM ({rows} UNION ALL {gone}) y"
 
 
-X_SQL = """SELECT *, row_number() OVER (PARTITION BY location_id, o ORDER BY id) AS nth, count(*) OVER (PARTITION BY location_id, o) AS n
+X_SQL = """SELECT *, row_number() OVER (PARTITION BY location_id, o
+  ORDER BY id, observed_at, temperature_c, wind_speed, pressure, humidity, precipitation NULLS FIRST) AS nth, count(*) OVER (PARTITION BY location_id, o) AS n
 FROM (SELECT *, id // 100 AS o FROM weather_observations) z"""

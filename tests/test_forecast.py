@@ -198,7 +198,8 @@ def test_metrics_of_a_diverging_series_do_not_end_the_job(spark):
     rows = [("big", 1.0, 1e15), ("big", 1.0, 2.0), ("nan", 1.0, float("nan")), ("fine", 1.0, 2.0)]
     got = {r.series_key: r for r in FC.error_metrics(spark.createDataFrame(
         rows, "series_key string, actual double, predicted double")).collect()}
-    assert (got["big"].status, got["big"].n, got["big"].n_scored, got["big"].mae) == ("unscored points", 2, 1, 1.0)
+    assert (got["big"].status, got["big"].n, got["big"].n_scored, got["big"].mae) == ("ok", 2, 2, 5e14)
+    assert got["big"].rmse == (((1e15 - 1) ** 2 + 1) / 2) ** 0.5
     assert got["nan"].n_scored == 0 and got["nan"].rmse is None
     assert got["fine"].status == "ok" and got["fine"].rmse == 1.0
 
