@@ -13,6 +13,9 @@ least squares over length combinations.
 5. ``write_sequences``: the pieces, ids and all, meet in their sequence: one row for each, its tokens
    padded, written to the shared folder. ``sequence_digest`` reads them back.
 
+Ids travel and are stored as little-endian numbers of two bytes where the vocabulary fits, else of four
+(``numbers`` reads them).
+
 Sequences are padded to the window, except when their tokens are a power of two.
 
 Defined cases: null or empty text is the end id alone (a piece of one token); repeated rows
@@ -46,7 +49,7 @@ FILL_ROWS = 1024
 #: Rows (length, partition) of the counts that are broadcast at most; beyond, the pieces are shuffled to meet them.
 BASES = 500_000
 SEQUENCES = ("sequence_id long, doc_ids array<long>, starts array<long>, lengths array<long>, doc_tokens array<long>, "
-             "ids array<int>")
+             "tokens long, ids binary")
 DIGEST = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long")
 
@@ -54,6 +57,7 @@ DIGEST = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 def _cut(batches, tokenizer: str, window: int, end_id: int, with_ids: bool):
     """Pieces of a partition; ``nth`` counts those of one length within the partition."""
     enc, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), {}
+    kind = "<u2" if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
     end = np.array([end_id], dtype="<u4").tobytes()
     types = [pa.int64()] * 5 + [pa.int32(), pa.int64()]
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
@@ -62,7 +66,7 @@ def _cut(batches, tokenizer: str, window: int, end_id: int, with_ids: bool):
         arrays = [pa.array(c, t) for c, t in zip(cols, types)]
         if not with_ids:
             return pa.RecordBatch.from_arrays(arrays, names=names)
-        return pa.RecordBatch.from_arrays(arrays + [_lists(np.frombuffer(b"".join(ids), dtype="<i4"), cols[2])], names=[*names, "ids"])
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(ids, pa.binary())], names=[*names, "ids"])
 
     for batch in batches:
         cols, held, size = [[] for _ in types], [], 0
@@ -77,7 +81,7 @@ def _cut(batches, tokenizer: str, window: int, end_id: int, with_ids: bool):
                 for col, value in zip(cols, (doc_id, start, n, zlib.crc32(piece), total, part, nth)):
                     col.append(value)
                 if with_ids:
-                    held.append(piece)
+                    held.append(np.frombuffer(piece, "<u4").astype(kind).tobytes())
                     size += n
                     if size >= BATCH_IDS:
                         yield packed(cols, held)
@@ -85,16 +89,25 @@ def _cut(batches, tokenizer: str, window: int, end_id: int, with_ids: bool):
         yield packed(cols, held)
 
 
-def _lists(values: np.ndarray, lengths) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum(np.asarray(lengths, dtype=np.int64))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+def numbers(cells: pa.Array, count: int) -> np.ndarray:
+    """The ids of binary cells one after another; ``count`` of them, so their width is known."""
+    offsets = np.frombuffer(cells.buffers()[1], "<i4")[cells.offset:cells.offset + len(cells) + 1]
+    data = np.frombuffer(cells.buffers()[2] or b"", "u1")[offsets[0]:offsets[-1]]
+    return np.frombuffer(data.tobytes(), f"<u{len(data) // count}") if count else np.zeros(0, "<u2")
+
+
+def _cells(ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Ids cut into binary cells of the given lengths."""
+    ends = np.cumsum(lengths) * ids.itemsize
+    data = ids.tobytes()
+    return pa.array([data[a:b] for a, b in zip((ends - np.asarray(lengths) * ids.itemsize).tolist(), ends.tolist())], pa.binary())
 
 
 def cut(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end_id: int = 1,
         with_ids: bool = True) -> DataFrame:
     """Pieces of every document of ``docs`` (doc_id, text): full windows and one remainder."""
     run = partial(_cut, tokenizer=tokenizer or default_tokenizer(), window=window, end_id=end_id, with_ids=with_ids)
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES + (", ids array<int>" if with_ids else ""))
+    return docs.select("doc_id", "text").mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
 
 
 def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
@@ -261,14 +274,15 @@ def _filled(rows: pa.RecordBatch, pad_id: int) -> pa.RecordBatch:
     first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
     sizes, begin = np.diff(np.append(first, len(number))), np.concatenate([[0], np.cumsum(tokens[first])])
     at = np.repeat(begin[:-1], sizes) + offset  # where a piece begins among the tokens of all sequences
-    ids = np.full(begin[-1], pad_id, dtype="<i4")
-    flat = rows.column("ids").flatten().to_numpy(zero_copy_only=False)
+    flat = numbers(rows.column("ids"), int(length.sum()))
+    ids = np.full(begin[-1], pad_id, dtype=flat.dtype)
     ids[np.repeat(at - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(len(flat))] = flat
     offsets = pa.array(np.append(first, len(number)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
         [pa.array(number[first])]
         + [pa.ListArray.from_arrays(offsets, rows.column(c)) for c in ("doc_id", "start", "length", "doc_tokens")]
-        + [_lists(ids, tokens[first])], names=["sequence_id", "doc_ids", "starts", "lengths", "doc_tokens", "ids"])
+        + [pa.array(tokens[first]), _cells(ids, tokens[first])],
+        names=["sequence_id", "doc_ids", "starts", "lengths", "doc_tokens", "tokens", "ids"])
 
 
 def write_sequences(packed: DataFrame, path: str, pad_id: int = 0) -> None:
@@ -281,14 +295,14 @@ def write_sequences(packed: DataFrame, path: str, pad_id: int = 0) -> None:
 
 def _digest(batches):
     for batch in batches:
-        lists = {c: batch.column(c) for c in ("doc_ids", "starts", "lengths", "doc_tokens", "ids")}
+        lists = {c: batch.column(c) for c in ("doc_ids", "starts", "lengths", "doc_tokens")}
         sizes = np.diff(lists["lengths"].offsets.to_numpy())
-        tokens = np.diff(lists["ids"].offsets.to_numpy())
+        tokens = batch.column("tokens").to_numpy()
         length = lists["lengths"].flatten().to_numpy(zero_copy_only=False)
         before = np.cumsum(length) - length
         begins = np.cumsum(sizes) - sizes
         offset = before - np.repeat(before[begins], sizes) if len(length) else before
-        ids = lists["ids"].flatten().to_numpy(zero_copy_only=False).view("<u4")
+        ids = numbers(batch.column("ids"), int(tokens.sum())).astype("<u4")
         at = np.repeat(np.cumsum(tokens) - tokens, sizes) + offset
         crc = [zlib.crc32(ids[a:a + n].tobytes()) for a, n in zip(at.tolist(), length.tolist())]
         yield pa.RecordBatch.from_arrays(

@@ -1,27 +1,29 @@
 """Token ids of whole texts, shared by the packing and token-output operators.
 
-Ids come from the ``tokenizers`` library. Its byte-level pre-tokenizer never joins text
-across a single space or line break between two visible characters, so the ids of a text
-are the ids of its words one after another; words repeat a lot, so each worker keeps the
-ids of the words it has seen (a bounded memo, emptied when full). Texts where that
-argument does not hold (runs of white space, other white space, special-token strings) are
-encoded whole.
+Ids come from the ``tokenizers`` library. A byte-level tokenizer cuts a text into groups by a fixed
+pattern and encodes every group by itself, so the ids of a text are the ids of its groups one after
+another. Groups repeat a lot: each worker keeps the ids of those it has seen lately (two bounded memos; a full one
+takes the place of the older) and has the library encode the new ones of a text together. This holds for texts of printable
+ASCII, line feeds and Latin letters without special-token strings, where the pattern below is the
+library's; other texts, and all texts of a tokenizer with another pre-tokenizer or a normalizer, are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from functools import lru_cache
+from itertools import pairwise
 
-#: Entries a worker's memo may hold; about 200 bytes each.
-MEMO_WORDS = 600_000
+#: Groups that each of a worker's two memos may hold, the present one and the one before it; about 200 bytes each.
+MEMO_GROUPS = 350_000
 
-#: Marks that may follow a word and always form a token group of their own there.
-MARKS = ".,;:!?"
-
-#: Words of these letters only are one group for the pre-tokenizer.
-LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: Texts that the pattern of groups is right for.
+PLAIN = re.compile(f"[\n -~{LETTERS}]*")
+# Fixed pattern of the byte-level pre-tokenizer, for the characters above.
+GROUPS = re.compile(f"'(?:[sdmt]|ll|ve|re)| ?[{LETTERS}]+| ?[0-9]+| ?[^\\s0-9{LETTERS}]+|\\s+(?!\\S)|\\s+")
 
 
 def default_tokenizer() -> str:
@@ -29,79 +31,49 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Whole(Exception):
-    """The text must be encoded in one piece."""
-
-
-class Symbols(dict):
-    """Code point -> its symbols in the byte-level alphabet, for str.translate."""
-
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.split = tokenizer.pre_tokenizer.pre_tokenize_str
-
-    def __missing__(self, point: int) -> str:
-        self[point] = found = "".join(part for part, _ in self.split(chr(point)))
-        return found
-
-
-class Words(dict):
-    """word -> its ids as little-endian 32-bit bytes; ``lead`` is the space before it or ''."""
-
-    def __init__(self, encoder: Encoder, lead: str, starts: Words | None = None):
-        super().__init__()
-        self.encoder, self.lead, self.starts = encoder, lead, self if starts is None else starts
-
-    def __missing__(self, word: str) -> bytes:
-        if "\n" in word:
-            first, *rest = word.split("\n")
-            if not first or not all(rest):
-                raise Whole
-            # each line break stands alone between two visible characters
-            mark = self.encoder.short("\n")
-            return self[first] + b"".join(mark + self.starts[w] for w in rest)
-        base = word.rstrip(MARKS)
-        if base != word and base and base[-1].isalpha():
-            return self[base] + self.encoder.short(word[len(base):])
-        if LATIN.fullmatch(word):
-            ids = self.encoder.letters(self.lead + word)
-        elif not word or "<|" in word or word.split() != [word]:
-            raise Whole
-        else:
-            ids = self.encoder.whole(self.lead + word)
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = ids
-        return ids
-
-
 class Encoder:
     """Ids of whole texts by one tokenizer file, as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.symbols, self.merge = Symbols(self.tokenizer), self.tokenizer.model.tokenize
-        self.short = lru_cache(maxsize=4096)(self.whole)  # marks and line breaks
-        self.first = Words(self, "")
-        self.rest = Words(self, " ", self.first)
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        made = json.loads(self.tokenizer.to_str())
+        cut = made["pre_tokenizer"] or {}
+        self.by_groups = (cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+                          and made["normalizer"] is None and all(t["content"].startswith("<|") for t in made["added_tokens"]))
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def letters(self, group: str) -> bytes:
-        """Ids of one pre-tokenizer group, by the tokenizer's merge model alone."""
-        return array("I", [t.id for t in self.merge(group.translate(self.symbols))]).tobytes()
+    def learn(self, groups: set[str]) -> None:
+        """Keep the ids of new groups; words with the space before them are encoded in one call."""
+        words = [g for g in groups if g[0] == " " and g[1:].isalpha()]
+        if words:
+            found = self.tokenizer.encode("".join(words), add_special_tokens=False)
+            ids, ends = array("I", found.ids).tobytes(), [4 * k for k, of in enumerate(pairwise(found.word_ids), 1) if of[0] != of[1]]
+            if len(ends) + 1 != len(words):
+                raise ValueError("the tokenizer's groups are not those of its pattern")
+            self.memo.update(zip(words, (ids[a:b] for a, b in zip([0, *ends], [*ends, len(ids)]))))
+        for group in groups.difference(words):
+            self.memo[group] = self.whole(group)
 
     def ids(self, text: str | None) -> bytes:
         """Ids of the whole text; null counts as empty."""
         if not text:
             return b""
-        head, *tail = text.split(" ")
-        try:
-            return self.first[head] + b"".join(map(self.rest.__getitem__, tail))
-        except Whole:
+        if not self.by_groups or "<|" in text or not PLAIN.fullmatch(text):
             return self.whole(text)
+        groups = GROUPS.findall(text)
+        new = set(groups).difference(self.memo)
+        if new:
+            if len(self.memo) + len(new) > MEMO_GROUPS:
+                self.memo, self.older, new = {}, self.memo, set(groups)
+            kept = [group for group in new if group in self.older]
+            self.memo.update((group, self.older[group]) for group in kept)
+            self.learn(new.difference(kept))
+        return b"".join(map(self.memo.__getitem__, groups))
 
 
 @lru_cache(maxsize=2)

@@ -65,7 +65,7 @@ def test_packing_places_every_token_once(spark, docs):
     rows = P.pack(P.cut(docs(ROWS))).collect()
     assert sum(r.length for r in rows) == sum(len(ids(t)) + 1 for _, t in ROWS)
     for r in rows:
-        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32
+        assert len(r.ids) == 2 * r.length and zlib.crc32(np.frombuffer(r.ids, "<u2").astype("<u4").tobytes()) == r.ids_crc32
         assert r.start % 2048 == 0 and r.start + r.length <= r.doc_tokens
     check(rows, 2048)
     assert P.pack(P.cut(docs(ROWS).limit(0))).count() == 0
@@ -84,11 +84,12 @@ def test_sequences_hold_the_tokens_of_their_pieces(spark, docs, monkeypatch):
         check(pieces, 2048)
         stream = {}  # (sequence, offset) -> tokens of the piece there
         for s in spark.read.parquet(made[-1]).collect():
-            at = 0
+            at, tokens = 0, np.frombuffer(s.ids, "<u2").tolist()
+            assert len(tokens) == s.tokens
             for doc_id, start, n in zip(s.doc_ids, s.starts, s.lengths):
-                stream[s.sequence_id, at] = (doc_id, start, list(s.ids[at:at + n]), len(s.ids))
+                stream[s.sequence_id, at] = (doc_id, start, tokens[at:at + n], len(tokens))
                 at += n
-            assert not any(s.ids[at:])
+            assert not any(tokens[at:])
         want = sorted((str(i), at, (ids(t) + [1])[at:at + 2048]) for i, t in rows for at in range(0, len(ids(t)) + 1, 2048))
         assert sorted((str(d), at, k) for d, at, k, _ in stream.values()) == want
         for r in pieces:
@@ -105,10 +106,28 @@ def test_batches_do_not_split_sequences(spark, docs, monkeypatch):
     import pyarrow as pa
     rows = pa.RecordBatch.from_pydict({"sequence_id": [3, 3, 4, 9], "offset": [0, 2, 0, 0], "doc_id": [1, 2, 1, None], "start": [0, 0, 2, 0],
                                        "length": [2, 1, 2, 1], "doc_tokens": [4, 1, 4, 1], "sequence_tokens": [4, 4, 2, 1],
-                                       "ids": pa.array([[5, 6], [7], [8, 9], [1]], pa.list_(pa.int32()))})
-    for step in (1, 2, 3, 4):
-        out = pa.Table.from_batches(P._fill([rows.slice(k, step) for k in range(0, 4, step)], 0)).to_pydict()
-        assert out["sequence_id"] == [3, 4, 9] and out["ids"] == [[5, 6, 7, 0], [8, 9], [1]] and out["doc_ids"] == [[1, 2], [1], [None]]
+                                       "ids": pa.nulls(4, pa.binary())})
+    for kind in ("<u2", "<u4"):  # a small and a large vocabulary
+        cells = pa.array([np.array(x, kind).tobytes() for x in ([5, 6], [7], [8, 9], [1])], pa.binary())
+        held = rows.set_column(rows.num_columns - 1, "ids", cells)
+        for step in (1, 2, 3, 4):
+            out = pa.Table.from_batches(P._fill([held.slice(k, step) for k in range(0, 4, step)], 0)).to_pydict()
+            assert [np.frombuffer(x, kind).tolist() for x in out["ids"]] == [[5, 6, 7, 0], [8, 9], [1]]
+            assert out["sequence_id"] == [3, 4, 9] and out["tokens"] == [4, 2, 1] and out["doc_ids"] == [[1, 2], [1], [None]]
+
+
+def test_a_tokenizer_with_another_cut_is_encoded_whole(tmp_path):
+    """The memo is for the byte-level pattern alone; a prefix space makes the same file another tokenizer."""
+    import json
+    made = json.load(open(default_tokenizer()))
+    made["pre_tokenizer"]["add_prefix_space"] = True
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(made))
+    other = Tokenizer.from_file(str(path))
+    for text in ("one two, three", "again"):
+        want = np.array(other.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert encoder(str(path)).ids(text) == want
+    assert not encoder(str(path)).by_groups and encoder(default_tokenizer()).by_groups
 
 
 def test_plan_uses_every_piece_and_wastes_little():
