@@ -66,14 +66,16 @@ class Encoder:
         if not self.by_groups or "<|" in text or not PLAIN.fullmatch(text):
             return self.whole(text)
         groups = GROUPS.findall(text)
-        new = set(groups).difference(self.memo)
-        if new:
+        found = list(map(self.memo.get, groups))
+        if None in found:
+            new = {group for group, ids in zip(groups, found) if ids is None}
             if len(self.memo) + len(new) > MEMO_GROUPS:
                 self.memo, self.older, new = {}, self.memo, set(groups)
             kept = [group for group in new if group in self.older]
             self.memo.update((group, self.older[group]) for group in kept)
             self.learn(new.difference(kept))
-        return b"".join(map(self.memo.__getitem__, groups))
+            found = map(self.memo.__getitem__, groups)
+        return b"".join(found)
 
 
 @lru_cache(maxsize=2)
