@@ -126,6 +126,35 @@ def series_profile(series: DataFrame) -> DataFrame:
     return g.withColumn("is_regular", (F.col("n") == F.col("n_months")) & (F.col("n") == span))
 
 
+def series_faults(series: DataFrame) -> DataFrame:
+    """FC-4: (series_key, month, n, reason), a row for every month between a series' first and last that it
+    lacks ('gap', n = 0) or has more than once ('duplicate'). The gaps are generated from each month to the next one
+    there, so the calendar needs no join; a window holds one row a month of one series."""
+    seen = series.filter(F.col("month").isNotNull()).groupBy("series_key", "month").agg(F.count(F.lit(1)).alias("n"))
+    after = F.lead("month").over(Window.partitionBy("series_key").orderBy("month"))
+    step = F.expr("INTERVAL 1 MONTH")
+    first, last = F.add_months("month", 1), F.add_months("next", -1)
+    lacking = F.when(first <= last, F.sequence(first, last, step))
+    ahead = seen.withColumn("next", after)
+    gaps = ahead.select("series_key", F.explode(lacking).alias("month"), F.lit(0).cast("long").alias("n"), F.lit("gap").alias("reason"))
+    return gaps.unionByName(seen.filter("n > 1").withColumn("reason", F.lit("duplicate")))
+
+
+def regular_series(series: DataFrame) -> DataFrame:
+    """FC-4: the rows of the series that have every month once; the others are refused (``series_faults`` says why)."""
+    return series.join(series_faults(series).select("series_key").distinct(), "series_key", "left_anti")
+
+
+def aligned(actual: DataFrame, predicted: DataFrame) -> DataFrame:
+    """JN-8: actual and predicted values of the months that both have. A series of ``actual`` that has no month
+    in common with its prediction ends the job with an error that names it, raised by the plan itself."""
+    both = actual.join(predicted.withColumn("_met", F.lit(True)), ["series_key", "month"], "left")
+    met = F.count("_met").over(Window.partitionBy("series_key"))
+    refused = F.raise_error(F.concat(F.lit("no month in common: "), "series_key"))
+    ok = F.when(met == 0, refused.cast("boolean")).otherwise(F.col("_met"))
+    return both.withColumn("_ok", ok).filter("_ok").drop("_met", "_ok")
+
+
 def train_test_split(series: DataFrame, test_months: int = 12) -> DataFrame:
     """FC-5: the newest ``test_months`` months of each series are 'test', the rest 'train';
     series with no more than ``test_months`` months cannot be split and come back as 'too_short'."""
@@ -398,7 +427,7 @@ def error_metrics(pairs: DataFrame, actual: str = "actual", predicted: str = "pr
 
 
 def evaluate(series: DataFrame, test_months: int = 12, cache: DataFrame | None = None):
-    """FC-13: fit on train, forecast the held-out months, align on month (inner join),
+    """FC-13: fit on train, forecast the held-out months, align on month (``aligned``),
     metrics per series. Returns (metrics, orders, trajectory).
 
     The packed series and the chosen orders (one row per series each) are checkpointed
@@ -409,7 +438,7 @@ def evaluate(series: DataFrame, test_months: int = 12, cache: DataFrame | None =
     orders = cut_lineage(select_orders(train, cache))
     fc = forecast(train, orders, test_months)
     test = split.filter(F.col("split") == "test").select("series_key", "month", F.col("value").alias("actual"))
-    pairs = test.join(fc.withColumnRenamed("mean", "predicted"), ["series_key", "month"], "inner")
+    pairs = aligned(test, fc.withColumnRenamed("mean", "predicted"))
     return error_metrics(pairs), orders, fc
 
 

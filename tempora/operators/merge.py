@@ -110,9 +110,9 @@ def iso_text(ts) -> Column:
             .otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
 
 
-def normalise_weather(df: DataFrame) -> DataFrame:
-    """SNK-12 (weather): warehouse row shape, ISO timestamps."""
-    return df.select("location_id", "temperature_c", "wind_speed", "pressure", "humidity", "precipitation",
+def normalise_weather(df: DataFrame, *keep: str) -> DataFrame:
+    """SNK-12 (weather): warehouse row shape, ISO timestamps, and the columns to ``keep`` as they are."""
+    return df.select(*keep, "location_id", "temperature_c", "wind_speed", "pressure", "humidity", "precipitation",
                      iso_text("observed_at").alias("observed_at"), iso_text("created_at").alias("created_at"))
 
 

@@ -309,9 +309,10 @@ _UPSERT_COLS = ", ".join(
     + ["COALESCE(t.observed_at, b.observed_at) AS observed_at",
        "CASE WHEN t.location_id IS NOT NULL THEN t.created_at ELSE b.created_at END AS created_at"])
 
-register("upsert_last_wins", with_ctes(W, f"""SELECT {_UPSERT_COLS} FROM t FULL OUTER JOIN b
-  ON t.location_id = b.location_id AND t.observed_at = b.observed_at""",
-    _WT + [("b", _dedupe_sql("b0", _NEWEST))]), L.upsert_last_wins)
+_UPSERT = with_ctes(W, f"""SELECT {_UPSERT_COLS} FROM t FULL OUTER JOIN b
+  ON t.location_id = b.location_id AND t.observed_at = b.observed_at""", _WT + [("b", _dedupe_sql("b0", _NEWEST))])
+register("upsert_last_wins", _UPSERT, L.upsert_last_wins)
+register("upsert_by_stream", _UPSERT, L.upsert_by_stream)
 
 register("insert_ignore", with_ctes(W, """SELECT * FROM t UNION ALL
 SELECT b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.location_id = b.location_id AND t.observed_at = b.observed_at)""",
@@ -332,6 +333,14 @@ register("migrate_economic", with_ctes(["economic_observations"], f"""SELECT ser
   COALESCE(series_name, '') AS series_name, CAST(value AS DOUBLE) AS value, {_ISO.format(c='observed_at')} AS observed_at
 FROM economic_observations"""), L.migrate_economic)
 
+_DAMAGED = [("damaged", f"""SELECT id, CASE WHEN id % {L.NO_PLACE} <> 0 THEN location_id END AS location_id, temperature_c, wind_speed, pressure,
+  humidity, precipitation, CASE WHEN id % {L.NO_TIME} <> 0 THEN observed_at END AS observed_at, created_at FROM weather_observations""")]
+register("migrate_resumed", with_ctes(W, f"""SELECT id, location_id, temperature_c, wind_speed, pressure, humidity, precipitation,
+  {_ISO.format(c='observed_at')} AS observed_at, {_ISO.format(c='created_at')} AS created_at
+FROM damaged WHERE observed_at IS NOT NULL AND location_id IS NOT NULL""", _DAMAGED), L.migrate_resumed)
+register("migrate_errors", with_ctes(W, """SELECT id, CASE WHEN observed_at IS NULL THEN 'no time' ELSE 'no place' END AS reason
+FROM damaged WHERE observed_at IS NULL OR location_id IS NULL""", _DAMAGED), L.migrate_errors)
+
 register("incremental_merge", with_ctes(["stg_weather"], "SELECT * FROM tgt UNION ALL SELECT * FROM new_rows",
     [("tgt", f"SELECT * FROM stg_weather WHERE observed_at < {_T_BEFORE}"),
      ("new_rows", "SELECT * FROM stg_weather WHERE observed_at > (SELECT MAX(observed_at) FROM tgt)")]),
@@ -435,6 +444,18 @@ register("series_profile", with_ctes(_MARTS, """SELECT series_key, COUNT(*) AS n
   COUNT(*) = COUNT(DISTINCT month) AND COUNT(*) = CAST(datediff('month', MIN(month), MAX(month)) AS INTEGER) + 1
   AS is_regular FROM fseries GROUP BY series_key""", _SERIES_CTES[:4]), FCQ.profile)
 
+_GAPPY = [("uneven", f"""SELECT series_key, month FROM fseries
+    WHERE NOT (month(month) = {FCQ.LOST_MONTH} AND year(month) % 2 = 0 AND length(series_key) % 2 = 0)
+  UNION ALL SELECT series_key, month FROM fseries WHERE month(month) = {FCQ.TWICE_MONTH} AND length(series_key) % 3 = 0"""),
+  ("seen", "SELECT series_key, month, COUNT(*) AS n FROM uneven GROUP BY ALL"),
+  ("spine", """SELECT series_key, unnest(generate_series(MIN(month)::TIMESTAMP, MAX(month)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS month
+    FROM seen GROUP BY series_key"""),
+  ("faults", """SELECT p.series_key, p.month, COALESCE(s.n, 0) AS n, CASE WHEN s.n IS NULL THEN 'gap' ELSE 'duplicate' END AS reason
+    FROM spine p LEFT JOIN seen s ON p.series_key = s.series_key AND p.month = s.month WHERE COALESCE(s.n, 0) <> 1""")]
+register("series_faults", with_ctes(_MARTS, "SELECT * FROM faults", _SERIES_CTES[:4] + _GAPPY), FCQ.faults)
+register("regular_series", with_ctes(_MARTS, """SELECT series_key, month FROM uneven
+WHERE series_key NOT IN (SELECT series_key FROM faults)""", _SERIES_CTES[:4] + _GAPPY), FCQ.regular)
+
 _ERR = "actual - predicted"
 register("eval_metrics_naive", with_ctes(_MARTS, f"""SELECT series_key,
   {round_half_up(f"sqrt({exact_avg(f'({_ERR}) * ({_ERR})')})", 4)} AS rmse,

@@ -11,6 +11,7 @@ from tempora.session import cut_lineage
 
 TEST_MONTHS = 12
 FUTURE_MONTHS = 12
+LOST_MONTH, TWICE_MONTH = 5, 7
 
 
 def series(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,6 +29,23 @@ def profile(spark: SparkSession, sf: str) -> DataFrame:
     return FC.series_profile(series(spark, sf))
 
 
+def _uneven(spark: SparkSession, sf: str) -> DataFrame:
+    """The series with some months lost and some twice, by a rule on month and key."""
+    s, month, size = series(spark, sf), F.month("month"), F.length("series_key")
+    lost = (month == LOST_MONTH) & (F.year("month") % 2 == 0) & (size % 2 == 0)
+    return s.filter(~lost).unionByName(s.filter((month == TWICE_MONTH) & (size % 3 == 0)))
+
+
+def faults(spark: SparkSession, sf: str) -> DataFrame:
+    """FC-4: months that a series lacks or has more than once."""
+    return FC.series_faults(_uneven(spark, sf))
+
+
+def regular(spark: SparkSession, sf: str) -> DataFrame:
+    """FC-4: the series without such months."""
+    return FC.regular_series(_uneven(spark, sf)).select("series_key", "month")
+
+
 def naive_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """AGG-14 on a seasonal-naive forecast (the value 12 rows earlier) of each test month."""
     split = train_test(spark, sf)

@@ -16,9 +16,11 @@ from tempora.operators.staging import stg_economic, stg_retail, stg_weather
 from tempora.plans import AS_OF
 from tempora.plans import incremental as I
 from tempora.plans.models import Models
+from tempora.session import written_once
 from tempora.sinks import writers as W
+from tempora.sinks.migration import Migration
 from tempora.sources import backfill, fixtures as fx
-from tempora.streaming.streams import scratch_path
+from tempora.streaming.streams import scratch_path, upsert_stream
 
 KEY = ["location_id", "observed_at"]
 TARGET_BEFORE = "2000-01-01 00:00:00"     # existing table: readings before this
@@ -26,6 +28,7 @@ BATCH_FROM = "1999-07-01 00:00:00"        # delivery: readings from this on (6 m
 SPLIT = "1999-12-20 00:00:00"             # between the two incremental runs, within a month
 ECON_BATCH_FROM = "1999-01-01 00:00:00"
 BACKFILL_AS_OF = "2002-03-01 00:00:00"   # a later "today" so locations have ranges to fetch
+NO_TIME, NO_PLACE = 97, 89               # every so many-th reading of the migration lacks a time, or a place
 MEASURES = ["temperature_c", "wind_speed", "pressure", "humidity", "precipitation"]
 TIE = ["id", "temperature_c", "wind_speed", "pressure", "humidity", "precipitation"]
 
@@ -49,11 +52,30 @@ def weather_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def upsert_last_wins(spark: SparkSession, sf: str) -> DataFrame:
-    return M.upsert_last_wins(weather_target(spark, sf), weather_batch(spark, sf), KEY, MEASURES)
+    """SNK-1. The delivery is read twice by the merge, so its newest row per key is written first."""
+    batch = M.one_per_key(weather_batch(spark, sf), KEY, ["created_at"], newest_first=True)
+    return M.upsert_last_wins(weather_target(spark, sf), written_once(batch, "delivery"), KEY, MEASURES)
 
 
 def insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
-    return M.insert_ignore(weather_target(spark, sf), weather_batch(spark, sf), KEY)
+    """SNK-2. As above, with the first row per key."""
+    batch = M.one_per_key(weather_batch(spark, sf), KEY, ["created_at"], newest_first=False)
+    return M.insert_ignore(weather_target(spark, sf), written_once(batch, "delivery"), KEY)
+
+
+def upsert_by_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """ST-5: the same delivery as ``upsert_last_wins``, brought into the stored table by a stream in two parts
+    (readings before and from ``TARGET_BEFORE``), with the first part delivered a second time in between: the ledger of
+    epochs makes each micro-batch count once, and a repeated delivery changes nothing."""
+    root = scratch_path(spark, "upsert-stream")
+    W.write_table(weather_target(spark, sf), f"{root}/table", cluster_col="location_id")
+    batch = weather_batch(spark, sf)
+    parts = {"1": _before(batch, TARGET_BEFORE), "2": _before(batch, TARGET_BEFORE), "3": _from(batch, TARGET_BEFORE)}
+    for name, rows in parts.items():
+        rows.write.parquet(f"{root}/in/{name}")
+        stream = spark.readStream.schema(batch.schema).option("recursiveFileLookup", True).parquet(f"{root}/in")
+        upsert_stream(stream, f"{root}/table", f"{root}/checkpoint", KEY, MEASURES)
+    return spark.read.parquet(f"{root}/table").select(*batch.columns)
 
 
 def merge_insert_only(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,13 +92,41 @@ def migrate_economic(spark: SparkSession, sf: str) -> DataFrame:
     return M.normalise_economic(fx.economic_observations(spark, sf))
 
 
+def _migration(spark: SparkSession, sf: str) -> Migration:
+    """The readings, every 97th without a time and every 89th without a place, brought over in eight ranges of ids: ended
+    after three, then resumed by another run."""
+    obs = fx.weather_observations(spark, sf)
+    damaged = obs.withColumn("observed_at", F.when(F.col("id") % NO_TIME != 0, F.col("observed_at"))).withColumn(
+        "location_id", F.when(F.col("id") % NO_PLACE != 0, F.col("location_id")))
+    reason = F.when(F.col("observed_at").isNull(), "no time").when(F.col("location_id").isNull(), "no place")
+    root = scratch_path(spark, "migration")
+
+    def again() -> Migration:
+        return Migration(spark, root, damaged, "id", lambda df: M.normalise_weather(df, "id"), reason, ranges=8)
+
+    again().run(most=3)
+    resumed = again()
+    resumed.run()
+    return resumed
+
+
+def migrate_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB-6: the rows that an ended and resumed migration has brought over."""
+    return _migration(spark, sf).migrated()
+
+
+def migrate_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """JOB-6: the rows that it refused, with the reason."""
+    return _migration(spark, sf).errors().select("id", "reason")
+
+
 def incremental_merge(spark: SparkSession, sf: str, policy: str = "global_hwm") -> DataFrame:
     """ST-2: staged target holds readings before 2000; the run stages only source rows
     past the high-water mark and upserts them on the key."""
     target = _before(Models(spark, sf).stg_weather(), TARGET_BEFORE)
     src = M.incremental_source(target, fx.weather_observations(spark, sf), "observed_at", policy,
                                entity="location_id")
-    new = stg_weather(src, AS_OF)
+    new = written_once(stg_weather(src, AS_OF), "staged")
     return M.upsert_last_wins(target, new, KEY, ["observation_date", "temperature_c", "precipitation_mm"],
                               order_cols=(), keep_cols=())
 
@@ -117,7 +167,7 @@ def _incremental_by_mark(spark: SparkSession, sf: str, name: str, keys: list[str
     source = fx.VIEWS[name](spark, sf)
     target = stage(_before(source, TARGET_BEFORE))
     mark = _before(source, TARGET_BEFORE).agg(F.max("observed_at").alias("m")).first()["m"]  # one scalar
-    new = stage(source if mark is None else source.filter(F.col("observed_at") > M.ts_literal(mark, source.schema["observed_at"].dataType)))
+    new = written_once(stage(source if mark is None else source.filter(F.col("observed_at") > M.ts_literal(mark, source.schema["observed_at"].dataType))), "staged")
     return M.upsert_last_wins(target, new, keys, update, order_cols=(), keep_cols=())
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,6 +64,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def written_once(df, name: str):
+    """``df`` written as Parquet under the shared checkpoint folder and read back: computed once however often
+    it is used, and small enough sides are seen by the planner's size check (a checkpoint has no size)."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

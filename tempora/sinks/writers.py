@@ -73,11 +73,24 @@ def rewrite_partitions(spark: SparkSession, path: str, batch: DataFrame, keys, m
                        update_cols=(), ts_col: str = "observed_at", cluster_col: str | None = None,
                        order_cols=("created_at",), grain: str = "month", months: list[str] | None = None) -> list[str]:
     """Merge ``batch`` into the time-partitioned table at ``path`` rewriting only the
-    partitions (months, or days with ``grain='day'``) the batch touches. The merged
-    partitions are first written to a staging folder inside the table (ignored by readers: it starts with '_'), then copied over the table
-    with dynamic partition overwrite, so the table is never read and overwritten by the
-    same job. A failed copy can be re-run from the staging folder; after a successful copy
-    the stage is emptied."""
+    partitions (months, or days with ``grain='day'``) the batch touches: ``stage_merge``, then ``copy_partitions``.
+    ``tempora.streaming.epochs`` adds the ledger that lets an ended merge be finished."""
+    stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    months = stage_merge(spark, path, batch, keys, stage, mode, update_cols, ts_col, cluster_col, order_cols, grain, months)
+    if months:
+        copy_partitions(spark, stage, path)
+    empty_stage(spark, stage)
+    return months
+
+
+def stage_merge(spark: SparkSession, path: str, batch: DataFrame, keys, stage: str, mode: str = "upsert",
+                update_cols=(), ts_col: str = "observed_at", cluster_col: str | None = None,
+                order_cols=("created_at",), grain: str = "month", months: list[str] | None = None) -> list[str]:
+    """Write the touched partitions as they are after the merge to ``{stage}/merged``, the table itself stays as it is
+    (a folder inside the table is ignored by its readers when its name starts with '_'). The batch is written to
+    ``{stage}/batch`` and computed once, however often the merge reads it. Returns the partitions touched."""
+    batch.write.mode("overwrite").parquet(f"{stage}/batch")
+    batch = spark.read.schema(batch.schema).parquet(f"{stage}/batch")
     months = touched_months(batch, ts_col, grain) if months is None else months
     if not months:
         return []
@@ -90,15 +103,24 @@ def rewrite_partitions(spark: SparkSession, path: str, batch: DataFrame, keys, m
         merged = M.merge_insert_only(target, batch, keys)
     else:
         raise ValueError(mode)
-    stage = f"{path.rstrip('/')}/_staging/{uuid.uuid4().hex}"
-    write_table(merged, stage, ts_col, cluster_col, grain=grain)
-    staged = spark.read.parquet(stage)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART_COL).parquet(path)
-    # copied: empty the stage (kept on failure above, so the copy can be re-run from it)
-    spark.createDataFrame([], staged.schema).write.mode("overwrite").parquet(stage)
+    write_table(merged, f"{stage}/merged", ts_col, cluster_col, grain=grain)
     return months
 
 
+def copy_partitions(spark: SparkSession, stage: str, path: str) -> None:
+    """Put the partitions of a complete stage in place of the table's (dynamic partition overwrite). Copying
+    again after a failure gives the same table, as the stage does not depend on it any more."""
+    staged = spark.read.parquet(f"{stage}/merged")
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART_COL).parquet(path)
+
+
+def empty_stage(spark: SparkSession, stage: str) -> None:
+    """Leave no rows in a stage's folders (an empty overwrite keeps the schema)."""
+    for name in paths.folder_names(spark, stage):
+        schema = spark.read.parquet(f"{stage}/{name}").schema
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{stage}/{name}")
+
+
 def stage_merge_clear(spark: SparkSession, path: str, batch: DataFrame, keys, stage_path: str,
                       ts_col: str = "observed_at"):
     """SNK-5: write the batch to a stage, insert the rows whose key is new, and clear the
@@ -149,7 +171,11 @@ LANDED = "payload string, fetched_at string, source string, identifier string, w
 def land_raw(payloads: DataFrame, root: str):
     """SNK-10: raw landing, one JSON line per payload (columns source, identifier, window_start, window_end,
     fetched_at, payload), partitioned by source, identifier and window, so that a reader finds a
-    series, a place or a range by its folders. A window that is not known is 'unknown'."""
+    series, a place or a range by its folders. A window that is not known is 'unknown', its columns may be absent;
+    the payload's column may be called raw_response."""
+    if "payload" not in payloads.columns:
+        payloads = payloads.withColumnRenamed("raw_response", "payload")
+    payloads = M.add_missing_columns(payloads, {"window_start": "string", "window_end": "string"})
     named = payloads.select("payload", F.col("fetched_at").cast("string").alias("fetched_at"), "source",
                             *[F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias(c) for c in ("identifier", "window_start", "window_end")])
     keys = ["source", "identifier", "window_start", "window_end"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tempora.functions.exprs import exact_avg, exact_sum
 from tempora.session import ensure_checkpoint_dir
-from tempora.sinks import writers
+from tempora.streaming.epochs import EpochLedger
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -91,11 +91,12 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, partition_by=No
 def upsert_stream(stream: DataFrame, table_path: str, checkpoint: str, keys, update_cols,
                   ts_col: str = "observed_at", order_cols=("created_at",)):
     """ST-5: each micro-batch is upserted into the month-partitioned table, rewriting only
-    the months it touches. Re-running a batch after a failure gives the same table
-    (last-write-wins on the key is idempotent)."""
-    def merge_batch(batch: DataFrame, _epoch: int):
-        writers.rewrite_partitions(batch.sparkSession, table_path, batch, keys, mode="upsert",
-                                   update_cols=update_cols, ts_col=ts_col, order_cols=order_cols)
+    the months it touches, and counts once: a batch that Spark hands over again after a failure is finished from
+    its stage or skipped (``EpochLedger``)."""
+    def merge_batch(batch: DataFrame, epoch: int):
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        EpochLedger(batch.sparkSession, table_path, query).apply(
+            batch, epoch, keys, mode="upsert", update_cols=update_cols, ts_col=ts_col, order_cols=order_cols)
 
     q = (stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

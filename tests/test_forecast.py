@@ -218,3 +218,24 @@ def test_synthetic_series_and_date_map(spark):
     assert sorted(m)[:2] == ["2018-01-01", "2018-02-01"] and len(m) == 24
     with pytest.raises(ValueError):
         FC.predict(s, 0)
+
+
+def _months(spark, rows):
+    return spark.createDataFrame([(k, date(2024 + (m - 1) // 12, (m - 1) % 12 + 1, 1), float(m)) for k, m in rows], "series_key string, month date, value double")
+
+
+def test_gaps_and_duplicates_are_named_and_refused(spark):
+    s = _months(spark, [("a", m) for m in (1, 2, 5, 5, 13)] + [("b", m) for m in (11, 12, 13)] + [("c", 4)])
+    found = {(r.series_key, r.month.year * 12 + r.month.month - 2024 * 12, r.n, r.reason) for r in FC.series_faults(s).collect()}
+    assert found == {("a", m, 0, "gap") for m in (3, 4, *range(6, 13))} | {("a", 5, 2, "duplicate")}
+    assert {r.series_key for r in FC.regular_series(s).collect()} == {"b", "c"}
+    assert FC.series_faults(s.limit(0)).count() == 0
+
+
+def test_no_month_in_common_is_an_error_of_the_plan(spark):
+    actual = _months(spark, [("a", 1), ("a", 2), ("b", 1)]).withColumnRenamed("value", "actual")
+    fits = _months(spark, [("a", 2), ("b", 1), ("b", 9), ("z", 1)]).withColumnRenamed("value", "predicted")
+    assert {(r.series_key, r.actual, r.predicted) for r in FC.aligned(actual, fits).collect()} == {("a", 2.0, 2.0), ("b", 1.0, 1.0)}
+    with pytest.raises(Exception, match="no month in common: b"):
+        FC.aligned(actual, fits.filter("series_key = 'a'")).collect()
+    assert FC.aligned(actual.limit(0), fits).count() == 0

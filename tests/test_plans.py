@@ -59,3 +59,8 @@ def test_merges_join_without_a_full_outer_join_and_without_rows_in_python(spark)
     for name in ["upsert_last_wins", "incremental_merge", "new_locations"]:
         plan = plan_of(spark, name)
         assert "FullOuter" not in plan and "BatchEvalPython" not in plan, name
+
+
+def test_merges_read_the_target_twice_and_the_written_delivery_apart(spark):
+    for name in ["upsert_last_wins", "insert_ignore", "incremental_merge"]:
+        assert plan_of(spark, name).count("lineitem.parquet") <= 2, name

@@ -2,9 +2,12 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tempora.sinks import writers as W
+from tempora.sinks.migration import Migration
+from tempora.sources import paths
 
 SCHEMA = "id long, location_id long, observed_at timestamp_ntz, temperature_c double, created_at timestamp_ntz"
 
@@ -83,3 +86,54 @@ def test_truncate_load_removes_old_partitions(spark, tmp_dir):
         assert [r.k for r in spark.read.parquet(f"{tmp_dir}/t").collect()] == [3]
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def _moved(spark, root, rows, ranges=4):
+    source = spark.createDataFrame(rows, "id long, x double")
+    return Migration(spark, root, source, "id", lambda df: df.select("id", (F.col("x") * 2).alias("y")),
+                     F.when(F.col("y").isNull(), "no value").when(F.col("id").isNull(), "no key"), ranges)
+
+
+ROWS = [(i, None if i % 7 == 0 else float(i)) for i in range(1, 40)] + [(None, 1.0), (39, 5.0)]
+
+
+def _seen(m):
+    return (sorted((r.id, r.y) for r in m.migrated().collect()), sorted((r.id or 0, r.reason) for r in m.errors().collect()))
+
+
+def test_an_ended_migration_resumes_to_the_result_of_one_run(spark, tmp_dir, monkeypatch):
+    whole = _moved(spark, f"{tmp_dir}/a", ROWS)
+    assert whole.run() == 0
+    good, bad = _seen(whole)
+    assert good == sorted((i, x * 2) for i, x in ROWS if i and x) and bad == [(0, "no key")] + [(i, "no value") for i in range(7, 40, 7)]
+    ended, wrote, plain = _moved(spark, f"{tmp_dir}/b", ROWS), [], Migration._migrate
+    assert ended.run(most=1) > 0
+
+    def fails(self, number, *bounds):
+        plain(self, number, *bounds)
+        wrote.append(number)
+        if len(wrote) == 2:  # written, but not entered
+            W.overwrite(spark.createDataFrame([], "x int"), f"{self.root}/cursor/{number:08d}")
+            paths.rename(spark, f"{self.root}/cursor/{number:08d}/_SUCCESS", f"{self.root}/lost")
+            raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(Migration, "_migrate", fails)
+    with pytest.raises(RuntimeError):
+        _moved(spark, f"{tmp_dir}/b", ROWS).run()
+    assert _moved(spark, f"{tmp_dir}/b", ROWS).run() == 0
+    assert wrote[0] not in wrote[1:] and wrote.count(wrote[1]) == 2 and 0 not in wrote  # finished ranges are skipped
+    assert _seen(_moved(spark, f"{tmp_dir}/b", ROWS)) == (good, bad)
+    cursor = whole.cursor().agg(F.sum("rows").alias("n"), F.sum("errors").alias("e")).first()
+    assert (cursor.n, cursor.e) == (len(good), len(bad))
+
+
+def test_a_migration_takes_rows_that_came_later_and_empty_sources(spark, tmp_dir):
+    first = _moved(spark, f"{tmp_dir}/a", ROWS)
+    first.run()
+    more = _moved(spark, f"{tmp_dir}/a", ROWS + [(50, 1.0), (60, None)])
+    assert more.run() == 0 and more.run() == 0
+    assert _seen(more)[0][-1] == (50, 2.0) and (60, "no value") in _seen(more)[1] and len(_seen(more)[0]) == len(_seen(first)[0])
+    none = _moved(spark, f"{tmp_dir}/none", [])
+    assert none.run() == 0 and _seen(none) == ([], [])
+    keyless = _moved(spark, f"{tmp_dir}/keyless", [(None, 1.0)])
+    assert keyless.run() == 0 and _seen(keyless) == ([], [(0, "no key")])

@@ -2,10 +2,12 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tempora.sinks import writers as W
 from tempora.streaming import streams as S
+from tempora.streaming.epochs import EpochLedger
 
 SCHEMA = "id long, location_id long, observed_at timestamp_ntz, temperature_c double, created_at timestamp_ntz"
 
@@ -95,6 +97,74 @@ def test_upsert_stream_matches_batch(spark, tmp_dir):
     assert out == {1: (9.0, 1), 2: (4.0, 6)}
 
 
+def _epoch(spark, table, query="q"):
+    return EpochLedger(spark, table, query)
+
+
+MERGE = dict(mode="insert_only", ts_col="observed_at")  # not idempotent: rows of one batch may share a key
+
+
+def test_an_epoch_counts_once(spark, tmp_dir):
+    table, t = f"{tmp_dir}/table", datetime(2024, 1, 1)
+    W.write_table(spark.createDataFrame([(1, 1, t, 1.0, t)], SCHEMA), table)
+    batch = spark.createDataFrame([(5, 2, t, 9.0, t), (6, 2, t, 4.0, t), (7, 3, datetime(2024, 3, 1), 4.0, t)], SCHEMA)
+    for _ in range(2):
+        _epoch(spark, table).apply(batch, 0, ["location_id"], **MERGE)
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == [1, 5, 6, 7]
+    assert _epoch(spark, table).apply(spark.createDataFrame([], SCHEMA), 1, ["location_id"], **MERGE) is False
+    made = {(r.query, r.epoch, r.rows, tuple(r.periods)) for r in EpochLedger.entries(spark, table).collect()}
+    assert made == {("q", 0, 3, ("2024-01", "2024-03")), ("q", 1, 0, ())}
+
+
+@pytest.mark.parametrize("when", ["staging", "copying", "after the copy"])
+def test_an_ended_epoch_is_finished(spark, tmp_dir, monkeypatch, when):
+    table, t = f"{tmp_dir}/table", datetime(2024, 1, 1)
+    W.write_table(spark.createDataFrame([(1, 1, t, 1.0, t), (2, 9, datetime(2024, 2, 1), 2.0, t)], SCHEMA), table)
+    batch = spark.createDataFrame([(5, 2, t, 9.0, t), (6, 2, t, 4.0, t), (7, 3, datetime(2024, 2, 1), 4.0, t)], SCHEMA)
+    name = "write_table" if when == "staging" else "copy_partitions"
+    plain = getattr(W, name)
+
+    def ends(*args, **named):
+        if when == "copying":  # one of the two months only
+            staged = spark.read.parquet(f"{args[1]}/merged").filter("obs_period = '2024-01'")
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("obs_period").parquet(args[2])
+        else:
+            plain(*args, **named)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(W, name, ends)
+    with pytest.raises(RuntimeError):
+        _epoch(spark, table).apply(batch, 0, ["location_id"], **MERGE)
+    monkeypatch.setattr(W, name, plain)
+    assert _epoch(spark, table).apply(batch, 0, ["location_id"], **MERGE)
+    assert sorted(r.id for r in spark.read.parquet(table).collect()) == [1, 2, 5, 6, 7]
+    assert not _epoch(spark, table).apply(batch, 0, ["location_id"], **MERGE)
+
+
+def test_a_stream_restarted_within_a_batch(spark, tmp_dir, monkeypatch):
+    table, t = f"{tmp_dir}/table", datetime(2024, 1, 1)
+    W.write_table(spark.createDataFrame([(1, 1, t, 1.0, t)], SCHEMA), table)
+    spark.createDataFrame([(5, 1, t, 9.0, t), (6, 2, t, 4.0, t)], SCHEMA).write.parquet(f"{tmp_dir}/in")
+    plain, done = W.copy_partitions, []
+
+    def ends(*args):
+        plain(*args)
+        if not done.append(1) and len(done) == 1:
+            raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(W, "copy_partitions", ends)
+
+    def run():
+        S.upsert_stream(S.read_parquet_stream(spark, f"{tmp_dir}/in", SCHEMA), table, f"{tmp_dir}/ckpt", ["location_id", "observed_at"], ["temperature_c"])
+
+    with pytest.raises(Exception, match="executor lost"):
+        run()
+    run()
+    run()  # nothing new
+    assert {r.location_id: (r.temperature_c, r.id) for r in spark.read.parquet(table).collect()} == {1: (9.0, 1), 2: (4.0, 6)}
+    assert [(r.epoch, r.rows) for r in EpochLedger.entries(spark, table).collect()] == [(0, 2)] and len(done) == 2
+
+
 def test_daily_rollup_stream_emits_closed_days(spark, tmp_dir):
     rows = [(i, 1, datetime(2024, 1, 1 + i // 4, (i % 4) * 6), float(i), None) for i in range(12)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_dir}/in")
