@@ -41,7 +41,7 @@ def uniform(seed: str, *parts: Column) -> Column:
 def rates(docs: DataFrame, weights: DataFrame | None = None, power: float = 0.5,
           growth: float = 1.0) -> DataFrame:
     """(source, size, rate) per source. Target weights are ``weights`` (source, weight), or the
-    sizes to the ``power`` (1: as they are, 0: all equal); the mix has ``growth`` times the size
+    sizes to the ``power`` (1: as they are, 0: all equal; no weight above 0: no copies); the mix has ``growth`` times the size
     of the input."""
     sizes = docs.groupBy("source").agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1).cast("long").alias("size"))
     if weights is None:
@@ -49,10 +49,15 @@ def rates(docs: DataFrame, weights: DataFrame | None = None, power: float = 0.5,
     else:
         w = weights.select(F.col("source").alias("_s"), F.col("weight").cast("double").alias("weight"))
         sizes = sizes.join(w, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").fillna(0.0, ["weight"])
-    everything = Window.partitionBy()  # one row per source
-    total = F.sum("size").over(everything)
-    share = F.col("weight") / F.sum("weight").over(everything)
-    return sizes.select("source", "size", (share * total * F.lit(float(growth)) / F.col("size")).alias("rate"))
+    sizes = stored(sizes, "sizes")
+    whole = sizes.agg(F.sum("size").alias("size"), F.max("weight").alias("most")).first()  # two scalars
+    if not whole["most"]:
+        return sizes.select("source", "size", F.lit(0.0).alias("rate"))
+    # in parts of the largest weight, as decimals: the sum does not depend on the order of the sources
+    part = F.col("weight") / F.lit(whole["most"])
+    parts = float(sizes.agg(F.sum(part.cast("decimal(28,20)")).cast("double").alias("s")).first()["s"])
+    rate = part / F.lit(parts) * F.lit(float(whole["size"])) * F.lit(float(growth)) / F.col("size")
+    return sizes.select("source", "size", rate.alias("rate"))
 
 
 def distribution(rate_table: DataFrame) -> DataFrame:

@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 #: Decompressed bytes of a frame and compressed bytes of a bundle, about.
 FRAME, BUNDLE = 1 << 19, 64 << 20
+#: Bytes of records that a task reads back.
+PART = 64 << 20
 INDEX = "page_id long, record_id string, bundle string, frame int, at long, length long"
 
 
@@ -210,10 +212,12 @@ def _read(batches, folder: str, with_payload: bool):
 def read_bundles(spark: SparkSession, folder: str, wanted: DataFrame | None = None, with_payload: bool = True) -> DataFrame:
     """Records read back from the bundles: all, or those of ``wanted`` (page_id). Only frames that
     hold wanted records are read and decompressed, each once; a frame's records are bounded by
-    the frame's size."""
+    the frame's size. A task reads about ``PART`` bytes of records, whatever the size of their index."""
     index = spark.read.schema(INDEX).parquet(f"{folder}/index")
     if wanted is not None:
         index = index.join(wanted.select("page_id").distinct(), "page_id", "left_semi")
-    frames = index.groupBy("bundle", "frame").agg(F.collect_list(F.struct("at", "length")).alias("records"))
+    there = index.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.count_distinct("bundle", "frame").alias("frames")).first()
+    parts = max(1, min(there["frames"], max(spark.sparkContext.defaultParallelism, -(-there["bytes"] // PART))))
+    frames = index.repartition(parts, "bundle", "frame").groupBy("bundle", "frame").agg(F.collect_list(F.struct("at", "length")).alias("records"))
     return frames.mapInArrow(partial(_read, folder=f"{folder}/bundles", with_payload=with_payload),
                              FIELDS + (", payload binary" if with_payload else ""))

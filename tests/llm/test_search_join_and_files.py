@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -36,18 +37,18 @@ def frame(spark, rows):
 
 
 def test_top_k_matches_brute_force(spark):
-    rows = vectors() + [(50 * k + 1000, [0.01 * k] * 16) for k in range(3)] + [(1000, [0.0] * 16)]
+    rows = vectors() + [(50 * k + 1000, [0.01 * k] * 16) for k in range(3)] + [(1000, [0.0] * 16), (3, [9.0] * 16), (1050, [0.01] * 16)]
     got = {}
     for r in T.top_k(frame(spark, rows + ODD), F.col("vec_id") % 50 == 0, block=64, query_block=3).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
-    whole = {}
-    for i, v in rows + [(901, ODD[1][1]), (904, [])]:
-        w = [math.floor(256 * x) for x in v]
-        whole[i] = min(whole.get(i, w), w)
-    for q in (i for i in whole if i % 50 == 0):
-        scores = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q)[:5]
-        assert sorted(got.pop(q)) == [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
-    assert not got
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows + [(901, ODD[1][1]), (904, [])]]
+    want = {}
+    for n, (q, own) in enumerate(whole):
+        if q % 50 == 0:  # every other row is a candidate, also one of the same vec_id
+            scores = sorted((-sum(a * b for a, b in zip(own, w)), i) for m, (i, w) in enumerate(whole) if m != n)[:5]
+            want.setdefault(q, []).extend((n + 1, i, -s) for n, (s, i) in enumerate(scores))
+    assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in want.items()}
+    assert len(got[1000]) == len(got[1050]) == 10
     assert T.top_k(frame(spark, ODD[:1]), F.col("vec_id") % 50 == 0).count() == 0
 
 
@@ -74,11 +75,11 @@ def test_large_weights_take_part_exactly(spark):
 def test_sums_that_pass_64_bits_on_the_way_are_exact():
     import pandas as pd
     big = np.array([float(1 << 40), float(1 << 40), 7.0])
-    block = pd.DataFrame({"vec_id": [1, 2], "weights": [np.array([float(1 << 40), -float(1 << 40), 3.0]), np.array([0.0, 0.0, 1.0])]})
-    out = T.block_topk(block, pd.DataFrame({"vec_id": [0], "weights": [big]}), 5)
+    block = pd.DataFrame({"row": [1, 2], "vec_id": [1, 2], "weights": [np.array([float(1 << 40), -float(1 << 40), 3.0]), np.array([0.0, 0.0, 1.0])]})
+    out = T.block_topk(block, pd.DataFrame({"row": [0], "vec_id": [0], "weights": [big]}), 5)
     assert sorted(zip(out["vec_id"], out["score"])) == [(1, 21), (2, 7)]
     with pytest.raises(OverflowError):
-        T.block_topk(block, pd.DataFrame({"vec_id": [0], "weights": [np.array([float(1 << 23), 0.0, 0.0])]}), 5)
+        T.block_topk(block, pd.DataFrame({"row": [0], "vec_id": [0], "weights": [np.array([float(1 << 23), 0.0, 0.0])]}), 5)
 
 
 @pytest.mark.parametrize("chunk", [16384, 40])
@@ -180,6 +181,32 @@ def test_bundles_round_trip(spark, tmp_dir):
     assert [(r.page_id, r.refers_to) for r in smaller] == [(1, 2)]
 
 
+def test_many_frames_are_read_by_several_tasks(spark):
+    folder = scratch(spark, "warc")
+    rng = random.Random(3)
+    rows = [(i, f"http://{i}", "".join(rng.choices("abcdefgh <>", k=150_000))) for i in range(24)] + [(5, "http://again", "own"), (5, "http://twice", "own")]
+    W.write_bundles(spark.createDataFrame(rows, "page_id long, url string, html string"), folder)
+    back = W.read_bundles(spark, folder)
+    used = back.select(F.spark_partition_id().alias("p"), "page_id").distinct().groupBy("p").count()
+    assert used.count() > 1
+    assert sorted((r.page_id, r.url) for r in back.collect()) == sorted((i, u) for i, u, _ in rows)  # repeated ids are rows of their own
+    none = scratch(spark, "warc")
+    W.write_bundles(spark.createDataFrame([], "page_id long, url string, html string"), none)
+    assert W.read_bundles(spark, none).count() == 0
+
+
+def test_rates_of_repeated_rows_and_of_no_weight(spark, docs):
+    rows = [(1, "a" * 9, "en", "s")] * 3 + [(2, "b" * 29, "en", "t"), (3, None, "en", None)]
+    got = {r.source: (r.size, r.rate) for r in X.rates(docs(rows)).collect()}
+    sizes = {"s": 30, "t": 30, None: 1}
+    roots = sum(math.sqrt(n) for n in sizes.values())
+    assert {k: v[0] for k, v in got.items()} == sizes
+    assert all(abs(got[k][1] - math.sqrt(n) / roots * 61 / n) < 1e-12 for k, n in sizes.items())
+    drawn = [r["count"] for r in X.mix(docs(rows), growth=3.0).filter("doc_id = 1").groupBy("copy").count().collect()]
+    assert set(drawn) <= {3}  # rows that repeat draw the same
+    assert X.mix(docs(rows), spark.createDataFrame([("none", 1.0)], "source string, weight double")).count() == 0
+
+
 def test_mix_draws_poisson_counts(spark, docs):
     rows = [(i, "t" * 9, "en", ["a", "b", None][i % 3]) for i in range(6000)] + [(9000, None, "en", "a")]
     weights = spark.createDataFrame([("a", 3.0), ("b", 1.0)], "source string, weight double")
@@ -208,6 +235,47 @@ def test_language_profiles(spark, docs):
     assert {r.lang_pred for r in R.identify(docs([(1, "text", None)])).collect()} == {"und"}
 
 
+def _plain_profile(texts, most):
+    """N-grams of one to three letters in order of frequency, words between marks, from plain strings."""
+    n = {}
+    for text in texts:
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        padded = " " + " ".join(words) + " " if words else " "
+        for size in (1, 2, 3):
+            for i in range(len(padded) - size + 1):
+                g = padded[i:i + size]
+                if g != " " and not (size == 3 and g[1] == " "):
+                    n[g] = n.get(g, 0) + 1
+    key = lambda g: [1 if c == " " else ord(c) for c in g]
+    return sorted(n.items(), key=lambda x: (-x[1], key(x[0])))[:most]
+
+
+def _plain_prediction(text, profiles):
+    if not any(c.isalpha() for c in (text or "").lower()):
+        return "und", 0.0
+    own = _plain_profile([text], R.OWN)
+    place = {g: sum(k for k, (_, m) in enumerate(own) if m == n) / sum(m == n for _, m in own) for g, n in own}
+    longest = max(len(p) for p in profiles.values())
+    far = {lang: sum(min(abs(p[g] - place[g]), longest) if g in p else longest for g in place) for lang, p in profiles.items()}
+    best = min(sorted(far), key=far.get)
+    return best, 1 - far[best] / (longest * len(place))
+
+
+def test_language_equals_plain_profiles(spark, docs):
+    """Profiles, ranks and distances written out with strings and dictionaries give the same languages and scores."""
+    rng = random.Random(11)
+    letters = {"aa": "abcdeé", "bb": "bcdfgñ", "cc": "aeioußж"}
+    def text(lang, n):
+        return "".join(rng.choice(letters[lang] + "   .,1") for _ in range(n))
+    rows = [(i, text(lang, rng.choice([1, 5, 40, 400])), lang) for i, lang in enumerate(list(letters) * 30)]
+    rows += [(200, "", "aa"), (201, None, "bb"), (202, "x" * 5000, None), (203, "ab ab ab", None), (204, "12", None)] * 2
+    learned = [r for r in rows if r[1] is not None and r[2] is not None and zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    profiles = {lang: {g: k for k, (g, _) in enumerate(_plain_profile([t for _, t, own in learned if own == lang], R.PROFILE))} for lang in letters}
+    got = sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in R.identify(docs(rows)).collect())
+    assert got == sorted((i, lang, round(score, 9)) for i, (lang, score) in ((i, _plain_prediction(t, profiles)) for i, t, _ in rows))
+    assert R.identify(docs(rows).limit(0)).count() == 0
+
+
 def test_a_table_of_many_letters_has_letters(spark, docs):
     """160 ideographs with gaps between them: all n-grams tie, and those at word edges come first."""
     table = " ".join(chr(0x4E00 + k) for k in range(160))
