@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from tempora.llm.common import stored
 
+#: Unseen blobs, at most, whose list is sent to every task.
+FEW = 200_000
 LEDGER = "blob binary, rule string, version int, spans array<struct<start:int,end:int>>"
 
 
@@ -102,12 +104,18 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(ledger)
 
 
+def by_broadcast(unseen: int, versions: int) -> bool:
+    """An incremental run: few of the versions, and few enough (some 100 bytes each) to send to every task."""
+    return unseen <= FEW and unseen * 10 <= versions
+
+
 def scan(versions: DataFrame, paths: DataFrame, ledger: str, keys: list[str], content: str = "text",
          rules: tuple[Rule, ...] = RULES) -> None:
     """Scan the pairs of blob and rule version that the ledger lacks, and append them.
 
     One copy of each such blob is picked by its smallest key (map-side combined, so thousands of
-    copies are one row a task), and only picked rows are joined back to the texts.
+    copies are one row a task), and only picked rows are joined back to the texts. Where few blobs are unseen (``by_broadcast``)
+    their list goes to the texts, otherwise both are shuffled; without an unseen blob no text is read.
     """
     known = read_ledger(versions.sparkSession, ledger).select("blob", "rule", "version")
     offered = F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules]))
@@ -116,11 +124,16 @@ def scan(versions: DataFrame, paths: DataFrame, ledger: str, keys: list[str], co
         known, ["blob", "rule", "version"], "left_anti")
     todo = unseen.groupBy("blob", "key").agg(F.collect_set("rule").alias("missing")).select(
         F.col("blob").alias("b"), *[F.col("key")[k].alias(f"_k{i}") for i, k in enumerate(keys)], "missing")
+    todo = stored(todo, "unseen")
+    new = todo.count()
+    if not new:
+        return
+    todo = todo.hint("broadcast" if by_broadcast(new, paths.count()) else "shuffle_hash")
     texts = versions.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], F.col(content).alias("text"), _blob(content))
     same = F.col("blob") == F.col("b")
     for i in range(len(keys)):
         same = same & F.col(f"_t{i}").eqNullSafe(F.col(f"_k{i}"))
-    rows = texts.join(todo.hint("shuffle_hash"), same).select("blob", "missing", "text").mapInArrow(
+    rows = texts.join(todo, same).select("blob", "missing", "text").mapInArrow(
         partial(_scan, rules={r.name: r for r in rules}), LEDGER)
     rows.write.mode("append").parquet(ledger)
 
@@ -145,7 +158,7 @@ def findings(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) ->
 def _masked(batches, mask: str):
     for batch in batches:
         texts, masked = [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist()):
             if spans:
                 out, at = [], 0
                 for s in spans:
@@ -155,7 +168,7 @@ def _masked(batches, mask: str):
                 text = "".join(out) + text[at:]
             texts.append(text)
             masked.append(len(spans or ()))
-        kept = [i for i, n in enumerate(batch.schema.names) if n not in ("text", "spans")]
+        kept = [i for i, n in enumerate(batch.schema.names) if n not in ("text", "_spans")]
         yield pa.RecordBatch.from_arrays(
             [pa.array(texts, pa.string()), *[batch.column(i) for i in kept], pa.array(masked, pa.int32())],
             names=["text", *[batch.schema.names[i] for i in kept], "masked"])
@@ -163,14 +176,16 @@ def _masked(batches, mask: str):
 
 def redact(docs: DataFrame, found: DataFrame, keys: list[str], mask: str = "[secret]") -> DataFrame:
     """``docs`` (with ``text``) with every span of ``found`` (keys, blob, spans) masked, and
-    ``masked``, their number; every document stays."""
+    ``masked``, their number (in place of a column of that name); every document stays, with its other columns,
+    whatever their names (but for those that begin with ``_``)."""
+    docs = docs.drop("masked")
     hits = found.filter(F.size("spans") > 0).select(*keys, "blob", "spans").dropDuplicates([*keys, "blob"])
-    b = hits.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("blob").alias("b"), "spans")
-    a = docs.select("*", _blob("text"))
-    same = F.col("blob") == F.col("b")
+    b = hits.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("blob").alias("_b"), F.col("spans").alias("_spans"))
+    a = docs.select("*", _blob("text").alias("_blob"))
+    same = F.col("_blob") == F.col("_b")
     for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    both = a.join(b.hint("shuffle_hash"), same, "left").select(*docs.columns, "spans")
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    both = a.join(b.hint("shuffle_hash"), same, "left").select(*docs.columns, "_spans")
     names = ["text", *[c for c in docs.columns if c != "text"]]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
     return both.mapInArrow(partial(_masked, mask=mask), schema + ", masked int").select(*docs.columns, "masked")

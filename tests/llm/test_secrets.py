@@ -54,6 +54,25 @@ def test_only_unseen_blobs_and_rule_versions_are_scanned(spark, docs):
     assert run([]) == 15
 
 
+def test_few_unseen_blobs_go_to_the_texts(spark, docs):
+    assert S.by_broadcast(5, 50) and not S.by_broadcast(5, 49) and not S.by_broadcast(S.FEW + 1, 1 << 60)
+    ledger, known = scratch(spark, "ledger"), [(i, f"text {i} token=secret{i:04d}") for i in range(40)]
+    for rows in (known, known + [(90, "passwd: new4567"), (91, "passwd: new4567"), (None, "passwd: new8910")], known):
+        d = docs(rows)
+        paths = S.addressed(d, ["doc_id"])
+        S.scan(d, paths, ledger, ["doc_id"])
+        got = sorted((str(r.doc_id), [s["start"] for s in r.spans]) for r in S.findings(paths, ledger).collect())
+        assert got == sorted((str(i), [s[0] for s in plain(t)]) for i, t in rows)
+
+
+def test_masking_carries_columns_of_any_name(spark):
+    d = spark.createDataFrame([(1, "a token=abcdef1", 7, "x", [1], 3)], "doc_id long, text string, blob int, b string, spans array<int>, masked int")
+    ledger, paths = scratch(spark, "ledger"), S.addressed(d, ["doc_id"])
+    S.scan(d, paths, ledger, ["doc_id"])
+    row = S.redact(d, S.findings(paths, ledger), ["doc_id"]).first()
+    assert (row.doc_id, row.text, row.blob, row.b, row.spans, row.masked) == (1, "a [secret]", 7, "x", [1], 1)
+
+
 def test_digest_of_no_findings(spark, tmp_dir):
     from tempora.llm.queries import op1_secret_ledger
     spark.createDataFrame([(1, "clean")], "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
