@@ -13,8 +13,18 @@ return the columns of documents.
 * packing cuts and packs what is left into sequences of 2048 tokens, which are written to the shared
   folder; the rows of ``run`` are their pieces, with the CRC-32 of the ids read back.
 
-SQL cannot express the profiles, hashing and packing, so ``ORACLE_SQL`` is None; the stages are
-tested against brute-force versions.
+Every stage reads the columns of documents only, so others may have any name; takes whole texts of any length; and
+gives no rows for an empty table. Defined cases by stage:
+
+* language_id: nulls in doc_id, lang or source stay; ties go to the smaller language; rows that repeat are each kept or dropped;
+* near_duplicates: null and empty texts (there are none after language_id) are copies of nothing but rows of their own doc_id and text;
+  of rows that repeat a doc_id and text the smallest lang, source and n_chars stays (null first);
+* secrets: null texts stay null; a doc_id's rows are masked each by its own text; overlapping findings are masked as one;
+* mix: a null source is a source; rows that repeat a doc_id draw the same number of copies each; ties of the shuffle go by doc_id and copy;
+* packing: null texts have the end id only; copies are packed each.
+
+SQL cannot express the profiles, hashing and packing, so ``ORACLE_SQL`` is None; the stages' operators
+are tested against brute-force versions, the stages on small tables.
 """
 
 from __future__ import annotations
@@ -43,7 +53,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     left = docs.join(found.filter("NOT kept").select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_anti")
     if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():  # rows that repeat
         nameless = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())  # rows without a doc_id are copies of nothing
-        left = left.withColumn("_own", nameless).dropDuplicates(["doc_id", "text", "_own"])
+        rest = F.min(F.struct("lang", "source", "n_chars")).alias("rest")  # one of them, the same on every run
+        left = left.withColumn("_own", nameless).groupBy("doc_id", "text", "_own").agg(rest).select("doc_id", "text", "rest.*")
     return left.select(*COLUMNS)
 
 
