@@ -1,6 +1,7 @@
 """The pipeline's stages on a small table: what each drops, keeps and changes."""
 
 import corpus_pipeline as C
+from tests.llm.test_secrets import plain
 
 WORDS = " ".join(["the", "of", "and", "inging", "hethe", "ertion", "ening", "onan", "thand", "reti", "ofthe", "ander"])
 COPY = " ".join(a + b for a in ["the", "of", "and", "ing", "he"] for b in ["er", "ti", "on", "th", "re", "in"])
@@ -33,6 +34,29 @@ def test_rows_that_repeat_are_copies(spark, docs):
     assert out.filter("doc_id IS NULL").count() == 1
 
 
+def test_of_repeated_rows_the_smallest_stays(spark):
+    rows = [(1, COPY, "en", s, n) for s, n in (("t", 1), (None, 9), ("s", 2))] + [(2, "own words", "en", "t", 4), (2, "own words", "en", "s", 5)]
+    for turn in (rows, rows[::-1]):
+        d = spark.createDataFrame(turn, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+        out = sorted((r.doc_id, r.source, r.n_chars) for r in C.near_duplicates(spark, d, "").collect())
+        assert out == [(1, None, 9), (2, "s", 5)]
+
+
+def test_secrets_of_copies_and_odd_rows_are_masked(spark, docs):
+    """Every row's text with each of its plain findings masked, overlapping ones as one."""
+    texts = ["token=abcdef123 and password: hunter22", "secret=0123456789abcdef01234567", None, "", "plain", "x" * 300_000 + " api_key=zzzzzzz"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1, texts[1]), (1, "plain"), (None, texts[0])]
+
+    def masked(text):
+        out, at = "", 0
+        for a, _, b, _ in plain(text):
+            out, at = (out + text[at:a] + "[secret]", b) if a >= at else (out, max(at, b))
+        return text if text is None else out + text[at:]
+
+    got = sorted((str(r.doc_id), str(r.text)) for r in C.secrets(spark, docs(rows), "").collect())
+    assert got == sorted((str(i), str(masked(t))) for i, t in rows)
+
+
 def test_a_group_keeps_a_document_where_rows_share_a_doc_id(spark, docs):
     other = " ".join(f"b{k}" for k in range(60))
     out = C.near_duplicates(spark, docs([(1, COPY), (7, COPY), (7, other), (9, other + " tail")]), "")
