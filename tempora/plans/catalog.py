@@ -341,6 +341,11 @@ FROM damaged WHERE observed_at IS NOT NULL AND location_id IS NOT NULL""", _DAMA
 register("migrate_errors", with_ctes(W, """SELECT id, CASE WHEN observed_at IS NULL THEN 'no time' ELSE 'no place' END AS reason
 FROM damaged WHERE observed_at IS NULL OR location_id IS NULL""", _DAMAGED), L.migrate_errors)
 
+register("evolve_add_column", with_ctes(W, f"""SELECT id, location_id, temperature_c, observed_at,
+  CASE WHEN observed_at < {_T_BEFORE} THEN 0.0 ELSE precipitation END AS precipitation FROM weather_observations"""), L.evolve_add_column)
+register("outbox_delivered", with_ctes(W, f"""SELECT sink, location_id, COUNT(*) AS n, attempts FROM weather_observations,
+  (VALUES ('archive', 1), ('lines', 2)) s(sink, attempts) WHERE observed_at >= {_B_FROM} GROUP BY ALL"""), L.outbox_delivered)
+
 register("incremental_merge", with_ctes(["stg_weather"], "SELECT * FROM tgt UNION ALL SELECT * FROM new_rows",
     [("tgt", f"SELECT * FROM stg_weather WHERE observed_at < {_T_BEFORE}"),
      ("new_rows", "SELECT * FROM stg_weather WHERE observed_at > (SELECT MAX(observed_at) FROM tgt)")]),

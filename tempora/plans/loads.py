@@ -18,7 +18,9 @@ from tempora.plans import incremental as I
 from tempora.plans.models import Models
 from tempora.session import written_once
 from tempora.sinks import writers as W
+from tempora.sinks.evolving import EvolvingTable
 from tempora.sinks.migration import Migration
+from tempora.sinks.outbox import Outbox
 from tempora.sources import backfill, fixtures as fx
 from tempora.streaming.streams import scratch_path, upsert_stream
 
@@ -120,6 +122,40 @@ def migrate_errors(spark: SparkSession, sf: str) -> DataFrame:
     return _migration(spark, sf).errors().select("id", "reason")
 
 
+def evolve_add_column(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-14: readings before ``TARGET_BEFORE`` are stored without rain, later ones with it; the table is read
+    as one, rain of the old files is 0."""
+    versions = [{"id": ("bigint", None), "location_id": ("bigint", None), "temperature_c": ("double", None), "observed_at": ("timestamp_ntz", None)},
+                {"precipitation": ("double", 0.0)}]
+    table = EvolvingTable(spark, scratch_path(spark, "evolving"), versions, cluster_col="location_id")
+    obs = fx.weather_observations(spark, sf)
+    table.append(_before(obs, TARGET_BEFORE), version=1)
+    table.append(_from(obs, TARGET_BEFORE))
+    return table.read()
+
+
+def outbox_delivered(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-11: the readings from ``BATCH_FROM`` go to two sinks, the second of which fails at first: what each holds
+    in the end, and how many attempts it took."""
+    root, failed = scratch_path(spark, "outbox"), []
+    box, batch = Outbox(spark, root), _from(fx.weather_observations(spark, sf), BATCH_FROM)
+
+    def lines(df: DataFrame) -> None:
+        if not failed:
+            failed.append(1)
+            raise ConnectionError("not there yet")
+        df.write.mode("overwrite").json(f"{root}/lines")
+
+    sinks = {"archive": lambda df: df.write.mode("overwrite").parquet(f"{root}/archive"), "lines": lines}
+    box.deliver("readings", batch, sinks)
+    if left := box.deliver("readings", batch, sinks):
+        raise RuntimeError(f"not delivered: {', '.join(left)}")
+    held = [spark.read.schema(batch.schema).format(kind).load(f"{root}/{name}").select(F.lit(name).alias("sink"), "location_id")
+            for name, kind in (("archive", "parquet"), ("lines", "json"))]
+    counts = held[0].unionByName(held[1]).groupBy("sink", "location_id").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(box.status("readings").select("sink", "attempts"), "sink")
+
+
 def incremental_merge(spark: SparkSession, sf: str, policy: str = "global_hwm") -> DataFrame:
     """ST-2: staged target holds readings before 2000; the run stages only source rows
     past the high-water mark and upserts them on the key."""

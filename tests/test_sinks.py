@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tempora.sinks import writers as W
+from tempora.sinks.evolving import EvolvingTable
 from tempora.sinks.migration import Migration
+from tempora.sinks.outbox import Outbox
 from tempora.sources import paths
 
 SCHEMA = "id long, location_id long, observed_at timestamp_ntz, temperature_c double, created_at timestamp_ntz"
@@ -137,3 +139,45 @@ def test_a_migration_takes_rows_that_came_later_and_empty_sources(spark, tmp_dir
     assert none.run() == 0 and _seen(none) == ([], [])
     keyless = _moved(spark, f"{tmp_dir}/keyless", [(None, 1.0)])
     assert keyless.run() == 0 and _seen(keyless) == ([], [(0, "no key")])
+
+
+def test_an_outbox_retries_the_failed_sink_alone(spark, tmp_dir):
+    sent, down = [], ["b"]
+
+    def sink(name):
+        def send(df):
+            if name in down:
+                raise RuntimeError("sink down")
+            sent.append((name, sorted(r.x for r in df.collect())))
+        return send
+
+    sinks, batch = {n: sink(n) for n in "abc"}, spark.createDataFrame([(1,), (2,)], "x long")
+    assert Outbox(spark, f"{tmp_dir}/box").deliver("one", batch, sinks) == ["b"]
+    assert Outbox(spark, f"{tmp_dir}/box").deliver("one", batch.limit(0), sinks) == ["b"]  # the rows are those first staged
+    down.clear()
+    box = Outbox(spark, f"{tmp_dir}/box")
+    assert box.deliver("one", batch, sinks) == [] and box.deliver("one", batch, sinks) == []
+    assert sent == [("a", [1, 2]), ("c", [1, 2]), ("b", [1, 2])]
+    assert {(r.sink, r.attempts, r.status) for r in box.status("one").collect()} == {("a", 1, "ok"), ("b", 3, "ok"), ("c", 1, "ok")}
+    assert "sink down" in box.attempts("one").filter("status = 'failed'").first().error
+    assert box.attempts("two").count() == 0 and box.deliver("two", batch.limit(0), {"a": sink("a")}) == []
+
+
+def test_a_table_grows_a_column_without_a_rewrite(spark, tmp_dir):
+    import glob
+    import os
+    root, t = f"{tmp_dir}/t", datetime(2024, 1, 5)
+    first = [{"id": ("bigint", None), "observed_at": ("timestamp_ntz", None)}]
+    later = first + [{"rain": ("double", 0.5)}, {"kind": ("string", "old"), "n": ("int", None)}]
+    assert EvolvingTable(spark, root, later).read().count() == 0
+    EvolvingTable(spark, root, first).append(spark.createDataFrame([(1, t)], "id long, observed_at timestamp_ntz"))
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{root}/**/*.parquet", recursive=True)}
+    table = EvolvingTable(spark, root, later)
+    table.append(spark.createDataFrame([(2, t, None), (3, t, 2.0)], "id long, observed_at timestamp_ntz, rain double"), version=2)
+    table.append(spark.createDataFrame([(4, datetime(2024, 2, 1), 3.0, None, 7)], "id long, observed_at timestamp_ntz, rain float, kind string, n long"))
+    assert sorted((r.id, r.rain, r.kind, r.n) for r in table.read().collect()) == [
+        (1, 0.5, "old", None), (2, None, "old", None), (3, 2.0, "old", None), (4, 3.0, None, 7)]
+    assert table.read().columns == ["id", "observed_at", "rain", "kind", "n"]
+    assert before.items() <= {f: os.path.getmtime(f) for f in glob.glob(f"{root}/**/*.parquet", recursive=True)}.items()
+    with pytest.raises(ValueError):
+        EvolvingTable(spark, root, first + first)
