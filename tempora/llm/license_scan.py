@@ -1,17 +1,22 @@
 """License scans (operator 4). DataFrame functions only.
 
-Notices and whole texts of known licenses are templates: sets of hashed word shingles. A text is cut into
-overlapping windows of shingles; a window's MinHash signature is the minima of ``PERMUTATIONS``
-independent permutations in many bins (the leading bits of a shingle's permuted hash name its bin), every bin
-being a band of one row. A window and a template meet when a bin of both has the same minimum. With 32
-shingles a window and 4096 bins a template's shingle is not the minimum of its bin in one permutation with
-probability of at most 31/8192, so a template that has but one shingle in but one window is missed with probability of at
-most (31/8192)^4 < 2.1e-10. Retrieved templates are verified exactly: the share
+Notices and whole texts of known licenses are templates: sequences of hashed word shingles. A text is cut into
+overlapping windows of a few shingles, a template into the windows of the same length at every place. A window's
+MinHash signature is the minima of its shingles under ``BANDS * ROWS`` permutations, in bands of ``ROWS``; a text and a
+template meet when a band of a window of the one equals that of a window of the other, which two windows of Jaccard similarity s do
+with probability 1 - (1 - s^ROWS)^BANDS. Retrieved templates are verified exactly: the share
 of a template's distinct shingles that the document's whole shingle set contains.
 
+The windows' lengths follow from ``percent`` = 80. A changed, lost or added word inside a stretch takes at least four shingles (of
+five words), so a copy of n shingles that keeps 80 % of them has at most n/20 such breaks, and an unbroken stretch of at least
+16n/(n + 20). ``LEVELS`` are chosen so that a window of the text lies wholly in that stretch (length + stride - 1 shingles at most): it
+equals a window of the template, s is 1, and the copy is retrieved with certainty. This holds for any word edits of a template
+without repeated shingles; where the kept shingles are also put in another order, the probability above is what is left.
+A window of one shingle (templates of fewer than five) has that shingle as every minimum, so the shingle is its signature.
+
 All of this happens within a row; only documents that met a template are exploded, and only
-their matches are grouped. The templates are a parameter of at most ``MOST`` shingles in all, so their
-table is a literal.
+their matches are grouped. The templates are a parameter; their signatures are literals of the plan, in groups of about ``MOST``
+band values, and each group is one scan of the texts.
 
 Words are runs of letters and digits, lower-cased. Defined cases: null, empty and short texts
 match nothing (a template shorter than a shingle is refused); repeated rows match each; ties need
@@ -25,13 +30,14 @@ from collections import Counter
 from functools import reduce
 from importlib.resources import files
 from itertools import accumulate
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORDS, WINDOW, STRIDE, BIN_BITS, PERMUTATIONS = 5, 32, 16, 12, 4
-#: Shingles of all templates: 8 bytes each in one literal of the plan.
+WORDS, BANDS, ROWS = 5, 2, 2
+#: Templates of at least so many shingles: shingles of a window, and stride of the windows of a text.
+LEVELS = ((1, 1, 1), (5, 3, 2), (20, 6, 3))
+#: Band values of the templates of one scan: 8 bytes each in one literal of the plan.
 MOST = 50_000
 
 _GNU = "under the terms of the GNU %s Public License as published by the Free Software Foundation, either version %s of the License"
@@ -101,19 +107,26 @@ def once(df: DataFrame, name: str, value: Column, *kept: str) -> DataFrame:
     return df.select(*kept, F.explode(F.array(value)).alias(name))
 
 
-def _bin(x: Column) -> Column:
-    return F.shiftrightunsigned(x, 64 - BIN_BITS)
+def permuted(sh: Column) -> Column:
+    """The shingles under every permutation."""
+    def under(k: int) -> Column:
+        return F.transform(sh, lambda x: F.xxhash64(x, F.lit(k)))
+
+    return F.array(*[under(k) for k in range(BANDS * ROWS)])
 
 
-def _permuted(x: Column, k: int) -> Column:
-    """A shingle's hash under permutation k; under the first it is the hash itself."""
-    return x if k == 0 else F.xxhash64(x, F.lit(k))
+def signatures(sh: Column, perms: Column, length: int, stride: int) -> Column:
+    """Band values of the windows of ``length`` shingles that start at every ``stride``-th."""
+    if length == 1 and stride == 1:
+        return sh
 
+    def band(j: int) -> Column:
+        def value(at: Column) -> Column:
+            lowest = [F.array_min(F.slice(F.get(perms, k), at, length)) for k in range(j * ROWS, (j + 1) * ROWS)]
+            return F.xxhash64(F.lit(length), F.lit(j), *lowest)
+        return F.transform(F.sequence(F.lit(1), F.size(sh) - length + 1, F.lit(stride)), value)
 
-def _lowest(window: Column, x: Column, k: int) -> Column:
-    """No shingle of the window is below x in its bin of permutation k."""
-    own = _permuted(x, k)
-    return ~F.exists(window, lambda y: (_bin(_permuted(y, k)) == _bin(own)) & (_permuted(y, k) < own))
+    return F.when(F.size(sh) >= length, F.concat(*[band(j) for j in range(BANDS)])).otherwise(F.array().cast("array<bigint>"))
 
 
 def _numbers(values) -> Column:
@@ -137,42 +150,68 @@ def _member(known: set[int]):
     return test
 
 
-def template_table(spark, templates: dict[str, str], size: int = WORDS) -> list[tuple[str, list[int]]]:
-    """(name, distinct shingles) of every template."""
+def template_table(spark, templates: dict[str, str], size: int = WORDS) -> list[tuple[str, list[int], list[int], int]]:
+    """(name, distinct shingles, band values of the windows at every place, level) of every template."""
     rows = once(spark.createDataFrame(list(templates.items()), "name string, text string"), "w", words(F.col("text")), "name")
-    table = [(r.name, r.s) for r in rows.select("name", F.array_distinct(shingles(F.col("w"), size)).alias("s")).collect()]
-    if any(not s for _, s in table) or sum(len(s) for _, s in table) > MOST:
-        raise ValueError(f"templates need {size} words at least, and {MOST} shingles at most in all")
+    rows = once(rows, "sh", shingles(F.col("w"), size), "name")
+    rows = once(rows, "p", permuted(F.col("sh")), "name", "sh")
+    own = F.array(*[signatures(F.col("sh"), F.col("p"), length, 1) for _, length, _ in LEVELS])
+    table = []
+    for r in rows.select("name", F.size("sh").alias("n"), F.array_distinct("sh").alias("s"), own.alias("keys")).collect():
+        if not r.n:
+            raise ValueError(f"templates need {size} words at least")
+        level = max(k for k, (least, _, _) in enumerate(LEVELS) if r.n >= least)
+        table.append((r.name, r.s, sorted(set(r["keys"][level])), level))
     return sorted(table)
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = 80, size: int = WORDS) -> DataFrame:
-    """(doc_id, license, n_shared, n_shingles, first_word) for every document of ``docs``
-    (doc_id, text) and every template of which it contains ``percent`` of the shingles; first_word
-    is the place (from 0) of the first of them."""
-    spark = docs.sparkSession
-    table = template_table(spark, templates, size)
-    is_known = _member({x for _, s in table for x in s})
-    hashed = once(once(docs, "w", words(F.col("text")), "doc_id"), "sh", shingles(F.col("w"), size), "doc_id")
+def _groups(table: list) -> list[list]:
+    """The templates in groups of at most MOST band values, or of one template."""
+    groups, room = [], 0
+    for row in table:
+        if len(row[2]) > room:
+            groups.append([])
+            room = MOST
+        groups[-1].append(row)
+        room -= len(row[2])
+    return groups
+
 
-    def met(window: Column) -> Column:
-        """Bin minima of a window that belong to a template (the cheap test first)."""
-        return F.filter(window, lambda x: is_known(x) & reduce(or_, [_lowest(window, x, k) for k in range(PERMUTATIONS)]))
-
-    starts = F.sequence(F.lit(1), F.greatest(F.size("sh"), F.lit(1)), F.lit(STRIDE))
-    windows = F.transform(starts, lambda at: F.slice(F.col("sh"), at, WINDOW))
-    hits = F.array_distinct(F.flatten(F.transform(windows, met)))
-    found = once(hashed, "hits", hits, "doc_id", "sh").filter(F.size("hits") > 0)
-
-    flat = _numbers(x for _, own in table for x in own)
-    ends = list(accumulate(len(own) for _, own in table))
-    rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(end - len(own) + 1).alias("at"), F.lit(len(own)).alias("n"))
-                     for (name, own), end in zip(table, ends)])
-    literal = F.transform(rows, lambda t: F.struct(t["license"].alias("license"), F.slice(flat, t["at"], t["n"]).alias("s")))
-    retrieved = found.select("doc_id", "sh", F.explode(
-        F.filter(literal, lambda t: F.arrays_overlap(t["s"], F.col("hits")))).alias("t"))
+def retrieved(docs: DataFrame, table: list, size: int = WORDS) -> DataFrame:
+    """(doc_id, sh, t): the shingles of every document and a template (license, s, k) that one of its windows meets."""
+    hashed = once(once(docs, "w", words(F.col("text")), "doc_id"), "sh", shingles(F.col("w"), size), "doc_id")
+    hashed = once(hashed, "p", permuted(F.col("sh")), "doc_id", "sh")
+    hits = []
+    for level, (_, length, stride) in enumerate(LEVELS):
+        known = {x for _, _, keys, own in table if own == level for x in keys}
+        if known:
+            hits.append(F.filter(signatures(F.col("sh"), F.col("p"), length, stride), _member(known)))
+    found = once(hashed, "hits", F.array_distinct(F.concat(*hits)), "doc_id", "sh").filter(F.size("hits") > 0)
+
+    def part(lists: list, i: int) -> Column:
+        end = sum(map(len, lists[:i + 1]))
+        return F.struct(F.lit(end - len(lists[i]) + 1).alias("at"), F.lit(len(lists[i])).alias("n"))
+
+    shingled, banded = [row[1] for row in table], [row[2] for row in table]
+    s, k = (_numbers(x for own in lists for x in own) for lists in (shingled, banded))
+    rows = F.array(*[F.struct(F.lit(row[0]).alias("license"), part(shingled, i).alias("s"), part(banded, i).alias("k"))
+                     for i, row in enumerate(table)])
+    literal = F.transform(rows, lambda t: F.struct(
+        t["license"].alias("license"), F.slice(s, t["s"]["at"], t["s"]["n"]).alias("s"), F.slice(k, t["k"]["at"], t["k"]["n"]).alias("k")))
+    return found.select("doc_id", "sh", F.explode(F.filter(literal, lambda t: F.arrays_overlap(t["k"], F.col("hits")))).alias("t"))
+
+
+def _verified(met: DataFrame, percent: int) -> DataFrame:
     shared = F.array_intersect("sh", "t.s")  # in order of the text
-    checked = retrieved.select(
+    checked = met.select(
         "doc_id", F.col("t.license").alias("license"), F.size(shared).cast("long").alias("n_shared"),
         F.size("t.s").cast("long").alias("n_shingles"), (F.array_position("sh", F.get(shared, 0)) - 1).alias("first_word"))
     return checked.filter(100 * F.col("n_shared") >= percent * F.col("n_shingles"))
+
+
+def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = 80, size: int = WORDS) -> DataFrame:
+    """(doc_id, license, n_shared, n_shingles, first_word) for every document of ``docs``
+    (doc_id, text) and every template of which it contains ``percent`` of the shingles; first_word
+    is the place (from 0) of the first of them."""
+    table = template_table(docs.sparkSession, templates, size)
+    return reduce(DataFrame.union, [_verified(retrieved(docs, group, size), percent) for group in _groups(table)])
