@@ -182,14 +182,13 @@ def test_edited_copies_are_retrieved_as_the_bands_promise(spark, docs):
 
 
 def test_bands_collide_at_the_stated_rate(spark):
-    """Windows of similarity s share a band with probability 1 - (1 - s^2)^2."""
+    """Windows with i of u shingles in common share a band with probability 1 - (1 - i(i - 1)/(u(u - 1)))^2."""
     n = 20_000
     pairs = spark.range(n).select(
         F.expr("transform(sequence(0, 7), i -> xxhash64(id, i))").alias("a"), F.expr("transform(sequence(2, 9), i -> xxhash64(id, i))").alias("b"))
     sides = pairs.select(*[L.signatures(F.col(c), L.permuted(F.col(c)), 8, 8).alias(c) for c in "ab"])
     rate = sides.filter(F.arrays_overlap("a", "b")).count() / n
-    s = 6 / 10
-    assert abs(rate - (1 - (1 - s ** 2) ** 2)) < 0.02
+    assert abs(rate - (1 - (1 - 6 * 5 / (10 * 9)) ** 2)) < 0.02
 
 
 def test_templates_beyond_one_literal_are_scanned_in_groups(spark, docs, monkeypatch):
