@@ -52,6 +52,19 @@ def test_top_k_matches_brute_force(spark):
     assert T.top_k(frame(spark, ODD[:1]), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_rows_without_a_vec_id_are_candidates(spark):
+    """Only the vector decides who takes part; ids beyond 2^53 stay whole beside a null one."""
+    big = (1 << 53) + 1
+    rows = [(50, [1.0, 1.0]), (None, [3.0, 3.0]), (None, [1.0, 1.0]), (big, [1.0, 1.0]), (100, [0.5, 0.5]), (None, None), (None, [float("nan"), 1.0])]
+    got = {}
+    for r in T.top_k(frame(spark, rows), F.col("vec_id") % 50 == 0, block=3).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    one = 2 * 256 * 256
+    assert {q: sorted(v, key=lambda x: x[0]) for q, v in got.items()} == {
+        50: [(1, None, 3 * one), (2, big, one), (3, None, one), (4, 100, one // 2)],
+        100: [(1, None, 3 * one // 2), (2, 50, one // 2), (3, big, one // 2), (4, None, one // 2)]}
+
+
 def test_large_weights_take_part_exactly(spark):
     """Components beyond 2^27 / 256 are kept; what leaves 64 bits raises; sums that only pass through there do not."""
     rows = [(50, [1e6] * 16), (100, [1.0, -2.0] * 8), (1, [1e6, -1e6] * 8), (2, [999_999.0] + [1e6] * 15), (3, [3e7, 3e7, -3e7] + [0.5] * 13), (4, [0.25] * 16),
