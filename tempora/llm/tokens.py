@@ -16,14 +16,20 @@ from array import array
 from functools import lru_cache
 from itertools import pairwise
 
+import numpy as np
+
 #: Groups that each of a worker's two memos may hold, the present one and the one before it; about 200 bytes each.
 MEMO_GROUPS = 350_000
 
+#: A space at the beginning of a byte-level token.
+SPACE = "\u0120"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Texts that the pattern of groups is right for.
 PLAIN = re.compile(f"[\n -~{LETTERS}]*")
 # Fixed pattern of the byte-level pre-tokenizer, for the characters above.
-GROUPS = re.compile(f"'(?:[sdmt]|ll|ve|re)| ?[{LETTERS}]+| ?[0-9]+| ?[^\\s0-9{LETTERS}]+|\\s+(?!\\S)|\\s+")
+GROUPS = re.compile(f" ?[{LETTERS}]+|'(?:[sdmt]|ll|ve|re)| ?[0-9]+| ?[^\\s0-9{LETTERS}]+|\\s+(?!\\S)|\\s+")
+#: The same for ASCII texts, whose letters are a smaller class.
+ASCII_GROUPS = re.compile(GROUPS.pattern.replace(LETTERS, "A-Za-z"))
 
 
 def default_tokenizer() -> str:
@@ -43,19 +49,25 @@ class Encoder:
         cut = made["pre_tokenizer"] or {}
         self.by_groups = (cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
                           and made["normalizer"] is None and all(t["content"].startswith("<|") for t in made["added_tokens"]))
+        vocab = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocab.values(), default=0) + 1, bool)  # ids of tokens that begin with a space
+        self.spaced[[n for token, n in vocab.items() if token.startswith(SPACE)]] = True
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def learn(self, groups: set[str]) -> None:
-        """Keep the ids of new groups; words with the space before them are encoded in one call."""
+        """Keep the ids of new groups; words with the space before them are encoded in one call,
+        and a token that begins with a space begins a word."""
         words = [g for g in groups if g[0] == " " and g[1:].isalpha()]
         if words:
-            found = self.tokenizer.encode("".join(words), add_special_tokens=False)
-            ids, ends = array("I", found.ids).tobytes(), [4 * k for k, of in enumerate(pairwise(found.word_ids), 1) if of[0] != of[1]]
-            if len(ends) + 1 != len(words):
+            found = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            begins = np.flatnonzero(self.spaced[ids])
+            if len(begins) != len(words) or begins[0]:
                 raise ValueError("the tokenizer's groups are not those of its pattern")
-            self.memo.update(zip(words, (ids[a:b] for a, b in zip([0, *ends], [*ends, len(ids)]))))
+            ends, data = [*(4 * begins).tolist(), 4 * len(ids)], ids.tobytes()
+            self.memo.update(zip(words, (data[a:b] for a, b in pairwise(ends))))
         for group in groups.difference(words):
             self.memo[group] = self.whole(group)
 
@@ -65,16 +77,19 @@ class Encoder:
             return b""
         if not self.by_groups or "<|" in text or not PLAIN.fullmatch(text):
             return self.whole(text)
-        groups = GROUPS.findall(text)
+        groups = (ASCII_GROUPS if text.isascii() else GROUPS).findall(text)
         found = list(map(self.memo.get, groups))
         if None in found:
-            new = {group for group, ids in zip(groups, found) if ids is None}
+            missed = [at for at, ids in enumerate(found) if ids is None]
+            new = {groups[at] for at in missed}
             if len(self.memo) + len(new) > MEMO_GROUPS:
                 self.memo, self.older, new = {}, self.memo, set(groups)
-            kept = [group for group in new if group in self.older]
-            self.memo.update((group, self.older[group]) for group in kept)
+            memo, older = self.memo, self.older
+            kept = [group for group in new if group in older]
+            memo.update((group, older[group]) for group in kept)
             self.learn(new.difference(kept))
-            found = map(self.memo.__getitem__, groups)
+            for at in missed:
+                found[at] = memo[groups[at]]
         return b"".join(found)
 
 

@@ -130,6 +130,22 @@ def test_a_tokenizer_with_another_cut_is_encoded_whole(tmp_path):
     assert not encoder(str(path)).by_groups and encoder(default_tokenizer()).by_groups
 
 
+def test_new_words_are_encoded_together_without_offsets():
+    """The words of a text cost one call, and no offsets, which the library takes long to follow."""
+    from tempora.llm.tokens import Encoder
+    enc, calls = Encoder(default_tokenizer()), []
+
+    class Fast:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            calls.append(texts)
+            return PLAIN.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    enc.tokenizer = Fast()
+    text = " plain words, ñandú and plain antidisestablishmentarianism".replace(",", " of")
+    assert enc.ids(text) == enc.ids(text) == np.array(ids(text), dtype="<u4").tobytes()
+    assert len(calls) == 1
+
+
 def test_plan_uses_every_piece_and_wastes_little():
     rng = np.random.default_rng(3)
     counts = np.bincount(np.minimum(2048, rng.lognormal(6, 1, 20_000).astype(int) + 1), minlength=2049)
