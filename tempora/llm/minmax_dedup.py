@@ -161,6 +161,11 @@ def _links(overlaps: DataFrame, percent: int) -> DataFrame:
         F.col("rep").alias("u"), F.col("other").alias("v"))
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Edges with the components of ``found`` and of more links: what was found is stars already."""
+    return found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(links)
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
@@ -205,8 +210,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "key", F.col("best.rep").alias("other"))
     middle = rest.join(cleanest, "key").filter("rep <> other").select("rep", "other").distinct()
     compared = stored(_overlaps(middle, sets), "compared")
-    links = stored(links.union(_links(compared, percent)), "links")
-    found = components(links, "components")
+    found = components(_joined(found, _links(compared, percent)), "components")
 
     # ... then, where components are still several, across all of them
     rest = _open(members, found, shared).join(cleanest, "key").join(
@@ -226,7 +230,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     second = second.select(F.col("b.rep").alias("rep"), F.col("a.rep").alias("other")).distinct()
     more = stored(_links(_overlaps(second, sets), percent), "more-links")
     if not more.isEmpty():
-        found = components(links.union(more), "components")
+        found = components(_joined(found, more), "components")
 
     named = classes.select("set_id", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_id", F.coalesce("component", "rep").alias("component_id"))

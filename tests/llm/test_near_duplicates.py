@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+
+from tempora.llm import common
 from tempora.llm import minmax_dedup as M
 from tempora.llm.common import components
 
@@ -86,3 +89,44 @@ def test_rows_that_share_a_doc_id_link_the_classes_of_their_texts(spark, docs):
     got = [(r.doc_id, r.component_id, r.kept) for r in M.near_duplicates(docs(rows), 4, 80).collect()]
     assert sorted(got) == sorted([(1, 1, True), (7, 1, False), (7, 1, False), (9, 1, False), (20, 1, False), (20, 1, False),
                                   (30, 30, True), (30, 30, True), (31, 31, True), (40, 40, True), (40, 40, True)])
+
+
+@pytest.mark.parametrize("few", [10, 100_000])
+def test_rounds_over_few_edges_shuffle_only_for_their_minima(spark, monkeypatch, few):
+    """Few edges are not shuffled to meet the minima and take few tasks; more of them are; the components are the same."""
+    plans, write = [], common.stored
+
+    def stored(df, name, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = write(df, name, **options)
+        files.append(len(out.inputFiles()))
+        return out
+
+    files = []
+    monkeypatch.setattr(common, "stored", stored)
+    monkeypatch.setattr(common, "FEW_EDGES", few, raising=False)
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1040)]
+    up = {}
+
+    def root(i):
+        while up.setdefault(i, i) != i:
+            i = up[i]
+        return i
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((root(a), root(b)))
+            up[y] = x
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions",
+                                                 "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for key, value in zip(kept, ("-1", "40", "false")):
+            spark.conf.set(key, value)
+        got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long"), "t").collect()}
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    assert got == {i: root(i) for i in up}
+    assert all(("SortMergeJoin" in p) == (few == 10) for p in plans[1:]) and len(plans) > 2
+    assert few == 10 or max(files[1:]) <= common.FEW_TASKS
