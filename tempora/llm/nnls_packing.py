@@ -70,8 +70,9 @@ def _cut(batches, tokenizer: str, window: int, end_id: int, with_ids: bool):
 
     for batch in batches:
         cols, held, size = [[] for _ in types], [], 0
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            ids = enc.ids(text.as_py()) + end
+        texts = (text.as_py() for text in batch.column("text"))
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.each(texts)):
+            ids += end
             total = len(ids) // 4
             for start in range(0, total, window):
                 piece = ids[4 * start:4 * (start + window)]

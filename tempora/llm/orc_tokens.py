@@ -52,8 +52,9 @@ def _encode(batches, tokenizer: str, end_id: int):
 
     rows, held = [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            ids = enc.ids(text.as_py()) + end
+        texts = (text.as_py() for text in batch.column("text"))
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.each(texts)):
+            ids += end
             rows.append((doc_id, before, ids))
             before += len(ids) // 4
             held += len(ids) // 4

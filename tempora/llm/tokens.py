@@ -2,8 +2,9 @@
 
 Ids come from the ``tokenizers`` library. A byte-level tokenizer cuts a text into groups by a fixed
 pattern and encodes every group by itself, so the ids of a text are the ids of its groups one after
-another. Groups repeat a lot: each worker keeps the ids of those it has seen lately (two bounded memos; a full one
-takes the place of the older) and has the library encode the new ones of a text together. This holds for texts of printable
+another. Groups repeat a lot: the distinct ones of many texts are looked up once, each worker keeps the
+ids of those it has seen lately (two bounded memos; a full one takes the place of the older), and the library encodes the new
+ones together. This holds for texts of printable
 ASCII, line feeds and Latin letters without special-token strings, where the pattern below is the
 library's; other texts, and all texts of a tokenizer with another pre-tokenizer or a normalizer, are encoded whole.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import pairwise
 
@@ -20,9 +22,13 @@ import numpy as np
 
 #: Groups that each of a worker's two memos may hold, the present one and the one before it; about 200 bytes each.
 MEMO_GROUPS = 350_000
+#: Characters of texts that are encoded together.
+CHARS = 1_000_000
 
 #: A space at the beginning of a byte-level token.
 SPACE = "\u0120"
+#: A line feed as a byte-level token.
+LINE = "\u010a"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Texts that the pattern of groups is right for.
 PLAIN = re.compile(f"[\n -~{LETTERS}]*")
@@ -48,49 +54,89 @@ class Encoder:
         made = json.loads(self.tokenizer.to_str())
         cut = made["pre_tokenizer"] or {}
         self.by_groups = (cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
-                          and made["normalizer"] is None and all(t["content"].startswith("<|") for t in made["added_tokens"]))
+                          and made["normalizer"] is None and LINE in made["model"]["vocab"]
+                          and all(t["content"].startswith("<|") for t in made["added_tokens"]))
         vocab = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocab.values(), default=0) + 1, bool)  # ids of tokens that begin with a space
         self.spaced[[n for token, n in vocab.items() if token.startswith(SPACE)]] = True
+        self.line = vocab.get(LINE, -1)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def learn(self, groups: set[str]) -> None:
-        """Keep the ids of new groups; words with the space before them are encoded in one call,
-        and a token that begins with a space begins a word."""
-        words = [g for g in groups if g[0] == " " and g[1:].isalpha()]
-        if words:
-            found = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, "<u4")
-            begins = np.flatnonzero(self.spaced[ids])
-            if len(begins) != len(words) or begins[0]:
+    def learn(self, groups: list[str]) -> None:
+        """Keep the ids of new groups, encoded in one call: words with the space before them one after another, where a
+        token that begins with a space begins a word, and other groups on lines of their own."""
+        words, lines = [], []
+        for group in groups:
+            if group[0] == " " and group[1:].isalpha():
+                words.append(group)
+            elif group.isspace():
+                self.memo[group] = self.whole(group)
+            else:
+                lines.append(group)
+        kinds = [(kind, text) for kind, text in ((words, "".join(words)), (lines, "\n".join(lines))) if kind]
+        found = self.tokenizer.encode_batch_fast([text for _, text in kinds], add_special_tokens=False) if kinds else []
+        for (kind, _), encoding in zip(kinds, found):
+            ids = np.array(encoding.ids, "<u4")
+            if kind is words:
+                begins = np.flatnonzero(self.spaced[ids])
+                ends = np.append(begins[1:], len(ids))
+            else:
+                breaks = np.flatnonzero(ids == self.line)
+                begins, ends = np.append(0, breaks + 1), np.append(breaks, len(ids))
+            if len(begins) != len(kind) or begins[0] or (ends <= begins).any():
                 raise ValueError("the tokenizer's groups are not those of its pattern")
-            ends, data = [*(4 * begins).tolist(), 4 * len(ids)], ids.tobytes()
-            self.memo.update(zip(words, (data[a:b] for a, b in pairwise(ends))))
-        for group in groups.difference(words):
-            self.memo[group] = self.whole(group)
+            data = ids.tobytes()
+            self.memo.update(zip(kind, (data[a:b] for a, b in zip((4 * begins).tolist(), (4 * ends).tolist()))))
 
-    def ids(self, text: str | None) -> bytes:
-        """Ids of the whole text; null counts as empty."""
-        if not text:
-            return b""
-        if not self.by_groups or "<|" in text or not PLAIN.fullmatch(text):
-            return self.whole(text)
-        groups = (ASCII_GROUPS if text.isascii() else GROUPS).findall(text)
+    def known(self, groups: list[str]) -> list[bytes]:
+        """Ids of distinct groups."""
         found = list(map(self.memo.get, groups))
-        if None in found:
-            missed = [at for at, ids in enumerate(found) if ids is None]
-            new = {groups[at] for at in missed}
+        missed = [at for at, ids in enumerate(found) if ids is None]
+        if missed:
+            new = [groups[at] for at in missed]
             if len(self.memo) + len(new) > MEMO_GROUPS:
-                self.memo, self.older, new = {}, self.memo, set(groups)
+                self.memo, self.older, new = {}, self.memo, groups
             memo, older = self.memo, self.older
-            kept = [group for group in new if group in older]
-            memo.update((group, older[group]) for group in kept)
-            self.learn(new.difference(kept))
+            memo.update((group, older[group]) for group in new if group in older)
+            self.learn([group for group in new if group not in memo])
             for at in missed:
                 found[at] = memo[groups[at]]
-        return b"".join(found)
+        return found
+
+    def _gathered(self, held: list[bytes | None], groups: list[str], ends: list[int]) -> Iterator[bytes]:
+        """What is held, with the ids of its groups in place of None; ``ends`` are the texts' among the groups."""
+        distinct = list(dict.fromkeys(groups))
+        ids_of = dict(zip(distinct, self.known(distinct))).__getitem__
+        cuts = pairwise([0, *ends])
+        for ids in held:
+            if ids is None:
+                a, b = next(cuts)
+                ids = b"".join(map(ids_of, groups[a:b]))
+            yield ids
+
+    def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of every whole text, in order; null counts as empty."""
+        held, groups, ends, size = [], [], [], 0
+        for text in texts:
+            if not text:
+                held.append(b"")
+            elif not self.by_groups or "<|" in text or not PLAIN.fullmatch(text):
+                held.append(self.whole(text))
+            else:
+                groups += (ASCII_GROUPS if text.isascii() else GROUPS).findall(text)
+                held.append(None)
+                ends.append(len(groups))
+            size += len(text or "") + 1
+            if size >= CHARS:
+                yield from self._gathered(held, groups, ends)
+                held, groups, ends, size = [], [], [], 0
+        yield from self._gathered(held, groups, ends)
+
+    def ids(self, text: str | None) -> bytes:
+        """Ids of the whole text; null counts as empty."""
+        return next(self.each([text]))
 
 
 @lru_cache(maxsize=2)

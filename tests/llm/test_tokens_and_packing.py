@@ -146,6 +146,33 @@ def test_new_words_are_encoded_together_without_offsets():
     assert len(calls) == 1
 
 
+def test_new_groups_of_many_texts_are_encoded_together():
+    """Words, and groups without a space or letters, of several texts cost one call; ids stay those of each whole text."""
+    from tempora.llm.tokens import Encoder
+    enc, calls = Encoder(default_tokenizer()), []
+
+    class Fast:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            calls.append(texts)
+            return PLAIN.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    enc.tokenizer = Fast()
+    texts = ["One text, it's new: 42 of 7!", None, "Ñandú and one, text's (second) 42 ...", "", "x"]
+    want = [np.array(ids(t), dtype="<u4").tobytes() for t in texts]
+    assert list(enc.each(texts)) == list(enc.each(iter(texts))) == want
+    assert len(calls) == 1
+
+
+def test_texts_are_encoded_in_order_across_chunks_and_full_memos(monkeypatch):
+    from tempora.llm import tokens
+    monkeypatch.setattr(tokens, "CHARS", 40)
+    monkeypatch.setattr(tokens, "MEMO_GROUPS", 6)
+    rng = np.random.default_rng(5)
+    words = ["one", "two", "é", "\n", "  ", "3", "it's", "日", "<|endoftext|>", "."]
+    texts = [None] + [" ".join(rng.choice(words, 6)) for _ in range(200)]
+    assert list(tokens.Encoder(default_tokenizer()).each(texts)) == [np.array(ids(t), dtype="<u4").tobytes() for t in texts]
+
+
 def test_plan_uses_every_piece_and_wastes_little():
     rng = np.random.default_rng(3)
     counts = np.bincount(np.minimum(2048, rng.lognormal(6, 1, 20_000).astype(int) + 1), minlength=2049)
