@@ -92,14 +92,14 @@ TEMPLATES = {
 
 def words(text: Column) -> Column:
     """Lower-case words of a text; null has none."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def shingles(w: Column, size: int = WORDS) -> Column:
     """Hashes of the ``size``-word shingles, in order of the text."""
-    starts = F.sequence(F.lit(1), F.size(w) - size + 1)
-    hashed = F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + (k - 1)) for k in range(size)]))
-    return F.when(F.size(w) >= size, hashed).otherwise(F.array().cast("array<bigint>"))
+    count = F.greatest(F.size(w) - (size - 1), F.lit(0))
+    # the hash of a struct is that of its fields, so a shingle is one expression instead of a few for each word
+    return F.transform(F.arrays_zip(*[F.slice(w, k + 1, count) for k in range(size)]), lambda x: F.xxhash64(x))
 
 
 def once(df: DataFrame, name: str, value: Column, *kept: str) -> DataFrame:
@@ -116,16 +116,19 @@ def permuted(sh: Column) -> Column:
     return F.array(sh, *[under(k) for k in range(1, BANDS)])
 
 
-def signatures(sh: Column, perms: Column, length: int, stride: int) -> Column:
-    """Band values of the windows of ``length`` shingles that start at every ``stride``-th."""
+def signatures(sh: Column, perms: Column | list[Column], length: int, stride: int) -> Column:
+    """Band values of the windows of ``length`` shingles that start at every ``stride``-th. ``perms`` is an array
+    (of ``permuted``) or its elements, which are cheaper to read one by one."""
     if length == 1 and stride == 1:
         return sh
 
     def band(j: int) -> Column:
+        own = perms[j] if isinstance(perms, list) else F.get(perms, j)
+
         def value(at: Column) -> Column:
-            window = [F.get(F.get(perms, j), at + (i - 1)) for i in range(length)]  # cheaper than a slice of each
+            window = [F.get(own, at + i if i else at) for i in range(length)]  # cheaper than a slice of each
             return F.xxhash64(F.lit(length), F.lit(j), F.least(*window), F.greatest(*window))
-        return F.transform(F.sequence(F.lit(1), F.size(sh) - length + 1, F.lit(stride)), value)
+        return F.transform(F.sequence(F.lit(0), F.size(sh) - length, F.lit(stride)), value)
 
     return F.when(F.size(sh) >= length, F.concat(*[band(j) for j in range(BANDS)])).otherwise(F.array().cast("array<bigint>"))
 
@@ -181,12 +184,16 @@ def _groups(table: list) -> list[list]:
 def retrieved(docs: DataFrame, table: list, size: int = WORDS) -> DataFrame:
     """(doc_id, sh, t): the shingles of every document and a template (license, s, k) that one of its windows meets."""
     hashed = once(once(docs, "w", words(F.col("text")), "doc_id"), "sh", shingles(F.col("w"), size), "doc_id")
-    hashed = once(hashed, "p", permuted(F.col("sh")), "doc_id", "sh")
+    columns, perms = ["doc_id", "sh"], [F.col("sh")]
+    for j in range(1, BANDS):
+        hashed = once(hashed, f"p{j}", F.get(permuted(F.col("sh")), j), *columns)
+        columns.append(f"p{j}")
+        perms.append(F.col(f"p{j}"))
     hits = []
     for level, (_, length, stride) in enumerate(LEVELS):
         known = {x for _, _, keys, own in table if own == level for x in keys}
         if known:
-            hits.append(F.filter(signatures(F.col("sh"), F.col("p"), length, stride), _member(known)))
+            hits.append(F.filter(signatures(F.col("sh"), perms, length, stride), _member(known)))
     found = once(hashed, "hits", F.array_distinct(F.concat(*hits)), "doc_id", "sh").filter(F.size("hits") > 0)
 
     def part(lists: list, i: int) -> Column:

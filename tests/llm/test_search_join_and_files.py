@@ -194,6 +194,23 @@ def test_edited_copies_are_retrieved_as_the_bands_promise(spark, docs):
     assert want <= met < {(i, n) for i, t in rows for n, own in sets.items() if own & _plain_shingles(t)} | want
 
 
+def test_windows_of_single_permutations_are_those_of_the_array(spark):
+    """Permutations given one by one (cheaper to read) make the band values of the array of them; a shingle's hash is that of its words."""
+    texts = [" ".join(f"w{k * k % 13}" for k in range(n)) for n in range(24)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None, " ,, ", "...a b c d e."]], "text string")
+    rows = rows.select(L.words(F.col("text")).alias("w")).withColumn("sh", L.shingles(F.col("w")))
+    plain = F.expr("CASE WHEN size(w) < 5 THEN array() ELSE transform(sequence(0, size(w) - 5), i -> "
+                   "xxhash64(w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4])) END")
+    assert all(list(r.sh) == list(r.plain) for r in rows.withColumn("plain", plain).collect())
+    each = [F.col("sh")] + [F.get(L.permuted(F.col("sh")), j) for j in range(1, L.BANDS)]
+    for _, length, stride in L.LEVELS:
+        both = rows.select(L.signatures(F.col("sh"), each, length, stride).alias("a"),
+                           L.signatures(F.col("sh"), L.permuted(F.col("sh")), length, stride).alias("b"), F.size("sh").alias("n"))
+        for r in both.collect():
+            windows = len(range(0, r.n - length + 1, stride))
+            assert r.a == r.b and len(r.a) == windows * (1 if length == 1 else L.BANDS)
+
+
 def test_bands_collide_at_the_stated_rate(spark):
     """Windows with i of u shingles in common share a band with probability 1 - (1 - i(i - 1)/(u(u - 1)))^2."""
     n = 20_000
