@@ -173,6 +173,45 @@ def test_texts_are_encoded_in_order_across_chunks_and_full_memos(monkeypatch):
     assert list(tokens.Encoder(default_tokenizer()).each(texts)) == [np.array(ids(t), dtype="<u4").tobytes() for t in texts]
 
 
+def test_a_word_and_the_signs_behind_it_are_one_unit():
+    """Texts are cut at spaces and before line feeds; a repeated unit costs one look-up, whatever its groups."""
+    from tempora.llm.tokens import Encoder
+    enc = Encoder(default_tokenizer())
+    assert enc.units("One (two), three.\nFour") == ["\rOne", "(two),", "three.", "\nFour"]
+    text = "One (two), it's three!\nFour three! it's\n\nFour  (two), x " * 2
+    assert enc.ids(text) == np.array(ids(text), dtype="<u4").tobytes()
+    assert {"(two),", "three!", "it's", "\nFour", "\n"} < set(enc.memo)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "the", "é", " ", "  ", "\n", "\n\n", "'", "'s", "'ll", "!", ".", "_", "7", "<|", "\t", "x" * 70, "ab-c" * 20]), max_size=25))
+def test_runs_of_blanks_apostrophes_and_long_units(parts):
+    text = "".join(parts)
+    assert encoder(default_tokenizer()).ids(text) == np.array(ids(text), dtype="<u4").tobytes()
+
+
+def test_long_units_are_not_kept():
+    from tempora.llm.tokens import LONG, Encoder
+    enc, text = Encoder(default_tokenizer()), "short " + "a,b;c" * 500 + " short"
+    for _ in range(2):
+        assert enc.ids(text) == np.array(ids(text), dtype="<u4").tobytes()
+    assert enc.memo and max(map(len, enc.memo)) <= LONG
+
+
+def test_a_tokenizer_with_merges_across_groups_is_encoded_whole(tmp_path):
+    """Its merges would join the words and signs of a unit if the pattern were left out."""
+    import json
+    made = json.load(open(default_tokenizer()))
+    made["model"]["vocab"]["e."] = max(made["model"]["vocab"].values()) + 1 + len(made["added_tokens"])
+    made["model"]["merges"].insert(0, "e ." if isinstance(made["model"]["merges"][0], str) else ["e", "."])
+    path = tmp_path / "across.json"
+    path.write_text(json.dumps(made))
+    other = Tokenizer.from_file(str(path))
+    assert not encoder(str(path)).by_groups
+    text = "one. the file."
+    assert encoder(str(path)).ids(text) == np.array(other.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
 def test_plan_uses_every_piece_and_wastes_little():
     rng = np.random.default_rng(3)
     counts = np.bincount(np.minimum(2048, rng.lognormal(6, 1, 20_000).astype(int) + 1), minlength=2049)
