@@ -57,7 +57,7 @@ DIGEST = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 def _cut(batches, tokenizer: str, window: int, end_id: int, with_ids: bool):
     """Pieces of a partition; ``nth`` counts those of one length within the partition."""
     enc, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), {}
-    kind = "<u2" if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+    kind = "<u2" if max(enc.vocab_size, end_id + 1) <= 1 << 16 else "<u4"
     end = np.array([end_id], dtype="<u4").tobytes()
     types = [pa.int64()] * 5 + [pa.int32(), pa.int64()]
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
